@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import fingerprints
+from .mixing import mixed
 from .ngram_join import ngram_jaccard_join
 from .packing import pack
+from .sharding import shard_documents
 from .substring_dedup import substring_dedup
 
 
@@ -29,9 +31,17 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(_read(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_read(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op4_document_fingerprints, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op4_document_fingerprints, op9_packing, op3_mixing_sources, op8_sharding)}
 ORACLE_SQL: dict[str, str] = {}
