@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import fingerprints
+from .licenses import known_licenses, license_scan, scan_sql
 from .mixing import mixed
+from .neighbours import nearest
 from .ngram_join import ngram_jaccard_join
 from .packing import pack
 from .sharding import shard_documents
@@ -39,9 +41,17 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_read(spark, sf_dir, "documents"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_read(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_read(spark, sf_dir, "documents"), known_licenses(spark))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op4_document_fingerprints, op9_packing, op3_mixing_sources, op8_sharding)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op4_document_fingerprints, op9_packing, op3_mixing_sources, op8_sharding, op2_nearest_neighbours, op7_license_scan)}
+ORACLE_SQL: dict[str, str] = {"op7_license_scan": scan_sql()}
