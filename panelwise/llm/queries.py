@@ -10,6 +10,7 @@ from .mixing import mixed
 from .neighbours import nearest
 from .ngram_join import ngram_jaccard_join
 from .packing import pack
+from .quality import classify_quality
 from .sharding import shard_documents
 from .substring_dedup import substring_dedup
 
@@ -49,9 +50,13 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_read(spark, sf_dir, "documents"), known_licenses(spark))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(_read(spark, sf_dir, "documents")).drop("tag")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op4_document_fingerprints, op9_packing, op3_mixing_sources, op8_sharding, op2_nearest_neighbours, op7_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op4_document_fingerprints, op9_packing, op3_mixing_sources, op8_sharding, op2_nearest_neighbours, op7_license_scan, op10_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {"op7_license_scan": scan_sql()}
