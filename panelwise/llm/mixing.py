@@ -63,18 +63,18 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], total: float, cap: float
 def mix_sources(
     docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), total: float = 1.5, cap: float = 2.0, shards: int = 64, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, draws): uid, doc_id, size, source_size, target of every document; uid, shard, pass, words, place of every draw.
+    """(rows, draws): uid, doc_id, size, source_size, target of every document; uid, doc_id, tag (xxhash64 of the text), shard, pass, words, place of every draw.
 
     Weights repeat along the sources in code-point order, a null source last.
     size is the number of words, 0 for a null text; texts without words are
     never drawn in a partial pass. A source takes floor(target) words: whole
     passes, then documents of the permutation until they are used up, the last
     one cut. A shard's order is that of place. Equal calls give equal results
-    for distinct (doc_id, size); shards must be a power of two.
+    for distinct (doc_id, text); shards must be a power of two.
     """
     skey = F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string")))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), skey.alias("skey"), word_count(F.col(text_col)).alias("size"))
-    rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()).withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "size")))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), skey.alias("skey"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"), word_count(F.col(text_col)).alias("size"))
+    rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()).withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "tag", "size")))
     sizes = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     goal = stored(targets(sizes, weights, total, cap))
     number = F.least(F.lit(BLOCKS), F.ceil(F.col("rows") / ROWS_PER_BLOCK)).cast("long")
@@ -104,7 +104,7 @@ def mix_sources(
     slots = leaves.select("skey", "shard", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("draw"))
     dealt = draws.join(slots, ["skey", "draw"]).select("skey", "block", "pass", "limit", "shard")
     drawn = laid.join(dealt, ["skey", "block"]).withColumn("words", F.expr("if(limit < 0, size, greatest(0L, least(size, limit - ahead)))")).where("words > 0 or (size = 0 and limit < 0)")
-    drawn = drawn.select("uid", "doc_id", "shard", "pass", "words", F.xxhash64(F.lit(seed), "shard", "pass", "uid").alias("place"))
+    drawn = drawn.select("uid", "doc_id", "tag", "shard", "pass", "words", F.xxhash64(F.lit(seed), "shard", "pass", "uid").alias("place"))
     return rows.join(goal, "skey").select("uid", "doc_id", "size", "source_size", "target"), drawn
 
 
@@ -113,3 +113,13 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     rows, draws = mix_sources(docs, **options)
     taken = draws.groupBy("uid").agg(F.sum("words").alias("taken"))
     return rows.join(taken, "uid", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: a row of docs, with all its columns, for every draw of it; the last document of a source may be cut to fewer words."""
+    tagged = docs.withColumn("_tag", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_tag"])
+    draws = mix_sources(docs, **options)[1].select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("words").alias("_words"))
+    drawn = tagged.join(draws, F.col("doc_id").eqNullSafe(F.col("_id")) & (tagged["_tag"] == draws["_tag"]))
+    short = F.array_join(F.slice(F.split(F.regexp_replace("text", "^" + _BLANK, ""), _BLANK[:-1] + "+"), 1, F.greatest(F.col("_words"), F.lit(0)).cast("int")), " ")
+    text = F.when(word_count(F.col("text")) > F.col("_words"), short).otherwise(F.col("text"))
+    return drawn.select(*(text.alias("text") if c == "text" else F.length(text).cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -162,26 +163,46 @@ def _scored(weights):
     return run
 
 
-def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, votes, posterior (of its vote pattern), p_good (the scorer's), keep and tag (xxhash64 of the text) of every row.
-
-    keep is p_good >= 0.5. A null or wordless text is scored on its statistics,
-    all 0, like any other; equal texts get equal scores. An empty table gives no
-    rows. No gold labels are used: those of a label table are for measuring.
-    """
-    spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
+def fit_quality(rows: DataFrame) -> tuple[np.ndarray, dict[int, float]]:
+    """(the scorer's weights, the posterior of each vote pattern) from rows of id and text without nulls in text."""
     counted = rows.select("id", "text").mapInArrow(_voted, "id long, votes long").groupBy("votes").count().collect()  # 3 ** labellers rows at most
     if not counted:
-        return spark.createDataFrame([], "doc_id long, votes long, posterior double, p_good double, keep boolean, tag long")
+        return np.zeros(BUCKETS + 1), {}
     patterns, counts = (np.array(x) for x in zip(*counted, strict=True))
-    good, _ = accuracies(patterns, counts)
+    posterior = dict(zip(patterns.tolist(), accuracies(patterns, counts)[0].tolist(), strict=True))
     least = rows.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(SAMPLE)  # bounded, so it may be broadcast
     picked = rows.join(F.broadcast(least.select("id").distinct()), "id", "left_semi").select("text").mapInArrow(_sampled, "votes long, buckets binary, weights binary").limit(SAMPLE).collect()
-    posterior = dict(zip(patterns.tolist(), good.tolist(), strict=True))
     train = [(np.frombuffer(r.buckets, np.int64), np.frombuffer(r.weights, float)) for r in picked]
-    weights = _fitted(train, np.array([posterior[r.votes] for r in picked])) if train else np.zeros(BUCKETS + 1)
-    scored = rows.mapInArrow(_scored(spark.sparkContext.broadcast(weights)), "id long, tag long, votes long, p_good double")
+    return _fitted(train, np.array([posterior[r.votes] for r in picked])) if train else np.zeros(BUCKETS + 1), posterior
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
+
+
+def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, votes, posterior (of its vote pattern), p_good (the scorer's) and keep of every row.
+
+    keep is p_good >= 0.5. A null or wordless text is scored on its statistics,
+    all 0, like any other; equal texts get equal scores. An empty table gives no
+    rows. No gold labels are used: those of a label table are for measuring.
+    """
+    spark, rows = docs.sparkSession, _rows(docs, id_col, text_col)
+    weights, posterior = fit_quality(rows)
+    scored = rows.select("id", "text").mapInArrow(_scored(spark.sparkContext.broadcast(weights)), "id long, votes long, p_good double")
     table = spark.createDataFrame([(int(v), float(g)) for v, g in posterior.items()], "votes long, posterior double")
-    return scored.join(F.broadcast(table), "votes").select(F.col("id").alias("doc_id"), "votes", "posterior", "p_good", (F.col("p_good") >= 0.5).alias("keep"), "tag")
+    return scored.join(F.broadcast(table), "votes").select(F.col("id").alias("doc_id"), "votes", "posterior", "p_good", (F.col("p_good") >= 0.5).alias("keep"))
+
+
+def good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that classify_quality keeps, with all their columns; nothing is shuffled."""
+    weights, _ = fit_quality(_rows(docs, id_col, text_col))
+    scored = _scored(docs.sparkSession.sparkContext.broadcast(weights))
+
+    @F.pandas_udf("double")
+    def p_good(text: pd.Series) -> pd.Series:
+        batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string())], names=["text"])
+        return pd.Series(np.concatenate([np.zeros(0), *(x.column("p_good").to_numpy() for x in scored(iter([batch])))]))
+
+    return docs.where(p_good(F.coalesce(F.col(text_col), F.lit(""))) >= 0.5)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .fingerprints import fingerprints
 from .licenses import known_licenses, license_scan, scan_sql
+from .lm_scoring import score_documents
 from .mixing import mixed
 from .neighbours import nearest
 from .ngram_join import ngram_jaccard_join
@@ -51,12 +53,18 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify_quality(_read(spark, sf_dir, "documents")).drop("tag")
+    return classify_quality(_read(spark, sf_dir, "documents"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = "crc32(cast(doc_id as string)) % 7"
+    scored = score_documents(_read(spark, sf_dir, "documents"), f"{part} <> 2")
+    return scored.select("doc_id", F.expr(f"{part} = 2").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op4_document_fingerprints, op9_packing, op3_mixing_sources, op8_sharding, op2_nearest_neighbours, op7_license_scan, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op4_document_fingerprints, op9_packing, op3_mixing_sources, op8_sharding, op2_nearest_neighbours, op7_license_scan, op10_quality_classifier, op5_lm_scoring)}
 ORACLE_SQL: dict[str, str] = {"op7_license_scan": scan_sql()}
