@@ -11,12 +11,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
-from .ngram_join import _links, _sets
 from .scratch import stored
-from .textkernel import U, Words, mix, set_ids, shingle_sets, shingles, slices
+from .textkernel import U, Words, mix, shingles, slices
 
-PERMUTATIONS, SHINGLE, BANDS = 128, 5, 32
+PERMUTATIONS, SHINGLE = 128, 5
 _seeds = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=U))
 _A, _B = _seeds[:PERMUTATIONS] | U(1), _seeds[PERMUTATIONS:]
 
@@ -103,35 +101,3 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out.select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"), F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next"
     )
-
-
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
-        words = Words(part.column("text"), lower=True)
-        sids = set_ids(*shingle_sets(words, SHINGLE))
-        rows = signatures(words).reshape(words.n_texts, BANDS, -1)
-        keep = [i for i, sid in enumerate(sids) if sid]
-        raw = [(band, rows[i, band].tobytes(), sids[i], i) for i in keep for band in range(BANDS)]
-        band, key, sid, i = zip(*raw, strict=True) if raw else ([], [], [], [])
-        yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(i, pa.int64())), pa.array(band, pa.int32()), pa.array(key, pa.binary()), pa.array(sid, pa.binary())], names=["id", "band", "key", "sid"])
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """doc_id, component_id of every row with words: signature bands propose pairs, exact Jaccard of five-word shingles decides.
-
-    In each band each signature part is compared with the smallest set that has
-    it; texts with equal sets are one node. Null ids take no part.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    banded = stored(rows.mapInArrow(_banded, "id long, band int, key binary, sid binary"))
-    nodes = banded.where("band = 0").groupBy("sid").agg(F.min("id").alias("rep"))
-    least = banded.groupBy("band", "key").agg(F.min("sid").alias("probe"), F.max("sid").alias("high")).where("probe <> high")
-    pairs = stored(banded.join(least, ["band", "key"]).where("sid <> probe").select("probe", "sid").distinct())
-    active = pairs.select("sid").union(pairs.select("probe")).distinct().join(nodes, "sid")
-    ranks = spark.sparkContext.broadcast(np.zeros(1 << 18, np.uint16))
-    sets = rows.join(active.select(F.col("rep").alias("id")).distinct(), "id").select("text").mapInArrow(_sets("text", SHINGLE, ranks), "sid binary, n long, tokens binary, profile binary")
-    labels = components(_links(pairs, stored(sets.dropDuplicates(["sid"])), percent), "a", "b")
-    member = nodes.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
-    member = member.join(member.groupBy("root").agg(F.min("rep").alias("component_id")), "root")
-    return banded.where("band = 0").join(member.select("sid", "component_id"), "sid").select(F.col("id").alias("doc_id"), "component_id")

@@ -43,8 +43,11 @@ def _prefix(n: int, percent: int) -> int:
     return n - -((-percent * n) // 100) + 1
 
 
+_SIGNED = ["kind", "id", "n", "blob", "profile"]
+
+
 def _signed(text: str, id_: str, n: int):
-    """Rows (kind 0): id, size and digest of each set. Rows (kind 1): this partition's share of the counters."""
+    """Rows (kind 0): id, size, digest and profile of each set. Rows (kind 1): this partition's share of the counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.int64)
@@ -52,15 +55,15 @@ def _signed(text: str, id_: str, n: int):
             values, offsets = shingle_sets(Words(part.column(text), lower=True), n)
             counts += np.bincount((values & U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
             k = part.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(k, np.int32)), part.column(id_), pa.array(np.diff(offsets)), pa.array(set_ids(values, offsets), pa.binary())],
-                names=["kind", "id", "n", "blob"],
-            )
+            owner = np.repeat(np.arange(k), np.diff(offsets))
+            profile = np.bincount(owner * PROFILE + (values >> U(59)).astype(np.int64), minlength=k * PROFILE).astype(np.int32)
+            profiles = pa.ListArray.from_arrays(pa.array(np.arange(k + 1, dtype=np.int32) * PROFILE), pa.array(profile))
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), part.column(id_), pa.array(np.diff(offsets)), pa.array(set_ids(values, offsets), pa.binary()), profiles], names=_SIGNED)
         if counts.any():
             pieces = counts.reshape(PIECES, -1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(PIECES, np.int32)), pa.nulls(PIECES, pa.int64()), pa.array(np.arange(PIECES, dtype=np.int64)), pa.array([p.tobytes() for p in pieces], pa.binary())],
-                names=["kind", "id", "n", "blob"],
+                [pa.array(np.ones(PIECES, np.int32)), pa.nulls(PIECES, pa.int64()), pa.array(np.arange(PIECES, dtype=np.int64)), pa.array([p.tobytes() for p in pieces], pa.binary()), pa.nulls(PIECES, pa.list_(pa.int32()))],
+                names=_SIGNED,
             )
 
     return run
@@ -106,13 +109,9 @@ def _sets(text: str, n: int, ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
             values, offsets = shingle_sets(Words(part.column(text), lower=True), n)
-            keys, rows = _ordered(values, ranks.value), []
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                own = np.sort(keys[a:b])
-                profile = np.bincount((own & U(PROFILE - 1)).astype(np.int64), minlength=PROFILE).astype(np.int32)
-                rows.append((own.tobytes(), profile.tobytes()))
-            tokens, profiles = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(set_ids(values, offsets), pa.binary()), pa.array(np.diff(offsets)), pa.array(tokens, pa.binary()), pa.array(profiles, pa.binary())], names=["sid", "n", "tokens", "profile"])
+            keys = _ordered(values, ranks.value)
+            tokens = [np.sort(keys[a:b]).tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(set_ids(values, offsets), pa.binary()), pa.array(tokens, pa.binary())], names=["sid", "tokens"])
 
     return run
 
@@ -181,11 +180,25 @@ def _verified(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (probe, sid), those whose sets reach the threshold; a probe's members are dealt over salted tasks."""
-    salted = pairs.withColumn("salt", F.pmod(F.hash("sid"), F.lit(64)))
-    members = salted.join(sets.select("sid", "tokens"), "sid").select("probe", "salt", F.lit(1).alias("role"), "sid", "tokens")
-    probes = salted.select("probe", "salt").distinct().join(sets.select(F.col("sid").alias("probe"), "tokens"), "probe")
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (probe, sid), those that sizes and profiles do not rule out: profiles differ by no more than the sets do."""
+    of = lambda key, mark: nodes.select(F.col("sid").alias(key), F.col("n").alias(f"n_{mark}"), F.col("profile").alias(f"p_{mark}"))
+    joined = pairs.join(of("sid", "a"), "sid").where("n_a is not null").join(of("probe", "b"), "probe")
+    joined = joined.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    far = "aggregate(zip_with(p_a, p_b, (x, y) -> abs(x - y)), 0L, (t, x) -> t + x)"
+    return joined.where(f"{far} <= n_a + n_b - 2 * (({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent})").select("probe", "sid")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int, ranks) -> DataFrame:
+    """Of the pairs (probe, sid), those whose sets reach the threshold; a probe's members are dealt over tasks of about 256."""
+    pairs = stored(_possible(pairs, nodes, percent))
+    active = pairs.select("sid").union(pairs.select("probe")).distinct().join(nodes.select("sid", "rep"), "sid")
+    texts = docs.join(active.select(F.col("rep").alias("id")).distinct(), "id").select("text")
+    sets = stored(texts.mapInArrow(_sets("text", n, ranks), "sid binary, tokens binary").join(active.select("sid"), "sid", "left_semi").dropDuplicates(["sid"]))
+    chunks = pairs.groupBy("probe").agg(F.ceil(F.count(F.lit(1)) / 256).cast("int").alias("chunks"))
+    salted = pairs.join(chunks, "probe").withColumn("salt", F.pmod(F.hash("sid"), F.col("chunks"))).drop("chunks")
+    members = salted.join(sets, "sid").select("probe", "salt", F.lit(1).alias("role"), "sid", "tokens")
+    probes = salted.select("probe", "salt").distinct().join(sets.withColumnRenamed("sid", "probe"), "probe")
     rows = members.unionByName(probes.select("probe", "salt", F.lit(0).alias("role"), F.col("probe").alias("sid"), "tokens"))
     return rows.repartition("probe", "salt").sortWithinPartitions("probe", "salt", "role", "tokens").mapInArrow(_verified(percent), "a binary, b binary")
 
@@ -197,7 +210,7 @@ def _across(percent: int):
         side, sid, label, n, profile = zip(*rows, strict=True)
         side, n = np.array(side), np.array(n)
         labels = np.unique(np.array(label, dtype=object), return_inverse=True)[1]
-        profiles = np.stack([np.frombuffer(x, dtype=np.int32) for x in profile])
+        profiles = np.array(profile, dtype=np.int64)
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         found = []
         for x in left:
@@ -240,35 +253,31 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = stored(docs.mapInArrow(_signed("text", "id", n), "kind int, id long, n long, blob binary"))
+    signed = stored(docs.mapInArrow(_signed("text", "id", n), "kind int, id long, n long, blob binary, profile array<int>"))
     ranks = spark.sparkContext.broadcast(_common(signed))  # 512 KB
     rows = signed.where("kind = 0").select("id", "n", F.col("blob").alias("sid"))
-    nodes = rows.where("sid is not null and id is not null").groupBy("sid").agg(F.min("id").alias("rep"))
+    known = signed.where("kind = 0 and blob is not null and id is not null").withColumnRenamed("blob", "sid")
+    nodes = stored(known.groupBy("sid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("profile").alias("profile")))
 
     posted = docs.select("text").mapInArrow(_postings("text", n, percent, ranks), "token long, sid binary")
     groups = posted.groupBy("token").agg(F.min("sid").alias("probe"), F.max("sid").alias("last")).where("probe <> last")
     shared = stored(posted.join(groups.select("token", "probe"), "token").distinct())
     first = shared.where("probe <> sid").select("probe", "sid").distinct()
 
-    active = shared.select("sid").distinct().join(nodes, "sid")
-    texts = docs.join(active.select(F.col("rep").alias("id")).distinct(), "id").select("text")
-    sets = texts.mapInArrow(_sets("text", n, ranks), "sid binary, n long, tokens binary, profile binary")
-    sets = stored(sets.groupBy("sid").agg(*(F.first(c, ignorenulls=True).alias(c) for c in ("n", "tokens", "profile"))))
-
-    links = stored(_links(first, sets, percent))
+    links = stored(_links(first, docs, nodes, n, percent, ranks))
     labels = components(links, "a", "b")
     marked = shared.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("token", "sid", "probe", F.coalesce("root", "sid").alias("label"))
     open_groups = marked.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m")).where("low <> high and m > 2")
-    left = marked.where("probe <> sid").join(open_groups.select("token", "m"), "token").join(sets.select("sid", "n", "profile"), "sid")
+    left = marked.where("probe <> sid").join(open_groups.select("token", "m"), "token").join(nodes.select("sid", "n", "profile"), "sid")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     left = left.withColumn("own", F.pmod(F.hash("sid"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     left = left.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "sid", "label", "n", "profile")
     second = left.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_across(percent), "probe binary, sid binary").distinct()
-    more = stored(_links(second, sets, percent))
+    more = stored(_links(second, docs, nodes, n, percent, ranks))
     if not more.isEmpty():
         labels = components(links.union(more), "a", "b")
 
-    member = nodes.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
+    member = nodes.select("sid", "rep").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
     least = member.groupBy("root").agg(F.min("rep").alias("component_id"))
     member = member.join(least, "root").select("sid", "component_id")
     out = rows.join(member, "sid", "left")
