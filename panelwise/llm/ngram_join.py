@@ -31,7 +31,7 @@ COUNTERS, PIECES = 1 << 18, 64
 #: Members of one posting group that one block holds.
 BLOCK = 2048
 #: Buckets of the profile that rules out pairs before their sets are compared.
-PROFILE = 32
+PROFILE = 256
 
 
 def _needed(x, y, percent: int):
@@ -56,13 +56,13 @@ def _signed(text: str, id_: str, n: int):
             counts += np.bincount((values & U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
             k = part.num_rows
             owner = np.repeat(np.arange(k), np.diff(offsets))
-            profile = np.bincount(owner * PROFILE + (values >> U(59)).astype(np.int64), minlength=k * PROFILE).astype(np.int32)
-            profiles = pa.ListArray.from_arrays(pa.array(np.arange(k + 1, dtype=np.int32) * PROFILE), pa.array(profile))
+            profile = np.bincount(owner * PROFILE + (values >> U(56)).astype(np.int64), minlength=k * PROFILE)
+            profiles = pa.array([row.tobytes() for row in np.minimum(profile, 255).astype(np.uint8).reshape(k, PROFILE)], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), part.column(id_), pa.array(np.diff(offsets)), pa.array(set_ids(values, offsets), pa.binary()), profiles], names=_SIGNED)
         if counts.any():
             pieces = counts.reshape(PIECES, -1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(PIECES, np.int32)), pa.nulls(PIECES, pa.int64()), pa.array(np.arange(PIECES, dtype=np.int64)), pa.array([p.tobytes() for p in pieces], pa.binary()), pa.nulls(PIECES, pa.list_(pa.int32()))],
+                [pa.array(np.ones(PIECES, np.int32)), pa.nulls(PIECES, pa.int64()), pa.array(np.arange(PIECES, dtype=np.int64)), pa.array([p.tobytes() for p in pieces], pa.binary()), pa.nulls(PIECES, pa.binary())],
                 names=_SIGNED,
             )
 
@@ -180,18 +180,35 @@ def _verified(percent: int):
     return run
 
 
+def _near(na, pa_, nb, pb, percent: int):
+    """Whether profiles (rows of counts, cut at 255) differ by no more than linked sets of these sizes can."""
+    return np.abs(pa_.astype(np.int16) - pb).sum(axis=-1) <= na + nb - 2 * _needed(na, nb, percent)
+
+
+def _stacked(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, PROFILE)
+
+
+def _ruled(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ok = _near(batch.column("n_a").to_numpy(), _stacked(batch.column("p_a")), batch.column("n_b").to_numpy(), _stacked(batch.column("p_b")), percent)
+                yield batch.select(["probe", "sid"]).filter(pa.array(ok))
+
+    return run
+
+
 def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (probe, sid), those that sizes and profiles do not rule out: profiles differ by no more than the sets do."""
+    """Of the pairs (probe, sid), those that sizes and profiles do not rule out."""
     of = lambda key, mark: nodes.select(F.col("sid").alias(key), F.col("n").alias(f"n_{mark}"), F.col("profile").alias(f"p_{mark}"))
-    joined = pairs.join(of("sid", "a"), "sid").where("n_a is not null").join(of("probe", "b"), "probe")
-    joined = joined.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    far = "aggregate(zip_with(p_a, p_b, (x, y) -> abs(x - y)), 0L, (t, x) -> t + x)"
-    return joined.where(f"{far} <= n_a + n_b - 2 * (({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent})").select("probe", "sid")
+    sized = pairs.join(nodes.select("sid", F.col("n").alias("n_a")), "sid").join(nodes.select(F.col("sid").alias("probe"), F.col("n").alias("n_b")), "probe")
+    sized = sized.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("probe", "sid")
+    return sized.join(of("sid", "a"), "sid").join(of("probe", "b"), "probe").select("probe", "sid", "n_a", "p_a", "n_b", "p_b").mapInArrow(_ruled(percent), "probe binary, sid binary")
 
 
 def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int, ranks) -> DataFrame:
-    """Of the pairs (probe, sid), those whose sets reach the threshold; a probe's members are dealt over tasks of about 256."""
-    pairs = stored(_possible(pairs, nodes, percent))
+    """Of the stored pairs (probe, sid), those whose sets reach the threshold; a probe's members are dealt over tasks of about 256."""
     active = pairs.select("sid").union(pairs.select("probe")).distinct().join(nodes.select("sid", "rep"), "sid")
     texts = docs.join(active.select(F.col("rep").alias("id")).distinct(), "id").select("text")
     sets = stored(texts.mapInArrow(_sets("text", n, ranks), "sid binary, tokens binary").join(active.select("sid"), "sid", "left_semi").dropDuplicates(["sid"]))
@@ -203,21 +220,29 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent:
     return rows.repartition("probe", "salt").sortWithinPartitions("probe", "salt", "role", "tokens").mapInArrow(_verified(percent), "a binary, b binary")
 
 
-def _across(percent: int):
-    """Pairs of one posting group under different labels that sizes and profiles leave possible; rows arrive by (token, i, j)."""
+def _across(percent: int, best: bool):
+    """Pairs of one posting group under different labels that sizes and profiles leave possible; rows arrive by (token, i, j).
+
+    best: for each member and each other label, only the pair whose profiles are
+    nearest, as one link is enough to make two labels one.
+    """
 
     def pairs(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
         side, sid, label, n, profile = zip(*rows, strict=True)
         side, n = np.array(side), np.array(n)
         labels = np.unique(np.array(label, dtype=object), return_inverse=True)[1]
-        profiles = np.array(profile, dtype=np.int64)
+        profiles = np.frombuffer(b"".join(profile), dtype=np.uint8).reshape(-1, PROFILE).astype(np.int16)
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         found = []
         for x in left:
             ok = right[(labels[right] != labels[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
             if len(ok):
                 far = np.abs(profiles[ok] - profiles[x]).sum(axis=1)
-                ok = ok[far <= n[ok] + n[x] - 2 * _needed(n[ok], n[x], percent)]
+                near = far <= n[ok] + n[x] - 2 * _needed(n[ok], n[x], percent)
+                ok, far = ok[near], far[near]
+                if best and len(ok) > 1:
+                    ok = ok[np.argsort(far, kind="stable")]
+                    ok = ok[np.unique(labels[ok], return_index=True)[1]]
                 found += [(min(sid[x], sid[y]), max(sid[x], sid[y])) for y in ok]
         return found
 
@@ -242,6 +267,18 @@ def _across(percent: int):
     return run
 
 
+def _across_labels(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of posting groups of three and more under several labels, by (token, i, j): each pair of blocks of a group meets once."""
+    marked = shared.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("token", "sid", "probe", F.coalesce("root", "sid").alias("label"))
+    groups = marked.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m")).where("low <> high and m > 2")
+    left = marked.where("probe <> sid").join(groups.select("token", "m"), "token").join(nodes.select("sid", "n", "profile"), "sid")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    left = left.withColumn("own", F.pmod(F.hash("sid"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    left = left.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "sid", "label", "n", "profile")
+    return left.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+
+
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row: links join documents with 100 * intersection >= percent * union.
 
@@ -253,7 +290,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = stored(docs.mapInArrow(_signed("text", "id", n), "kind int, id long, n long, blob binary, profile array<int>"))
+    signed = stored(docs.mapInArrow(_signed("text", "id", n), "kind int, id long, n long, blob binary, profile binary"))
     ranks = spark.sparkContext.broadcast(_common(signed))  # 512 KB
     rows = signed.where("kind = 0").select("id", "n", F.col("blob").alias("sid"))
     known = signed.where("kind = 0 and blob is not null and id is not null").withColumnRenamed("blob", "sid")
@@ -263,19 +300,15 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = posted.groupBy("token").agg(F.min("sid").alias("probe"), F.max("sid").alias("last")).where("probe <> last")
     shared = stored(posted.join(groups.select("token", "probe"), "token").distinct())
     first = shared.where("probe <> sid").select("probe", "sid").distinct()
-
-    links = stored(_links(first, docs, nodes, n, percent, ranks))
+    links = stored(_links(stored(_possible(first, nodes, percent)), docs, nodes, n, percent, ranks))
     labels = components(links, "a", "b")
-    marked = shared.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("token", "sid", "probe", F.coalesce("root", "sid").alias("label"))
-    open_groups = marked.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m")).where("low <> high and m > 2")
-    left = marked.where("probe <> sid").join(open_groups.select("token", "m"), "token").join(nodes.select("sid", "n", "profile"), "sid")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    left = left.withColumn("own", F.pmod(F.hash("sid"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    left = left.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "sid", "label", "n", "profile")
-    second = left.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_across(percent), "probe binary, sid binary").distinct()
-    more = stored(_links(second, docs, nodes, n, percent, ranks))
-    if not more.isEmpty():
-        labels = components(links.union(more), "a", "b")
+    for best in (True, False):
+        # What the groups' smallest members have not connected: first the likeliest pair of each two labels, then all that is left.
+        second = stored(_across_labels(shared, labels, nodes).mapInArrow(_across(percent, best), "probe binary, sid binary").distinct())
+        if second.isEmpty():
+            break
+        links = stored(links.union(_links(second, docs, nodes, n, percent, ranks)))
+        labels = components(links, "a", "b")
 
     member = nodes.select("sid", "rep").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
     least = member.groupBy("root").agg(F.min("rep").alias("component_id"))
