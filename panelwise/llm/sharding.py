@@ -43,7 +43,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     ranges = cells.groupBy("range").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))  # RANGES rows at most
     cut = ranges.agg(F.sort_array(F.collect_list(F.struct("range", "bytes"))).alias("all")).select(F.col("all.bytes").alias("sizes"), F.col("all.range").alias("names"))
     cut = cut.where("size(sizes) > 0").withColumn("total", F.expr("aggregate(sizes, 0L, (a, x) -> a + x)"))
-    cut = cut.withColumn("capacity", F.expr(_CAPACITY.format(k=shards))).withColumn("cuts", F.expr(_CUTS))
+    # Tables of one row: else the optimizer would put the search into the loop that uses its result.
+    cut = stored(stored(cut).withColumn("capacity", F.expr(_CAPACITY.format(k=shards)))).withColumn("cuts", F.expr(_CUTS))
     first = cut.select(F.explode(F.expr("transform(sequence(0, size(cuts)), i -> named_struct('shard', i, 'low', if(i = 0, 0, names[cuts[greatest(i - 1, 0)]])))")).alias("s")).select("s.*")
     placed = stored(ranges.join(F.broadcast(first), F.col("range") >= F.col("low")).groupBy("range", "n").agg(F.max("shard").alias("shard")))  # one row a shard
     placed = placed.withColumn("base", F.expr("sum(n) over (partition by shard order by range) - n")).select("range", "shard", "base")
