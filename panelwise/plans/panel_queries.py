@@ -55,12 +55,12 @@ def a13_sector_scan(p: Panels):
     return p.sectors.join(p.prices.select("ticker").distinct(), "ticker", "left_semi")
 
 
-@query("""SELECT ticker, date, round(arg_max(adj_close, seq), 9) AS adj_close FROM (
+@query("""SELECT ticker, date, round(arg_max(adj_close, seq), 6) AS adj_close FROM (
 SELECT ticker, date, adj_close, 0 AS seq FROM px WHERE date <= DATE '1999-06-30' UNION ALL SELECT ticker, date, adj_close * 1.01, 1 FROM px WHERE date >= DATE '1999-01-01') GROUP BY ticker, date""")
 def a15_price_upsert(p: Panels):
     old = p.prices.select("ticker", "date", "adj_close").where("date <= date'1999-06-30'")
     new = p.prices.select("ticker", "date", (F.col("adj_close") * 1.01).alias("adj_close"), F.lit(1).alias("seq")).where("date >= date'1999-01-01'")
-    return rounded(src.merged(old, new, ["ticker", "date"]), "ticker", "date", "adj_close:9")
+    return rounded(src.merged(old, new, ["ticker", "date"]), "ticker", "date", "adj_close:6")
 
 
 @query("""SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS date, round(max(l_extendedprice / l_quantity), 9) AS high, round(min(l_extendedprice / l_quantity), 9) AS low, CAST(sum(l_quantity) AS BIGINT) AS volume,
