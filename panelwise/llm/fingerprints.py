@@ -11,10 +11,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ngram_join import ngram_jaccard_join
 from .scratch import stored
-from .textkernel import U, Words, mix, shingles, slices
+from .textkernel import U, Words, mix, set_ids, shingle_sets, shingles, slices
 
 PERMUTATIONS, SHINGLE = 128, 5
+#: Bands of a signature, of PERMUTATIONS / BANDS places each.
+BANDS = 32
 _seeds = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=U))
 _A, _B = _seeds[:PERMUTATIONS] | U(1), _seeds[PERMUTATIONS:]
 
@@ -101,3 +104,33 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out.select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"), F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next"
     )
+
+
+def _banded(text: str, n: int, percent: int, ranks):
+    """Each set under the hashes of its signature's bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            words = Words(part.column(text), lower=True)
+            full = np.flatnonzero(words.counts() > 0)
+            if len(full):
+                bands = signatures(words, n)[full].reshape(len(full), BANDS, -1)
+                tokens = np.broadcast_to(np.arange(1, BANDS + 1, dtype=U), bands.shape[:2])
+                for place in range(bands.shape[2]):
+                    tokens = mix(tokens * U(65537) + bands[:, :, place].astype(U))
+                ids = pa.array(set_ids(*shingle_sets(words, n)), pa.binary()).take(pa.array(np.repeat(full, BANDS)))
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.ravel().view(np.int64)), ids], names=["token", "sid"])
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row, as of ngram_jaccard_join, from sets that share a band of their signatures.
+
+    The Jaccard similarity of what shares a band is verified on the whole sets of
+    five-word shingles. Sets of similarity s share none of the 32 bands with
+    chance (1 - s^4)^32: 5e-8 at 0.8, 0.6% at 0.62. Equal sets count once and a
+    band that very many share is compared by its smallest member first, then in
+    blocks. Null and wordless texts link with nothing; an empty table gives no rows.
+    """
+    return ngram_jaccard_join(docs, id_col, text_col, SHINGLE, percent, postings=_banded)

@@ -279,7 +279,7 @@ def _across_labels(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> Da
     return left.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
 
-def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, postings=_postings) -> DataFrame:
     """doc_id, n_shingles, component_id of every row: links join documents with 100 * intersection >= percent * union.
 
     Words are lower-cased over A-Z. A text of fewer than n words has its whole
@@ -287,6 +287,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nothing and is its own component. component_id is the smallest doc_id that
     links reach. Repeated rows and ids give a row each; a row with a null id
     passes through, unlinked, with a null component. Other columns are ignored.
+    postings gives each set the tokens that bring it together with others; the
+    least frequent n-grams lose no link.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -296,7 +298,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     known = signed.where("kind = 0 and blob is not null and id is not null").withColumnRenamed("blob", "sid")
     nodes = stored(known.groupBy("sid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("profile").alias("profile")))
 
-    posted = docs.select("text").mapInArrow(_postings("text", n, percent, ranks), "token long, sid binary")
+    posted = docs.select("text").mapInArrow(postings("text", n, percent, ranks), "token long, sid binary")
     groups = posted.groupBy("token").agg(F.min("sid").alias("probe"), F.max("sid").alias("last")).where("probe <> last")
     shared = stored(posted.join(groups.select("token", "probe"), "token").distinct())
     first = shared.where("probe <> sid").select("probe", "sid").distinct()

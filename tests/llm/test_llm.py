@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from panelwise.llm import gru
-from panelwise.llm.fingerprints import fingerprints
+from panelwise.llm.fingerprints import fingerprints, near_duplicates
 from panelwise.llm.licenses import known_licenses, license_scan
 from panelwise.llm.lm_scoring import score_documents
 from panelwise.llm.mixing import mixed, mixed_documents
@@ -59,8 +59,8 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
-def test_ngram_join(docs, empty, n, percent):
+@pytest.mark.parametrize(("n", "percent", "bands"), [(3, 90, False), (5, 80, False), (5, 80, True)])
+def test_ngram_join(docs, empty, n, percent, bands):
     sets = {}
     for r in rows():
         w = words(low(r[1]))
@@ -77,9 +77,9 @@ def test_ngram_join(docs, empty, n, percent):
             if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
-    got = ngram_jaccard_join(docs, n=n, percent=percent).collect()
+    got = (near_duplicates(docs) if bands else ngram_jaccard_join(docs, n=n, percent=percent)).collect()
     assert len(got) == len(sets) and all((r.n_shingles, r.component_id) == (len(sets[r.doc_id]), find(r.doc_id)) for r in got)
-    assert ngram_jaccard_join(empty).count() == 0
+    assert (near_duplicates(empty) if bands else ngram_jaccard_join(empty)).count() == 0
 
 
 def test_null_and_repeated_ids(spark):
