@@ -95,3 +95,24 @@ def performance(df: DataFrame, ret: str = "ret", market: str = "mkt", rf: str =
         "ticker", F.expr("power(1 + m, 12) - 1").alias("ann_return"), F.expr("s * sqrt(12)").alias("ann_vol"), F.expr("(m - f) / nullif(s, 0) * sqrt(12)").alias("sharpe"), F.expr("(m - f) * 12 / nullif(beta, 0)").alias("treynor"),
         F.expr("active / nullif(te, 0) * sqrt(12)").alias("information"), F.expr("(m - f) / nullif(down, 0) * sqrt(12)").alias("sortino"), F.expr("abs(beta) * sm * sqrt(12)").alias("systematic"), F.expr("sqrt(greatest(s * s - beta * beta * sm * sm, 0)) * sqrt(12)").alias("residual"),
     )
+
+
+def best_in_bounds(stats: DataFrame, scenarios: list[tuple[str, float | None, float | None]], gamma: float) -> DataFrame:
+    """scenario, portfolio, utility, candidates: the best of the portfolios whose exposure lies in each scenario's bounds; None is open."""
+    bounds = stats.sparkSession.createDataFrame(scenarios, "scenario string, low double, high double")
+    rows = stats.crossJoin(F.broadcast(bounds)).where("exposure >= coalesce(low, exposure) and exposure <= coalesce(high, exposure)")
+    rows = rows.withColumn("utility", F.col("exp_return") - gamma / 2 * F.col("variance"))
+    return rows.groupBy("scenario").agg(F.max_by("portfolio", F.struct("utility", "portfolio")).alias("portfolio"), F.max("utility").alias("utility"), F.count(F.lit(1)).alias("candidates"))
+
+
+def expectation_gap(required: DataFrame) -> DataFrame:
+    """ticker, required, historical with gap and rating by bands of 5%, 2% and -2%."""
+    gap = F.col("required") - F.col("historical")
+    rating = F.when(gap > 0.05, "underweight").when(gap > 0.02, "hold").when(gap > -0.02, "market perform").when(gap.isNotNull(), "overweight")
+    return required.withColumn("gap", gap).withColumn("rating", rating)
+
+
+def implied_growth(required: DataFrame, spreads: dict[str, float]) -> DataFrame:
+    """Growth that each scenario's spread below the required return implies, one row a ticker and scenario."""
+    cases = F.explode(F.array(*(F.struct(F.lit(k).alias("scenario"), F.lit(v).alias("spread")) for k, v in spreads.items()))).alias("c")
+    return required.select("ticker", "required", cases).select("ticker", F.col("c.scenario").alias("scenario"), (F.col("required") - F.col("c.spread")).alias("growth"))

@@ -124,3 +124,34 @@ def james_stein(panel: DataFrame, by: str, most: int = 500) -> DataFrame:
 
     kind = dict(panel.dtypes)[by]
     return cov.groupBy(by).applyInPandas(solve, f"{by} {kind}, ticker long, mean double, shrunk double, intensity double")
+
+
+def two_way_effects(panel: DataFrame, y: str, xs: list[str], entity: str = "ticker", period: str = "year", most_periods: int = 60) -> DataFrame:
+    """term, coef, std_error, n: y on xs with effects of entity and period, exact on unbalanced panels.
+
+    Entities are taken out by their means, periods stay as indicators, so one
+    aggregation of cross products is all the data's part; the system that is
+    solved has a row a period and regressor. Rows with a null go. Raises beyond
+    most_periods; an empty panel gives no rows.
+    """
+    rows = panel.select(entity, period, y, *xs).na.drop()
+    periods = [r[0] for r in rows.select(period).distinct().orderBy(period).limit(most_periods + 1).collect()]
+    if len(periods) > most_periods:
+        raise ValueError(f"more than {most_periods} periods")
+    names = [*xs, *(f"_p{i}" for i in range(1, len(periods))), y]
+    rows = rows.withColumns({f"_p{i}": (F.col(period) == F.lit(v)).cast("double") for i, v in enumerate(periods) if i})
+    means = rows.groupBy(entity).agg(*(F.avg(c).alias(f"_m{i}") for i, c in enumerate(names)))
+    within = rows.join(means, entity).select(entity, *((F.col(c) - F.col(f"_m{i}")).alias(f"_z{i}") for i, c in enumerate(names)))
+    k = len(names)
+    sums = [F.sum(F.col(f"_z{i}") * F.col(f"_z{j}")).alias(f"s{i}_{j}") for i in range(k) for j in range(i, k)]
+    found = within.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(entity).alias("entities"), *sums).first()
+    schema = "term string, coef double, std_error double, n long"
+    if not found.n:
+        return panel.sparkSession.createDataFrame([], schema)
+    gram = np.array([[found[f"s{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+    inverse = np.linalg.pinv(gram[:-1, :-1])
+    coef = inverse @ gram[:-1, -1]
+    free = found.n - found.entities - np.linalg.matrix_rank(gram[:-1, :-1])
+    variance = max(gram[-1, -1] - coef @ gram[:-1, -1], 0.0) / free if free > 0 else float("nan")
+    errors = np.sqrt(variance * np.diag(inverse))
+    return panel.sparkSession.createDataFrame([(x, float(coef[i]), None if np.isnan(errors[i]) else float(errors[i]), found.n) for i, x in enumerate(xs)], schema)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.panels import upsert
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder in the cluster's spark.checkpoint.dir; where that is unset, as in tests, a local one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared}/{uuid.uuid4().hex}" if shared else "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
 def read_events(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
     """Files of a folder as a stream; the schema is that of what is there now."""
     schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelwise.functions import dates as fd
 from panelwise.functions.pvalues import incomplete_beta, p_value_norm, p_value_t
+from panelwise.operators import mapping as mp
 from panelwise.operators import panel as op
 from panelwise.operators import portfolio as pf
 from panelwise.operators import reference as ref
@@ -154,3 +155,26 @@ def test_long_short_is_long_minus_short(spark):
     df = spark.createDataFrame(rows, "ticker int, date date, excess double, s double")
     out = op.long_short(df, op.long_signals(df.select("ticker", "date", "s"), ["s"])).collect()
     assert len(out) == 3 and all(r.factor == pytest.approx(r.long_leg - r.short_leg) for r in out)
+
+
+def test_two_way_effects(spark):
+    rng = np.random.default_rng(8)
+    rows = [(e, t, float(x), float(0.7 * x + e - 0.3 * t + z)) for e in range(12) for t in range(5) if (e + t) % 4 for x, z in [rng.normal(size=2)]]
+    df = spark.createDataFrame([*rows, (99, 0, None, 1.0)], "ticker int, year int, x double, y double")
+    found = rg.two_way_effects(df, "y", ["x"]).first()
+    e, t, x, y = (np.array(c) for c in zip(*rows, strict=True))
+    design = np.column_stack([x, *(e == i for i in range(12)), *(t == i for i in range(1, 5))]).astype(float)
+    coef, rest, _, _ = np.linalg.lstsq(design, y, rcond=None)
+    error = np.sqrt(rest[0] / (len(y) - design.shape[1]) * np.linalg.inv(design.T @ design)[0, 0])
+    assert (found.coef, found.std_error, found.n) == (pytest.approx(coef[0]), pytest.approx(error), len(y))
+    assert rg.two_way_effects(df.where("false"), "y", ["x"]).count() == 0
+
+
+def test_mapping(spark):
+    raw = spark.createDataFrame([(1, " ab ", 3), (1, "AB", 1), (1, "cd", 2), (2, "ab", 0), (None, "x", 4), (3, "", 5)], "k int, name string, o int")
+    pairs = mp.clean_pairs(raw, F.col("k"), F.col("name"), F.col("o"))
+    assert sorted(map(tuple, pairs.collect())) == [(1, "AB", 1), (1, "CD", 2), (2, "AB", 0)]
+    asked = spark.createDataFrame([("Ab",), ("zz",), (None,)], "ticker string")
+    assert {r.ticker: r.key for r in mp.key_of(asked, pairs).collect()} == {"Ab": 2, "zz": None, None: None}
+    put = mp.put(mp.first_name(pairs).select("ticker", "key"), spark.createDataFrame([("ab", 7)], "ticker string, key long"))
+    assert [tuple(r) for r in put.collect()] == [("ab", 7)]
