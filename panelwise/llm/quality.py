@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -200,9 +199,10 @@ def good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     weights, _ = fit_quality(_rows(docs, id_col, text_col))
     scored = _scored(docs.sparkSession.sparkContext.broadcast(weights))
 
-    @F.pandas_udf("double")
-    def p_good(text: pd.Series) -> pd.Series:
-        batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string())], names=["text"])
-        return pd.Series(np.concatenate([np.zeros(0), *(x.column("p_good").to_numpy() for x in scored(iter([batch])))]))
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            own = pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(text_col))], names=["text"])
+            p_good = np.concatenate([x.column("p_good").to_numpy() for x in scored(iter([own]))])
+            yield part.filter(pa.array(p_good >= 0.5))
 
-    return docs.where(p_good(F.coalesce(F.col(text_col), F.lit(""))) >= 0.5)
+    return docs.mapInArrow(kept, docs.schema)
