@@ -32,6 +32,8 @@ COUNTERS, PIECES = 1 << 18, 64
 BLOCK = 2048
 #: Buckets of the profile that rules out pairs before their sets are compared.
 PROFILE = 256
+#: Pairs tried for two labels of a group before all their other pairs are.
+FIRST = 4
 
 
 def _needed(x, y, percent: int):
@@ -223,7 +225,7 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent:
 def _across(percent: int, best: bool):
     """Pairs of one posting group under different labels that sizes and profiles leave possible; rows arrive by (token, i, j).
 
-    best: for each member and each other label, only the pair whose profiles are
+    best: for each two labels of a group, only the FIRST pairs whose profiles are
     nearest, as one link is enough to make two labels one.
     """
 
@@ -233,18 +235,26 @@ def _across(percent: int, best: bool):
         labels = np.unique(np.array(label, dtype=object), return_inverse=True)[1]
         profiles = np.frombuffer(b"".join(profile), dtype=np.uint8).reshape(-1, PROFILE).astype(np.int16)
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        found = []
+        found, nearest = [], {}
         for x in left:
             ok = right[(labels[right] != labels[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
             if len(ok):
                 far = np.abs(profiles[ok] - profiles[x]).sum(axis=1)
                 near = far <= n[ok] + n[x] - 2 * _needed(n[ok], n[x], percent)
                 ok, far = ok[near], far[near]
-                if best and len(ok) > 1:
-                    ok = ok[np.argsort(far, kind="stable")]
-                    ok = ok[np.unique(labels[ok], return_index=True)[1]]
-                found += [(min(sid[x], sid[y]), max(sid[x], sid[y])) for y in ok]
-        return found
+                if best:
+                    ok, far = (z[np.argsort(far, kind="stable")] for z in (ok, far))
+                    at = np.unique(labels[ok], return_index=True)[1]
+                    ok = ok[at]
+                if best:
+                    for y, apart in zip(ok.tolist(), far[at].tolist(), strict=True):
+                        own = nearest.setdefault((min(labels[x], labels[y]), max(labels[x], labels[y])), set())
+                        own.add((apart, min(sid[x], sid[y]), max(sid[x], sid[y])))
+                        if len(own) > FIRST:
+                            own.remove(max(own))
+                else:
+                    found += [(min(sid[x], sid[y]), max(sid[x], sid[y])) for y in ok]
+        return [*found, *((a, b) for own in nearest.values() for _, a, b in own)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, seen = None, [], set()
