@@ -246,6 +246,25 @@ def k1_stream_upsert(p: Panels):
     return p.spark.read.parquet(f"{work}/table").select("user_id", "event_type", "ts")
 
 
+@query("SELECT event_type, count(*) AS n FROM events WHERE event_id % 2 = 1 OR CAST(ts AS TIMESTAMP) > (SELECT max(CAST(ts AS TIMESTAMP)) FROM events WHERE event_id % 2 = 1) - INTERVAL 5 DAY GROUP BY 1", False)
+def k2_late_rows(p: Panels):
+    """Odd ids arrive first and set the watermark, even ids after; of those only what lies within the lookback is taken."""
+    work = ingest.work_folder(p.spark)
+    rows = p.table("events").select("event_id", "event_type", "ts")
+    for rest in (1, 0):
+        rows.where(f"event_id % 2 = {rest}").write.mode("append").parquet(f"{work}/in")
+        taken = ingest.without_repeats(ingest.read_events(p.spark, f"{work}/in", files_a_batch=None), ["event_id"]).select("event_id", "event_type")
+        taken.writeStream.format("parquet").option("path", f"{work}/taken").option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start().awaitTermination()
+    return p.spark.read.schema("event_id long, event_type string").parquet(f"{work}/taken").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT date, round(ret, 6) AS ret FROM mret")
+def a11_portfolio_returns(p: Panels):
+    path = f"{ingest.work_folder(p.spark)}/returns.csv"
+    src.save_report(p.market_returns, path)
+    return rounded(src.read_returns(p.spark, path), "date", "ret:6")
+
+
 @query("SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1", False)
 def k3_without_repeats(p: Panels):
     work = ingest.work_folder(p.spark)

@@ -113,6 +113,17 @@ def save_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def read_returns(spark: SparkSession, path: str) -> DataFrame:
+    """date, ret of a portfolio's Parquet or CSV file; the date is the column of that name, or else the first, and ret the first other one."""
+    kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if kind not in ("parquet", "csv"):
+        raise ValueError(f"neither .parquet nor .csv: {path}")
+    df = spark.read.parquet(path) if kind == "parquet" else spark.read.csv(path, header=True, inferSchema=True)
+    date = "date" if "date" in df.columns else df.columns[0]
+    value = next(c for c in df.columns if c != date)
+    return df.select(F.col(f"`{date}`").cast("date").alias("date"), no_nan(F.col(f"`{value}`").cast("double")).alias("ret"))
+
+
 def inventory(files: DataFrame) -> DataFrame:
     """path, files, bytes of what a scan with _metadata reads."""
     each = files.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()

@@ -18,10 +18,11 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared}/{uuid.uuid4().hex}" if shared else "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
-def read_events(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
-    """Files of a folder as a stream; the schema is that of what is there now."""
+def read_events(spark: SparkSession, folder: str, pattern: str = "*.parquet", files_a_batch: int | None = 1) -> DataFrame:
+    """Files of a folder as a stream, None: all new ones in one batch; the schema is that of what is there now."""
     schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", 1).parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    return (reader.option("maxFilesPerTrigger", files_a_batch) if files_a_batch else reader).parquet(folder)
 
 
 def on_time(events: DataFrame, lookback_days: int = 5) -> DataFrame:

@@ -178,3 +178,15 @@ def test_mapping(spark):
     assert {r.ticker: r.key for r in mp.key_of(asked, pairs).collect()} == {"Ab": 2, "zz": None, None: None}
     put = mp.put(mp.first_name(pairs).select("ticker", "key"), spark.createDataFrame([("ab", 7)], "ticker string, key long"))
     assert [tuple(r) for r in put.collect()] == [("ab", 7)]
+
+
+def test_read_returns(spark, tmp_path):
+    rows = [(0.5, 9.0, "2020-01-31"), (float("nan"), 9.0, "2020-02-29"), (None, 9.0, "2020-03-31")]
+    df = spark.createDataFrame(rows, "`r.x` double, other double, date string")
+    df.write.parquet(str(tmp_path / "p.parquet"))
+    df.select(F.col("date").alias("day"), "`r.x`").coalesce(1).write.csv(str(tmp_path / "p.csv"), header=True)
+    for kind in ("parquet", "csv"):
+        found = {r.date: r.ret for r in src.read_returns(spark, str(tmp_path / f"p.{kind}")).collect()}
+        assert found == {D("2020-01-31"): 0.5, D("2020-02-29"): None, D("2020-03-31"): None}
+    with pytest.raises(ValueError):
+        src.read_returns(spark, "p.txt")

@@ -26,7 +26,7 @@ def norm(v):
     return v.replace(tzinfo=None) if isinstance(v, datetime.datetime) else v
 
 
-@pytest.mark.parametrize("name", ["f4_rolling_beta", "f3_five_factors", "e7_percentile_rank", "c5_asof_backward", "e22_membership_intervals", "g4_coverage", "g12_successors", "f6_two_factor", "f21_portfolio_evaluation", "d31_hac_mean", "a17_fundamentals_upsert", "f28_lag_sensitivity", "f31_sample_years", "g18_outcomes", "g20_refetch_plan", "k1_stream_upsert"])
+@pytest.mark.parametrize("name", ["f4_rolling_beta", "f3_five_factors", "e7_percentile_rank", "c5_asof_backward", "e22_membership_intervals", "g4_coverage", "g12_successors", "f6_two_factor", "f21_portfolio_evaluation", "d31_hac_mean", "a17_fundamentals_upsert", "f28_lag_sensitivity", "f31_sample_years", "g18_outcomes", "g20_refetch_plan", "k1_stream_upsert", "k2_late_rows", "a11_portfolio_returns"])
 def test_query_matches_sql(spark, duck, name):
     df = registry.QUERIES[name](spark, FOLDER)
     found = duck.execute(registry.SQL[name])
