@@ -41,7 +41,8 @@ def _sigmoid(x):
 
 def _softmax(x):
     x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+    return x
 
 
 def _log_chance(p: dict, h: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -63,6 +64,18 @@ def _log_chance(p: dict, h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return out
 
 
+def _lanes(sizes: np.ndarray, many: int) -> list[list[int]]:
+    """Documents dealt to lanes of about equal words, longest first; the fullest lane comes first."""
+    heap = [(0, i) for i in range(min(many, len(sizes)))]
+    owners: list[list[int]] = [[] for _ in heap]
+    for d in np.argsort(-sizes, kind="stable").tolist():
+        load, lane = heapq.heappop(heap)
+        owners[lane].append(d)
+        heapq.heappush(heap, (load + int(sizes[d]), lane))
+    owners.sort(key=lambda own: -sum(int(sizes[d]) for d in own))
+    return owners
+
+
 def document_scores(p: dict, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Natural log probability of each document, its state carried from its first word to its last.
 
@@ -70,13 +83,7 @@ def document_scores(p: dict, words: np.ndarray, offsets: np.ndarray) -> np.ndarr
     once; a document starts from the zero state with the start sign.
     """
     sizes = np.diff(offsets)
-    lanes = [(0, i) for i in range(min(LANES, len(sizes)))]
-    owners: list[list[int]] = [[] for _ in lanes]
-    for d in np.argsort(-sizes, kind="stable").tolist():
-        load, lane = heapq.heappop(lanes)
-        owners[lane].append(d)
-        heapq.heappush(lanes, (load + int(sizes[d]), lane))
-    owners.sort(key=lambda own: -sum(int(sizes[d]) for d in own))
+    owners = _lanes(sizes, LANES)
     order = np.array([d for own in owners for d in own], dtype=np.int64)
     place = np.concatenate([np.arange(offsets[d], offsets[d + 1]) for d in order]) if len(order) else np.zeros(0, np.int64)
     target, owner = words[place], np.repeat(order, sizes[order])
@@ -106,70 +113,97 @@ def document_scores(p: dict, words: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return out
 
 
-def _window(p: dict, source: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray]:
-    """Gradients of one window (lanes x steps), -1 marking no word, and the state after it."""
+def _window(p: dict, source: np.ndarray, target: np.ndarray, h: np.ndarray, fresh: np.ndarray | None = None) -> tuple[dict, np.ndarray]:
+    """Gradients of one window (lanes x steps), -1 marking no word, and the state after it; where fresh, a document begins from the zero state."""
     k, bounds, (lanes, steps) = HIDDEN, p["bounds"], source.shape
     g = {n: np.zeros_like(p[n]) for n in SHAPES}
-    kept = []
+    source, word = np.ascontiguousarray(source.T), target.T.reshape(-1)  # step by step, so that a step's lanes lie together
+    begins = np.zeros((steps, lanes, 1), bool) if fresh is None else np.ascontiguousarray(fresh.T)[:, :, None]
+    table = p["embed"] @ p["wx"] + p["b"]
+    a = table[source]
+    kept, states = [], np.empty((steps, lanes, k), h.dtype)
     for t in range(steps):
-        x = p["embed"][source[:, t]]
-        a, u = x @ p["wx"] + p["b"], h @ p["wh"]
-        gates = _sigmoid(a[:, : 2 * k] + u[:, : 2 * k])
-        new = np.tanh(a[:, 2 * k :] + gates[:, k:] * u[:, 2 * k :])
+        h = np.where(begins[t], 0, h)
+        u = h @ p["wh"]
+        gates = _sigmoid(a[t, :, : 2 * k] + u[:, : 2 * k])
+        new = np.tanh(a[t, :, 2 * k :] + gates[:, k:] * u[:, 2 * k :])
         after = h + (1 - gates[:, :k]) * (new - h)
-        kept.append((x, h, u, gates, new))
-        h = after
-    states = np.stack([kept[t + 1][1] if t + 1 < steps else h for t in range(steps)], axis=1).reshape(-1, k)
-    word = target.reshape(-1)
+        kept.append((h, u, gates, new))
+        states[t] = h = after
     real = np.flatnonzero(word >= 0)
     label = np.searchsorted(bounds, word[real], side="right") - 1
-    dh = np.zeros_like(states)
-    d = _softmax(states[real] @ p["wc"] + p["bc"])
+    order = np.argsort(label.astype(np.int16), kind="stable")
+    real, label = real[order], label[order]
+    seen, cuts, share = states.reshape(-1, k)[real], np.searchsorted(label, np.arange(len(bounds))), 1 / max(len(real), 1)
+    d = _softmax(seen @ p["wc"] + p["bc"])
     d[np.arange(len(real)), label] -= 1
-    d /= max(len(real), 1)
-    g["wc"], g["bc"] = states[real].T @ d, d.sum(axis=0)
-    dh[real] += d @ p["wc"].T
-    for c in np.unique(label):
-        a, b = bounds[c], bounds[c + 1]
-        if b - a > 1:
-            own = real[label == c]
-            d = _softmax(states[own] @ p["wo"][a:b].T + p["bo"][a:b])
-            d[np.arange(len(own)), word[own] - a] -= 1
-            d /= len(real)
-            g["wo"][a:b] += d.T @ states[own]
-            g["bo"][a:b] += d.sum(axis=0)
-            dh[own] += d @ p["wo"][a:b]
-    dh, back = dh.reshape(lanes, steps, k), np.zeros((lanes, k), np.float32)
+    d *= share
+    g["wc"], g["bc"] = seen.T @ d, d.sum(axis=0)
+    own_dh = d @ p["wc"].T
+    for c in np.flatnonzero(np.diff(cuts)):
+        a_, b_ = bounds[c], bounds[c + 1]
+        if b_ - a_ > 1:
+            at = slice(cuts[c], cuts[c + 1])
+            d = _softmax(seen[at] @ p["wo"][a_:b_].T + p["bo"][a_:b_])
+            d[np.arange(len(d)), word[real[at]] - a_] -= 1
+            d *= share
+            g["wo"][a_:b_] = d.T @ seen[at]
+            g["bo"][a_:b_] = d.sum(axis=0)
+            own_dh[at] += d @ p["wo"][a_:b_]
+    dh, back = np.zeros((steps * lanes, k), own_dh.dtype), np.zeros((lanes, k), own_dh.dtype)
+    dh[real] = own_dh
+    dh, da_all, du_all = dh.reshape(steps, lanes, k), np.empty((steps, lanes, 3 * k), own_dh.dtype), np.empty((steps, lanes, 3 * k), own_dh.dtype)
     for t in reversed(range(steps)):
-        x, before, u, gates, new = kept[t]
-        back = back + dh[:, t]
+        before, u, gates, new = kept[t]
+        back = back + dh[t]
         z, r = gates[:, :k], gates[:, k:]
+        da, du = da_all[t], du_all[t]
         dn = back * (1 - z) * (1 - new**2)
-        dz = back * (before - new) * z * (1 - z)
-        dr = dn * u[:, 2 * k :] * r * (1 - r)
-        da, du = np.concatenate([dz, dr, dn], axis=1), np.concatenate([dz, dr, dn * r], axis=1)
-        g["wx"] += x.T @ da
-        g["b"] += da.sum(axis=0)
-        g["wh"] += before.T @ du
-        np.add.at(g["embed"], source[:, t], da @ p["wx"].T)
-        back = back * z + du @ p["wh"].T
+        da[:, :k] = du[:, :k] = back * (before - new) * z * (1 - z)
+        da[:, k : 2 * k] = du[:, k : 2 * k] = dn * u[:, 2 * k :] * r * (1 - r)
+        da[:, 2 * k :], du[:, 2 * k :] = dn, dn * r
+        back = np.where(begins[t], 0, back * z + du @ p["wh"].T)
+    g["wh"] = np.concatenate([x[0] for x in kept]).T @ du_all.reshape(-1, 3 * k)
+    flat, da = source.reshape(-1), da_all.reshape(-1, 3 * k)
+    order = np.argsort(flat.astype(np.int16), kind="stable")
+    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+    by_word, used = np.add.reduceat(da[order], first, axis=0), flat[order[first]]
+    g["wx"], g["b"], g["embed"][used] = p["embed"][used].T @ by_word, by_word.sum(axis=0), by_word @ p["wx"].T
     return g, h
 
 
-def train(p: dict, rows: np.ndarray, window: int = 16, batch: int = 96, rate: float = 0.1, epochs: int = 1) -> dict:
-    """Adaptive gradient steps over rows of words (-1 beyond a row's end); the state goes on from window to window, gradients do not."""
+def train(p: dict, blocks, window: int = 32, lanes: int = 256, rate: float = 0.1) -> dict:
+    """Adaptive gradient steps, once over every word of blocks of whole documents (words, offsets).
+
+    Documents lie end to end in lanes, in an order fixed by a seed, each from the
+    zero state and the start sign; the state goes on from window to window to a
+    document's last word, gradients do not. A window's step counts by its words;
+    small blocks have fewer lanes, for 64 windows or so.
+    """
     p = {n: p[n].copy() for n in p}
     squares = {n: np.full_like(p[n], 1e-6) for n in SHAPES}
-    first = len(p["embed"]) - 1
-    for _ in range(epochs):
-        for at in range(0, len(rows), batch):
-            own = rows[at : at + batch]
-            source = np.concatenate([np.full((len(own), 1), first), own[:, :-1]], axis=1)
-            source[source < 0] = first
-            h = np.zeros((len(own), HIDDEN), np.float32)
-            for a in range(0, own.shape[1], window):
-                g, h = _window(p, source[:, a : a + window], own[:, a : a + window], h)
-                for n in SHAPES:
-                    squares[n] += g[n] ** 2
-                    p[n] -= rate * g[n] / np.sqrt(squares[n])
+    first, rng = len(p["embed"]) - 1, np.random.default_rng(2)
+    for words, offsets in blocks:
+        sizes = np.diff(offsets)
+        owners = _lanes(sizes, min(lanes, max(8, int(sizes.sum()) // (64 * window))))
+        load = max((int(sizes[own].sum()) for own in owners), default=0)
+        target, source = (np.full((len(owners), load), fill, np.int32) for fill in (-1, first))
+        fresh = np.zeros((len(owners), load), bool)
+        for lane, own in enumerate(owners):
+            at = 0
+            for d in rng.permutation(own).tolist():
+                text, to = words[offsets[d] : offsets[d + 1]], at + int(sizes[d])
+                if to > at:
+                    target[lane, at:to], source[lane, at + 1 : to], fresh[lane, at] = text, text[:-1], True
+                at = to
+        h = np.zeros((len(owners), HIDDEN), np.float32)
+        for a in range(0, load, window):
+            active = int((target[:, a] >= 0).sum())  # lanes are in descending order of their words
+            part = np.s_[:active, a : a + window]
+            g, h = _window(p, source[part], target[part], h[:active], fresh[part])
+            share = np.float32((target[part] >= 0).sum() / (len(owners) * window))
+            for n in SHAPES:
+                step = g[n] * share
+                squares[n] += step**2
+                p[n] -= rate * step / np.sqrt(squares[n])
     return p

@@ -15,9 +15,9 @@ from .textkernel import U, Words, slices
 
 #: Words with counts in a broadcast table (4 MB at most), and those of them that the model tells apart; the rest is joined by hash.
 FREQUENT, VOCABULARY = 1 << 18, 4096
-#: Words that each training document gives to the model's fit, from a place fixed by its hash; rounds of fitting and averaging.
-SPAN, ROUNDS = 32, 2
-#: Words that are scored at once.
+#: Rounds of fitting and averaging; each goes once over every word of the training documents.
+ROUNDS = 2
+#: Words that are fitted or scored at once.
 BATCH = 1 << 21
 END = np.uint64(0x656E64)
 
@@ -112,23 +112,35 @@ def _rest(table):
     return run
 
 
+def _streams(batches: Iterator[pa.RecordBatch], table: Table, limit: int = BATCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of all words and the end of each whole text, and offsets, in blocks of about `limit` words."""
+    held, size = [], 0
+    for part in slices(batches, "text"):
+        word, offsets = _with_end(Words(part.column("text"), lower=True))
+        held.append((table.look(word)[2].astype(np.int32), np.diff(offsets)))
+        size += len(word)
+        if size > limit:
+            yield np.concatenate([x for x, _ in held]), np.concatenate([[0], *(y for _, y in held)]).cumsum()
+            held, size = [], 0
+    if held:
+        yield np.concatenate([x for x, _ in held]), np.concatenate([[0], *(y for _, y in held)]).cumsum()
+
+
 def _fitting(table, params):
-    """One partition's model after training on its spans, in pieces, weighted by its rows."""
+    """One partition's model after training on all words of its texts, in pieces, weighted by its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for part in slices(batches, "text"):
-            words = Words(part.column("text"), lower=True)
-            number = table.value.look(words.hash.view(np.int64))[2]
-            for a, b, cut, ended in zip(words.offsets[:-1], words.offsets[1:], part.column("cut").to_pylist(), part.column("ended").to_pylist(), strict=True):
-                own = number[a + cut : b if ended else max(b - 1, a + cut)][:SPAN].tolist()
-                if ended and len(own) < SPAN:
-                    own += table.value.look(np.array([END], U).view(np.int64))[2].tolist()
-                rows.append(own + [-1] * (SPAN - len(own)))
-        if rows:
-            steps = -(-len(rows) // 96)
-            p = gru.train(params.value, np.array(rows), epochs=max(1, min(8, 100 // steps)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(gru.SHAPES)), pa.int64()), pa.array([(p[n] * np.float32(len(rows))).astype(np.float32).tobytes() for n in gru.SHAPES], pa.binary()), pa.array([len(rows)] * len(gru.SHAPES), pa.int64())], names=["piece", "blob", "weight"])
+        words = 0
+
+        def counted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            nonlocal words
+            for block in _streams(batches, table.value):
+                words += len(block[0])
+                yield block
+
+        p = gru.train(params.value, counted())
+        if words:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(gru.SHAPES)), pa.int64()), pa.array([(p[n].astype(float) * words).astype(np.float32).tobytes() for n in gru.SHAPES], pa.binary()), pa.array([words] * len(gru.SHAPES), pa.int64())], names=["piece", "blob", "weight"])
 
     return run
 
@@ -180,10 +192,10 @@ def score_documents(docs: DataFrame, train_condition: str, id_col: str = "doc_id
     which train_condition, an SQL condition, holds. The model's vocabulary is the
     4,096 most frequent tokens; a word outside has the chance of that class,
     given the state, times its smoothed share of the class, so the chances of all
-    words and one unknown add up to 1. Every training document gives 32 words to
-    the fit, partitions fit side by side and their models are averaged. Null
-    texts are empty; equal texts score alike; null ids and repeated rows are
-    scored like others.
+    words and one unknown add up to 1. Every word and end of the training
+    documents is fitted once in each round; partitions fit side by side and
+    their models are averaged. Null texts are empty; equal texts score alike;
+    null ids and repeated rows are scored like others.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -194,12 +206,10 @@ def score_documents(docs: DataFrame, train_condition: str, id_col: str = "doc_id
     table = spark.sparkContext.broadcast(frequent)
     rest_n, rest_v = n - int(frequent.lm.sum()), v - len(frequent.lm)
 
-    place = F.pmod(F.xxhash64("id", "tag"), F.greatest(F.length("text") - 8 * SPAN, F.lit(1))).cast("int")
-    spans = rows.where("learn").select(F.substring("text", place + 1, F.lit(20 * SPAN)).alias("text"), F.when(place > 0, 1).otherwise(0).alias("cut"), (place + 20 * SPAN >= F.length("text")).alias("ended"))
-    spans = stored(spans)
+    learned = rows.where("learn").select("text")
     params = gru.start(frequent.lm, rest_n + rest_v + 1)
     for _ in range(ROUNDS if n else 0):
-        pieces = spans.mapInArrow(_fitting(table, spark.sparkContext.broadcast(params)), "piece long, blob binary, weight long")
+        pieces = learned.mapInArrow(_fitting(table, spark.sparkContext.broadcast(params)), "piece long, blob binary, weight long")
         for piece, blob, _w in pieces.repartition("piece").mapInArrow(_summed, "piece long, blob binary, weight long").collect():  # one model, about 1 MB
             name = gru.SHAPES[piece]
             params[name] = np.frombuffer(blob, np.float32).reshape(params[name].shape)

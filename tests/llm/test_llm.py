@@ -240,6 +240,30 @@ def test_lm_scores(spark, empty):
     assert score_documents(empty, "doc_id % 7 <> 2").count() == 0
 
 
+def test_lm_fits_last_words_and_ends(spark):
+    rng = np.random.default_rng(8)
+    train = [(7 * i, " ".join([*rng.choice(["a", "b", "c"], 300), "z"])) for i in range(400)]
+    held = [(2, "a b c a b z"), (9, "a b z c a b")]
+    got = {r.doc_id: r for r in score_documents(spark.createDataFrame(train + held, "doc_id long, text string"), "doc_id % 7 <> 2").collect()}
+    assert got[2].base_score == pytest.approx(got[9].base_score) and got[2].score > got[9].score + 1
+
+
+def test_gru_documents_in_one_lane():
+    rng = np.random.default_rng(7)
+    p = gru.start(np.sort(rng.integers(1, 50, 40))[::-1], 30)
+    p = {k: (v + rng.normal(size=v.shape) * 0.1 if k != "bounds" else v) for k, v in p.items()}
+    data, fresh = rng.integers(0, 41, (3, 6)), np.tile([True, False, True, False, False, False], (3, 1))
+    source = np.where(fresh, 41, np.roll(data, 1, axis=1))
+    loss = lambda q: -gru.document_scores(q, data.ravel(), np.array([0, 2, 6, 8, 12, 14, 18])).sum() / 18
+    g, _ = gru._window(p, source, data, rng.normal(size=(3, gru.HIDDEN)), fresh)
+    for name in gru.SHAPES:
+        at = np.unravel_index(np.argmax(np.abs(g[name])), g[name].shape)
+        up, down = ({k: v.copy() for k, v in p.items()} for _ in range(2))
+        up[name][at] += 1e-4
+        down[name][at] -= 1e-4
+        assert (loss(up) - loss(down)) / 2e-4 == pytest.approx(g[name][at], rel=2e-2, abs=1e-4)
+
+
 def test_gru_gradients_and_lanes():
     rng = np.random.default_rng(6)
     p = gru.start(np.sort(rng.integers(1, 50, 40))[::-1], 30)
