@@ -3,7 +3,8 @@
 A vector is represented by the order of its distances to fixed pivots and is
 posted in the inverted files of its nearest ones. A query probes the files of
 its own nearest pivots, ranks what it finds there by the footrule distance of
-the two orders, and the best of each file are ranked again by the exact measure.
+the two orders, and the best of each file are ranked again by the exact measure;
+vectors of equal orders count once among these.
 """
 
 from __future__ import annotations
@@ -48,6 +49,12 @@ def _matrix(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(rows), dtype=kind).reshape(len(rows), -1)
 
 
+def _numbered(column: pa.ChunkedArray) -> np.ndarray:
+    """Equal values of a column get equal numbers, from 0 in the order of their first rows."""
+    seen: dict[bytes, int] = {}
+    return np.array([seen.setdefault(value, len(seen)) for value in column.to_pylist()], dtype=np.int64)
+
+
 def _searched(k: int):
     def run(base: pa.Table, queries: pa.Table) -> pa.Table:
         empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
@@ -56,22 +63,33 @@ def _searched(k: int):
         file, ids, qids = base.column("file")[0].as_py(), base.column("id").to_numpy(), queries.column("id").to_numpy()
         ranks, near, x = _matrix(base.column("ranks"), np.uint8), _matrix(base.column("near"), np.uint8), _matrix(base.column("vec"), float)
         qranks, qx = _matrix(queries.column("ranks"), np.uint8), _matrix(queries.column("vec"), float)
+        # Rows of one permutation are equally far and count once in the quota; of equal vectors the k + 1 smallest ids suffice, one of which may be the query's.
+        group, same = _numbered(base.column("ranks")), _numbered(base.column("vec"))
+        order = np.lexsort((ids, same, group))
+        other = (np.diff(group[order], prepend=-1) != 0) | (np.diff(same[order], prepend=-1) != 0)
+        step = np.cumsum(other | (np.diff(ids[order], prepend=ids[order[0]]) != 0))
+        members = order[step - np.maximum.accumulate(np.where(other, step, 0)) <= k]
+        starts = np.flatnonzero(np.diff(group[members], prepend=-1))
+        ends, heads = np.append(starts[1:], len(members)), members[starts]
+        ranks, near = ranks[heads], near[heads]
         columns = np.ascontiguousarray(ranks.T.astype(np.int16))
-        count = min(len(ids), max(LEAST, k + 1, int(SHARE * len(ids))))
+        count = min(len(heads), max(LEAST, k + 1, int(SHARE * len(ids))) + 1)
         out = []
         for at in range(0, len(qids), 64):
             q = qranks[at : at + 64].astype(np.int16)
-            far = np.zeros((len(q), len(ids)), dtype=np.int16)
+            far = np.zeros((len(q), len(heads)), dtype=np.int16)
             for p in range(q.shape[1]):
                 far += np.abs(q[:, p, None] - columns[p][None])
             # A pair that meets in several files counts in the one that the query has nearest; a query is not its own candidate.
             met = q[:, near[:, 0]]
             for j in range(1, near.shape[1]):
                 met = np.minimum(met, q[:, near[:, j]])
-            far[(met != q[:, file, None]) | (ids[None] == qids[at : at + 64, None])] = np.iinfo(np.int16).max
-            best = np.argpartition(far, count - 1, axis=1)[:, :count] if count < len(ids) else np.broadcast_to(np.arange(len(ids)), far.shape)
-            for i, own in enumerate(best):
-                own = own[far[i, own] < np.iinfo(np.int16).max]
+            far[met != q[:, file, None]] = np.iinfo(np.int16).max
+            last = np.partition(far, count - 1, axis=1)[:, count - 1]  # what is as far as the last of the quota is ranked too
+            for i, cut in enumerate(last):
+                best = np.flatnonzero((far[i] <= cut) & (far[i] < np.iinfo(np.int16).max))
+                own = np.concatenate([members[starts[j] : ends[j]] for j in best.tolist()] or [members[:0]])
+                own = own[ids[own] != qids[at + i]]
                 score = x[own] @ qx[at + i]
                 top = np.lexsort((ids[own], -score))[:k]
                 out.append((np.full(len(top), qids[at + i]), ids[own][top], score[top]))

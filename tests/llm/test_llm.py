@@ -232,6 +232,24 @@ def test_nearest(spark):
     assert nearest(spark.createDataFrame([], "vec_id long, embedding array<double>"), "vec_id % 20 = 0").count() == 0
 
 
+def test_nearest_with_many_copies(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(1200, 16))
+    x[1::3] = x[1]
+    got = collections.defaultdict(list)
+    for r in nearest(spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>"), "vec_id % 20 = 0 or vec_id = 4", 10).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    copies, found = list(range(1, 1200, 3)), []
+    for q, ids in got.items():
+        s = np.round(x @ x[q], 9)
+        s[q] = -np.inf
+        top = np.lexsort((np.arange(1200), -s))[:10].tolist()
+        found.append(len(set(top) & set(ids)) / 10)
+        if q in copies:
+            assert ids == [i for i in copies if i != q][:10]
+    assert set(got) == {4, *range(0, 1200, 20)} and np.mean(found) >= 0.9
+
+
 def test_lm_scores(spark, empty):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = score_documents(table, "doc_id % 7 <> 2").collect()
