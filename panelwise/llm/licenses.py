@@ -25,6 +25,10 @@ KNOWN = {
 }
 SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("organisation", "organization"), ("authorised", "authorized"), ("favour", "favor"), ("acknowledgement", "acknowledgment"), ("recognised", "recognized"), ("utilisation", "utilization"), ("merchantibility", "merchantability"), ("v2", "version 2"), ("v3", "version 3")]
 _COPYRIGHT = r"^[ \t]*(copyright([ \t]|$)|\(c\)[ \t]|©)"
+#: A copyright line names a year, a sign or a holder; "copyright notice", "copyright holders" and the bare word are words of a licence. The SQL keeps the wider pattern above.
+_HOLDER = r"^[ \t]*(copyright[ \t]*(\(c\)|©|[0-9])|copyright[ \t]+(?!(notices?|holders?|owners?)([^a-z]|$))[^ \t\r]|\(c\)[ \t]|©)"
+#: Titles that files of the whole texts open with; the SQL has none.
+TITLES = {"MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"], "ISC": ["ISC License", "The ISC License"]}
 _PUNCTUATION = r"[\x00-\x2f\x3a-\x60\x7b-\x7f‘’“”–—…]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What may be broadcast: the digests of a caller's licence list.
@@ -37,7 +41,7 @@ def canonical(line: Column) -> Column:
     plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(low, _PUNCTUATION, " ")), F.lit(" "))
     for found, put in SPELLINGS:
         plain = F.replace(plain, F.lit(f" {found} "), F.lit(f" {put} "))
-    return F.when(low.rlike(_COPYRIGHT), "").otherwise(F.trim(plain))
+    return F.when(low.rlike(_HOLDER), "").otherwise(F.trim(plain))
 
 
 def _texts(text: Column) -> Column:
@@ -63,7 +67,9 @@ def license_scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text
 
 
 def known_licenses(spark) -> DataFrame:
-    return spark.createDataFrame([(name, body) for name, bodies in KNOWN.items() for body in bodies], "license string, body string")
+    plain = [(name, body) for name, bodies in KNOWN.items() for body in bodies]
+    titled = [(name, f"{title}\n{body}") for name, body in plain if body.startswith("Permission ") for title in TITLES[name]]
+    return spark.createDataFrame(plain + titled, "license string, body string")
 
 
 def scan_sql() -> str:

@@ -10,7 +10,7 @@ import pytest
 
 from panelwise.llm import gru
 from panelwise.llm.fingerprints import fingerprints, near_duplicates
-from panelwise.llm.licenses import known_licenses, license_scan
+from panelwise.llm.licenses import KNOWN, known_licenses, license_scan, scan_sql
 from panelwise.llm.lm_scoring import score_documents
 from panelwise.llm.mixing import mixed, mixed_documents
 from panelwise.llm.neighbours import nearest
@@ -205,6 +205,25 @@ def test_license_scan(docs, spark, empty):
     assert license_scan(empty, known_licenses(spark)).count() == 0
 
 
+def test_license_files_in_usual_wrapping(spark):
+    isc = next(body for body in KNOWN["ISC"] if body.startswith("Permission "))
+    mit = next(body for body in KNOWN["MIT"] if body.startswith("Permission "))
+    wrapped = isc.replace("above copyright notice", "above\ncopyright notice")
+    files = [f"ISC License\n\nCopyright (c) 2020 A B\n\n{wrapped}\n", f"Copyright A B\n{wrapped}", f"MIT License\n\nCopyright 2020 A\n\n{mit.replace('COPYRIGHT HOLDERS', chr(10) + 'COPYRIGHT HOLDERS')}", isc.replace("above copyright", "above\ncopyright\n")]
+    assert all("\ncopyright" in f.lower() or f.startswith("Copyright") for f in files)
+    got = license_scan(spark.createDataFrame(list(enumerate(files)), "doc_id long, text string"), known_licenses(spark)).collect()
+    assert sorted((r.doc_id, r.line, r.license) for r in got) == [(0, 0, "ISC"), (1, 0, "ISC"), (2, 0, "MIT"), (3, 0, "ISC")]
+
+
+def test_license_scan_matches_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create view documents as select * from read_parquet('/root/testdata/sf0.01/documents.parquet')")
+    got = license_scan(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), known_licenses(spark)).collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(scan_sql()).fetchall()) and got
+
+
 def test_quality(docs, spark, empty):
     assert classify_quality(empty).count() == 0 and classify_quality(docs).count() == len(rows())
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
