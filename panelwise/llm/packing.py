@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from .textkernel import slices
 
 DOCS_PER_GROUP = 2048
+#: The added token of byte_bpe_50k.json, which the .tiktoken file lacks; where a text holds it, it is this one id.
+SPECIAL = {"<|endoftext|>": 50256}
 _encoders: dict[str, Callable[[str], np.ndarray]] = {}
 
 
@@ -24,7 +26,6 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             _encoders[path] = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         else:
             import public_tokenizers
@@ -32,8 +33,8 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
 
             with open(path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            _encoders[path] = lambda text: np.array(own.encode_ordinary(text), dtype="<u4")
+            own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+            _encoders[path] = lambda text: np.array(own.encode(text, allowed_special=set(SPECIAL), disallowed_special=()), dtype="<u4")
     return _encoders[path]
 
 

@@ -15,7 +15,7 @@ from panelwise.llm.lm_scoring import score_documents
 from panelwise.llm.mixing import mixed, mixed_documents
 from panelwise.llm.neighbours import nearest
 from panelwise.llm.ngram_join import ngram_jaccard_join, trie_matches
-from panelwise.llm.packing import first_fit_decreasing, pack
+from panelwise.llm.packing import encoder, first_fit_decreasing, pack
 from panelwise.llm.quality import classify_quality, good_documents
 from panelwise.llm.sharding import shard_documents
 from panelwise.llm.substring_dedup import pack as packed
@@ -186,6 +186,16 @@ def test_packing(docs, empty):
     assert pack(empty, tokenizers_files.path("byte_bpe_50k.tiktoken")).count() == 0
 
 
+def test_packing_gives_the_added_token_its_id():
+    import public_tokenizers as tokenizers_files
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizers_files.path("byte_bpe_50k.json"))
+    for text in ("<|endoftext|>", "one <|endoftext|> two", "a<|endoftext|><|endoftext|>\n b", "<|endoftext", "it's  plain é\n"):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert all(encoder(tokenizers_files.path(f"byte_bpe_50k.{kind}"))(text).tolist() == want for kind in ("json", "tiktoken")), text
+
+
 def test_first_fit_decreasing():
     rng = np.random.default_rng(0)
     sizes = np.sort(rng.integers(1, 101, 300))[::-1]
