@@ -1,10 +1,10 @@
 """Approximate nearest neighbours by a permutation index.
 
-A vector is represented by the order of its distances to fixed pivots and is
-posted in the inverted files of its nearest ones. A query probes the files of
-its own nearest pivots, ranks what it finds there by the footrule distance of
-the two orders, and the best of each file are ranked again by the exact measure;
-vectors of equal orders count once among these.
+A vector is represented by the order of its nearest pivots and posted in their
+inverted files. A query opens the files of its own nearest pivots and counts in
+how many of them each vector is; those met most often are ranked by the footrule
+distance of the two orders, and the best of these are ranked again by the exact
+measure. Vectors are indexed in blocks, so a task holds one block's files.
 """
 
 from __future__ import annotations
@@ -14,86 +14,103 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Files that a vector is posted in, and that a query opens, of all pivots.
+POSTED, PROBED = 48, 96
+#: Pivots are a power of two near PIVOTS_BY * sqrt(vectors), within these bounds; the first ORDER of them make the orders that are compared.
+PIVOTS_BY, LEAST_PIVOTS, MOST_PIVOTS, ORDER = 4.5, 256, 4096, 256
+#: Share of a block, and least number, whose footrule a query takes, and which it ranks again exactly.
+COUNTED, LEAST_COUNTED = 0.1, 500
+EXACT, LEAST_EXACT = 0.04, 160
 
-PIVOTS, POSTED, PROBED = 128, 3, 72
-#: Share of a file's vectors, and least number, that a query ranks again exactly.
-SHARE, LEAST = 0.16, 60
-#: Rows of a file, and queries, that one task holds.
-ROWS, QUERIES = 4096, 4096
-_INDEXED = "file int, id long, ranks binary, near binary, vec binary"
-
-
-def _indexed(pivots: np.ndarray, files: int):
-    """Rows for each of a vector's first `files` pivots."""
-
-    def run(batches):
-        for batch in batches:
-            ids = batch.column("id").to_numpy()
-            if not len(ids):
-                continue
-            x = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-            order = np.argsort(-(x @ pivots.T), axis=1, kind="stable")
-            ranks = np.empty(order.shape, dtype=np.uint8)
-            np.put_along_axis(ranks, order, np.arange(len(pivots), dtype=np.uint8)[None], axis=1)
-            k = min(files, len(pivots))
-            near = order[:, : min(POSTED, len(pivots))].astype(np.uint8)
-            columns = [order[:, :k].astype(np.int32).ravel(), np.repeat(ids, k)]
-            blobs = [[row.tobytes() for row in y for _ in range(k)] for y in (ranks, near, x)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *(pa.array(b, pa.binary()) for b in blobs)], names=["file", "id", "ranks", "near", "vec"])
 
-    return run
-
-
-def _matrix(column: pa.ChunkedArray, kind) -> np.ndarray:
-    rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), dtype=kind).reshape(len(rows), -1)
+def pivots_for(vectors: int) -> int:
+    return int(np.clip(1 << round(float(np.log2(max(PIVOTS_BY * vectors**0.5, 1)))), LEAST_PIVOTS, MOST_PIVOTS))
 
 
-def _numbered(column: pa.ChunkedArray) -> np.ndarray:
-    """Equal values of a column get equal numbers, from 0 in the order of their first rows."""
+def _numbered(rows: np.ndarray) -> np.ndarray:
+    """Equal rows get equal numbers, from 0 in the order of their first."""
     seen: dict[bytes, int] = {}
-    return np.array([seen.setdefault(value, len(seen)) for value in column.to_pylist()], dtype=np.int64)
-
-
-def _searched(k: int):
+    return np.array([seen.setdefault(row.tobytes(), len(seen)) for row in rows], dtype=np.int64)
+
+
+def _runs(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All places of the runs starts[i]:ends[i]."""
+    sizes = ends - starts
+    return np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+
+
+def orders(x: np.ndarray, pivots: np.ndarray, near: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the places of the first ORDER pivots in each vector's order, its `near` nearest pivots of all)."""
+    products = x @ pivots.T
+    own = np.argsort(-products[:, :ORDER], axis=1, kind="stable")
+    places = np.empty(own.shape, dtype=np.int16)
+    np.put_along_axis(places, own, np.arange(own.shape[1], dtype=np.int16)[None], axis=1)
+    near = min(near, len(pivots))
+    return places, np.argpartition(-products, near - 1, axis=1)[:, :near]
+
+
+class Block:
+    """The inverted files of one block. Equal vectors, and then equal orders, are one entry; of equal vectors the k + 1 smallest ids suffice."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, k: int):
+        same = _numbered(x)
+        order = np.lexsort((ids, same))
+        order = order[(np.diff(same[order], prepend=-1) != 0) | (np.diff(ids[order], prepend=ids[order[0]]) != 0)]
+        first, step = np.diff(same[order], prepend=-1) != 0, np.arange(len(order))
+        members = order[step - np.maximum.accumulate(np.where(first, step, 0)) <= k]
+        heads = np.flatnonzero(np.diff(same[members], prepend=-1))
+        places, near = orders(x[members[heads]], pivots, POSTED)
+        group = _numbered(places)
+        by_group = np.argsort(group, kind="stable")
+        self.entry = np.append(np.flatnonzero(np.diff(group[by_group], prepend=-1)), len(group))
+        self.vector, self.member = by_group, np.append(heads, len(members))
+        self.ids, self.x = ids[members], x[members[heads]]
+        one = by_group[self.entry[:-1]]
+        self.places, flat = places[one], near[one].ravel()
+        by_file = np.argsort(flat, kind="stable")
+        self.posted, self.file = by_file // near.shape[1], np.searchsorted(flat[by_file], np.arange(len(pivots) + 1))
+        self.size = len(one)
+
+    def candidates(self, places: np.ndarray, files: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(entries whose footrule is taken, those of them that are ranked exactly), all that tie with the last included."""
+        counted, exact = max(LEAST_COUNTED, k + 1, int(COUNTED * self.size)), max(LEAST_EXACT, k + 1, int(EXACT * self.size))
+        met = np.arange(self.size)
+        if self.size > counted:
+            times = np.bincount(np.concatenate([self.posted[self.file[f] : self.file[f + 1]] for f in files.tolist()]), minlength=self.size)
+            often = np.flatnonzero(times >= max(np.partition(times, self.size - counted)[self.size - counted], 1))
+            met = often if len(often) > k else met
+        if len(met) <= exact:
+            return met, met
+        far = np.abs(self.places[met] - places).sum(axis=1, dtype=np.int32)
+        return met, met[far <= np.partition(far, exact - 1)[exact - 1]]
+
+    def search(self, query: int, x: np.ndarray, places: np.ndarray, files: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best that are not the query."""
+        best = self.candidates(places, files, k)[1]
+        vectors = self.vector[_runs(self.entry[best], self.entry[best + 1])]
+        score = (self.x[vectors] * x).sum(axis=1)
+        rows = _runs(self.member[vectors], self.member[vectors + 1])
+        ids, score = self.ids[rows], np.repeat(score, self.member[vectors + 1] - self.member[vectors])
+        ids, score = ids[ids != query], score[ids != query]
+        top = np.lexsort((ids, -score))[:k]
+        return ids[top], score[top]
+
+
+def _matrix(table: pa.Table) -> np.ndarray:
+    return table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+
+
+def _searched(pivots, k: int):
     def run(base: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        if not base.num_rows or not queries.num_rows:
-            return empty
-        file, ids, qids = base.column("file")[0].as_py(), base.column("id").to_numpy(), queries.column("id").to_numpy()
-        ranks, near, x = _matrix(base.column("ranks"), np.uint8), _matrix(base.column("near"), np.uint8), _matrix(base.column("vec"), float)
-        qranks, qx = _matrix(queries.column("ranks"), np.uint8), _matrix(queries.column("vec"), float)
-        # Rows of one permutation are equally far and count once in the quota; of equal vectors the k + 1 smallest ids suffice, one of which may be the query's.
-        group, same = _numbered(base.column("ranks")), _numbered(base.column("vec"))
-        order = np.lexsort((ids, same, group))
-        other = (np.diff(group[order], prepend=-1) != 0) | (np.diff(same[order], prepend=-1) != 0)
-        step = np.cumsum(other | (np.diff(ids[order], prepend=ids[order[0]]) != 0))
-        members = order[step - np.maximum.accumulate(np.where(other, step, 0)) <= k]
-        starts = np.flatnonzero(np.diff(group[members], prepend=-1))
-        ends, heads = np.append(starts[1:], len(members)), members[starts]
-        ranks, near = ranks[heads], near[heads]
-        columns = np.ascontiguousarray(ranks.T.astype(np.int16))
-        count = min(len(heads), max(LEAST, k + 1, int(SHARE * len(ids))) + 1)
-        out = []
-        for at in range(0, len(qids), 64):
-            q = qranks[at : at + 64].astype(np.int16)
-            far = np.zeros((len(q), len(heads)), dtype=np.int16)
-            for p in range(q.shape[1]):
-                far += np.abs(q[:, p, None] - columns[p][None])
-            # A pair that meets in several files counts in the one that the query has nearest; a query is not its own candidate.
-            met = q[:, near[:, 0]]
-            for j in range(1, near.shape[1]):
-                met = np.minimum(met, q[:, near[:, j]])
-            far[met != q[:, file, None]] = np.iinfo(np.int16).max
-            last = np.partition(far, count - 1, axis=1)[:, count - 1]  # what is as far as the last of the quota is ranked too
-            for i, cut in enumerate(last):
-                best = np.flatnonzero((far[i] <= cut) & (far[i] < np.iinfo(np.int16).max))
-                own = np.concatenate([members[starts[j] : ends[j]] for j in best.tolist()] or [members[:0]])
-                own = own[ids[own] != qids[at + i]]
-                score = x[own] @ qx[at + i]
-                top = np.lexsort((ids[own], -score))[:k]
-                out.append((np.full(len(top), qids[at + i]), ids[own][top], score[top]))
-        a, b, c = (np.concatenate(y) for y in zip(*out, strict=True))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if base.num_rows and queries.num_rows:
+            block = Block(base.column("id").to_numpy(), _matrix(base), pivots.value, k)
+            x = _matrix(queries)
+            places, files = orders(x, pivots.value, PROBED)
+            for i, query in enumerate(queries.column("id").to_pylist()):
+                ids, score = block.search(query, x[i], places[i], files[i], k)
+                found.append((np.full(len(ids), query), ids, score))
+        a, b, c = (np.concatenate(y) for y in zip(*found, strict=True))
         return pa.table({"query_id": a, "vec_id": b, "score": c})
 
     return run
@@ -104,25 +121,31 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id
 
     Nearness is the inner product in double precision; ties go to the smaller
     id. Vectors that are null, zero, hold null or non-finite components or differ
-    in length from the pivots take no part, nor do null ids; rows that share an
-    id are not candidates of each other. Pivots come from a bounded sample, the
-    128 rows of least id hash; every row is indexed.
+    in length from the pivots take no part, nor do null ids. Equal rows count
+    once; rows that share an id are not candidates of each other and answer as
+    one query. Pivots come from a bounded sample, the rows of least id hash;
+    every row is indexed. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), F.coalesce(F.expr(queries), F.lit(False)).alias("asks"))
-    rows = rows.where("id is not null and size(vec) > 0 and forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(vec, x -> x <> 0)")
-    picked = rows.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
+    finite = "forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(vec, x -> x <> 0)"
+    rows = rows.where(f"id is not null and size(vec) > 0 and {finite}")
+    n = rows.count()
+    picked = rows.orderBy(F.xxhash64("id"), "id").limit(2 * pivots_for(n)).collect()  # twice as many, as copies are one pivot; 4 MB at most of 64 components
     sample = np.array([r.vec for r in picked if len(r.vec) == len(picked[0].vec)])
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    pivots = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    rows = rows.where(F.size("vec") == pivots.shape[1])
+    sample = sample[np.sort(np.unique(_numbered(sample), return_index=True)[1])][: pivots_for(n)]
+    pivots = spark.sparkContext.broadcast(sample / np.linalg.norm(sample, axis=1, keepdims=True))
+    rows = rows.where(F.size("vec") == sample.shape[1])
     n, asking = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
-    blocks, chunks = -(-n * POSTED // (len(pivots) * ROWS)) or 1, -(-asking * PROBED // (len(pivots) * QUERIES)) or 1
+    blocks = -(-n // int(np.clip(n // 16, 4096, 65536))) or 1
+    chunks = -(-asking // int(np.clip(asking // 4, 1024, 8192))) or 1
+    dealt = lambda many: F.pmod(F.xxhash64("id"), F.lit(many)).cast("int")
     spread = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
-    base = rows.select("id", "vec").mapInArrow(_indexed(pivots, POSTED), _INDEXED).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("chunk", spread(chunks))
-    asks = rows.where("asks").select("id", "vec").mapInArrow(_indexed(pivots, PROBED), _INDEXED).withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")).withColumn("block", spread(blocks))
-    key = ["file", "block", "chunk"]
-    found = base.groupBy(*key).cogroup(asks.groupBy(*key)).applyInArrow(_searched(k), "query_id long, vec_id long, score double")
+    base = rows.select("id", "vec", dealt(blocks).alias("block"), spread(chunks).alias("chunk"))
+    asks = rows.where("asks").select("id", "vec").distinct().select("id", "vec", spread(blocks).alias("block"), dealt(chunks).alias("chunk"))
+    key = ["block", "chunk"]
+    found = base.groupBy(*key).cogroup(asks.groupBy(*key)).applyInArrow(_searched(pivots, k), "query_id long, vec_id long, score double")
     ranked = found.withColumn("rank", F.expr("row_number() over (partition by query_id order by score desc, vec_id)")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -279,6 +279,13 @@ def test_nearest_with_many_copies(spark):
     assert set(got) == {4, *range(0, 1200, 20)} and np.mean(found) >= 0.9
 
 
+def test_nearest_edges(spark):
+    one, two = [1.0, 0.0], [0.0, 1.0]
+    data = [(0, one, "c"), (0, one, "c"), (20, two, "c"), (5, one, "d"), (3, one, "d"), (3, one, "d"), (7, two, "e"), (None, one, "f"), (8, [float("inf"), 1.0], "g"), (9, [1.0], "h"), (11, [1.0, None], "i")]
+    got = nearest(spark.createDataFrame(data, "vec_id long, embedding array<double>, rank string"), "vec_id % 20 = 0", 3).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == [(0, 1, 3, 1.0), (0, 2, 5, 1.0), (0, 3, 7, 0.0), (20, 1, 7, 1.0), (20, 2, 0, 0.0), (20, 3, 3, 0.0)]
+
+
 def test_lm_scores(spark, empty):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = score_documents(table, "doc_id % 7 <> 2").collect()
