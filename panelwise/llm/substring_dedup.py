@@ -7,26 +7,31 @@ places where a block occurs more than once, hits are extended to whole windows;
 each window's smallest document is found, and later documents lose the words
 that such windows cover, so what goes is the union of maximal exact repeats.
 
-Hashes travel in packed arrays, one for each hash range and piece of input, so
-a probe costs about five bytes of shuffle.
+Documents lie in pieces of some megabytes, fixed once in a stored table. A piece
+names each of its hashes once to the hash range that counts them, in packed
+arrays, and the answers go back to the piece, which alone knows its documents
+and places. So a passage that very many documents share costs one entry a piece,
+and a probe about five bytes, however many ranges there are.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import stored
 from .textkernel import U, Words, ngrams, slices
 
-PIECE_BYTES = 2 << 20
-#: Documents for each hash range of the probe table: what bounds a task's memory.
-DOCS_PER_RANGE = 4000
+#: Text of one piece, and of what is hashed at once.
+PIECE_BYTES, PART_BYTES = 8 << 20, 2 << 20
+#: Text whose hashes fall into one range, and the least number of ranges. A range is counted in SPLITS steps: what bounds a task's memory.
+RANGE_BYTES, LEAST_RANGES, SPLITS = 128 << 20, 64, 8
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -38,13 +43,6 @@ def unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(blob, dtype=np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64))
 
 
-def _in_one_text(words: Words, n: int) -> np.ndarray:
-    """Places where n words of one text start."""
-    counts = words.counts()
-    room = np.maximum(counts - n + 1, 0)
-    return np.repeat(words.offsets[:-1] - np.concatenate([[0], np.cumsum(room)[:-1]]), room) + np.arange(room.sum())
-
-
 def kept_text(words: Words, gone: np.ndarray | None = None) -> list[bytes]:
     """Each text's words, but for those marked gone, joined by one space."""
     counts = words.counts()
@@ -68,164 +66,311 @@ def kept_text(words: Words, gone: np.ndarray | None = None) -> list[bytes]:
     return kept
 
 
-def _blobs(key: np.ndarray, place: np.ndarray, ranges: int, width: str) -> Iterator[tuple[int, bytes, bytes]]:
-    part = (key >> U(64 - ranges.bit_length() + 1)).astype(np.uint16) if ranges > 1 else np.zeros(len(key), np.uint16)
-    order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(ranges + 1))
-    low = key.astype(width)
-    for r in np.flatnonzero(np.diff(cuts)):
-        at = order[cuts[r] : cuts[r + 1]]
-        yield int(r), low[at].tobytes(), pack(place[at])
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    fields = [c.split() for c in schema.split(", ")]
+    arrays = [x if isinstance(x, pa.Array) else pa.nulls(len(columns[0]), kinds[t]) if x is None else pa.array(x, kinds[t]) for x, (_, t) in zip(columns, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text", PIECE_BYTES):
-        words = Words(part.column("text"), lower=False)
-        digests = [hashlib.sha256(x).hexdigest() for x in kept_text(words)]
-        yield pa.RecordBatch.from_arrays([part.column("id"), part.column("tag"), pa.array(words.counts()), pa.array(digests, pa.string())], names=["id", "tag", "n_words", "digest"])
+_PIECED = "piece long, id long, tag long, text string, size long"
 
 
-def _packed(keys: np.ndarray, places: np.ndarray, ranges: int, width: str, ids: pa.Array, tags: pa.Array, words: Words) -> pa.RecordBatch:
-    """A piece's keys by hash range, with the piece's (id, tag, first word) table in each row."""
-    table = np.stack([ids.fill_null(0).to_numpy(zero_copy_only=False), tags.to_numpy(zero_copy_only=False), words.offsets[:-1]]).astype(np.int64).tobytes()
-    r, packed, at = map(list, zip(*_blobs(keys, places, ranges, width), strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(packed, pa.binary()), pa.array(at, pa.binary()), pa.array([table] * len(r), pa.binary())], names=["n", "keys", "places", "docs"])
+def _pieced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition, numbered by piece."""
+    piece, size = TaskContext.get().partitionId() << 32, 0
+    for part in slices(batches, "text"):
+        bytes_ = part.column("text").nbytes
+        if size and size + bytes_ > PIECE_BYTES:
+            piece, size = piece + 1, 0
+        size += bytes_
+        yield _batch(_PIECED, [np.full(part.num_rows, piece), part.column("id"), part.column("tag"), part.column("text"), pa.array(np.full(part.num_rows, bytes_ // part.num_rows))])
 
 
-_PACKED = "n long, keys binary, places binary, docs binary"
+def _stretches(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """The batches cut where one of the columns changes."""
+    for batch in batches:
+        if batch.num_rows:
+            change = np.zeros(batch.num_rows - 1, dtype=bool)
+            for c in columns:
+                change |= np.diff(batch.column(batch.schema.get_field_index(c)).to_numpy()) != 0
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            yield from (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
 
 
-def _probes(window: int, ranges: int):
-    """All rolling half windows of texts that have a window, by hash range."""
-    block = window // 2
+def _places(words: Words, n: int, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word at which n words of one text start, that text), for the texts to take."""
+    room = np.where(take, np.maximum(words.counts() - n + 1, 0), 0)
+    text = np.repeat(np.arange(words.n_texts), room)
+    return words.offsets[text] + np.arange(len(text)) - np.repeat(np.cumsum(room) - room, room), text
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", PIECE_BYTES):
-            words = Words(part.column("text"), lower=False)
-            counts, ids = words.counts(), part.column("id")
-            place = _in_one_text(words, block)
-            place = place[np.repeat((counts >= window) & np.array(ids.is_valid()), np.maximum(counts - block + 1, 0))]
-            if len(place):
-                yield _packed(ngrams(words.hash, block)[place], place, ranges, "<u4", ids, part.column("tag"), words)
 
-    return run
+def _long(words: Words, ids: pa.Array, window: int) -> np.ndarray:
+    return (words.counts() >= window) & np.asarray(ids.is_valid())
+
+
+def _range_cuts(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """(range, first, end) of each range that ascending keys have."""
+    ranges = keys >> U(64 - bits)
+    starts = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])) if len(keys) else np.zeros(0, int)
+    yield from zip(ranges[starts].astype(np.int64).tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True)
+
+
+def _short(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The 32 bits after a key's range."""
+    return ((keys << U(bits)) >> U(32)).astype("<u4")
+
 
+def _full(short: np.ndarray, n: int) -> np.ndarray:
+    return (U(n) << U(32)) | short.astype(U)
 
-def _by_doc(docs: bytes, places: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(id, tag, places in the document), places ascending over the piece."""
-    ids, tags, first = np.frombuffer(docs, dtype=np.int64).reshape(3, -1)
-    owner = np.searchsorted(first, places, side="right") - 1
-    cuts = np.flatnonzero(np.diff(owner, prepend=-1, append=-1)) if len(owner) else []
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        d = owner[a]
-        yield int(ids[d]), int(tags[d]), places[a:b] - first[d]
 
+def _held_by_piece(batches: Iterator[pa.RecordBatch], hashed: Callable, packed: Callable) -> Iterator[pa.RecordBatch]:
+    """packed(piece, all that hashed gives of its parts), piece by piece."""
+    now, held = None, []
+    for stretch in _stretches(batches, ("piece",)):
+        piece = stretch.column("piece")[0].as_py()
+        if piece != now and held:
+            yield packed(now, held)
+            held = []
+        now = piece
+        held += [found for part in slices(iter([stretch]), "text", PART_BYTES) if len((found := hashed(part))[0])]
+    if held:
+        yield packed(now, held)
 
-def _spans(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([pack(x[2]) for x in found], pa.binary())], names=["id", "tag", "places"])
 
+_PROBES = "n long, piece long, keys binary, flags binary"
 
-def _hits(window: int):
-    """Of one hash range: the probes whose half window is somewhere a reference block and occurs twice or more."""
+
+def _probes(window: int, bits: int):
+    """Each piece's distinct half windows by hash range; flag 1: a reference block, 2: there twice or more."""
     block = window // 2
 
-    def close(rows: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-        keys = [np.frombuffer(k, dtype="<u4") for k, _, _ in rows]
-        refs = []
-        for key, (_, at, docs) in zip(keys, rows, strict=True):
-            at, first = unpack(at), np.frombuffer(docs, dtype=np.int64).reshape(3, -1)[2]
-            refs.append(key[(at - first[np.searchsorted(first, at, side="right") - 1]) % block == 0])
-        every = np.sort(np.concatenate(keys))
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
-        wanted = np.intersect1d(np.unique(np.concatenate(refs)), twice, assume_unique=True)
-        if len(wanted):
-            for key, (_, at, docs) in zip(keys, rows, strict=True):
-                place = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-                if (hit := wanted[place] == key).any():
-                    yield _spans(list(_by_doc(docs, unpack(at)[hit])))
+    def hashed(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        words = Words(part.column("text"), lower=False)
+        place, text = _places(words, block, _long(words, part.column("id"), window))
+        return (ngrams(words.hash, block)[place] if len(place) else np.zeros(0, U)), (place - words.offsets[text]) % block == 0
 
-    return _grouped(close)
+    def packed(piece: int, held: list) -> pa.RecordBatch:
+        keys, ref = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        flags = np.logical_or.reduceat(ref[order], starts) + 2 * (np.diff(np.append(starts, len(keys))) > 1)
+        keys, flags = keys[starts], flags.astype(np.uint8)
+        short = _short(keys, bits)
+        rows = [(n, piece, short[a:b].tobytes(), flags[a:b].tobytes()) for n, a, b in _range_cuts(keys, bits)]
+        return _batch(_PROBES, list(zip(*rows, strict=True)))
 
+    return lambda batches: _held_by_piece(batches, hashed, packed)
+
+
+def _by_range(columns: tuple[str, ...], close: Callable):
+    """close(range, rows) of each range of rows in order of n."""
 
-def _grouped(close):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            for r, *row in zip(*(batch.column(c).to_pylist() for c in ("n", "keys", "places", "docs")), strict=True):
-                if r != now:
+            for n, *row in zip(*(batch.column(c).to_pylist() for c in ("n", *columns)), strict=True):
+                if n != now:
                     if rows:
-                        yield from close(rows)
-                    now, rows = r, []
+                        yield from close(now, rows)
+                    now, rows = n, []
                 rows.append(row)
         if rows:
-            yield from close(rows)
+            yield from close(now, rows)
 
     return run
 
 
-def _windows(window: int, ranges: int):
-    """The windows around hits, packed as the probes are."""
-    block = window - window // 2
+def _split(keys: list[np.ndarray], edges: np.ndarray) -> Iterator[list[slice]]:
+    """The places of each array's keys between two edges, step by step."""
+    cuts = [np.concatenate([[0], np.searchsorted(k, edges), [len(k)]]).tolist() for k in keys]
+    for i in range(len(edges) + 1):
+        yield [slice(c[i], c[i + 1]) for c in cuts]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", PIECE_BYTES):
-            words = Words(part.column("text"), lower=False)
-            counts, near = words.counts(), np.zeros(len(words.hash) + 1, dtype=np.int64)
-            for d, blobs in enumerate(part.column("places").to_pylist()):
-                first, room = words.offsets[d], counts[d] - window + 1
-                for blob in blobs:
-                    at = unpack(blob)
-                    np.add.at(near, first + np.clip(at - block, 0, max(room, 0)), 1)
-                    np.add.at(near, first + np.clip(at + 1, 0, max(room, 0)), -1)
-            place = np.flatnonzero(np.cumsum(near)[:-1] > 0)
-            if len(place):
-                yield _packed(ngrams(words.hash, window)[place], place, ranges, "<u8", part.column("id"), part.column("tag"), words)
 
-    return run
+def _joined(arrays: list[np.ndarray], parts: list[slice]) -> np.ndarray:
+    return np.concatenate([x[p] for x, p in zip(arrays, parts, strict=True)])
 
 
-def _later(rows: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-    """Of one hash range: the windows that also start in a document with a smaller id."""
-    keys = np.concatenate([np.frombuffer(k, dtype="<u8") for k, _, _ in rows])
-    places = [unpack(p) for _, p, _ in rows]
-    owners = []
-    for at, (_, _, docs) in zip(places, rows, strict=True):
-        ids, _, first = np.frombuffer(docs, dtype=np.int64).reshape(3, -1)
-        owners.append(ids[np.searchsorted(first, at, side="right") - 1])
-    owner = np.concatenate(owners)
-    order = np.argsort(keys, kind="stable")
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
-    least = np.repeat(np.minimum.reduceat(owner[order], starts), np.diff(np.append(starts, len(keys))))
-    late = np.zeros(len(keys), dtype=bool)
-    late[order] = least < owner[order]
-    at = 0
-    for place, (_, _, docs) in zip(places, rows, strict=True):
-        if (own := late[at : at + len(place)]).any():
-            yield _spans(list(_by_doc(docs, place[own])))
-        at += len(place)
+_ANSWERS = "n long, piece long, keys binary"
 
 
-def _removed(window: int):
+def _shared(n: int, rows: list) -> Iterator[pa.RecordBatch]:
+    """For each piece, those of its half windows that are a reference block somewhere and occur twice or more."""
+    keys, flags = [np.frombuffer(k, "<u4") for _, k, _ in rows], [np.frombuffer(f, np.uint8) for _, _, f in rows]
+    found: list[list[bytes]] = [[] for _ in rows]
+    for parts in _split(keys, (np.arange(1, SPLITS, dtype=np.uint64) << U(29)).astype("<u4")):
+        key, flag = _joined(keys, parts), _joined(flags, parts)
+        if not len(key):
+            continue
+        order = np.argsort(key)
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
+        any_flag = np.bitwise_or.reduceat(flag[order], starts)
+        wanted = key[order][starts][(any_flag & 1 > 0) & ((any_flag & 2 > 0) | (np.diff(np.append(starts, len(key))) > 1))]
+        if len(wanted):
+            for own, part, out in zip(keys, parts, found, strict=True):
+                at = np.minimum(np.searchsorted(wanted, own[part]), len(wanted) - 1)
+                out.append(own[part][wanted[at] == own[part]].tobytes())
+    out = [(n, row[0], b"".join(own)) for row, own in zip(rows, found, strict=True) if any(own)]
+    if out:
+        yield _batch(_ANSWERS, list(zip(*out, strict=True)))
+
+
+def _answered(read: Callable, each: Callable):
+    """each(part, read(answer rows)) of each piece's texts; rows come by piece, its answers (role 0) before its texts (role 1)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", PIECE_BYTES):
-            words = Words(part.column("text"), lower=False)
-            cover = np.zeros(len(words.hash) + 1, dtype=np.int64)
-            for d, blobs in enumerate(part.column("places").to_pylist()):
-                for blob in blobs:
-                    at = words.offsets[d] + unpack(blob)
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + window, -1)
-            gone = np.cumsum(cover)[:-1] > 0
-            total = np.concatenate([[0], np.cumsum(gone)])
-            texts = kept_text(words, gone)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("tag"), pa.array(total[words.offsets[1:]] - total[words.offsets[:-1]]), pa.array([hashlib.sha256(x).hexdigest() for x in texts]), pa.array([x.decode() for x in texts], pa.string())],
-                names=["id", "tag", "gone", "kept", "kept_text"],
-            )
+        now, answers, ready = None, [], None
+        for stretch in _stretches(batches, ("piece", "role")):
+            piece, role = stretch.column("piece")[0].as_py(), stretch.column("role")[0].as_py()
+            if piece != now:
+                now, answers, ready = piece, [], None
+            if role == 0:
+                answers.append(stretch)
+                continue
+            ready = read(answers) if ready is None else ready
+            answers = []
+            for part in slices(iter([stretch]), "text", PART_BYTES):
+                yield from each(part, ready)
 
     return run
 
 
+_NEAR = "kind int, piece long, id long, tag long, n_words long, digest string, text string, places binary"
+
+
+def _extended(window: int, bits: int):
+    """Texts with the places of windows around hits (kind 1); texts without one, done (kind 0)."""
+    block = window // 2
+
+    def read(answers: list[pa.RecordBatch]) -> np.ndarray:
+        keys = [_full(np.frombuffer(k, "<u4"), n) for x in answers for n, k in zip(x.column("n").to_pylist(), x.column("keys").to_pylist(), strict=True)]
+        return np.sort(np.concatenate(keys)) if keys else np.zeros(0, U)
+
+    def each(part: pa.RecordBatch, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+        words, ids = Words(part.column("text"), lower=False), part.column("id")
+        near = np.zeros(len(words.hash) + 1, dtype=np.int64)
+        place, text = _places(words, block, _long(words, ids, window))
+        if len(wanted) and len(place):
+            key = ngrams(words.hash, block)[place]
+            key = _full(_short(key, bits), 0) | (key >> U(64 - bits) << U(32))
+            hit = wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
+            place, text = place[hit], text[hit]
+            first, room = words.offsets[text], words.counts()[text] - window + 1
+            np.add.at(near, first + np.clip(place - first - (window - block), 0, room), 1)
+            np.add.at(near, first + np.clip(place - first + 1, 0, room), -1)
+        at = np.flatnonzero(np.cumsum(near)[:-1] > 0)
+        cuts, counts = np.searchsorted(at, words.offsets), pa.array(words.counts())
+        has = np.diff(cuts) > 0
+        if not has.all():
+            rest = pa.array(np.flatnonzero(~has))
+            digests = [hashlib.sha256(x).hexdigest() for x, own in zip(kept_text(words), has.tolist(), strict=True) if not own]
+            yield _batch(_NEAR, [np.zeros(len(rest), np.int32), part.column("piece").take(rest), ids.take(rest), part.column("tag").take(rest), counts.take(rest), digests, None, None])
+        if has.any():
+            own = pa.array(np.flatnonzero(has))
+            blobs = [pack(at[cuts[d] : cuts[d + 1]] - words.offsets[d]) for d in own.to_pylist()]
+            columns = [part.column(c).take(own) for c in ("piece", "id", "tag")]
+            yield _batch(_NEAR, [np.ones(len(own), np.int32), *columns, counts.take(own), None, part.column("text").take(own), blobs])
+
+    return _answered(read, each)
+
+
+def _window_keys(words: Words, places: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, text, hash) of the windows at each text's places."""
+    local = [unpack(x) for x in places.to_pylist()]
+    text = np.repeat(np.arange(words.n_texts), list(map(len, local)))
+    place = words.offsets[text] + np.concatenate(local)
+    return place, text, ngrams(words.hash, window)[place]
+
+
+_WINDOWS = "n long, piece long, keys binary, least binary, varied binary"
+
+
+def _windows(window: int, bits: int):
+    """Each piece's distinct windows by hash range, with the smallest document of each and whether there are others."""
+
+    def hashed(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        words = Words(part.column("text"), lower=False)
+        _, text, key = _window_keys(words, part.column("places"), window)
+        return key, part.column("id").to_numpy()[text]
+
+    def packed(piece: int, held: list) -> pa.RecordBatch:
+        keys, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((ids, keys))
+        keys, ids = keys[order], ids[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        ends = np.append(starts[1:], len(keys))
+        keys, least, varied = keys[starts], ids[starts], ids[starts] != ids[ends - 1]
+        rows = [(n, piece, keys[a:b].tobytes(), least[a:b].tobytes(), varied[a:b].tobytes()) for n, a, b in _range_cuts(keys, bits)]
+        return _batch(_WINDOWS, list(zip(*rows, strict=True)))
+
+    return lambda batches: _held_by_piece(batches, hashed, packed)
+
+
+_LEAST = "n long, piece long, keys binary, least binary"
+
+
+def _least(bits: int):
+    """For each piece, those of its windows that start in a document with a smaller id than one of its own has, with the smallest of all."""
+
+    def close(n: int, rows: list) -> Iterator[pa.RecordBatch]:
+        keys, least, varied = ([np.frombuffer(row[i], kind) for row in rows] for i, kind in ((1, U), (2, np.int64), (3, bool)))
+        edges = (U(n) << U(64 - bits)) + (np.arange(1, SPLITS, dtype=U) << U(61 - bits))
+        found: list[list[tuple[bytes, bytes]]] = [[] for _ in rows]
+        for parts in _split(keys, edges):
+            key, low = _joined(keys, parts), _joined(least, parts)
+            if not len(key):
+                continue
+            order = np.argsort(key)
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
+            known, lowest = key[order][starts], np.minimum.reduceat(low[order], starts)
+            for i, part in enumerate(parts):
+                first = lowest[np.searchsorted(known, keys[i][part])]
+                tell = varied[i][part] | (first < least[i][part])
+                if tell.any():
+                    found[i].append((keys[i][part][tell].tobytes(), first[tell].tobytes()))
+        out = [(n, row[0], *map(b"".join, zip(*own, strict=True))) for row, own in zip(rows, found, strict=True) if own]
+        if out:
+            yield _batch(_LEAST, list(zip(*out, strict=True)))
+
+    return _by_range(("piece", "keys", "least", "varied"), close)
+
+
+_CUT = "id long, tag long, n_words long, gone long, digest string, kept_text string"
+
+
+def _removed(window: int):
+    def read(answers: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+        keys, least = (np.frombuffer(b"".join(b for x in answers for b in x.column(c).to_pylist()), kind) for c, kind in (("keys", U), ("least", np.int64)))
+        order = np.argsort(keys)
+        return keys[order], least[order]
+
+    def each(part: pa.RecordBatch, answer: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        (known, least), words = answer, Words(part.column("text"), lower=False)
+        cover = np.zeros(len(words.hash) + 1, dtype=np.int64)
+        if len(known):
+            place, text, key = _window_keys(words, part.column("places"), window)
+            at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+            late = place[(known[at] == key) & (least[at] < part.column("id").to_numpy()[text])]
+            np.add.at(cover, late, 1)
+            np.add.at(cover, late + window, -1)
+        gone = np.cumsum(cover)[:-1] > 0
+        total = np.concatenate([[0], np.cumsum(gone)])
+        removed, texts = total[words.offsets[1:]] - total[words.offsets[:-1]], kept_text(words, gone)
+        cut = [x.decode() if n else None for x, n in zip(texts, removed.tolist(), strict=True)]
+        yield _batch(_CUT, [part.column("id"), part.column("tag"), words.counts(), removed, [hashlib.sha256(x).hexdigest() for x in texts], cut])
+
+    return _answered(read, each)
+
+
+def _by_piece(texts: DataFrame, answers: DataFrame) -> DataFrame:
+    """Rows of texts (role 1), each piece's answers (role 0) before them."""
+    both = answers.withColumn("role", F.lit(0)).unionByName(texts.withColumn("role", F.lit(1)), allowMissingColumns=True)
+    return both.repartition("piece").sortWithinPartitions("piece", "role")
+
+
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text and tag (xxhash64 of the text) of every row.
 
@@ -233,20 +378,22 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     also start in a document with a smaller id; windows are judged on the input.
     kept_text, the kept words joined by one space, is null where nothing went. A
     null text has no words. A row with a null id loses nothing and makes others
-    lose nothing; rows that share an id do not remove each other's words.
+    lose nothing; rows that share an id do not remove each other's words. Other
+    columns are ignored, an empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
-    ranges = 1 << max(6, min(15, (max(docs.count(), 1) // DOCS_PER_RANGE).bit_length()))
-    probes = docs.mapInArrow(_probes(window, ranges), _PACKED)
-    hits = stored(probes.repartition(ranges, "n").sortWithinPartitions("n").mapInArrow(_hits(window), "id long, tag long, places binary"))
-    near = stored(docs.where("id is not null").join(hits.groupBy("id", "tag").agg(F.collect_list("places").alias("places")), ["id", "tag"]))
-    packed = near.mapInArrow(_windows(window, ranges), _PACKED)
-    late = packed.repartition(ranges, "n").sortWithinPartitions("n").mapInArrow(_grouped(_later), "id long, tag long, places binary")
-    gone = late.groupBy("id", "tag").agg(F.collect_list("places").alias("places"))
-    cut = near.select("id", "tag", "text").dropDuplicates(["id", "tag"]).join(gone, ["id", "tag"])
-    cut = cut.mapInArrow(_removed(window), "id long, tag long, gone long, kept string, kept_text string")
-    every = docs.mapInArrow(_digests, "id long, tag long, n_words long, digest string")
-    return every.join(cut, ["id", "tag"], "left").select(
-        F.col("id").alias("doc_id"), "n_words", F.coalesce("gone", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept", "digest").alias("kept_sha256"), "kept_text", "tag"
-    )
+    pieced = stored(docs.mapInArrow(_pieced, _PIECED))
+    size = pieced.agg(F.sum("size")).first()[0] or 0
+    bits = (max(LEAST_RANGES, -(-size // RANGE_BYTES)) - 1).bit_length()
+    texts = pieced.drop("size")
+
+    probes = texts.mapInArrow(_probes(window, bits), _PROBES).repartition("n").sortWithinPartitions("n")
+    shared = stored(probes.mapInArrow(_by_range(("piece", "keys", "flags"), _shared), _ANSWERS))
+    found = stored(_by_piece(texts, shared).mapInArrow(_extended(window, bits), _NEAR))
+    near = found.where("kind = 1").select("piece", "id", "tag", "text", "places")
+    windows = near.mapInArrow(_windows(window, bits), _WINDOWS).repartition("n").sortWithinPartitions("n")
+    least = stored(windows.mapInArrow(_least(bits), _LEAST))
+    cut = _by_piece(near, least).mapInArrow(_removed(window), _CUT)
+    whole = found.where("kind = 0").select("id", "tag", "n_words", F.lit(0).cast("long").alias("gone"), "digest", F.lit(None).cast("string").alias("kept_text"))
+    return whole.unionByName(cut).select(F.col("id").alias("doc_id"), "n_words", F.col("gone").alias("n_removed"), F.col("digest").alias("kept_sha256"), "kept_text", "tag")

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelwise.llm import gru
@@ -18,8 +19,8 @@ from panelwise.llm.ngram_join import ngram_jaccard_join, trie_matches
 from panelwise.llm.packing import encoder, first_fit_decreasing, pack
 from panelwise.llm.quality import classify_quality, good_documents
 from panelwise.llm.sharding import shard_documents
+from panelwise.llm.substring_dedup import _probes, substring_dedup, unpack
 from panelwise.llm.substring_dedup import pack as packed
-from panelwise.llm.substring_dedup import substring_dedup, unpack
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, tag string, n int, token string"
 
@@ -108,6 +109,25 @@ def test_substring_dedup(docs, empty):
     assert (unpack(packed(x)) == x).all()
 
 
+@pytest.mark.parametrize("bits", [6, 12, 15])
+def test_substring_probes_stay_small(bits):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(20_000, 300).astype(str)) for _ in range(4000)]
+    columns = {"id": pa.array(range(4000), pa.int64()), "tag": pa.array(range(4000), pa.int64()), "text": pa.array(texts), "piece": pa.array([0] * 4000, pa.int64())}
+    out = list(_probes(50, bits)(iter([pa.RecordBatch.from_pydict(columns)])))
+    size, rows = sum(b.nbytes for b in out), sum(b.num_rows for b in out)
+    assert rows <= 1 << bits and size + 64 * rows < 3 * sum(map(len, texts))
+
+
+def test_substring_dedup_over_many_pieces(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    data = [(i, f"{' '.join(f'{i}_{k}' for k in range(80))} {passage if i % 3 else ''}") for i in range(300)] + [(None, passage), (0, passage), (7, None)]
+    got = substring_dedup(spark.createDataFrame(data, "doc_id long, text string").repartition(40)).collect()
+    assert len(got) == len(data)
+    wrong = [r[:3] for r in got if r.n_removed != (60 if r.doc_id and r.doc_id % 3 and r.n_words > 100 else 0)]
+    assert not wrong
+
+
 def test_fingerprints(docs, empty):
     got = {r.doc_id: r for r in fingerprints(docs).collect()}
     order = sorted(rows(), key=lambda r: -r[0])
