@@ -1,4 +1,12 @@
-"""Sharding by a minimax contiguous partition of atomic groups, in DataFrame functions only."""
+"""Sharding by a minimax contiguous partition of atomic groups, in DataFrame functions only.
+
+Equal texts are one group, ordered by a 64-bit hash. The partition's search sees
+a bounded table of cells, which are stretches of that order. Taking cells as
+whole gives a capacity that suffices, taking them as divisible one that nothing
+can undercut; cells that a cut of a capacity in between may fall into are opened
+into smaller cells, down to single groups, until both are the same or no such
+cell is left. Then the cuts are those over all groups.
+"""
 
 from __future__ import annotations
 
@@ -7,49 +15,90 @@ from pyspark.sql import functions as F
 
 from .scratch import stored
 
-#: Groups are ordered by digest and cut between digest ranges; a table of this many sizes is all that the search sees.
-RANGES = 1 << 16
+#: Bits of the hash that the first cells share not, and bits by which an opened cell is divided each time.
+FIRST_SHIFT, STEP = 48, 12
+#: Cells opened at once, the largest first.
+OPENED = 4096
 SALTS = 64
 
-# sizes: bytes of the ranges in order. The least capacity is sought between the larger of the mean and the largest range, which no
-# partition can undercut, and their sum, which greedy filling never exceeds.
-_FIT = "aggregate(sizes, named_struct('used', 0L, 'n', 1), (a, x) -> if(a.used + x > {c}, named_struct('used', x, 'n', a.n + 1), named_struct('used', a.used + x, 'n', a.n)), a -> a.n)"
-_CAPACITY = f"""aggregate(sequence(1, 62),
-    named_struct('lo', greatest(array_max(sizes), cast(ceil(total / {{k}}) as bigint)), 'hi', total div {{k}} + 1 + array_max(sizes)),
-    (s, _) -> if(s.lo >= s.hi, s, if({_FIT.format(c="(s.lo + s.hi) div 2")} <= {{k}}, named_struct('lo', s.lo, 'hi', (s.lo + s.hi) div 2), named_struct('lo', (s.lo + s.hi) div 2 + 1, 'hi', s.hi))),
-    s -> s.hi)"""
-_CUTS = """aggregate(sizes, named_struct('used', 0L, 'i', 0, 'cuts', cast(array() as array<int>)),
-    (a, x) -> if(a.used + x > capacity, named_struct('used', x, 'i', a.i + 1, 'cuts', concat(a.cuts, array(a.i))), named_struct('used', a.used + x, 'i', a.i + 1, 'cuts', a.cuts)),
-    a -> a.cuts)"""
+# Greedy filling over `cells`, an array of (low, high, bytes) in order. A cell of one group has low = high.
+# WHOLE never divides a cell; FLUID fills a cell of several groups as if it could be cut anywhere. Both give the first cell of each shard but the first.
+_START = "named_struct('used', 0L, 'i', 0, 'cuts', cast(array() as array<int>))"
+_WHOLE = f"""aggregate(cells, {_START}, (a, x) -> if(a.used + x.bytes > {{c}},
+    named_struct('used', x.bytes, 'i', a.i + 1, 'cuts', concat(a.cuts, array(a.i))),
+    named_struct('used', a.used + x.bytes, 'i', a.i + 1, 'cuts', a.cuts)), a -> a.cuts)"""
+_MORE = "cast(ceil((a.used + x.bytes - {c}) / {c}) as int)"
+_FLUID = f"""aggregate(cells, {_START}, (a, x) -> case
+    when a.used + x.bytes <= {{c}} then named_struct('used', a.used + x.bytes, 'i', a.i + 1, 'cuts', a.cuts)
+    when x.low = x.high then named_struct('used', x.bytes, 'i', a.i + 1, 'cuts', concat(a.cuts, array(a.i)))
+    else named_struct('used', a.used + x.bytes - {_MORE} * {{c}}, 'i', a.i + 1, 'cuts', concat(a.cuts, array_repeat(a.i, {_MORE}))) end, a -> a.cuts)"""
+# The number of shards alone, for the search.
+_COUNT = "named_struct('used', 0L, 'n', 1)"
+_WHOLE_COUNT = f"""aggregate(cells, {_COUNT}, (a, x) -> if(a.used + x.bytes > {{c}},
+    named_struct('used', x.bytes, 'n', a.n + 1), named_struct('used', a.used + x.bytes, 'n', a.n)), a -> a.n)"""
+_FLUID_COUNT = f"""aggregate(cells, {_COUNT}, (a, x) -> case
+    when a.used + x.bytes <= {{c}} then named_struct('used', a.used + x.bytes, 'n', a.n)
+    when x.low = x.high then named_struct('used', x.bytes, 'n', a.n + 1)
+    else named_struct('used', a.used + x.bytes - {_MORE} * {{c}}, 'n', a.n + {_MORE}) end, a -> a.n)"""
+
+
+def _least(count: str, low: str, high: str, shards: int) -> str:
+    """The smallest capacity from low to high, which suffices, under which `count` shards are enough."""
+    middle = "((s.lo + s.hi) div 2)"
+    return f"""aggregate(sequence(1, 62), named_struct('lo', {low}, 'hi', {high}),
+        (s, _) -> if(s.lo >= s.hi, s, if({count.format(c=middle)} <= {shards},
+            named_struct('lo', s.lo, 'hi', {middle}), named_struct('lo', {middle} + 1, 'hi', s.hi))), s -> s.hi)"""
+
+
+def _cells(rows: DataFrame, *keys) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("size").alias("bytes")).select("low", "high", "bytes")
+
+
+def _partition(rows: DataFrame, shards: int) -> DataFrame:
+    """One row: the capacity and `firsts`, the least key of each shard but the first; no row without rows. rows have key, size."""
+    shift = FIRST_SHIFT
+    cells = stored(_cells(rows, F.shiftright("key", shift)))
+    while True:
+        table = cells.agg(F.sort_array(F.collect_list(F.struct("low", "high", "bytes"))).alias("cells"), F.sum("bytes").cast("long").alias("total")).where("size(cells) > 0")
+        table = stored(table.withColumn("largest", F.expr("array_max(transform(cells, x -> x.bytes))")).withColumn("group", F.expr("coalesce(array_max(transform(filter(cells, x -> x.low = x.high), x -> x.bytes)), 0L)")))
+        # Tables of one row: else the optimizer would put a search into the loop that uses its result.
+        enough = f"total div {shards} + 1 + largest"
+        table = stored(table.withColumn("floor", F.expr(_least(_FLUID_COUNT, f"greatest(group, cast(ceil(total / {shards}) as bigint), 1L)", enough, shards))))
+        table = stored(table.withColumn("capacity", F.expr(_least(_WHOLE_COUNT, "floor", enough, shards))))
+        table = stored(table.withColumn("firsts", F.expr(_WHOLE.format(c="capacity"))).withColumn("earliest", F.expr(_WHOLE.format(c="floor"))).withColumn("latest", F.expr(_FLUID.format(c="capacity"))))
+        may_cut = f"exists(sequence(0, {shards - 2}), j -> i >= get(earliest, j) and i <= coalesce(get(latest, j), size(cells)))" if shards > 1 else "false"
+        opened = table.where("floor < capacity").select(F.expr(f"filter(transform(cells, (x, i) -> if(x.low < x.high and (x.bytes > floor div 4 or {may_cut}), x, null)), x -> x is not null)").alias("opened"))
+        opened = stored(opened.select(F.explode("opened").alias("x")).select(F.col("x.low").alias("low"), F.col("x.high").alias("high"), F.col("x.bytes").alias("bytes")).orderBy(F.desc("bytes"), "low").limit(OPENED))
+        if shift == 0 or opened.isEmpty():
+            return table.select("capacity", F.expr("transform(firsts, i -> cells[i].low)").alias("firsts"))
+        shift -= STEP
+        spans = F.broadcast(opened.select(F.shiftright("low", FIRST_SHIFT).alias("range"), F.col("low").alias("first"), F.col("high").alias("last")))  # OPENED rows at most
+        inside = rows.select("key", "size", F.shiftright("key", FIRST_SHIFT).alias("range")).join(spans, "range").where("key between first and last")
+        closed = cells.join(F.broadcast(opened.select("low")), "low", "left_anti").select("low", "high", "bytes")
+        cells = stored(closed.unionByName(_cells(inside, "first", F.shiftright("key", shift))))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row, sizes near equal over the shards.
 
     size is the text's UTF-8 bytes plus 1; a null text counts as empty. Equal
-    texts stay together: groups are ordered by digest, and 65,536 ranges of that
-    order, a group never being split, are cut into contiguous shards of the
-    smallest feasible largest size. slots are gapless from 0 in each shard, an
-    empty table gives no rows, and rows that are equal in all have slots in no
-    particular order. grown_shard is null under this law.
+    texts stay together: groups, ordered by xxhash64 of the text, are cut into at
+    most `shards` contiguous shards of the smallest feasible largest size. Slots
+    are gapless from 0 in each shard, an empty table gives no rows, and rows that
+    are equal in all have slots in no particular order. Null ids are placed like
+    others, other columns are ignored. grown_shard is null under this law.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int").alias("range")
-    )
-    rows = stored(rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")))
-    cells = rows.groupBy("range", "salt").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
-    cells = cells.withColumn("before", F.expr("sum(n) over (partition by range order by salt) - n"))
-    ranges = cells.groupBy("range").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))  # RANGES rows at most
-    cut = ranges.agg(F.sort_array(F.collect_list(F.struct("range", "bytes"))).alias("all")).select(F.col("all.bytes").alias("sizes"), F.col("all.range").alias("names"))
-    cut = cut.where("size(sizes) > 0").withColumn("total", F.expr("aggregate(sizes, 0L, (a, x) -> a + x)"))
-    # Tables of one row: else the optimizer would put the search into the loop that uses its result.
-    cut = stored(stored(cut).withColumn("capacity", F.expr(_CAPACITY.format(k=shards)))).withColumn("cuts", F.expr(_CUTS))
-    first = cut.select(F.explode(F.expr("transform(sequence(0, size(cuts)), i -> named_struct('shard', i, 'low', if(i = 0, 0, names[cuts[greatest(i - 1, 0)]])))")).alias("s")).select("s.*")
-    placed = stored(ranges.join(F.broadcast(first), F.col("range") >= F.col("low")).groupBy("range", "n").agg(F.max("shard").alias("shard")))  # one row a shard
-    placed = placed.withColumn("base", F.expr("sum(n) over (partition by shard order by range) - n")).select("range", "shard", "base")
-    cells = cells.select("range", "salt", "before").join(placed, "range").select("range", "salt", "shard", (F.col("base") + F.col("before")).alias("base"))
-    numbered = rows.withColumn("at", F.expr("row_number() over (partition by range, salt order by text_crc32, doc_id) - 1"))
-    return numbered.join(cells, ["range", "salt"]).select(
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("key"))
+    # Salts by place, as equal rows would share a salt of their values; the stored table fixes them.
+    rows = stored(rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")))
+    cut = stored(_partition(rows.select("key", "size"), shards))
+    placed = rows.crossJoin(F.broadcast(cut.select("firsts"))).withColumn("shard", F.expr("size(filter(firsts, x -> x <= key))")).drop("firsts")  # one row
+    placed = placed.withColumn("range", F.shiftright("key", FIRST_SHIFT))
+    cells = placed.groupBy("shard", "range", "salt").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.expr("sum(n) over (partition by shard, range order by salt) - n"))
+    ranges = cells.groupBy("shard", "range").agg(F.sum("n").alias("n")).withColumn("base", F.expr("sum(n) over (partition by shard order by range) - n"))
+    cells = cells.join(ranges.select("shard", "range", "base"), ["shard", "range"]).select("shard", "range", "salt", (F.col("base") + F.col("before")).alias("base"))
+    numbered = placed.withColumn("at", F.expr("row_number() over (partition by shard, range, salt order by key, doc_id) - 1"))
+    return numbered.join(cells, ["shard", "range", "salt"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("base") + F.col("at")).alias("slot"), F.lit(None).cast("int").alias("grown_shard")
     )
