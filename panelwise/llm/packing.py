@@ -8,12 +8,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .textkernel import slices
 
-DOCS_PER_GROUP = 2048
+#: Pieces of a group, at most about: what one task packs.
+PIECES_PER_GROUP = 4096
 #: The added token of byte_bpe_50k.json, which the .tiktoken file lacks; where a text holds it, it is this one id.
 SPECIAL = {"<|endoftext|>": 50256}
 _encoders: dict[str, Callable[[str], np.ndarray]] = {}
@@ -41,12 +43,14 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
 def _pieces(path: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last = encoder(path), np.array([end], dtype="<u4")
+        row = TaskContext.get().partitionId() << 33
         for part in slices(batches, "text"):
             rows = []
-            for id_, tag, text in zip(*(part.column(c).to_pylist() for c in ("id", "tag", "text")), strict=True):
+            for id_, text in zip(*(part.column(c).to_pylist() for c in ("id", "text")), strict=True):
                 ids = np.concatenate([encode(text), last])
-                rows += [(id_, tag, at, min(length, len(ids) - at), zlib.crc32(ids[at : at + length].tobytes()), len(ids)) for at in range(0, len(ids), length)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["id", "tag", "start", "length", "crc", "tokens"])
+                rows += [(id_, row, at, min(length, len(ids) - at), zlib.crc32(ids[at : at + length].tobytes()), len(ids)) for at in range(0, len(ids), length)]
+                row += 1
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["id", "row", "start", "length", "crc", "tokens"])
 
     return run
 
@@ -79,7 +83,7 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 def _packed(length: int):
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("id", "ascending"), ("tag", "ascending"), ("start", "ascending")])
+        table = table.sort_by([("length", "descending"), ("id", "ascending"), ("row", "ascending"), ("start", "ascending")])
         size = table.column("length").to_numpy()
         bins = first_fit_decreasing(size, length)
         order = np.argsort(bins, kind="stable")
@@ -96,15 +100,19 @@ def _packed(length: int):
 def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of each piece of every document.
 
-    A document's ids, then `end`, are cut at multiples of `length`; each group of
-    about 2,048 documents, dealt by a hash of id and text, is packed on its own.
-    A null text is empty and gives the one id `end`; null ids and repeated rows
-    are packed like others. sequence_id is the group times 2**32 plus the bin.
+    A document's ids, then `end`, are cut at multiples of `length`. Pieces are
+    dealt to groups of 4,096 or fewer on average by a hash of their row and
+    place, so neither equal rows nor a very long document lie in one group, and
+    each group is packed on its own. A null text is empty and gives the one id
+    `end`; null ids and repeated rows are packed like others; other columns are
+    ignored, an empty table gives no rows. sequence_id is the group times 2**32
+    plus the bin.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
-    groups = -(-max(docs.count(), 1) // DOCS_PER_GROUP)
-    pieces = rows.mapInArrow(_pieces(tokenizer, length, end), "id long, tag long, start long, length long, crc long, tokens long")
-    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("id", "tag", "start"), F.lit(groups)))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    most = rows.agg(F.sum(1 + F.expr(f"octet_length(text) div {length}"))).first()[0] or 1  # an id has a byte or more
+    groups = -(-most // PIECES_PER_GROUP)
+    pieces = rows.mapInArrow(_pieces(tokenizer, length, end), "id long, row long, start long, length long, crc long, tokens long")
+    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("row", "start"), F.lit(groups)))
     packed = dealt.groupBy("grp").applyInArrow(_packed(length), "id long, start long, length long, crc long, tokens long, sequence_id long, offset long")
     return packed.select(F.col("id").alias("doc_id"), "start", "length", F.col("crc").alias("ids_crc32"), F.col("tokens").alias("doc_tokens"), "sequence_id", "offset")
