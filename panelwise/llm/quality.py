@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from .textkernel import U, Words, mix, shingles, slices
 
 BUCKETS = 1 << 14
-#: Documents that the scorer is fitted on, those of least id hash; every count and every decision covers all documents.
-SAMPLE = 4000
+#: The scorer is fitted on this many documents, those of least hash of id and text, or fewer of them, so that they have ENTRIES features at most
+#: (24 MB on the driver). Every count and every decision covers all documents.
+SAMPLE, ENTRIES = 4000, 4_000_000
 #: Per labeller: the statistic, at or below which value it votes good, at or above which bad. Between them it abstains.
 LABELLERS = (("symbols", 0.06, 0.25), ("capitals", 0.15, 0.4), ("stutter", 0.03, 0.2), ("repeats", 0.25, 0.6), ("doubled_marks", 0.05, 0.3), ("bars", 0.03, 0.15), ("marks", 0.5, 0.9))
 _SYMBOL, _LETTER, _CAPITAL = (np.zeros(256, dtype=bool) for _ in range(3))
@@ -103,7 +104,7 @@ def _voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's features as (bucket, weight) lists, with its votes."""
+    """Each text's features as (bucket, weight) lists of 16 and 32 bits, with its votes."""
     for part in slices(batches, "text"):
         words = Words(part.column("text"), lower=False)
         stats = statistics(words)
@@ -113,7 +114,8 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = local[words.offsets[d] : words.offsets[d + 1]].ravel()
             bucket, count = np.unique(own, return_counts=True)
             rows.append((np.concatenate([bucket, whole[d]]), np.concatenate([2 * count / max(len(own), 1), np.ones(len(whole[d]))])))
-        yield pa.RecordBatch.from_arrays([pa.array(votes(stats)), pa.array([b.tobytes() for b, _ in rows], pa.binary()), pa.array([w.tobytes() for _, w in rows], pa.binary())], names=["votes", "buckets", "weights"])
+        columns = [part.column("tag"), pa.array(votes(stats)), *(pa.array([r[i].astype(kind).tobytes() for r in rows], pa.binary()) for i, kind in ((0, "<u2"), (1, "<f4")))]
+        yield pa.RecordBatch.from_arrays(columns, names=["tag", "votes", "buckets", "weights"])
 
 
 def accuracies(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
@@ -169,10 +171,17 @@ def fit_quality(rows: DataFrame) -> tuple[np.ndarray, dict[int, float]]:
         return np.zeros(BUCKETS + 1), {}
     patterns, counts = (np.array(x) for x in zip(*counted, strict=True))
     posterior = dict(zip(patterns.tolist(), accuracies(patterns, counts)[0].tolist(), strict=True))
-    least = rows.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(SAMPLE)  # bounded, so it may be broadcast
-    picked = rows.join(F.broadcast(least.select("id").distinct()), "id", "left_semi").select("text").mapInArrow(_sampled, "votes long, buckets binary, weights binary").limit(SAMPLE).collect()
-    train = [(np.frombuffer(r.buckets, np.int64), np.frombuffer(r.weights, float)) for r in picked]
-    return _fitted(train, np.array([posterior[r.votes] for r in picked])) if train else np.zeros(BUCKETS + 1), posterior
+    # Equal texts are alike, so the sample has one row of each; a text's bytes bound its features.
+    own = rows.select("id", "tag", F.xxhash64("id", "tag").alias("h"), F.octet_length("text").alias("n"))
+    least = own.groupBy("tag").agg(F.min(F.struct("h", "id", "n")).alias("x")).select("tag", "x.*").orderBy("h", "tag").limit(SAMPLE).collect()
+    ends = np.cumsum([min(r.n + 16, BUCKETS) for r in least])
+    taken = [(r.id, r.tag) for r in least[: max(1, int((ends <= ENTRIES).sum()))]]
+    wanted = F.broadcast(rows.sparkSession.createDataFrame(taken, "_id long, _tag long"))  # SAMPLE rows at most
+    sample = rows.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left_semi").dropDuplicates(["tag"])
+    picked = sample.select("tag", "text").mapInArrow(_sampled, "tag long, votes long, buckets binary, weights binary").collect()
+    picked.sort(key=lambda r: r.tag)
+    train = [(np.frombuffer(r.buckets, "<u2").astype(np.int64), np.frombuffer(r.weights, "<f4").astype(float)) for r in picked]
+    return _fitted(train, np.array([posterior[r.votes] for r in picked])), posterior
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -184,8 +193,9 @@ def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """doc_id, votes, posterior (of its vote pattern), p_good (the scorer's) and keep of every row.
 
     keep is p_good >= 0.5. A null or wordless text is scored on its statistics,
-    all 0, like any other; equal texts get equal scores. An empty table gives no
-    rows. No gold labels are used: those of a label table are for measuring.
+    all 0, like any other; equal texts get equal scores. Null ids and repeated
+    rows are scored like others, other columns are ignored, an empty table gives
+    no rows. No gold labels are used: those of a label table are for measuring.
     """
     spark, rows = docs.sparkSession, _rows(docs, id_col, text_col)
     weights, posterior = fit_quality(rows)
