@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import gru
 from .scratch import stored
-from .textkernel import U, Words, slices
+from .textkernel import U, Words, slices, stretches
 
-#: Words with counts in a broadcast table (4 MB at most), and those of them that the model tells apart; the rest is joined by hash.
+#: Words with counts in a broadcast table (6 MB at most), and those of them that the model tells apart; the rest is joined by hash.
 FREQUENT, VOCABULARY = 1 << 18, 4096
-#: Rounds of fitting and averaging; each goes once over every word of the training documents.
-ROUNDS = 2
+#: Training words of one group, whose models are averaged. Each goes once over every word of its documents.
+GROUP_WORDS = 1 << 22
 #: Words that are fitted or scored at once.
 BATCH = 1 << 21
+#: Numbers of the model in one row of the averaging, and rows that one task of its first step adds up.
+PIECE, LANES = 4096, 64
 END = np.uint64(0x656E64)
 
 
@@ -33,22 +37,26 @@ def _with_end(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n) of a partition, summed as far as memory of a few million words goes."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """(word, n in texts to learn from, n in all) of a partition, summed as far as memory of a few million words goes."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        word, back = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
-        return word, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        words, learned, every = (np.concatenate(x) for x in zip(*held, strict=True))
+        word, back = np.unique(words, return_inverse=True)
+        return word, *(np.bincount(back, x, minlength=len(word)).astype(np.int64) for x in (learned, every))
 
     def out() -> Iterator[pa.RecordBatch]:
-        word, n = merged()
-        for at in range(0, len(word), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(word[at : at + 100_000]), pa.array(n[at : at + 100_000])], names=["word", "n"])
+        columns = merged()
+        for at in range(0, len(columns[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in columns], names=["word", "n", "every"])
 
     for part in slices(batches, "text"):
-        held.append(np.unique(_with_end(Words(part.column("text"), lower=True))[0], return_counts=True))
-        size += len(held[-1][0])
+        words, offsets = _with_end(Words(part.column("text"), lower=True))
+        word, back = np.unique(words, return_inverse=True)
+        learn = np.repeat(part.column("learn").to_numpy(zero_copy_only=False), np.diff(offsets))
+        held.append((word, np.bincount(back, learn, minlength=len(word)), np.bincount(back, minlength=len(word))))
+        size += len(word)
         if size > 3_000_000:
             held = [merged()]
             size = len(held[0][0])
@@ -63,7 +71,7 @@ class Table:
     """Counts of the frequent words by hash, and their numbers in the model's vocabulary."""
 
     def __init__(self, rows: list[tuple[int, int]]):
-        self.lm = np.array([n for _, n in rows[:VOCABULARY]], dtype=np.int64)
+        self.lm = np.array([n for _, n in rows[:VOCABULARY] if n > 0], dtype=np.int64)
         word = np.array([w for w, _ in rows], dtype=np.int64)
         order = np.argsort(word)
         self.word, self.n = word[order], np.array([n for _, n in rows], dtype=np.int64)[order]
@@ -79,12 +87,13 @@ class Table:
 
 
 def _frequent(counts: DataFrame) -> list[tuple[int, int]]:
-    """(word, n) of all words above the least count that leaves FREQUENT of them or fewer, in descending order.
+    """(word, n) of all words above the least count in all documents that leaves FREQUENT of them or fewer, in descending order of n.
 
-    Counts from 1,024 on are told apart by 64 steps for each doubling, so the
-    table that fixes the least one has some thousand rows.
+    So no word outside is in more documents than that count. Counts from 1,024 on
+    are told apart by 64 steps for each doubling, so the table that fixes the
+    least one has some thousand rows.
     """
-    step = F.expr("if(n < 1024, n, 1024 + cast(64 * log2(n / 1024) as bigint))")
+    step = F.expr("if(every < 1024, every, 1024 + cast(64 * log2(every / 1024) as bigint))")
     least, many = 0, 0
     for at, words in sorted(counts.groupBy(step.alias("at")).count().collect(), reverse=True):
         many += words
@@ -95,23 +104,6 @@ def _frequent(counts: DataFrame) -> list[tuple[int, int]]:
     return list(zip(found["word"].tolist(), found["n"].tolist(), strict=True))
 
 
-def _rest(table):
-    """(word, id, tag, times) of words outside the table."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            word, offsets = _with_end(Words(part.column("text"), lower=True))
-            owner = np.repeat(np.arange(part.num_rows), np.diff(offsets))
-            other = np.flatnonzero(~table.value.look(word)[0])
-            order = other[np.lexsort((word[other], owner[other]))]
-            new = np.flatnonzero(np.concatenate([[True], (np.diff(word[order]) != 0) | (np.diff(owner[order]) != 0)])) if len(order) else np.zeros(0, int)
-            times = np.diff(np.append(new, len(order)))
-            rows = pa.array(owner[order[new]])
-            yield pa.RecordBatch.from_arrays([pa.array(word[order[new]]), part.column("id").take(rows), part.column("tag").take(rows), pa.array(times.astype(np.int64))], names=["word", "id", "tag", "times"])
-
-    return run
-
-
 def _streams(batches: Iterator[pa.RecordBatch], table: Table, limit: int = BATCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Numbers of all words and the end of each whole text, and offsets, in blocks of about `limit` words."""
     held, size = [], 0
@@ -126,21 +118,38 @@ def _streams(batches: Iterator[pa.RecordBatch], table: Table, limit: int = BATCH
         yield np.concatenate([x for x, _ in held]), np.concatenate([[0], *(y for _, y in held)]).cumsum()
 
 
+_MODEL = "piece long, lane long, blob binary, weight long"
+
+
+def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate([p[n].ravel() for n in gru.SHAPES]).astype(float)
+
+
+def _model_rows(total: np.ndarray, weight: int, lane: int) -> pa.RecordBatch:
+    """Sums of weighted models, PIECE numbers a row."""
+    blobs = [total[a : a + PIECE].tobytes() for a in range(0, len(total), PIECE)]
+    k = len(blobs)
+    return pa.RecordBatch.from_arrays([pa.array(range(k), pa.int64()), pa.array([lane] * k, pa.int64()), pa.array(blobs, pa.binary()), pa.array([weight] * k, pa.int64())], names=["piece", "lane", "blob", "weight"])
+
+
 def _fitting(table, params):
-    """One partition's model after training on all words of its texts, in pieces, weighted by its words."""
+    """The sum of a partition's models, one a group, each after training on all words of its texts and weighted by their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = 0
+        total, weight = 0, 0
+        for _, group in groupby(stretches(batches, ("grp",)), key=lambda part: part.column("grp")[0].as_py()):
+            words = 0
 
-        def counted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            nonlocal words
-            for block in _streams(batches, table.value):
-                words += len(block[0])
-                yield block
+            def counted(group=group) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                nonlocal words
+                for block in _streams(group, table.value):
+                    words += len(block[0])
+                    yield block
 
-        p = gru.train(params.value, counted())
-        if words:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(gru.SHAPES)), pa.int64()), pa.array([(p[n].astype(float) * words).astype(np.float32).tobytes() for n in gru.SHAPES], pa.binary()), pa.array([words] * len(gru.SHAPES), pa.int64())], names=["piece", "blob", "weight"])
+            p = gru.train(params.value, counted())
+            total, weight = total + _flat(p) * words, weight + words
+        if weight:
+            yield _model_rows(total, weight, TaskContext.get().partitionId() % LANES)
 
     return run
 
@@ -150,37 +159,61 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece, blob, weight in zip(*(batch.column(c).to_pylist() for c in ("piece", "blob", "weight")), strict=True):
             old = sums.setdefault(piece, [0, 0])
-            old[0], old[1] = old[0] + np.frombuffer(blob, np.float32).astype(float), old[1] + weight
+            old[0], old[1] = old[0] + np.frombuffer(blob), old[1] + weight
     if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([(a / w).astype(np.float32).tobytes() for a, w in sums.values()], pa.binary()), pa.array([w for _, w in sums.values()], pa.int64())], names=["piece", "blob", "weight"])
+        blobs, weights = zip(*sums.values(), strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.nulls(len(sums), pa.int64()), pa.array([x.tobytes() for x in blobs], pa.binary()), pa.array(weights, pa.int64())], names=["piece", "lane", "blob", "weight"])
+
+
+def _averaged(models: DataFrame, params: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The mean of the models, weighted by their words."""
+    sums = models.repartition("piece", "lane").mapInArrow(_summed, _MODEL).repartition("piece").mapInArrow(_summed, _MODEL)
+    rows = sorted(sums.select("piece", "blob", "weight").collect())  # one model, 1 MB
+    flat = np.concatenate([np.frombuffer(blob) / weight for _, blob, weight in rows]).astype(np.float32)
+    cuts = np.cumsum([params[n].size for n in gru.SHAPES])[:-1]
+    return params | {n: x.reshape(params[n].shape) for n, x in zip(gru.SHAPES, np.split(flat, cuts), strict=True)}
+
+
+_SCORED = "row long, id long, n_tokens long, known long, logs double, other_logs double, others long, state_score double, words array<long>, times array<long>"
+
+
+def _rare(word: np.ndarray, offsets: np.ndarray, here: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Each text's distinct words outside the table, and how often they occur in it."""
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    other = np.flatnonzero(~here)
+    order = other[np.lexsort((word[other], owner[other]))]
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(word[order]) != 0) | (np.diff(owner[order]) != 0)])) if len(order) else np.zeros(0, int)
+    ends = pa.array(np.searchsorted(owner[order[new]], np.arange(len(offsets))).astype(np.int32))
+    return tuple(pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int64))) for x in (word[order[new]], np.diff(np.append(new, len(order)))))
 
 
 def _scored(table, params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, row = [], 0, TaskContext.get().partitionId() << 33
 
-        def out() -> pa.RecordBatch:
-            ids, tags = (pa.concat_arrays([x[i] for x in held]) for i in (0, 1))
-            offsets = np.concatenate([[0], np.cumsum(np.concatenate([x[2] for x in held]))])
-            number = np.concatenate([x[3] for x in held])
-            local, known = (np.concatenate([x[i] for x in held], axis=-1) for i in (4, 5))
+        def out() -> Iterator[pa.RecordBatch]:
+            offsets = np.concatenate([[0], np.cumsum(np.concatenate([x[1] for x in held]))])
+            number = np.concatenate([x[2] for x in held])
             score = gru.document_scores(params.value, number, offsets) / np.log(10)
-            total = np.concatenate([[0], np.cumsum(number == len(table.value.lm))])
-            columns = [ids, tags, pa.array(np.diff(offsets)), pa.array(known), pa.array(local[0]), pa.array(local[1]), pa.array(total[offsets[1:]] - total[offsets[:-1]]), pa.array(score)]
-            return pa.RecordBatch.from_arrays(columns, names=["id", "tag", "n_tokens", "known", "logs", "other_logs", "others", "state_score"])
+            at = 0
+            for columns, sizes, _ in held:
+                yield pa.RecordBatch.from_arrays([*columns[:7], pa.array(score[at : at + len(sizes)]), *columns[7:]], names=[c.split()[0] for c in _SCORED.split(", ")])
+                at += len(sizes)
 
         for part in slices(batches, "text"):
             word, offsets = _with_end(Words(part.column("text"), lower=True))
             here, n, number = table.value.look(word)
+            other = (number == len(table.value.lm)).astype(np.int64)
             logs = np.log10(n + 1.0)
-            sums = [np.add.reduceat(x, offsets[:-1]) for x in (logs, logs * (number == len(table.value.lm)))]
-            held.append((part.column("id"), part.column("tag"), np.diff(offsets), number, np.stack(sums), np.add.reduceat(here.astype(np.int64), offsets[:-1])))
-            size += len(word)
+            known, others, logs, other_logs = (np.add.reduceat(x, offsets[:-1]) for x in ((n > 0).astype(np.int64), other, logs, logs * other))
+            columns = [pa.array(np.arange(row, row + part.num_rows)), part.column("id"), *map(pa.array, (np.diff(offsets), known, logs, other_logs, others)), *_rare(word, offsets, here)]
+            held.append((columns, np.diff(offsets), number.astype(np.int32)))
+            size, row = size + len(word), row + part.num_rows
             if size > BATCH:
-                yield out()
+                yield from out()
                 held, size = [], 0
         if held:
-            yield out()
+            yield from out()
 
     return run
 
@@ -192,36 +225,39 @@ def score_documents(docs: DataFrame, train_condition: str, id_col: str = "doc_id
     which train_condition, an SQL condition, holds. The model's vocabulary is the
     4,096 most frequent tokens; a word outside has the chance of that class,
     given the state, times its smoothed share of the class, so the chances of all
-    words and one unknown add up to 1. Every word and end of the training
-    documents is fitted once in each round; partitions fit side by side and
-    their models are averaged. Null texts are empty; equal texts score alike;
-    null ids and repeated rows are scored like others.
+    words and one unknown add up to 1. Training documents are dealt to groups of
+    about 4 million words by a hash of id and text; each group fits a model on
+    every word and end of its documents, the state going on through a document,
+    and the models are averaged. So the model depends on the rows alone, but for
+    rounding, not on how they are partitioned. Null texts are empty; equal texts
+    score alike; null ids and repeated rows are scored like others; other columns
+    are ignored; an empty table gives no rows, and where nothing is learned from,
+    every word is unknown.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"), F.coalesce(F.expr(train_condition), F.lit(False)).alias("learn"))
-    counts = stored(rows.where("learn").select("text").mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.coalesce(F.expr(train_condition), F.lit(False)).alias("learn"))
+    counts = rows.select("text", "learn").mapInArrow(_counted, "word long, n long, every long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("every").alias("every"))
+    counts = stored(counts)
+    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     frequent = Table(_frequent(counts))
     table = spark.sparkContext.broadcast(frequent)
     rest_n, rest_v = n - int(frequent.lm.sum()), v - len(frequent.lm)
 
-    learned = rows.where("learn").select("text")
     params = gru.start(frequent.lm, rest_n + rest_v + 1)
-    for _ in range(ROUNDS if n else 0):
-        pieces = learned.mapInArrow(_fitting(table, spark.sparkContext.broadcast(params)), "piece long, blob binary, weight long")
-        for piece, blob, _w in pieces.repartition("piece").mapInArrow(_summed, "piece long, blob binary, weight long").collect():  # one model, about 1 MB
-            name = gru.SHAPES[piece]
-            params[name] = np.frombuffer(blob, np.float32).reshape(params[name].shape)
+    if n:
+        place = F.xxhash64("id", "text")
+        dealt = rows.where("learn").select(F.pmod(place, F.lit(-(-n // GROUP_WORDS))).alias("grp"), place.alias("place"), "text")
+        grouped = dealt.repartition("grp").sortWithinPartitions("grp", "place").select("grp", "text")
+        params = _averaged(grouped.mapInArrow(_fitting(table, spark.sparkContext.broadcast(params)), _MODEL), params)
     model = spark.sparkContext.broadcast(params)
 
-    rest = rows.select("id", "tag", "text").mapInArrow(_rest(table), "word long, id long, tag long, times long")
-    rest = rest.join(counts, "word").groupBy("id", "tag").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rest_logs"), F.sum("times").alias("rest_known"))
-    own = rows.select("id", "tag", "text").mapInArrow(_scored(table, model), "id long, tag long, n_tokens long, known long, logs double, other_logs double, others long, state_score double")
-    own = own.withColumn("copies", F.expr("count(1) over (partition by id, tag)"))  # equal rows share what the join sums up
-    joined = own.alias("o").join(rest.alias("r"), F.col("o.id").eqNullSafe(F.col("r.id")) & (F.col("o.tag") == F.col("r.tag")), "left")
-    rest_logs = F.coalesce(F.col("r.rest_logs") / F.col("copies"), F.lit(0.0))
+    own = stored(rows.select("id", "text").mapInArrow(_scored(table, model), _SCORED))
+    rest = own.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    rest = rest.join(counts.where("n > 0").select("word", "n"), "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rest_logs"), F.sum("times").alias("rest_known"))
+    joined = own.drop("words", "times").join(rest, "row", "left").withColumn("rest_logs", F.coalesce("rest_logs", F.lit(0.0)))
     return joined.select(
-        F.col("o.id").alias("doc_id"), "n_tokens", (F.col("known") + F.coalesce(F.col("r.rest_known") / F.col("copies"), F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("logs") + rest_logs - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"), (F.col("state_score") + F.col("other_logs") + rest_logs - F.col("others") * float(np.log10(rest_n + rest_v + 1))).alias("score"),
+        F.col("id").alias("doc_id"), "n_tokens", (F.col("known") + F.coalesce("rest_known", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("logs") + F.col("rest_logs") - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
+        (F.col("state_score") + F.col("other_logs") + F.col("rest_logs") - F.col("others") * float(np.log10(rest_n + rest_v + 1))).alias("score"),
     )

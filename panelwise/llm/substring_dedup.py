@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import stored
-from .textkernel import U, Words, ngrams, slices
+from .textkernel import U, Words, ngrams, slices, stretches
 
 #: Text of one piece, and of what is hashed at once.
 PIECE_BYTES, PART_BYTES = 8 << 20, 2 << 20
@@ -87,17 +87,6 @@ def _pieced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(_PIECED, [np.full(part.num_rows, piece), part.column("id"), part.column("tag"), part.column("text"), pa.array(np.full(part.num_rows, bytes_ // part.num_rows))])
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
-    """The batches cut where one of the columns changes."""
-    for batch in batches:
-        if batch.num_rows:
-            change = np.zeros(batch.num_rows - 1, dtype=bool)
-            for c in columns:
-                change |= np.diff(batch.column(batch.schema.get_field_index(c)).to_numpy()) != 0
-            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-            yield from (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
-
-
 def _places(words: Words, n: int, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(word at which n words of one text start, that text), for the texts to take."""
     room = np.where(take, np.maximum(words.counts() - n + 1, 0), 0)
@@ -128,7 +117,7 @@ def _full(short: np.ndarray, n: int) -> np.ndarray:
 def _held_by_piece(batches: Iterator[pa.RecordBatch], hashed: Callable, packed: Callable) -> Iterator[pa.RecordBatch]:
     """packed(piece, all that hashed gives of its parts), piece by piece."""
     now, held = None, []
-    for stretch in _stretches(batches, ("piece",)):
+    for stretch in stretches(batches, ("piece",)):
         piece = stretch.column("piece")[0].as_py()
         if piece != now and held:
             yield packed(now, held)
@@ -223,7 +212,7 @@ def _answered(read: Callable, each: Callable):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, answers, ready = None, [], None
-        for stretch in _stretches(batches, ("piece", "role")):
+        for stretch in stretches(batches, ("piece", "role")):
             piece, role = stretch.column("piece")[0].as_py(), stretch.column("role")[0].as_py()
             if piece != now:
                 now, answers, ready = piece, [], None

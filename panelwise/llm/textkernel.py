@@ -131,6 +131,17 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
             at = to
 
 
+def stretches(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """The batches cut where one of the integer columns changes."""
+    for batch in batches:
+        if batch.num_rows:
+            change = np.zeros(batch.num_rows - 1, dtype=bool)
+            for c in columns:
+                change |= np.diff(batch.column(batch.schema.get_field_index(c)).to_numpy()) != 0
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            yield from (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+
+
 def sums_by(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of each run of values modulo 2**64; 0 for an empty one."""
     total = np.concatenate([np.zeros(1, U), np.cumsum(values, dtype=U)])
