@@ -9,17 +9,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; where that is unset, as in tests, a folder of this session."""
+    """The cluster's spark.checkpoint.dir; where that is unset on a local master, as in tests, a folder of this session."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read again, so that a lost executor costs no earlier work."""
+    """df written to the shared folder and read again, so that a lost executor costs no earlier work.
+
+    What is read may be part of a caller's lazy result, so tables stay until the
+    caller calls clear().
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/panelwise/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the tables of stored(); no DataFrame that was built on them can be read afterwards."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/panelwise")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,12 +2,14 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from panelwise.llm import gru
 from panelwise.llm.fingerprints import fingerprints, near_duplicates
@@ -158,18 +160,13 @@ def test_mixing(docs, empty):
     assert mixed(empty).count() == 0
 
 
-def test_sharding(docs, empty):
-    got = shard_documents(docs, 4).collect()
-    slots, where, text = collections.defaultdict(list), collections.defaultdict(set), {r[0]: r[1] or "" for r in rows()}
-    for r in got:
-        slots[r.shard].append(r.slot)
-        where[text[r.doc_id]].add(r.shard)
-        assert (r.size, r.text_crc32) == (len(text[r.doc_id].encode()) + 1, zlib.crc32(text[r.doc_id].encode()))
-    assert all(sorted(x) == list(range(len(x))) for x in slots.values()) and all(len(x) == 1 for x in where.values())
+def least_capacity(texts, shards):
+    """Smallest largest shard of groups of equal texts, in the order of their hash, over all contiguous partitions."""
     groups = collections.Counter()
-    for t in text.values():
-        groups[hashlib.md5(t.encode()).hexdigest()[:4]] += len(t.encode()) + 1
-    sizes = [groups[k] for k in sorted(groups)]
+    for t in texts:
+        groups[t or ""] += len((t or "").encode()) + 1
+    signed = {t: (xxhash.xxh64_intdigest(t.encode(), 42) + 2**63) % 2**64 for t in groups}
+    sizes = [groups[t] for t in sorted(groups, key=signed.get)]
 
     def parts(capacity):
         n, used = 1, 0
@@ -177,23 +174,55 @@ def test_sharding(docs, empty):
             n, used = (n + 1, s) if used + s > capacity else (n, used + s)
         return n
 
-    least = next(c for c in range(max(sizes), sum(sizes) + 1) if parts(c) <= 4)
-    load = collections.Counter()
-    for r in got:
+    low, high = max(sizes), sum(sizes)
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if parts(middle) <= shards else (middle + 1, high)
+    return low
+
+
+def check_shards(rows, texts, shards):
+    slots, where, load = collections.defaultdict(list), collections.defaultdict(set), collections.Counter()
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        slots[r.shard].append(r.slot)
+        where[text].add(r.shard)
         load[r.shard] += r.size
-    assert max(load.values()) == least
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(text.encode()) + 1, zlib.crc32(text.encode()), "bytes", None)
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values()) and all(len(x) == 1 for x in where.values())
+    assert set(slots) <= set(range(shards)) and max(load.values()) == least_capacity([texts[r.doc_id] for r in rows], shards)
+
+
+def test_sharding(docs, empty):
+    check_shards(shard_documents(docs, 4).collect(), {r[0]: r[1] for r in rows()}, 4)
     assert shard_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("shards", [1, 2, 5, 8])
+def test_sharding_opens_cells_with_cuts(spark, shards):
+    rng = np.random.default_rng(shards)
+    texts = {i: "x" * int(n) + str(i) for i, n in enumerate(rng.integers(0, 900, 20_000))}
+    texts |= {i: "a third of the bytes " * 10 for i in range(20_000, 26_000)} if shards == 8 else {}
+    data = [(i, t) for i, t in texts.items()] + [(5, texts[5])] * 3
+    check_shards(shard_documents(spark.createDataFrame(data, "doc_id long, text string").repartition(6), shards).collect(), texts, shards)
+
+
+def test_sharding_of_repeated_rows(spark):
+    data = [(None, None), (1, "a"), (1, "a"), (None, ""), (2, "b" * 50)]
+    got = shard_documents(spark.createDataFrame(data, "doc_id long, text string"), 3).collect()
+    assert len(got) == 5 and sorted(r.size for r in got) == [1, 1, 2, 2, 51]
+    assert len({(r.shard, r.slot) for r in got}) == 5
+
+
 def test_packing(docs, empty):
     import public_tokenizers as tokenizers_files
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizers_files.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    got = pack(docs, tokenizers_files.path("byte_bpe_50k.tiktoken")).collect()
+    text = {r[0]: r[1] or "" for r in rows()} | {10_001: "one <|endoftext|> two<|endoftext|>", 10_002: "<|endoftext"}
+    more = docs.sparkSession.createDataFrame([(i, text[i]) for i in (10_001, 10_002)], "doc_id long, text string")
+    got = pack(docs.select("doc_id", "text").union(more), tokenizers_files.path("byte_bpe_50k.tiktoken")).collect()
     bins, pieces = collections.defaultdict(list), collections.Counter()
-    text = {r[0]: r[1] or "" for r in rows()}
     for r in got:
         ids = np.array([*tokenizer.encode(text[r.doc_id], add_special_tokens=False).ids, 1], "<u4")
         assert (r.ids_crc32, r.doc_tokens) == (zlib.crc32(ids[r.start : r.start + r.length].tobytes()), len(ids))
@@ -206,6 +235,15 @@ def test_packing(docs, empty):
     assert pack(empty, tokenizers_files.path("byte_bpe_50k.tiktoken")).count() == 0
 
 
+def test_packing_of_repeated_rows(spark):
+    import public_tokenizers as tokenizers_files
+
+    data = [(None, None), (1, "a b"), (1, "a b"), (None, "a b"), (2, "word " * 9000)]
+    got = pack(spark.createDataFrame(data, "doc_id long, text string"), tokenizers_files.path("byte_bpe_50k.tiktoken")).collect()
+    assert sorted(r.length for r in got if r.doc_id == 1) == [3, 3] and sorted(r.length for r in got if r.doc_id is None) == [1, 3]
+    assert sum(r.length for r in got if r.doc_id == 2) == next(r.doc_tokens for r in got if r.doc_id == 2) > 2 * 2048
+
+
 def test_packing_gives_the_added_token_its_id():
     import public_tokenizers as tokenizers_files
     from tokenizers import Tokenizer
@@ -314,6 +352,25 @@ def test_lm_scores(spark, empty):
     assert score_documents(empty, "doc_id % 7 <> 2").count() == 0
 
 
+def test_lm_counts_match_brute_force(spark):
+    data = [(r[0], r[1]) for r in rows()] + [(1, "One  one\tZwei"), (1, "One  one\tZwei"), (None, "only here"), (None, None), (9, "only held out " * 50)]
+    got = score_documents(spark.createDataFrame(data, "doc_id long, text string").repartition(4), "doc_id % 3 <> 0").collect()
+    tokens = lambda t: [*words(low(t)), None]
+    count = collections.Counter(w for i, t in data if i is not None and i % 3 for w in tokens(t))
+    n, v = sum(count.values()), len(count)
+    want = sorted((str(i), len(w := tokens(t)), sum(count[x] > 0 for x in w), round(sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w), 6)) for i, t in data)
+    assert sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got) == want
+    assert {r.train_tokens for r in got} == {n} and all(np.isfinite(r.score) for r in got)
+    nothing = score_documents(spark.createDataFrame(data[:5], "doc_id long, text string"), "false").collect()
+    assert all((r.n_known, r.train_tokens) == (0, 0) and np.isfinite(r.score) for r in nothing)
+
+
+def test_lm_scores_do_not_depend_on_partitions(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a, b = ({r.doc_id: r.score for r in score_documents(table.repartition(k), "doc_id % 7 <> 2").collect()} for k in (2, 9))
+    assert a.keys() == b.keys() and all(a[i] == pytest.approx(b[i], rel=1e-4) for i in a)
+
+
 def test_lm_fits_last_words_and_ends(spark):
     rng = np.random.default_rng(8)
     train = [(7 * i, " ".join([*rng.choice(["a", "b", "c"], 300), "z"])) for i in range(400)]
