@@ -29,7 +29,7 @@ from .textkernel import U, Words, set_ids, shingle_sets, slices
 #: Counters of the table that orders n-grams by how common they are, and the pieces it travels in. The table is 2 MB for any corpus.
 COUNTERS, PIECES = 1 << 18, 64
 #: Members of one posting group that one block holds.
-BLOCK = 2048
+BLOCK = 1024
 #: Buckets of the profile that rules out pairs before their sets are compared.
 PROFILE = 256
 #: Pairs tried for two labels of a group before all their other pairs are.
@@ -234,7 +234,7 @@ def _across(percent: int, best: bool):
         side, n = np.array(side), np.array(n)
         labels = np.unique(np.array(label, dtype=object), return_inverse=True)[1]
         profiles = np.frombuffer(b"".join(profile), dtype=np.uint8).reshape(-1, PROFILE).astype(np.int16)
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         found, nearest = [], {}
         for x in left:
             ok = right[(labels[right] != labels[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
@@ -278,15 +278,22 @@ def _across(percent: int, best: bool):
 
 
 def _across_labels(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of posting groups of three and more under several labels, by (token, i, j): each pair of blocks of a group meets once."""
+    """Members of posting groups of three and more under several labels, by (token, i, j).
+
+    One of any two members under different labels is not of the group's most
+    common label. Those (side 0) meet all members (side 1), both in blocks, so a
+    large group of one label and few outliers costs about a row a member.
+    """
     marked = shared.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("token", "sid", "probe", F.coalesce("root", "sid").alias("label"))
-    groups = marked.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m")).where("low <> high and m > 2")
-    left = marked.where("probe <> sid").join(groups.select("token", "m"), "token").join(nodes.select("sid", "n", "profile"), "sid")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    left = left.withColumn("own", F.pmod(F.hash("sid"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    left = left.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "sid", "label", "n", "profile")
-    return left.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    sizes = marked.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
+    groups = sizes.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("m"), F.max("n").alias("most")).where("most < m and m > 2")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("others")
+    members = marked.where("probe <> sid").join(groups.select("token", "main", *blocks), "token").join(nodes.select("sid", "n", "profile"), "sid")
+    own = "pmod(hash(sid), {})".format
+    every = f"transform(sequence(0, others - 1), j -> named_struct('i', {own('blocks')}, 'j', j, 'side', 1))"
+    other = f"if(label = main, cast(array() as array<struct<i: int, j: int, side: int>>), transform(sequence(0, blocks - 1), i -> named_struct('i', i, 'j', {own('others')}, 'side', 0)))"
+    placed = members.withColumn("at", F.explode(F.expr(f"concat({every}, {other})"))).select("token", "at.*", "sid", "label", "n", "profile")
+    return placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, postings=_postings) -> DataFrame:
