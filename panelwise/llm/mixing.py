@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from .scratch import stored
 
+#: Rows of a block, and blocks of a source at most: beyond 16.7 million rows a source its blocks grow with it.
 ROWS_PER_BLOCK, BLOCKS = 256, 1 << 16
+#: The tree's nodes have a number a source, in one row; more sources are refused.
+MOST_SOURCES = 10_000
 _WORD, _BLANK = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]*"
 
 
@@ -70,13 +73,17 @@ def mix_sources(
     never drawn in a partial pass. A source takes floor(target) words: whole
     passes, then documents of the permutation until they are used up, the last
     one cut. A shard's order is that of place. Equal calls give equal results
-    for distinct (doc_id, text); shards must be a power of two.
+    for distinct (doc_id, text); equal rows are drawn each by itself; null ids
+    are drawn like others; an empty table gives no rows. Shards must be a power
+    of two, and sources at most MOST_SOURCES, else it raises.
     """
     skey = F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string")))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), skey.alias("skey"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"), word_count(F.col(text_col)).alias("size"))
     rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()).withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "tag", "size")))
     sizes = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     goal = stored(targets(sizes, weights, total, cap))
+    if goal.count() > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     number = F.least(F.lit(BLOCKS), F.ceil(F.col("rows") / ROWS_PER_BLOCK)).cast("long")
     laid = rows.join(goal, "skey").withColumn("block", F.pmod(F.shiftright("key", 8), number))
     laid = laid.withColumn("ahead", F.expr("sum(size) over (partition by skey, block order by key, uid) - size"))
@@ -115,11 +122,19 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     return rows.join(taken, "uid", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: a row of docs, with all its columns, for every draw of it; the last document of a source may be cut to fewer words."""
-    tagged = docs.withColumn("_tag", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_tag"])
-    draws = mix_sources(docs, **options)[1].select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("words").alias("_words"))
-    drawn = tagged.join(draws, F.col("doc_id").eqNullSafe(F.col("_id")) & (tagged["_tag"] == draws["_tag"]))
-    short = F.array_join(F.slice(F.split(F.regexp_replace("text", "^" + _BLANK, ""), _BLANK[:-1] + "+"), 1, F.greatest(F.col("_words"), F.lit(0)).cast("int")), " ")
-    text = F.when(word_count(F.col("text")) > F.col("_words"), short).otherwise(F.col("text"))
-    return drawn.select(*(text.alias("text") if c == "text" else F.length(text).cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns))
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **options) -> DataFrame:
+    """The mix itself: a row of docs, with all its columns, for every draw of it.
+
+    The last document of a source may be cut to fewer words; length_col, if
+    there, is then its new length. Rows of equal id and text are drawn each by
+    itself, with the other columns of one of them.
+    """
+    drawn = mix_sources(docs, id_col=id_col, text_col=text_col, **options)[1].select(F.col("doc_id").alias("id"), "tag", "words")
+    # A struct, as columns may have any name.
+    tagged = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("own_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("own_tag")).dropDuplicates(["own_id", "own_tag"])
+    rows = tagged.join(drawn, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_tag") == F.col("tag")))
+    old = F.col("row")[text_col]
+    short = F.array_join(F.slice(F.split(F.regexp_replace(old, "^" + _BLANK, ""), _BLANK[:-1] + "+"), 1, F.greatest(F.col("words"), F.lit(0)).cast("int")), " ")
+    cut = word_count(old) > F.col("words")
+    new = {text_col: F.when(cut, short).otherwise(old), length_col: F.when(cut, F.length(short).cast("long")).otherwise(F.col("row")[length_col]) if length_col in docs.columns else None}
+    return rows.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))

@@ -45,11 +45,12 @@ def _prefix(n: int, percent: int) -> int:
     return n - -((-percent * n) // 100) + 1
 
 
-_SIGNED = ["kind", "id", "n", "blob", "profile"]
+_SIGNED = "kind int, id long, tag long, n long, blob binary, profile binary"
 
 
 def _signed(text: str, id_: str, n: int):
-    """Rows (kind 0): id, size, digest and profile of each set. Rows (kind 1): this partition's share of the counters."""
+    """Rows (kind 0): id, tag, size, digest and profile of each set. Rows (kind 1): this partition's share of the counters."""
+    names = [c.split()[0] for c in _SIGNED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.int64)
@@ -60,13 +61,12 @@ def _signed(text: str, id_: str, n: int):
             owner = np.repeat(np.arange(k), np.diff(offsets))
             profile = np.bincount(owner * PROFILE + (values >> U(56)).astype(np.int64), minlength=k * PROFILE)
             profiles = pa.array([row.tobytes() for row in np.minimum(profile, 255).astype(np.uint8).reshape(k, PROFILE)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), part.column(id_), pa.array(np.diff(offsets)), pa.array(set_ids(values, offsets), pa.binary()), profiles], names=_SIGNED)
+            columns = [pa.array(np.zeros(k, np.int32)), part.column(id_), part.column("tag"), pa.array(np.diff(offsets)), pa.array(set_ids(values, offsets), pa.binary()), profiles]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
         if counts.any():
-            pieces = counts.reshape(PIECES, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(PIECES, np.int32)), pa.nulls(PIECES, pa.int64()), pa.array(np.arange(PIECES, dtype=np.int64)), pa.array([p.tobytes() for p in pieces], pa.binary()), pa.nulls(PIECES, pa.binary())],
-                names=_SIGNED,
-            )
+            pieces, nothing = counts.reshape(PIECES, -1), pa.nulls(PIECES, pa.int64())
+            columns = [pa.array(np.ones(PIECES, np.int32)), nothing, nothing, pa.array(np.arange(PIECES)), pa.array([p.tobytes() for p in pieces], pa.binary()), pa.nulls(PIECES, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -296,22 +296,12 @@ def _across_labels(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> Da
     return placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
 
-def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, postings=_postings) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: links join documents with 100 * intersection >= percent * union.
-
-    Words are lower-cased over A-Z. A text of fewer than n words has its whole
-    sequence as one n-gram; a null or wordless text has an empty set, links with
-    nothing and is its own component. component_id is the smallest doc_id that
-    links reach. Repeated rows and ids give a row each; a row with a null id
-    passes through, unlinked, with a null component. Other columns are ignored.
-    postings gives each set the tokens that bring it together with others; the
-    least frequent n-grams lose no link.
-    """
+def _joined(docs: DataFrame, n: int, percent: int, postings) -> tuple[DataFrame, DataFrame]:
+    """(id, tag, n, sid of every row; sid, root, component_id of every set) of rows of id, tag and text; rows without an id are in no set."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = stored(docs.mapInArrow(_signed("text", "id", n), "kind int, id long, n long, blob binary, profile binary"))
+    signed = stored(docs.mapInArrow(_signed("text", "id", n), _SIGNED))
     ranks = spark.sparkContext.broadcast(_common(signed))  # 512 KB
-    rows = signed.where("kind = 0").select("id", "n", F.col("blob").alias("sid"))
+    rows = signed.where("kind = 0").select("id", "tag", "n", F.col("blob").alias("sid"))
     known = signed.where("kind = 0 and blob is not null and id is not null").withColumnRenamed("blob", "sid")
     nodes = stored(known.groupBy("sid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("profile").alias("profile")))
 
@@ -331,6 +321,39 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     member = nodes.select("sid", "rep").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
     least = member.groupBy("root").agg(F.min("rep").alias("component_id"))
-    member = member.join(least, "root").select("sid", "component_id")
+    return rows, member.join(least, "root").select("sid", "root", "component_id")
+
+
+def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"), F.col(text_col).alias("text"))
+
+
+def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, postings=_postings) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row: links join documents with 100 * intersection >= percent * union.
+
+    Words are lower-cased over A-Z. A text of fewer than n words has its whole
+    sequence as one n-gram; a null or wordless text has an empty set, links with
+    nothing and is its own component. component_id is the smallest doc_id that
+    links reach. Repeated rows and ids give a row each; a row with a null id
+    passes through, unlinked, with a null component. Other columns are ignored.
+    postings gives each set the tokens that bring it together with others; the
+    least frequent n-grams lose no link.
+    """
+    rows, member = _joined(_tagged(docs, id_col, text_col), n, percent, postings)
     out = rows.join(member, "sid", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, with all their columns, that stay when one row of each linked group does: that of the smallest id.
+
+    Null ids come last; of rows of one id the text of least hash stays, of equal
+    rows one. Rows whose text is null or wordless link with nothing and all stay.
+    """
+    last = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
+    rows, member = _joined(_tagged(docs.select(last.alias("id"), F.col(text_col)), "id", text_col), n, percent, _postings)
+    kept = rows.join(member, "sid").groupBy("root").agg(F.min(F.struct("id", "tag")).alias("x")).select(F.xxhash64("x.id", "x.tag").alias("key"), F.col("x.tag").alias("tag"))
+    tag, worded = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    whole = docs.where(worded).select(F.struct("*").alias("row"), tag.alias("tag"), F.xxhash64(last, tag).alias("key"))  # a struct, as columns may have any name
+    once = whole.join(kept, ["key", "tag"], "left_semi").withColumn("n", F.expr("row_number() over (partition by key, tag order by tag)")).where("n = 1")
+    return once.select("row.*").unionByName(docs.where(~worded))

@@ -386,3 +386,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cut = _by_piece(near, least).mapInArrow(_removed(window), _CUT)
     whole = found.where("kind = 0").select("id", "tag", "n_words", F.lit(0).cast("long").alias("gone"), "digest", F.lit(None).cast("string").alias("kept_text"))
     return whole.unionByName(cut).select(F.col("id").alias("doc_id"), "n_words", F.col("gone").alias("n_removed"), F.col("digest").alias("kept_sha256"), "kept_text", "tag")
+
+
+def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", window: int = 50) -> DataFrame:
+    """The rows of docs, with all their columns: text_col has the kept words joined by one space where words went, and length_col, if there, its length."""
+    cut = substring_dedup(docs, id_col, text_col, window).where("kept_text is not null").select(F.col("doc_id").alias("id"), "tag", "kept_text").dropDuplicates(["id", "tag"])
+    # A struct, as columns may have any name. Equal rows are cut alike; null ids lose nothing.
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"))
+    new = {text_col: F.coalesce("kept_text", F.col("row")[text_col]), length_col: F.coalesce(F.length("kept_text").cast("long"), F.col("row")[length_col]) if length_col in docs.columns else None}
+    return whole.join(cut, ["id", "tag"], "left").select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))

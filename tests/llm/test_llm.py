@@ -10,14 +10,15 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from panelwise.llm import gru
 from panelwise.llm.fingerprints import fingerprints, near_duplicates
-from panelwise.llm.licenses import KNOWN, known_licenses, license_scan, scan_sql
+from panelwise.llm.licenses import TEXTS, known_licenses, license_scan, scan_sql
 from panelwise.llm.lm_scoring import score_documents
 from panelwise.llm.mixing import mixed, mixed_documents
 from panelwise.llm.neighbours import nearest
-from panelwise.llm.ngram_join import ngram_jaccard_join, trie_matches
+from panelwise.llm.ngram_join import _across_labels, first_of_each, ngram_jaccard_join, trie_matches
 from panelwise.llm.packing import encoder, first_fit_decreasing, pack
 from panelwise.llm.quality import classify_quality, good_documents
 from panelwise.llm.sharding import shard_documents
@@ -90,6 +91,25 @@ def test_null_and_repeated_ids(spark):
     assert sorted((str(r.doc_id), str(r.component_id)) for r in ngram_jaccard_join(df, n=3).collect()) == [("5", "5"), ("5", "5"), ("7", "5"), ("None", "None")]
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    near = a.replace("a59", "z")
+    data = [(5, a, "x"), (5, a, "x"), (7, near, "x"), (5, b, "y"), (None, b, "y"), (None, b, "y"), (None, "alone here", "z"), (None, "alone here", "z"), (9, None, "n"), (9, None, "n"), (8, " ", "n")]
+    got = first_of_each(spark.createDataFrame(data, "doc_id long, text string, _n string").repartition(3)).collect()
+    want = [(5, a, "x"), (5, b, "y"), (None, "alone here", "z"), (9, None, "n"), (9, None, "n"), (8, " ", "n")]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_outliers_of_a_large_group_cost_a_row_a_member(spark):
+    sid = F.expr("cast(lpad(string(id), 16, '0') as binary)")
+    many = spark.range(20_000)
+    shared = many.select(F.lit(1).alias("token"), F.expr("cast(lpad('0', 16, '0') as binary)").alias("probe"), sid.alias("sid"))
+    labels = many.where("id <> 19999").select(sid.alias("node"), F.lit(b"main").alias("root"))
+    nodes = many.select(sid.alias("sid"), F.lit(50).alias("n"), F.lit(bytes(256)).alias("profile"))
+    cells = _across_labels(shared, labels, nodes)
+    assert cells.count() <= 20_100 and cells.where("side = 0").select("sid").distinct().count() == 1
+
+
 def test_trie_shares_paths_and_prunes():
     arrays = [np.array(x, np.uint64) for x in ([1, 2, 3, 4, 5, 6, 7, 8, 9, 10], [1, 2, 3, 4, 5, 6, 7, 8, 9, 11], [1, 2, 20, 21, 22, 23, 24, 25, 26, 27], list(range(1, 41)))]
     assert trie_matches(np.arange(1, 11, dtype=np.uint64), arrays, 80) == [0, 1]
@@ -274,13 +294,19 @@ def test_license_scan(docs, spark, empty):
 
 
 def test_license_files_in_usual_wrapping(spark):
-    isc = next(body for body in KNOWN["ISC"] if body.startswith("Permission "))
-    mit = next(body for body in KNOWN["MIT"] if body.startswith("Permission "))
+    isc, mit, bsd = TEXTS["ISC"], TEXTS["MIT"], TEXTS["BSD-3-Clause"]
     wrapped = isc.replace("above copyright notice", "above\ncopyright notice")
-    files = [f"ISC License\n\nCopyright (c) 2020 A B\n\n{wrapped}\n", f"Copyright A B\n{wrapped}", f"MIT License\n\nCopyright 2020 A\n\n{mit.replace('COPYRIGHT HOLDERS', chr(10) + 'COPYRIGHT HOLDERS')}", isc.replace("above copyright", "above\ncopyright\n")]
+    files = [f"ISC License\n\nCopyright (c) 2020 A B\n\n{wrapped}\n", f"Copyright A B\n{wrapped}", f"MIT License\n\nCopyright 2020 A\n\n{mit.replace('COPYRIGHT HOLDERS', chr(10) + 'COPYRIGHT HOLDERS')}", isc.replace("above copyright", "above\ncopyright\n"), "BSD 3-Clause License\nCopyright (c) 2001, X\nAll rights\n".replace("All rights\n", "") + bsd.replace(" 2. ", "\n2. ")]
     assert all("\ncopyright" in f.lower() or f.startswith("Copyright") for f in files)
     got = license_scan(spark.createDataFrame(list(enumerate(files)), "doc_id long, text string"), known_licenses(spark)).collect()
-    assert sorted((r.doc_id, r.line, r.license) for r in got) == [(0, 0, "ISC"), (1, 0, "ISC"), (2, 0, "MIT"), (3, 0, "ISC")]
+    assert sorted((r.doc_id, r.line, r.license) for r in got) == [(0, 0, "ISC"), (1, 0, "ISC"), (2, 0, "MIT"), (3, 0, "ISC"), (4, 0, "BSD-3-Clause")]
+
+
+def test_license_spellings(spark):
+    known = spark.createDataFrame([("X", "license license v. 2 licence")], "license string, body string")
+    data = [(1, "Licence licence, V.2 LICENSE"), (2, "licence V 2"), (None, "license license v 2 license"), (3, None), (3, "")]
+    got = license_scan(spark.createDataFrame(data, "doc_id long, text string"), known).collect()
+    assert sorted((str(r.doc_id), r.line) for r in got) == [("1", 0), ("1", 1), ("None", 0), ("None", 1)]
 
 
 def test_license_scan_matches_sql(spark):
