@@ -8,47 +8,43 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelwise.llm.mixing import mixed_documents
-from panelwise.llm.ngram_join import ngram_jaccard_join
+from panelwise.llm.ngram_join import first_of_each
 from panelwise.llm.packing import pack
 from panelwise.llm.quality import good_documents
 from panelwise.llm.scratch import stored
-from panelwise.llm.substring_dedup import substring_dedup
+from panelwise.llm.substring_dedup import cut_documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weakly supervised classifier rejects go."""
+    """Rows that the weakly supervised classifier rejects go. Null and empty texts are judged by their statistics, all 0; equal texts alike."""
     return good_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked at 0.8 of five-word shingles, the one with the smallest id stays; null ids are in no group."""
-    kept = ngram_jaccard_join(docs, n=5, percent=80).where("component_id <=> doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """Of each group of rows linked at 0.8 of five-word shingles one stays: the smallest id, null ids last, of equal rows one. Wordless texts all stay."""
+    return first_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words and more that an earlier document has are cut; other texts stay as they are."""
-    cut = substring_dedup(docs).where("kept_text is not null").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "kept_text").dropDuplicates(["_id", "_tag"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_tag"))
-    text = F.coalesce("kept_text", "text")
-    joined = docs.join(cut, same, "left")
-    return joined.select(*(text.alias(c) if c == "text" else F.when(F.col("kept_text").isNull(), F.col(c)).otherwise(F.length("kept_text")).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    """Passages of 50 words and more that a smaller id has are cut; other texts, and those of null ids, stay as they are."""
+    return cut_documents(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the source mix draws them."""
+    """Documents as often as the source mix draws them; null sources are one source, wordless texts come in whole passes only."""
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of 2,048."""
+    """Token pieces in sequences of 2,048; null texts are empty."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("mixing", mixing), ("packing", packing)]
+STAGES = [
+    ("quality", quality), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("mixing", mixing), ("packing", packing),
+]
 #: Trained and hashed stages have no SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
