@@ -63,10 +63,14 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], total: float, cap: float
     return named.withColumn("level", level).withColumn("level", F.expr("max(level) over ()")).select("skey", "source_size", "rows", F.least("most", F.col("level") * F.col("w")).alias("target"))
 
 
+def _source_key(source: Column) -> Column:
+    return F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source.cast("string")))
+
+
 def mix_sources(
     docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), total: float = 1.5, cap: float = 2.0, shards: int = 64, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, draws): uid, doc_id, size, source_size, target of every document; uid, doc_id, tag (xxhash64 of the text), shard, pass, words, place of every draw.
+    """(rows, draws): uid, doc_id, size, source_size, target of every document; uid, doc_id, tag (xxhash64 of the text), skey (its source), shard, pass, words, place of every draw.
 
     Weights repeat along the sources in code-point order, a null source last.
     size is the number of words, 0 for a null text; texts without words are
@@ -77,7 +81,7 @@ def mix_sources(
     are drawn like others; an empty table gives no rows. Shards must be a power
     of two, and sources at most MOST_SOURCES, else it raises.
     """
-    skey = F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string")))
+    skey = _source_key(F.col(source_col))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), skey.alias("skey"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"), word_count(F.col(text_col)).alias("size"))
     rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()).withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "tag", "size")))
     sizes = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
@@ -111,7 +115,7 @@ def mix_sources(
     slots = leaves.select("skey", "shard", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("draw"))
     dealt = draws.join(slots, ["skey", "draw"]).select("skey", "block", "pass", "limit", "shard")
     drawn = laid.join(dealt, ["skey", "block"]).withColumn("words", F.expr("if(limit < 0, size, greatest(0L, least(size, limit - ahead)))")).where("words > 0 or (size = 0 and limit < 0)")
-    drawn = drawn.select("uid", "doc_id", "tag", "shard", "pass", "words", F.xxhash64(F.lit(seed), "shard", "pass", "uid").alias("place"))
+    drawn = drawn.select("uid", "doc_id", "tag", "skey", "shard", "pass", "words", F.xxhash64(F.lit(seed), "shard", "pass", "uid").alias("place"))
     return rows.join(goal, "skey").select("uid", "doc_id", "size", "source_size", "target"), drawn
 
 
@@ -122,17 +126,18 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     return rows.join(taken, "uid", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str = "n_chars", **options) -> DataFrame:
     """The mix itself: a row of docs, with all its columns, for every draw of it.
 
     The last document of a source may be cut to fewer words; length_col, if
-    there, is then its new length. Rows of equal id and text are drawn each by
-    itself, with the other columns of one of them.
+    there, is then its new length. Rows of equal id, text and source are drawn
+    each by itself, with the other columns of one of them.
     """
-    drawn = mix_sources(docs, id_col=id_col, text_col=text_col, **options)[1].select(F.col("doc_id").alias("id"), "tag", "words")
+    drawn = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)[1].select(F.col("doc_id").alias("id"), "tag", "skey", "words")
     # A struct, as columns may have any name.
-    tagged = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("own_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("own_tag")).dropDuplicates(["own_id", "own_tag"])
-    rows = tagged.join(drawn, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_tag") == F.col("tag")))
+    tag = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    tagged = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("own_id"), tag.alias("own_tag"), _source_key(F.col(source_col)).alias("own_skey")).dropDuplicates(["own_id", "own_tag", "own_skey"])
+    rows = tagged.join(drawn, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_tag") == F.col("tag")) & (F.col("own_skey") == F.col("skey")))
     old = F.col("row")[text_col]
     short = F.array_join(F.slice(F.split(F.regexp_replace(old, "^" + _BLANK, ""), _BLANK[:-1] + "+"), 1, F.greatest(F.col("words"), F.lit(0)).cast("int")), " ")
     cut = word_count(old) > F.col("words")
