@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -41,9 +42,10 @@ def p_value_t(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(np.where(ok, incomplete_beta(dd / 2, np.full_like(dd, 0.5), dd / (dd + tt**2)), np.nan)).where(ok.to_numpy(), None)
 
 
-@F.pandas_udf(DoubleType())
-def p_value_norm(z: pd.Series) -> pd.Series:
-    return z.map(lambda v: None if v is None or v != v else math.erfc(abs(v) / math.sqrt(2)))
+def p_value_norm(z: Column | str) -> Column:
+    """2 (1 - N(|z|)), which is the chi-square tail of z * z with one degree."""
+    z = F.col(z) if isinstance(z, str) else z
+    return p_value_chi2(z * z, F.lit(1.0))
 
 
 @F.pandas_udf(DoubleType())
@@ -51,3 +53,32 @@ def p_value_f(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     ok = f.notna() & (f >= 0)
     x, a, b = f.where(ok, 0.0).to_numpy(float), d1.to_numpy(float), d2.to_numpy(float)
     return pd.Series(incomplete_beta(b / 2, a / 2, b / (b + a * x))).where(ok.to_numpy(), None)
+
+
+def upper_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularised upper incomplete gamma function: a series below a + 1, Lentz's continued fraction from there."""
+    a, x = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(a, x))
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        front = np.exp(a * np.log(x) - x - _lgamma(a))
+        low = np.minimum(x, a + 1)
+        term = total = 1 / a
+        for k in range(1, 400):
+            term = term * low / (a + k)
+            total = total + term
+        high = np.maximum(x, a + 1)
+        b = high + 1 - a
+        c, d = np.full_like(b, 1e300), 1 / b
+        h = d
+        for k in range(1, 400):
+            step = -k * (k - a)
+            b = b + 2
+            d = 1 / np.where((v := step * d + b) == 0, 1e-300, v)
+            c = np.where((v := b + step / c) == 0, 1e-300, v)
+            h = h * d * c
+    return np.where(x <= 0, 1.0, np.where(x < a + 1, 1 - front * total, front * h))
+
+
+@F.pandas_udf(DoubleType())
+def p_value_chi2(x: pd.Series, df: pd.Series) -> pd.Series:
+    ok = x.notna() & df.notna() & (x >= 0) & (df > 0)
+    return pd.Series(upper_gamma(df.where(ok, 1.0).to_numpy(float) / 2, x.where(ok, 0.0).to_numpy(float) / 2)).where(ok.to_numpy(), None)

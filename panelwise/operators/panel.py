@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OVER = "over (partition by ticker order by date)"
+#: Cells that a group's values are counted in before they are ranked.
+CELLS = 4096
+#: Names of one block of the pairwise covariance.
+NAMES = 64
 
 
 def simple_returns(prices: DataFrame, k: int = 1, price: str = "adj_close", out: str = "ret") -> DataFrame:
@@ -40,6 +46,48 @@ def forward_returns(prices: DataFrame, horizons: list[int]) -> DataFrame:
     return prices.withColumns({f"fwd_{h}": F.expr(f"lead(adj_close, {h}) {OVER} / adj_close - 1") for h in horizons})
 
 
+def horizon_spreads(deciles: DataFrame, forward: DataFrame, horizons: list[int]) -> DataFrame:
+    """date, horizon, decile_long (10), decile_short (1), decile_spread, quintile_spread (9 and 10 less 1 and 2): means of fwd_<horizon> by date."""
+    rows = deciles.join(forward.select("ticker", "date", *(f"fwd_{h}" for h in horizons)), ["ticker", "date"])
+    long = rows.unpivot(["date", "decile"], [f"fwd_{h}" for h in horizons], "name", "ret").withColumn("horizon", F.expr("cast(substring(name, 5) as int)"))
+    mean = lambda rule: f"avg(if({rule}, ret, null))"
+    out = long.groupBy("date", "horizon").agg(F.expr(mean("decile = 10")).alias("decile_long"), F.expr(mean("decile = 1")).alias("decile_short"), F.expr(f"{mean('decile > 8')} - {mean('decile <= 2')}").alias("quintile_spread"))
+    return out.withColumn("decile_spread", F.col("decile_long") - F.col("decile_short"))
+
+
+def holding_summary(spreads: DataFrame, column: str = "decile_spread") -> DataFrame:
+    """horizon, n, mean, std, sharpe times sqrt(12 / horizon), win_rate of the dates that have a spread."""
+    by = spreads.where(F.col(column).isNotNull()).groupBy("horizon")
+    out = by.agg(F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.avg((F.col(column) > 0).cast("double")).alias("win_rate"))
+    return out.withColumn("sharpe", F.expr("mean / nullif(std, 0) * sqrt(12.0D / horizon)"))
+
+
+def consistent_improvers(scores: DataFrame, column: str, rows: list[int]) -> DataFrame:
+    """Rows whose column is above what it was each of so many rows before."""
+    marked = scores.withColumns({f"_c{k}": F.expr(f"{column} - lag({column}, {k}) {OVER}") for k in rows})
+    return marked.where(" and ".join(f"_c{k} > 0" for k in rows)).drop(*(f"_c{k}" for k in rows))
+
+
+def formation_scores(scores: DataFrame, pillars: dict[str, float], k: int = 12) -> DataFrame:
+    """method, ticker, date, score: the score itself, the weighted pillars and the change ratio over k rows."""
+    weighted = " + ".join(f"{w!r}D * {c}" for c, w in pillars.items())
+    wide = scores.withColumns({"esg_score": F.col("ESG"), "pillar_weighted": F.expr(weighted), "momentum": F.expr(f"ESG / nullif(lag(ESG, {k}) {OVER}, 0) - 1")})
+    return wide.unpivot(["ticker", "date"], ["esg_score", "pillar_weighted", "momentum"], "method", "score").where("score is not null")
+
+
+def quality_momentum(scores: DataFrame, column: str = "ESG", k: int = 12) -> DataFrame:
+    """method, ticker, date, score: half the sample z-score plus a twentieth of the change over k rows, 0 where there is none."""
+    df = zscore(scores, column, sample=True).withColumn("mom", F.expr(f"{column} - lag({column}, {k}) {OVER}"))
+    return df.select(F.lit("quality_momentum").alias("method"), "ticker", "date", F.expr("(z + coalesce(mom, 0) / 10) / 2").alias("score"))
+
+
+def formation_ranks(scored: DataFrame) -> DataFrame:
+    """Rows of method, ticker, date, score with sample z, percentile rank of 100 and decile within method and date."""
+    by = "method, date"
+    ranked = quantile_bucket(percentile_rank(zscore(scored, "score", by, sample=True), "score", by), "score", 10, by, "decile")
+    return ranked.withColumn("pctrank", F.col("pct") * 100).drop("pct")
+
+
 def drawdowns(returns: DataFrame) -> DataFrame:
     """Cumulative return, running maximum of wealth and drawdown of each row."""
     grown = returns.withColumn("wealth", F.expr(f"exp(sum(ln(1 + ret)) {OVER})"))
@@ -55,31 +103,56 @@ def rolling_stats(returns: DataFrame, window: int = 12) -> DataFrame:
     return df.withColumn("roll_sharpe", F.expr("roll_mean / nullif(roll_std, 0) * sqrt(12)")).withColumn("roll_vol", F.expr("roll_std * sqrt(12)"))
 
 
+def _keys(by: str) -> list[str]:
+    return by.split(", ")
+
+
+def _back(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """df with the columns of stats, a row a key; null keys meet null keys. Spark broadcasts stats where it is small, so the panel is not dealt by date."""
+    renamed = stats.select(*(F.col(k).alias(f"_key_{k}") for k in keys), *(c for c in stats.columns if c not in keys))
+    on = [df[k].eqNullSafe(renamed[f"_key_{k}"]) for k in keys]
+    return df.join(renamed, on).drop(*(f"_key_{k}" for k in keys))
+
+
 def percentile_rank(df: DataFrame, column: str, by: str = "date", out: str = "pct") -> DataFrame:
-    """Rank over count with average ranks for ties."""
-    over = f"over (partition by {by} order by {column})"
-    rank = F.expr(f"(rank() {over} + (count(1) over (partition by {by}, {column}) - 1) / 2.0D) / count(1) over (partition by {by})")
-    return df.where(F.col(column).isNotNull()).withColumn(out, rank)
+    """Rank over count with average ranks for ties.
+
+    Rows are counted by value first and values by coarse cells of their order, so
+    the running count of a group is over its few cells, then within each cell.
+    """
+    keys = _keys(by)
+    rows = df.where(F.col(column).isNotNull())
+    ends = rows.groupBy(*keys).agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
+    cell = F.expr(f"cast(floor(({column} - _low) / nullif(_high - _low, 0) * {CELLS - 1}) as int)")
+    counts = _back(rows.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n")), ends, keys).select(*keys, column, "_n", F.coalesce(cell, F.lit(0)).alias("_cell"))
+    cells = counts.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_in"))
+    cells = cells.withColumn("_before", F.expr(f"sum(_in) over (partition by {by} order by _cell) - _in")).withColumn("_all", F.expr(f"sum(_in) over (partition by {by})"))
+    placed = _back(counts, cells.select(*keys, "_cell", "_before", "_all"), [*keys, "_cell"])
+    running = F.expr(f"_before + sum(_n) over (partition by {by}, _cell order by {column})")
+    ranks = placed.withColumn("_upto", running).select(*keys, column, F.expr("(_upto - (_n - 1) / 2.0D) / _all").alias("_pct"))
+    return _back(rows, ranks, [*keys, column]).withColumn(out, F.col("_pct")).drop("_pct")
 
 
 def zscore(df: DataFrame, column: str, by: str = "date", out: str = "z", sample: bool = False) -> DataFrame:
     """Population form divides by 1 where the deviation is 0; the sample form is 0 there."""
-    mean, dev = f"avg({column}) over (partition by {by})", f"stddev_{'samp' if sample else 'pop'}({column}) over (partition by {by})"
-    formula = f"if(coalesce({dev}, 0) > 0, ({column} - {mean}) / nullif({dev}, 0), 0.0D)" if sample else f"({column} - {mean}) / coalesce(nullif({dev}, 0), 1)"
-    return df.withColumn(out, F.expr(formula))
+    keys = _keys(by)
+    stats = df.groupBy(*keys).agg(F.avg(column).alias("_mean"), F.expr(f"stddev_{'samp' if sample else 'pop'}({column})").alias("_dev"))
+    formula = f"if(coalesce(_dev, 0) > 0, ({column} - _mean) / nullif(_dev, 0), 0.0D)" if sample else f"({column} - _mean) / coalesce(nullif(_dev, 0), 1)"
+    return _back(df, stats, keys).withColumn(out, F.expr(formula)).drop("_mean", "_dev")
 
 
 def quantile_bucket(df: DataFrame, column: str, q: int = 10, by: str = "date", out: str = "bucket") -> DataFrame:
     """Bucket 1..q by interpolated quantile edges, closed on the right."""
     points = ", ".join(f"{i / q!r}D" for i in range(1, q))
-    edges = df.groupBy(*by.split(", ")).agg(F.expr(f"percentile({column}, array({points}))").alias("_edges"))
-    return df.join(edges, by.split(", ")).withColumn(out, F.expr(f"1 + size(filter(_edges, e -> e < {column}))")).drop("_edges")
+    edges = df.groupBy(*_keys(by)).agg(F.expr(f"percentile({column}, array({points}))").alias("_edges"))
+    return _back(df, edges, _keys(by)).withColumn(out, F.expr(f"1 + size(filter(_edges, e -> e < {column}))")).drop("_edges")
 
 
 def size_weights(prices: DataFrame) -> DataFrame:
     """price * volume over its date's sum; equal weights where the sum is 0."""
     df = prices.withColumn("_v", F.expr("greatest(coalesce(nullif(adj_close * adj_volume, 0), 0), 0)"))
-    return df.withColumn("weight", F.expr("if(sum(_v) over (partition by date) > 0, _v / nullif(sum(_v) over (partition by date), 0), 1.0D / count(1) over (partition by date))")).drop("_v")
+    sums = df.groupBy("date").agg(F.sum("_v").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    return _back(df, sums, ["date"]).withColumn("weight", F.expr("if(_sum > 0, _v / nullif(_sum, 0), 1.0D / _n)")).drop("_v", "_sum", "_n")
 
 
 def long_signals(scores: DataFrame, columns: list[str]) -> DataFrame:
@@ -155,10 +228,43 @@ def backward_asof(left: DataFrame, right: DataFrame, value: str, keep_unmatched:
     return out if keep_unmatched else out.where(F.col(value).isNotNull())
 
 
+def complete_dates(panel: DataFrame) -> DataFrame:
+    """Rows of the dates on which every ticker of the panel has one."""
+    names = panel.agg(F.count_distinct("ticker").alias("_names"))  # one row
+    full = panel.groupBy("date").agg(F.count_distinct("ticker").alias("_n")).crossJoin(names).where("_n = _names").select("date")
+    return panel.join(full, "date", "left_semi")
+
+
 def pairwise_covariance(panel: DataFrame, value: str = "ret") -> DataFrame:
-    """ticker_i, ticker_j, cov for i <= j over their common dates: a self join on date."""
-    a, b = panel.select("date", F.col("ticker").alias("ticker_i"), F.col(value).alias("x")), panel.select("date", F.col("ticker").alias("ticker_j"), F.col(value).alias("y"))
-    return a.join(b, "date").where("ticker_i <= ticker_j").groupBy("ticker_i", "ticker_j").agg(F.covar_samp("x", "y").alias("cov"), F.count(F.lit(1)).alias("n"))
+    """ticker_i, ticker_j, cov, n for i <= j over their common dates; pairs without a common date are left out.
+
+    Tickers are dealt to blocks of about 64 and a row goes to each pair of blocks
+    with its own, so what is shuffled grows with rows times blocks, not with
+    pairs times dates; each pair of blocks is two matrices in one task.
+    """
+    rows = panel.select("ticker", "date", F.col(value).cast("double").alias("x")).where("x is not null")
+    blocks = F.lit(-(-(panel.select("ticker").distinct().count() or 1) // NAMES))
+    own = F.pmod(F.xxhash64("ticker"), blocks)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1))
+    dealt = rows.withColumn("own", own).withColumn("other", other).select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "ticker", "date", "x")
+    kind = dict(panel.dtypes)["ticker"]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = int(pdf["a"].iloc[0]), int(pdf["b"].iloc[0])
+        wide = pdf.pivot(index="ticker", columns="date", values="x").sort_index()
+        block = pdf.drop_duplicates("ticker").set_index("ticker")["own"].reindex(wide.index).to_numpy()
+        x = wide.to_numpy(float)
+        here = (~np.isnan(x)).astype(float)
+        x = np.where(here > 0, x - np.nanmean(x, axis=1, keepdims=True), 0.0)  # centred, so that nothing cancels
+        n, sums = here @ here.T, x @ here.T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cov = np.where(n > 1, (x @ x.T - sums * sums.T / n) / (n - 1), np.nan)
+        i, j = np.nonzero(np.triu(n > 0) & ((block[:, None] != block[None]) | (a == b)))
+        names = wide.index.to_numpy()
+        return pd.DataFrame({"ticker_i": names[i], "ticker_j": names[j], "cov": cov[i, j], "n": n[i, j].astype(np.int64)})
+
+    out = dealt.groupBy("a", "b").applyInPandas(one, f"ticker_i {kind}, ticker_j {kind}, cov double, n long")
+    return out.withColumn("cov", F.when(~F.isnan("cov"), F.col("cov")))
 
 
 def shrunk(cov: DataFrame, share: float = 0.25) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .panel import backward_asof
+
 
 def capped(df: DataFrame, column: str, cap: float) -> DataFrame:
     return df.withColumn(f"{column}_capped", F.greatest(F.lit(-cap), F.least(F.lit(cap), F.col(column))))
@@ -17,10 +21,38 @@ def premia(factors: DataFrame, history: dict[str, float], weight: float) -> Data
     return means.withColumn("premium", weight * past + (1 - weight) * F.col("sample"))
 
 
-def expected_returns(betas: DataFrame, rates: DataFrame, market_premium: float, caps: tuple[float, float] = (3.0, 5.0)) -> DataFrame:
-    """RF + beta * premium per month and compounded per year; betas (ticker, date, beta), rates by date."""
-    df = capped(betas.join(rates, "date"), "beta", caps[0]).withColumn("rf", F.col("rate") / 1200)
-    return df.withColumn("er_monthly", F.col("rf") + F.col("beta_capped") * F.lit(market_premium)).withColumn("er_annual", F.pow(1 + F.col("er_monthly"), 12) - 1)
+def latest(df: DataFrame, by: str = "ticker") -> DataFrame:
+    """The row of the last date of each series."""
+    rest = [c for c in df.columns if c != by]
+    return df.groupBy(by).agg(F.max_by(F.struct(*rest), "date").alias("_r")).select(by, "_r.*")
+
+
+def expected_returns(betas: DataFrame, rates: DataFrame, premia: DataFrame, caps: tuple[float, float] | None = (3.0, 5.0), constant: bool = False) -> DataFrame:
+    """ticker, date, beta_date, both betas as they are and capped, rf, er_monthly, er_annual (compounded) for every date of rates.
+
+    betas has ticker, date, beta_market, beta_score; rates date and rate in
+    annual percent; premia one row of market and score, monthly. A date takes the
+    last betas at or before it and is left out before a ticker's first, but a
+    ticker of one row, and every ticker if `constant` (then by its last row), has
+    the same betas at all dates. caps None leaves betas as they are.
+    """
+    betas = latest(betas) if constant else betas
+    one = betas.groupBy("ticker").agg(F.count(F.lit(1)).alias("_n"))
+    value = F.struct(F.col("date").alias("beta_date"), F.col("beta_market").cast("double").alias("beta_market"), F.col("beta_score").cast("double").alias("beta_score"))
+    since = F.when(F.col("_n") == 1, F.lit("0001-01-01").cast("date")).otherwise(F.col("date"))
+    known = betas.join(one, "ticker").select("ticker", since.alias("date"), value.alias("_b"))
+    asked = one.select("ticker").crossJoin(rates.select("date", (F.col("rate") / 1200).alias("rf")).crossJoin(F.broadcast(premia.select(F.col("market").alias("_lm"), F.col("score").alias("_le")))))  # one row of premia
+    rows = backward_asof(asked, known, "_b").select("ticker", "date", "rf", "_lm", "_le", "_b.*")
+    for column, cap in zip(("beta_market", "beta_score"), caps or (None, None), strict=True):
+        rows = rows.withColumn(f"{column}_capped", F.col(column)) if cap is None else capped(rows, column, cap)
+    rows = rows.withColumn("er_monthly", F.expr("rf + beta_market_capped * _lm + beta_score_capped * _le")).drop("_lm", "_le")
+    return rows.withColumn("er_annual", F.pow(1 + F.col("er_monthly"), 12) - 1)
+
+
+def contributions(er: DataFrame, premia: DataFrame) -> DataFrame:
+    """ticker, date, rf_part, market_part, score_part: twelve times the parts of the latest expected return."""
+    last = latest(er).crossJoin(F.broadcast(premia.select("market", "score")))  # one row
+    return last.select("ticker", "date", (F.col("rf") * 12).alias("rf_part"), F.expr("beta_market_capped * market * 12").alias("market_part"), F.expr("beta_score_capped * score * 12").alias("score_part"))
 
 
 def ewma(returns: DataFrame, center: int = 36, least: int | None = None) -> DataFrame:
@@ -43,43 +75,139 @@ def to_grand_mean(means: DataFrame, strength: float = 0.3) -> DataFrame:
     return means.crossJoin(means.agg(F.avg("mean").alias("_g"))).withColumn("bayes", (1 - strength) * F.col("mean") + strength * F.col("_g")).drop("_g")
 
 
-def bootstrap(returns: DataFrame, resamples: int = 200, confidence: float = 0.95, seed: int = 5) -> DataFrame:
-    """ticker, mean, std_error, low, high over resamples of each ticker's rows; draws are a seeded hash, so reruns agree.
+def rolling_mean_returns(returns: DataFrame, window: int = 60, method: str = "historical") -> DataFrame:
+    """ticker, date, estimate (annual) of each full window: the plain mean, or the exponentially weighted one of span window // 2."""
+    over = f"over (partition by ticker order by date rows between {window - 1} preceding and current row)"
+    if method == "historical":
+        estimate = f"avg(ret) {over}"
+    elif method == "ewma":
+        keep = 1 - 2 / (window // 2 + 1)
+        weighed = f"aggregate(collect_list(ret) {over}, named_struct('s', 0.0D, 'w', 0.0D), (a, x) -> named_struct('s', a.s * {keep!r}D + x, 'w', a.w * {keep!r}D + 1), a -> a.s / a.w)"
+        estimate = weighed
+    else:
+        raise ValueError(f"neither historical nor ewma: {method}")
+    rows = returns.where("ret is not null").withColumn("_n", F.expr(f"count(1) {over}")).withColumn("estimate", F.expr(f"{estimate}") * 12)
+    return rows.where(F.col("_n") == window).select("ticker", "date", "estimate")
 
-    Resamples are generated and averaged on Spark: (ticker, resample) is the key
-    of every aggregate, so no history leaves its partition whole.
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """31-bit integers mixed by shifts and products, in arithmetic that SQL can repeat."""
+    for _ in range(2):
+        h = ((h ^ (h >> 16)) * 73244475) % (1 << 31)
+    return h
+
+
+def bootstrap(returns: DataFrame, resamples: int = 1000, confidence: float = 0.95, lookback: int | None = None, seed: int = 5) -> DataFrame:
+    """ticker, mean, std_error, low, high (annual) over resamples of each ticker's rows; draws are a seeded hash, so reruns agree.
+
+    A ticker's history, or its last `lookback` rows, is one group and is drawn
+    from where it lies; null returns are left out.
     """
-    rows = returns.withColumn("i", F.expr("row_number() over (partition by ticker order by date) - 1")).withColumn("n", F.expr("count(1) over (partition by ticker)"))
-    draws = rows.select("ticker", "i", "n").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1)))).withColumn("i", F.pmod(F.xxhash64(F.lit(seed), "ticker", "i", "b"), "n"))
-    means = draws.join(rows.select("ticker", "i", "ret"), ["ticker", "i"]).groupBy("ticker", "b").agg((F.avg("ret") * 12).alias("m"))
-    tail = (1 - confidence) / 2
-    return means.groupBy("ticker").agg(F.avg("m").alias("mean"), F.stddev_samp("m").alias("std_error"), F.percentile("m", F.lit(tail)).alias("low"), F.percentile("m", F.lit(1 - tail)).alias("high"))
+    rows = (returns if lookback is None else last_rows(returns, lookback)).where("ret is not null")
+    kind = dict(rows.dtypes)["ticker"]
+    number = F.col("ticker").cast("long") if kind in ("int", "bigint", "smallint", "tinyint") else F.pmod(F.xxhash64("ticker"), F.lit(1 << 31))
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        rets = pdf.sort_values("date")["ret"].to_numpy(float)
+        n, own, means = len(rets), int(pdf["_h"].iloc[0]), []
+        step = max(1, (1 << 22) // n)
+        for first in range(0, resamples, step):
+            b = np.arange(first, min(first + step, resamples), dtype=np.int64)[:, None]
+            place = _mixed(((b * 1000 + np.arange(n)) * 7919 + own * 104729 + seed) % (1 << 31)) % n
+            means.append(rets[place].mean(axis=1) * 12)
+        m, tail = np.concatenate(means), (1 - confidence) / 2
+        low, high = np.quantile(m, [tail, 1 - tail])
+        return pd.DataFrame({"ticker": pdf["ticker"].iloc[:1], "mean": m.mean(), "std_error": m.std(ddof=1), "low": low, "high": high})
+
+    dealt = rows.select("ticker", "date", "ret", number.alias("_h")).repartition(returns.sparkSession.sparkContext.defaultParallelism, "ticker")  # small rows, much work
+    return dealt.groupBy("ticker").applyInPandas(one, f"ticker {kind}, mean double, std_error double, low double, high double")
+
 
+def out_of_sample(estimates: DataFrame, test: DataFrame) -> DataFrame:
+    """method, n, mse, mae, rmse of annual estimates (method, ticker, value) against the realised means of test rows."""
+    err = estimates.join(test.groupBy("ticker").agg((F.avg("ret") * 12).alias("real")), "ticker").withColumn("e", F.col("value") - F.col("real"))
+    return err.groupBy("method").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("e") * F.col("e")).alias("mse"), F.avg(F.abs("e")).alias("mae"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"))
 
-def evaluate(weights: DataFrame, moments: DataFrame, cov: DataFrame, rf: float) -> DataFrame:
-    """portfolio, exp_return, variance, sharpe of weights (portfolio, ticker, weight) for all portfolios at once; cov has i <= j."""
-    a, b = weights.select("portfolio", F.col("ticker").alias("ticker_i"), F.col("weight").alias("wi")), weights.select("portfolio", F.col("ticker").alias("ticker_j"), F.col("weight").alias("wj"))
-    parts = cov.join(a, "ticker_i").join(b, ["portfolio", "ticker_j"]).withColumn("v", F.col("wi") * F.col("wj") * F.col("cov") * F.when(F.col("ticker_i") == F.col("ticker_j"), 1).otherwise(2))
-    risk = parts.groupBy("portfolio").agg(F.sum("v").alias("variance"))
-    mean = weights.join(moments, "ticker").groupBy("portfolio").agg(F.sum(F.col("weight") * F.col("mean")).alias("exp_return"))
-    return mean.join(risk, "portfolio").withColumn("sharpe", F.expr(f"(exp_return - {rf!r}D) / nullif(sqrt(variance), 0)"))
 
+def common_names(*tables: DataFrame) -> DataFrame:
+    """Tickers that all tables have."""
+    first, *rest = (t.select("ticker").distinct() for t in tables)
+    for other in rest:
+        first = first.join(other, "ticker", "left_semi")
+    return first
 
-def constraints(weights: DataFrame, sectors: DataFrame, name_cap: float, sector_cap: float) -> DataFrame:
-    """Per portfolio: sum of weights, negative weights, names and sectors above their caps, active names, and whether all hold."""
+
+def check_units(df: DataFrame, column: str, most: float = 1.0) -> DataFrame:
+    """df; reading it raises where a monthly value lies outside [-most, most]."""
+    ok = F.col(column).isNull() | F.col(column).between(-most, most)
+    return df.withColumn(column, F.when(ok, F.col(column)).otherwise(F.raise_error(F.concat(F.lit(f"{column} is not a monthly decimal: "), F.col(column).cast("string"))).cast("double")))
+
+
+def evaluate(weights: DataFrame, returns: DataFrame, rf: float, exposures: DataFrame | None = None, benchmark: DataFrame | None = None) -> DataFrame:
+    """portfolio, exp_return, variance, sharpe, exposure, tracking_error, active_return (monthly) of all portfolios at once.
+
+    weights (portfolio, ticker, weight) meet returns (ticker, date, ret) once:
+    w'Sw is the variance of the portfolio's own return, over the dates on which
+    all its names have one. exposures has ticker, exposure, 0 where absent;
+    benchmark ticker, weight, of which a portfolio's own names count.
+    """
+    spark = weights.sparkSession
+    exposures = spark.createDataFrame([], "ticker long, exposure double") if exposures is None else exposures
+    bench = spark.createDataFrame([], "ticker long, weight double") if benchmark is None else benchmark
+    own = weights.join(exposures, "ticker", "left").join(bench.select("ticker", F.col("weight").alias("b")), "ticker", "left").na.fill(0.0, ["exposure", "b"])
+    own = own.withColumn("names", F.expr("count(1) over (partition by portfolio)")).join(returns.groupBy("ticker").agg(F.avg("ret").alias("mu")), "ticker")
+    of_names = own.groupBy("portfolio").agg(F.expr("sum(weight * mu)").alias("exp_return"), F.expr("sum(weight * exposure)").alias("exposure"), F.expr("sum((weight - b) * mu)").alias("active_return"))
+    by_date = own.join(returns.select("ticker", "date", "ret"), "ticker").groupBy("portfolio", "date").agg(F.count("ret").alias("n"), F.first("names").alias("names"), F.expr("sum(weight * ret)").alias("r"), F.expr("sum((weight - b) * ret)").alias("d"))
+    risk = by_date.where("n = names").groupBy("portfolio").agg(F.var_samp("r").alias("variance"), F.stddev_samp("d").alias("tracking_error"))
+    out = of_names.join(risk, "portfolio").withColumn("sharpe", F.expr(f"(exp_return - {rf!r}D) / nullif(sqrt(variance), 0)"))
+    return out.select("portfolio", "exp_return", "variance", "sharpe", "exposure", "tracking_error", "active_return")
+
+
+def constraints(weights: DataFrame, sectors: DataFrame, name_cap: float, sector_cap: float, exposures: DataFrame | None = None, band: tuple[float, float] | None = None) -> DataFrame:
+    """Per portfolio: sum of weights, negative weights, names and sectors above their caps, active names, exposure outside its band, and whether all hold.
+
+    exposures has ticker, exposure, 0 where absent; without a band it is not looked at.
+    """
     by_sector = weights.join(sectors, "ticker", "left").groupBy("portfolio", "sector").agg(F.sum("weight").alias("w"))
     over = by_sector.groupBy("portfolio").agg(F.count_if(F.col("w") > sector_cap + 1e-9).alias("sectors_over"))
-    own = weights.groupBy("portfolio").agg(F.sum("weight").alias("total"), F.count_if(F.col("weight") < -1e-9).alias("negative"), F.count_if(F.col("weight") > name_cap + 1e-9).alias("names_over"), F.count_if(F.abs("weight") > 1e-6).alias("active"))
-    return own.join(over, "portfolio").withColumn("feasible", F.expr("abs(total - 1) < 1e-6 and negative = 0 and names_over = 0 and sectors_over = 0"))
+    exposed = weights.withColumn("exposure", F.lit(0.0)) if exposures is None else weights.join(exposures, "ticker", "left")
+    low, high = band or (float("-inf"), float("inf"))
+    total = F.coalesce(F.sum(F.col("weight") * F.col("exposure")), F.lit(0.0))
+    own = exposed.groupBy("portfolio").agg(
+        F.sum("weight").alias("total"), F.count_if(F.col("weight") < -1e-9).alias("negative"), F.count_if(F.col("weight") > name_cap + 1e-9).alias("names_over"),
+        F.count_if(F.abs("weight") > 1e-6).alias("active"), (~total.between(low - 1e-9, high + 1e-9)).alias("outside_band"),
+    )
+    return own.join(over, "portfolio").withColumn("feasible", F.expr("abs(total - 1) < 1e-6 and negative = 0 and names_over = 0 and sectors_over = 0 and not outside_band"))
 
 
-def frontier(stats: DataFrame, feasible: DataFrame, gammas: list[float]) -> DataFrame:
-    """The feasible portfolio of largest mean - gamma / 2 * variance, for each gamma."""
+def turnover(weights: DataFrame, previous: DataFrame) -> DataFrame:
+    """portfolio, turnover: the sum of |w - previous| over all names of either; previous has ticker, weight."""
+    before = previous.select("ticker", F.col("weight").alias("p"))
+    all_before = before.agg(F.coalesce(F.sum(F.abs("p")), F.lit(0.0)).alias("all"))  # one row
+    moved = weights.join(before, "ticker", "left").groupBy("portfolio").agg(F.expr("sum(abs(weight - coalesce(p, 0)) - abs(coalesce(p, 0)))").alias("moved"))
+    return moved.crossJoin(all_before).select("portfolio", F.expr("moved + all").alias("turnover"))
+
+
+def frontier(stats: DataFrame, feasible: DataFrame, gammas: list[float], costs: DataFrame | None = None, cost: float = 0.0) -> DataFrame:
+    """The feasible portfolio of largest mean - gamma / 2 * variance - cost * turnover, for each gamma; costs has portfolio, turnover."""
     grid = stats.join(feasible.where("feasible").select("portfolio"), "portfolio").crossJoin(F.broadcast(stats.sparkSession.createDataFrame([(g,) for g in gammas], "gamma double")))
-    scored = grid.withColumn("utility", F.expr("exp_return - gamma / 2 * variance"))
+    grid = grid.withColumn("turnover", F.lit(0.0)) if costs is None else grid.join(costs, "portfolio")
+    scored = grid.withColumn("utility", F.expr(f"exp_return - gamma / 2 * variance - {cost!r}D * turnover"))
     return scored.groupBy("gamma").agg(F.max_by("portfolio", F.struct("utility", "portfolio")).alias("portfolio"), F.max("utility").alias("utility"))
 
 
+def two_asset_grid(df: DataFrame, ret: str = "ret", market: str = "mkt", rf: str = "rf", points: int = 1000) -> DataFrame:
+    """Per ticker: of `points` weights from 0 to 1 on it, the rest on the market, the one of best Sharpe ratio, and what diversification gains.
+
+    benefit is the weighted mean of both deviations less the mix's own, at that weight.
+    """
+    stats = df.groupBy("ticker").agg(F.avg(ret).alias("m"), F.avg(market).alias("mm"), F.avg(rf).alias("f"), F.var_samp(ret).alias("v"), F.var_samp(market).alias("vm"), F.covar_samp(ret, market).alias("c"))
+    risk = "sqrt(w * w * v + (1 - w) * (1 - w) * vm + 2 * w * (1 - w) * c)"
+    grid = stats.withColumn("w", F.explode(F.expr(f"transform(sequence(0, {points - 1}), x -> x / {float(points - 1)!r}D)"))).withColumn("risk", F.expr(risk))
+    grid = grid.withColumn("sh", F.expr("(w * m + (1 - w) * mm - f) / nullif(risk, 0)")).withColumn("benefit", F.expr("w * sqrt(v) + (1 - w) * sqrt(vm) - risk"))
+    return grid.groupBy("ticker").agg(F.max_by(F.struct("w", "benefit"), F.struct("sh", "w")).alias("best"), F.max("sh").alias("sharpe")).select("ticker", F.col("best.w").alias("weight"), "sharpe", "best.benefit")
+
+
 def concentration(weights: DataFrame) -> DataFrame:
     ranked = weights.withColumn("_n", F.expr("row_number() over (partition by portfolio order by weight desc, ticker)"))
     return ranked.groupBy("portfolio").agg(*(F.sum(F.when(F.col("_n") <= k, F.col("weight"))).alias(f"top_{k}") for k in (5, 10, 20)))

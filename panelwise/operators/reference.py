@@ -89,6 +89,13 @@ def extents(panel: DataFrame) -> DataFrame:
     return panel.groupBy("ticker").agg(F.min("date").alias("actual_start"), F.max("date").alias("actual_end"), F.count(F.lit(1)).alias("records"))
 
 
+def last_date_distribution(panel: DataFrame, k: int = 10) -> DataFrame:
+    """date, n, percent: how many tickers end on each of the k latest of their last dates."""
+    ends = extents(panel).groupBy(F.col("actual_end").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    every = ends.agg(F.sum("n").alias("_all"))  # one row
+    return ends.crossJoin(every).select("date", "n", (F.col("n") * 100 / F.col("_all")).alias("percent")).orderBy(F.desc("date")).limit(k)
+
+
 def gap_check(required: DataFrame, panel: DataFrame, freq: str = "monthly") -> DataFrame:
     """Coverage of each required period (ticker, start_date, end_date): status, missing days at both ends and what to fetch.
 
@@ -113,6 +120,15 @@ def coverage(checked: DataFrame, slack: int = 3) -> DataFrame:
     return out.withColumn("status", F.when(F.col("complete") == F.col("periods"), "complete").when(F.col("missing") == F.col("periods"), "missing").otherwise("partial"))
 
 
+def frequency_coverage(required: DataFrame, panels: dict[str, DataFrame]) -> DataFrame:
+    """coverage() of the required periods by each frequency's own panel, with its tolerance, as rows of freq."""
+    each = [coverage(gap_check(required, panel, freq)).withColumn("freq", F.lit(freq)) for freq, panel in panels.items()]
+    out = each[0]
+    for other in each[1:]:
+        out = out.unionByName(other)
+    return out
+
+
 def month_continuity(panel: DataFrame, start: str | None = None) -> DataFrame:
     """Expected and present months between each ticker's first and last, gap percent and the first ten missing months."""
     months = panel.select("ticker", F.trunc("date", "MM").alias("month")).distinct()

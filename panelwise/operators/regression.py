@@ -9,70 +9,211 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import stars
+from ..functions.pvalues import incomplete_beta
 
-def rolling_ols(df: DataFrame, y: str, x: str, window: int = 60) -> DataFrame:
-    """ticker, date, beta, alpha (annual), r_squared, errors, t statistics, observations, correlation; full windows only."""
-    frame = f"over (partition by ticker order by date rows between {window - 1} preceding and current row)"
-    df = df.where(f"{y} is not null and {x} is not null").withColumns({
-        "observations": F.expr(f"count(1) {frame}"), "beta": F.expr(f"regr_slope({y}, {x}) {frame}"), "_a": F.expr(f"regr_intercept({y}, {x}) {frame}"),
-        "_sxx": F.expr(f"regr_sxx({y}, {x}) {frame}"), "_syy": F.expr(f"regr_syy({y}, {x}) {frame}"), "_mx": F.expr(f"avg({x}) {frame}"), "correlation": F.expr(f"corr({y}, {x}) {frame}"),
-    })
-    df = df.where(f"observations = {window} and _sxx > 0").withColumn("_s2", F.expr("greatest(_syy - beta * beta * _sxx, 0) / (observations - 2)"))
-    df = df.withColumn("std_error_beta", F.expr("sqrt(_s2 / _sxx)")).withColumn("_sea", F.expr("sqrt(_s2 * (1.0D / observations + _mx * _mx / _sxx))"))
-    return df.select(
+
+def rolling_sums(df: DataFrame, sums: dict[str, str], window: int, by: str = "ticker") -> DataFrame:
+    """df with n rows in the window and the sums of SQL expressions over them, for the last `window` rows of each series.
+
+    Differences of running sums: a row costs the same whatever the window is.
+    Expressions should be centred, as what lies before the window cancels.
+    """
+    over = f"over (partition by {by} order by date"
+    running = df.withColumns({"_at": F.expr(f"row_number() {over})")} | {f"_run_{c}": F.expr(f"sum({e}) {over} rows between unbounded preceding and current row)") for c, e in sums.items()})
+    cut = {c: F.expr(f"_run_{c} - coalesce(lag(_run_{c}, {window}) {over}), 0)") for c in sums}
+    return running.withColumns({"n": F.least("_at", F.lit(window)).cast("long")} | cut).drop("_at", *(f"_run_{c}" for c in sums))
+
+
+def _centred(df: DataFrame, columns: dict[str, str], by: str = "ticker") -> DataFrame:
+    """df with each column less its mean over the series, and that mean as m_<name>."""
+    df = df.withColumns({f"m_{c}": F.expr(f"avg({e}) over (partition by {by})") for c, e in columns.items()})
+    return df.withColumns({c: F.expr(f"{e} - m_{c}") for c, e in columns.items()})
+
+
+def rolling_ols(df: DataFrame, y: str, x: str, window: int = 60, least: int | None = None) -> DataFrame:
+    """ticker, date, beta, alpha (annual), r_squared, errors, t statistics, observations, correlation.
+
+    Windows of fewer than `least` rows, all but full ones if it is None, give no
+    row, nor do windows in which x does not vary.
+    """
+    rows = _centred(df.where(f"{y} is not null and {x} is not null").select("ticker", "date", y, x), {"_y": y, "_x": x})
+    rows = rolling_sums(rows, {"_sy": "_y", "_sx": "_x", "_qy": "_y * _y", "_qx": "_x * _x", "_p": "_x * _y"}, window)
+    rows = rows.withColumns({"_sxx": F.expr("_qx - _sx * _sx / n"), "_syy": F.expr("greatest(_qy - _sy * _sy / n, 0)"), "_sxy": F.expr("_p - _sx * _sy / n")})
+    rows = rows.where(f"n >= {window if least is None else least} and _sxx > 1e-12 * _qx").withColumn("beta", F.expr("_sxy / _sxx"))
+    rows = rows.withColumns({"_mx": F.expr("m__x + _sx / n"), "_a": F.expr("m__y + _sy / n - beta * (m__x + _sx / n)"), "correlation": F.expr("_sxy / nullif(sqrt(_sxx * _syy), 0)")})
+    rows = rows.withColumn("_s2", F.expr("greatest(_syy - beta * beta * _sxx, 0) / (n - 2)"))
+    rows = rows.withColumn("std_error_beta", F.expr("sqrt(_s2 / _sxx)")).withColumn("_sea", F.expr("sqrt(_s2 * (1.0D / n + _mx * _mx / _sxx))"))
+    return rows.select(
         "ticker", "date", "beta", (F.col("_a") * 12).alias("alpha"), F.expr("correlation * correlation").alias("r_squared"), "std_error_beta", (F.col("_sea") * 12).alias("std_error_alpha"),
-        F.expr("beta / nullif(std_error_beta, 0)").alias("t_stat_beta"), F.expr("_a / nullif(_sea, 0)").alias("t_stat_alpha"), F.col("observations").cast("long").alias("observations"), "correlation",
-    )
+        F.expr("beta / nullif(std_error_beta, 0)").alias("t_stat_beta"), F.expr("_a / nullif(_sea, 0)").alias("t_stat_alpha"), F.col("n").alias("observations"), "correlation",
+    )
+
+
+def beta_stability(betas: DataFrame) -> DataFrame:
+    """ticker, variation (deviation over mean), its band, dates of the extremes, trend a row, last 12 against earlier rows, share significant; more than 12 rows."""
+    over = "over (partition by ticker order by date{})"
+    ix = betas.withColumns({"i": F.expr(f"row_number() {over.format('')}"), "back": F.expr(f"row_number() {over.format(' desc')}")})
+    out = ix.groupBy("ticker").agg(
+        F.expr("stddev_samp(beta) / nullif(abs(avg(beta)), 0)").alias("variation"), F.min_by("date", "beta").alias("low_date"), F.max_by("date", "beta").alias("high_date"),
+        F.expr("regr_slope(beta, i)").alias("trend"), F.expr("avg(if(back <= 12, beta, null)) - avg(if(back > 12, beta, null))").alias("recent_change"),
+        F.expr("count_if(abs(t_stat_beta) > 1.96) / count(1)").alias("significant"), F.count(F.lit(1)).alias("n"),
+    )
+    band = F.when(F.col("variation") < 0.1, "very stable").when(F.col("variation") < 0.2, "stable").when(F.col("variation") < 0.3, "moderate").when(F.col("variation").isNotNull(), "unstable")
+    return out.where("n > 12").withColumn("band", band)
 
 
 def static_ols(df: DataFrame, y: str, x: str, least: int = 24) -> DataFrame:
-    """beta, alpha, r_squared of each ticker; null with fewer than `least` rows."""
-    by = df.where(f"{y} is not null and {x} is not null").groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), F.expr(f"regr_slope({y}, {x})").alias("beta"), F.expr(f"regr_intercept({y}, {x})").alias("alpha"), F.expr(f"regr_r2({y}, {x})").alias("r_squared"))
-    return by.withColumns({c: F.when(F.col("n") >= least, F.col(c)) for c in ("beta", "alpha", "r_squared")})
+    """ticker, n, beta, alpha, r_squared; these are null with fewer than `least` rows."""
+    fit = {"beta": f"regr_slope({y}, {x})", "alpha": f"regr_intercept({y}, {x})", "r_squared": f"regr_r2({y}, {x})"}
+    by = df.where(f"{y} is not null and {x} is not null").groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), *(F.expr(e).alias(c) for c, e in fit.items()))
+    return by.withColumns({c: F.when(F.col("n") >= least, F.col(c)) for c in fit})
+
+
+def change_beta_outcomes(universe: DataFrame, excess: DataFrame, scores: DataFrame, column: str, least: int = 24) -> DataFrame:
+    """ticker, outcome, n, beta of every name: excess returns on the score's change ratio to the row before.
+
+    outcome is no price, no score, insufficient (fewer than `least` common rows) or success.
+    """
+    change = scores.withColumn("chg", F.expr(f"{column} / nullif(lag({column}) over (partition by ticker order by date), 0) - 1")).where("chg is not null").select("ticker", "date", "chg")
+    fit = static_ols(excess.join(change, ["ticker", "date"]), "excess", "chg", least)
+    has = lambda df, name: df.select("ticker").distinct().withColumn(name, F.lit(True))
+    rows = universe.join(has(excess, "priced"), "ticker", "left").join(has(scores, "scored"), "ticker", "left").join(fit.select("ticker", "n", "beta"), "ticker", "left").na.fill(0, ["n"])
+    outcome = F.when(F.col("priced").isNull(), "no price").when(F.col("scored").isNull(), "no score").when(F.col("n") < least, "insufficient").otherwise("success")
+    return rows.select("ticker", outcome.alias("outcome"), "n", "beta")
 
 
-def two_factor(df: DataFrame, y: str, x1: str, x2: str, frame: str | None = None, least: int = 24) -> DataFrame:
-    """ticker (and date, with a frame of rows), n, alpha, beta_1, beta_2, r_squared, adj_r_squared by covariances."""
+def two_factor(df: DataFrame, y: str, x1: str, x2: str, window: int | None = None, least: int = 24) -> DataFrame:
+    """ticker (and date, over a window of rows), n, alpha, beta_1, beta_2, r_squared, adj_r_squared by covariances."""
     df = df.where(f"{y} is not null and {x1} is not null and {x2} is not null")
-    parts = {"n": "count(1)", "my": f"avg({y})", "m1": f"avg({x1})", "m2": f"avg({x2})", "vy": f"var_pop({y})", "v1": f"var_pop({x1})", "v2": f"var_pop({x2})", "c12": f"covar_pop({x1}, {x2})", "c1y": f"covar_pop({x1}, {y})", "c2y": f"covar_pop({x2}, {y})"}
-    keys = ["ticker"] if frame is None else ["ticker", "date"]
-    out = df.groupBy("ticker").agg(*(F.expr(e).alias(c) for c, e in parts.items())) if frame is None else df.withColumns({c: F.expr(f"{e} {frame}") for c, e in parts.items()})
+    if window is None:
+        parts = {"my": f"avg({y})", "m1": f"avg({x1})", "m2": f"avg({x2})", "vy": f"var_pop({y})", "v1": f"var_pop({x1})", "v2": f"var_pop({x2})"}
+        parts |= {"c12": f"covar_pop({x1}, {x2})", "c1y": f"covar_pop({x1}, {y})", "c2y": f"covar_pop({x2}, {y})"}
+        out = df.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), *(F.expr(e).alias(c) for c, e in parts.items()))
+    else:
+        names = {"y": "_y", "1": "_x1", "2": "_x2"}
+        rows = _centred(df.select("ticker", "date", y, x1, x2), dict(zip(names.values(), (y, x1, x2), strict=True)))
+        pairs = {f"q{i}{j}": f"{names[i]} * {names[j]}" for i, j in ("yy", "11", "22", "12", "1y", "2y")}
+        out = rolling_sums(rows, {f"s{i}": c for i, c in names.items()} | pairs, window)
+        out = out.withColumns({f"{v}{k}": F.expr(f"q{i}{j} / n - s{i} * s{j} / n / n") for v, k, i, j in (("v", "y", "y", "y"), ("v", "1", "1", "1"), ("v", "2", "2", "2"), ("c", "12", "1", "2"), ("c", "1y", "1", "y"), ("c", "2y", "2", "y"))})
+        out = out.withColumns({f"m{i}": F.expr(f"m_{c} + s{i} / n") for i, c in names.items()})
     out = out.where(f"n >= {least}").withColumn("d", F.expr("nullif(v1 * v2 - c12 * c12, 0)"))
     out = out.withColumn("beta_1", F.expr("(c1y * v2 - c2y * c12) / d")).withColumn("beta_2", F.expr("(c2y * v1 - c1y * c12) / d"))
     out = out.withColumn("alpha", F.expr("my - beta_1 * m1 - beta_2 * m2")).withColumn("r_squared", F.expr("(beta_1 * c1y + beta_2 * c2y) / nullif(vy, 0)"))
+    keys = ["ticker"] if window is None else ["ticker", "date"]
     return out.select(*keys, F.col("n").cast("long").alias("n"), "alpha", "beta_1", "beta_2", "r_squared", F.expr("1 - (1 - r_squared) * (n - 1) / (n - 3)").alias("adj_r_squared"))
 
 
+def ols_windows(y: np.ndarray, x: np.ndarray, lags: int | None = 12) -> dict[str, np.ndarray]:
+    """Regressions of many windows at once: y is (windows, rows), x is (windows, rows, factors); the constant comes first.
+
+    coef, error (windows, terms), rest, r_squared, adj_r_squared, f. Errors are
+    Newey-West's with Bartlett weights and no small-sample factor, or the plain
+    ones if lags is None; f tests all factors by the same covariance.
+    """
+    w, n = y.shape
+    design = np.concatenate([np.ones((w, n, 1)), x], axis=2)
+    k = design.shape[2]
+    inverse = np.linalg.pinv(np.einsum("wni,wnj->wij", design, design))
+    coef = np.einsum("wij,wnj,wn->wi", inverse, design, y, optimize=True)
+    rest = y - np.einsum("wni,wi->wn", design, coef)
+    squares, total = (rest**2).sum(axis=1), ((y - y.mean(axis=1, keepdims=True)) ** 2).sum(axis=1)
+    if lags is None:
+        covariance = inverse * (squares / max(n - k, 1))[:, None, None]
+    else:
+        score = design * rest[:, :, None]
+        middle = np.einsum("wni,wnj->wij", score, score)
+        for lag in range(1, min(lags, n - 1) + 1):
+            shifted = np.einsum("wni,wnj->wij", score[:, lag:], score[:, :-lag])
+            middle += (1 - lag / (lags + 1)) * (shifted + shifted.transpose(0, 2, 1))
+        covariance = inverse @ middle @ inverse
+    slope = coef[:, 1:]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r_squared = np.where(total > 0, 1 - squares / total, np.nan)
+        f = np.einsum("wi,wij,wj->w", slope, np.linalg.pinv(covariance[:, 1:, 1:]), slope) / (k - 1)
+        adjusted = 1 - (1 - r_squared) * (n - 1) / (n - k)
+    error = np.sqrt(np.maximum(np.diagonal(covariance, axis1=1, axis2=2), 0))
+    return {"coef": coef, "error": error, "rest": rest, "r_squared": r_squared, "adj_r_squared": adjusted, "f": f}
+
+
 def hac_ols(y: np.ndarray, x: np.ndarray, lags: int = 12) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(coefficients with the constant first, Newey-West errors, residuals): Bartlett weights, no small-sample factor."""
-    design = np.column_stack([np.ones(len(y)), x])
-    inverse = np.linalg.pinv(design.T @ design)
-    beta = inverse @ (design.T @ y)
-    rest = y - design @ beta
-    score = design * rest[:, None]
-    middle = score.T @ score
-    for lag in range(1, min(lags, len(y) - 1) + 1):
-        shifted = score[lag:].T @ score[:-lag]
-        middle += (1 - lag / (lags + 1)) * (shifted + shifted.T)
-    return beta, np.sqrt(np.maximum(np.diag(inverse @ middle @ inverse), 0)), rest
-
-
-def regress_hac(df: DataFrame, y: str, factors: list[str], lags: int = 12, least: int = 24) -> DataFrame:
-    """ticker, term, coef, std_error, t, p, n, r_squared of each ticker's regression; a ticker's history is one group."""
+    """(coefficients with the constant first, Newey-West errors, residuals) of one regression."""
+    fit = ols_windows(y[None], x[None], lags)
+    return fit["coef"][0], fit["error"][0], fit["rest"][0]
+
+
+_TERMS = "coef double, std_error double, t double, p double, n long, r_squared double, adj_r_squared double, f double, f_p double"
+
+
+def _terms(fit: dict[str, np.ndarray], n: int, names: list[str], lags: int | None) -> pd.DataFrame:
+    """A row a window and term: normal p-values with robust errors, Student's without."""
+    windows, k = fit["coef"].shape
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = np.where(fit["error"] > 0, fit["coef"] / fit["error"], np.nan).ravel()
+    free = max(n - k, 1)
+    plain = lags is None
+    p = incomplete_beta(free / 2, 0.5, free / (free + np.nan_to_num(t) ** 2)) if plain else np.vectorize(math.erfc, otypes=[float])(np.abs(np.nan_to_num(t)) / math.sqrt(2))
+    f_p = incomplete_beta(free / 2, (k - 1) / 2, free / (free + (k - 1) * np.maximum(np.nan_to_num(fit["f"]), 0)))
+    each = {c: np.repeat(fit[c], k) for c in ("r_squared", "adj_r_squared", "f")} | {"f_p": np.repeat(f_p, k)}
+    return pd.DataFrame({"term": names * windows, "coef": fit["coef"].ravel(), "std_error": fit["error"].ravel(), "t": t, "p": np.where(np.isnan(t), np.nan, p), "n": n} | each)
+
+
+def regress_hac(df: DataFrame, y: str, factors: list[str], lags: int | None = 12, least: int = 24) -> DataFrame:
+    """ticker, term, coef, std_error, t, p, n, r_squared, adj_r_squared, f, f_p, stars of each ticker's regression; lags None: plain errors.
+
+    A ticker's history is one group. Rows with a null are left out, tickers with
+    fewer than `least` rows as well.
+    """
+    names = ["alpha", *factors]
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.dropna().sort_values("date")
         if len(pdf) < max(least, len(factors) + 2):
-            return pd.DataFrame(columns=["ticker", "term", "coef", "std_error", "t", "p", "n", "r_squared"])
-        own = pdf[y].to_numpy(float)
-        beta, error, rest = hac_ols(own, pdf[factors].to_numpy(float), lags)
-        t = np.divide(beta, error, out=np.full(len(beta), np.nan), where=error > 0)
-        total = ((own - own.mean()) ** 2).sum()
-        p = [math.erfc(abs(v) / math.sqrt(2)) if v == v else None for v in t]
-        return pd.DataFrame({"ticker": pdf["ticker"].iloc[0], "term": ["alpha", *factors], "coef": beta, "std_error": error, "t": t, "p": p, "n": len(pdf), "r_squared": 1 - (rest @ rest) / total if total > 0 else None})
+            return pd.DataFrame(columns=["ticker", "term"])
+        out = _terms(ols_windows(pdf[y].to_numpy(float)[None], pdf[factors].to_numpy(float)[None], lags), len(pdf), names, lags)
+        return out.assign(ticker=pdf["ticker"].iloc[0])
+
+    kind = dict(df.dtypes)["ticker"]
+    return _no_nan(df.select("ticker", "date", y, *factors).groupBy("ticker").applyInPandas(_ordered(one, f"ticker {kind}, term string, {_TERMS}"), f"ticker {kind}, term string, {_TERMS}")).withColumn("stars", stars(F.col("p")))
+
+
+def rolling_hac(df: DataFrame, y: str, factors: list[str], window: int = 36, lags: int | None = 12, least: int | None = None) -> DataFrame:
+    """ticker, date and the columns of regress_hac for the window of rows that ends at each date; a ticker's windows are solved together."""
+    names = ["alpha", *factors]
+    least = max(window if least is None else least, len(factors) + 2)
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.dropna().sort_values("date").reset_index(drop=True)
+        own, x, out = pdf[y].to_numpy(float), pdf[factors].to_numpy(float), []
+        for n in range(least, min(window, len(pdf) + 1)):  # windows that are not full yet
+            out.append(_terms(ols_windows(own[None, :n], x[None, :n], lags), n, names, lags).assign(date=pdf["date"][n - 1]))
+        if len(pdf) >= max(window, least):
+            view = np.lib.stride_tricks.sliding_window_view
+            fit = ols_windows(view(own, window), view(x, window, axis=0).transpose(0, 2, 1), lags)
+            out.append(_terms(fit, window, names, lags).assign(date=np.repeat(pdf["date"].to_numpy()[window - 1 :], len(names))))
+        return pd.concat(out).assign(ticker=pdf["ticker"].iloc[0]) if out else pd.DataFrame(columns=["ticker", "date", "term"])
+
+    schema = f"ticker {dict(df.dtypes)['ticker']}, date date, term string, {_TERMS}"
+    return _no_nan(df.select("ticker", "date", y, *factors).groupBy("ticker").applyInPandas(_ordered(one, schema), schema)).withColumn("stars", stars(F.col("p")))
+
+
+def batch_table(fit: DataFrame) -> DataFrame:
+    """A row a ticker of regress_hac's rows on (mkt_excess, factor), with stars, and one of null ticker with the mean coefficients; alpha is annual."""
+    names = {"alpha": "alpha", "mkt_excess": "beta_market", "factor": "beta_score"}
+    scaled = fit.withColumn("coef", F.when(F.col("term") == "alpha", F.col("coef") * 12).otherwise(F.col("coef")))
+    pick = lambda column, term: F.max(F.when(F.col("term") == term, F.col(column)))
+    wide = scaled.groupBy("ticker").agg(*(pick("coef", t).alias(n) for t, n in names.items()), *(pick("stars", t).alias(f"{n}_stars") for t, n in names.items()), F.max("r_squared").alias("r_squared"), F.max("n").alias("n"))
+    means = wide.agg(*(F.avg(n).alias(n) for n in names.values()), F.avg("r_squared").alias("r_squared"), F.sum("n").alias("n"))
+    return wide.unionByName(means, allowMissingColumns=True)
+
+
+def _ordered(one, schema: str):
+    """one(), its columns in the schema's order; missing ones are null."""
+    return lambda pdf: one(pdf).reindex(columns=[c.split()[0] for c in schema.split(", ")])
+
 
-    schema = "ticker long, term string, coef double, std_error double, t double, p double, n long, r_squared double"
-    return df.select("ticker", "date", y, *factors).groupBy("ticker").applyInPandas(one, schema)
+def _no_nan(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c, kind in df.dtypes if kind == "double"})
 
 
 def hac_mean(df: DataFrame, by: str, value: str, lags: int = 12) -> DataFrame:
@@ -86,14 +227,15 @@ def hac_mean(df: DataFrame, by: str, value: str, lags: int = 12) -> DataFrame:
 
 
 def residual_diagnostics(df: DataFrame, y: str, x1: str, x2: str) -> DataFrame:
-    """Durbin-Watson, Jarque-Bera with its p, and Breusch-Pagan's statistic of each ticker's two-factor residuals."""
+    """Durbin-Watson, Jarque-Bera and Breusch-Pagan of each ticker's two-factor residuals; the p of both is chi-square's with 2 degrees, exp(-x / 2)."""
     fit = two_factor(df, y, x1, x2).select("ticker", "alpha", "beta_1", "beta_2")
     rest = df.where(f"{y} is not null and {x1} is not null and {x2} is not null").join(fit, "ticker").withColumn("e", F.expr(f"{y} - alpha - beta_1 * {x1} - beta_2 * {x2}"))
     rest = rest.withColumn("before", F.expr("lag(e) over (partition by ticker order by date)")).withColumn("e2", F.col("e") * F.col("e"))
     bp = two_factor(rest.select("ticker", "date", "e2", x1, x2), "e2", x1, x2).select("ticker", (F.col("n") * F.col("r_squared")).alias("breusch_pagan"))
     out = rest.groupBy("ticker").agg(F.expr("sum((e - before) * (e - before)) / nullif(sum(e2), 0)").alias("durbin_watson"), F.count(F.lit(1)).alias("n"), F.skewness("e").alias("s"), F.kurtosis("e").alias("k"))
     out = out.withColumn("jarque_bera", F.expr("n / 6.0D * (s * s + k * k / 4)")).withColumn("jb_p", F.expr("exp(-jarque_bera / 2)"))
-    return out.join(bp, "ticker").select("ticker", "durbin_watson", (~F.col("durbin_watson").between(1.5, 2.5)).alias("dw_flag"), "jarque_bera", "jb_p", "breusch_pagan")
+    out = out.join(bp, "ticker").withColumn("bp_p", F.expr("exp(-breusch_pagan / 2)"))
+    return out.select("ticker", "durbin_watson", (~F.col("durbin_watson").between(1.5, 2.5)).alias("dw_flag"), "jarque_bera", "jb_p", "breusch_pagan", "bp_p")
 
 
 def james_stein(panel: DataFrame, by: str, most: int = 500) -> DataFrame:
@@ -143,12 +285,14 @@ def two_way_effects(panel: DataFrame, y: str, xs: list[str], entity: str = "tick
     means = rows.groupBy(entity).agg(*(F.avg(c).alias(f"_m{i}") for i, c in enumerate(names)))
     within = rows.join(means, entity).select(entity, *((F.col(c) - F.col(f"_m{i}")).alias(f"_z{i}") for i, c in enumerate(names)))
     k = len(names)
-    sums = [F.sum(F.col(f"_z{i}") * F.col(f"_z{j}")).alias(f"s{i}_{j}") for i in range(k) for j in range(i, k)]
-    found = within.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(entity).alias("entities"), *sums).first()
+    row = within.withColumn("_z", F.array(*(f"_z{i}" for i in range(k))))
+    # One sum a pair of columns, by place in the product of the two arrays, so that no plan has thousands of columns.
+    cells = row.select(F.posexplode(F.expr("flatten(transform(_z, a -> transform(_z, b -> a * b)))")).alias("place", "x")).groupBy("place").agg(F.sum("x").alias("x"))
+    found = within.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(entity).alias("entities")).first()
     schema = "term string, coef double, std_error double, n long"
     if not found.n:
         return panel.sparkSession.createDataFrame([], schema)
-    gram = np.array([[found[f"s{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+    gram = np.array([r.x for r in cells.orderBy("place").collect()]).reshape(k, k)  # (most_periods + regressors) squared at most
     inverse = np.linalg.pinv(gram[:-1, :-1])
     coef = inverse @ gram[:-1, -1]
     free = found.n - found.entities - np.linalg.matrix_rank(gram[:-1, :-1])

@@ -105,6 +105,13 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, key: list[str], parti
     done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
+def upserted(spark: SparkSession, folder: str, batches: list[DataFrame], key: list[str], date: str = "date") -> DataFrame:
+    """The table in `folder` after each batch is merged into it in turn; it has a partition a year of `date`, later rows of a key win."""
+    for i, batch in enumerate(batches):
+        upsert(spark, f"{folder}/table", batch.withColumns({"year": F.year(date), "seq": F.lit(i).cast("long")}), key, ["year"], f"{folder}/merge{i}")
+    return spark.read.parquet(f"{folder}/table")
+
+
 def save_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
@@ -137,7 +144,52 @@ def explode_members(raw: DataFrame, min_date=None) -> DataFrame:
     return date_range(rows, min_date).distinct()
 
 
+def number(text: Column) -> Column:
+    """A number written as text; null where it is not one, such as '.'."""
+    return no_nan(text.try_cast("double"))
+
+
+def observations(payload: DataFrame, body: str) -> DataFrame:
+    """date, value of every element of a JSON body's observations[]; a value that is no number is null, undated ones are dropped."""
+    parsed = F.from_json(F.col(body), "observations array<struct<date: string, value: string>>")
+    rows = payload.select(F.explode(parsed["observations"]).alias("o"))
+    return rows.select(F.try_to_date("o.date").alias("date"), number(F.col("o.value")).alias("value")).where("date is not null")
+
+
+RAW_SCORES = ["gvkey", "YearMonth", "ESG Score", "Environmental Pillar Score", "Social Pillar Score", "Governance Pillar Score"]
+
+
 def raw_scores(raw: DataFrame) -> DataFrame:
-    """Rows with YearMonth as YYYYMM get date (month end), year and month."""
-    ym = F.col("YearMonth")
-    return raw.withColumn("date", F.last_day(F.make_date((ym / 100).cast("int"), ym % 100, F.lit(1)))).withColumn("year", F.year("date")).withColumn("month", F.month("date"))
+    """gvkey, date (month end), year, month, ESG, E, S, G of rows with YearMonth as YYYYMM and scores as text; rows without a valid month are dropped."""
+    ym = require_columns(raw, RAW_SCORES).withColumn("_ym", F.col("YearMonth").try_cast("int"))
+    made = F.expr("try_make_timestamp(_ym div 100, _ym % 100, 1, 0, 0, 0)").cast("date")
+    dated = ym.withColumn("date", F.last_day(made)).where("date is not null")
+    names = dict(zip(RAW_SCORES[2:], ("ESG", "E", "S", "G"), strict=True))
+    return dated.select(F.col("gvkey").cast("long").alias("gvkey"), "date", F.year("date").alias("year"), F.month("date").alias("month"), *(number(F.col(f"`{c}`")).alias(n) for c, n in names.items()))
+
+
+def read_raw_scores(spark: SparkSession, path: str) -> DataFrame:
+    """raw_scores of a CSV file with a header, or of a Parquet table."""
+    return raw_scores(spark.read.csv(path, header=True) if path.rstrip("/").lower().endswith(".csv") else spark.read.parquet(path))
+
+
+def build_membership(spark: SparkSession, path: str, new: DataFrame, rebuild: bool = False, scratch: str | None = None) -> DataFrame:
+    """One row of statistics (rows, dates, tickers, first_date, last_date) of the daily membership table at path after new (date, ticker) is merged in, or put in its place."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
+    own = new.select("date", "ticker")
+    merged_rows = (own if rebuild or not there else spark.read.parquet(path).select("date", "ticker").unionByName(own)).dropDuplicates(["date", "ticker"])
+    if there and not rebuild:  # a table cannot be read and overwritten in one job
+        merged_rows.write.mode("overwrite").parquet(scratch or f"{path}_merge")
+        merged_rows = spark.read.parquet(scratch or f"{path}_merge")
+    save_table(merged_rows, path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("dates"), F.count_distinct("ticker").alias("tickers"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+def save_symbols(df: DataFrame, path: str, key: str = "ticker") -> None:
+    """The distinct symbols as CSV with a header."""
+    save_report(df.select(key).distinct(), path)
+
+
+def read_symbols(spark: SparkSession, path: str, key: str = "ticker") -> DataFrame:
+    return spark.read.csv(path, header=True).select(F.col(key)).where(F.col(key).isNotNull()).distinct()
