@@ -10,6 +10,7 @@ from ..operators import panel as op
 from ..operators import portfolio as pf
 from ..operators import regression as rg
 from ..sources import panels as src
+from ..streaming import ingest
 from .registry import Panels, query, rounded
 
 
@@ -59,8 +60,8 @@ def a13_sector_scan(p: Panels):
 SELECT ticker, date, adj_close, 0 AS seq FROM px WHERE date <= DATE '1999-06-30' UNION ALL SELECT ticker, date, adj_close * 1.01, 1 FROM px WHERE date >= DATE '1999-01-01') GROUP BY ticker, date""")
 def a15_price_upsert(p: Panels):
     old = p.prices.select("ticker", "date", "adj_close").where("date <= date'1999-06-30'")
-    new = p.prices.select("ticker", "date", (F.col("adj_close") * 1.01).alias("adj_close"), F.lit(1).alias("seq")).where("date >= date'1999-01-01'")
-    return rounded(src.merged(old, new, ["ticker", "date"]), "ticker", "date", "adj_close:6")
+    new = p.prices.select("ticker", "date", (F.col("adj_close") * 1.01).alias("adj_close")).where("date >= date'1999-01-01'")
+    return rounded(src.upserted(p.spark, ingest.work_folder(p.spark), [old, new], ["ticker", "date"]), "ticker", "date", "adj_close:6")
 
 
 @query("""SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS date, round(max(l_extendedprice / l_quantity), 9) AS high, round(min(l_extendedprice / l_quantity), 9) AS low, CAST(sum(l_quantity) AS BIGINT) AS volume,
@@ -99,22 +100,22 @@ def c2_lagged_signal_join(p: Panels):
     return rounded(p.excess.join(lagged, ["ticker", "date"]), "ticker", "date", "excess:6", "lagged:6")
 
 
-@query("""SELECT d.date, round(last_value(f.rate IGNORE NULLS) OVER (ORDER BY d.date), 6) AS rate FROM (SELECT DISTINCT date FROM md) d LEFT JOIN (SELECT * FROM rf WHERE month(date) % 3 = 0) f ON d.date = f.date""")
+@query("""SELECT d.date, round(last_value(f.rate IGNORE NULLS) OVER (ORDER BY d.date), 6) AS rate FROM (SELECT DISTINCT date FROM md) d LEFT JOIN (SELECT * FROM rf WHERE rate < 4) f ON d.date = f.date""")
 def c4_rate_forward_fill(p: Panels):
-    return rounded(op.filled_rates(p.daily.select("date").distinct(), p.rates.where("month(date) % 3 = 0")), "date", "rate:6")
+    return rounded(op.filled_rates(p.daily.select("date").distinct(), p.rates.where("rate < 4")), "date", "rate:6")
 
 
-_ASOF = "SELECT p.ticker, p.date, round(s.ESG, 6) AS ESG FROM px p ASOF {}JOIN (SELECT ticker, date, ESG FROM sc WHERE month(date) % 6 = 0) s ON p.ticker = s.ticker AND p.date >= s.date"
+_ASOF = "SELECT p.ticker, p.date, round(s.ESG, 6) AS ESG FROM px p ASOF {}JOIN (SELECT ticker, date, ESG FROM sc WHERE S > 50) s ON p.ticker = s.ticker AND p.date >= s.date"
 
 
 @query(_ASOF.format(""))
 def c5_asof_backward(p: Panels):
-    return rounded(op.backward_asof(p.prices.select("ticker", "date"), p.scores.where("month(date) % 6 = 0"), "ESG"), "ticker", "date", "ESG:6")
+    return rounded(op.backward_asof(p.prices.select("ticker", "date"), p.scores.where("S > 50"), "ESG"), "ticker", "date", "ESG:6")
 
 
 @query(_ASOF.format("LEFT "))
 def c6_asof_left(p: Panels):
-    return rounded(op.backward_asof(p.prices.select("ticker", "date"), p.scores.where("month(date) % 6 = 0"), "ESG", True), "ticker", "date", "ESG:6")
+    return rounded(op.backward_asof(p.prices.select("ticker", "date"), p.scores.where("S > 50"), "ESG", True), "ticker", "date", "ESG:6")
 
 
 @query("SELECT p.ticker, p.date, round(s.ESG, 6) AS ESG FROM px p ASOF JOIN (SELECT ticker, last_day(date + INTERVAL 1 MONTH) AS date, ESG FROM sc WHERE month(date) = 12) s ON p.ticker = s.ticker AND p.date >= s.date")
@@ -130,9 +131,9 @@ def c12_constant_beta(p: Panels):
     return rounded(betas.crossJoin(rf).withColumn("er_monthly", F.col("rate") / 1200 + F.col("beta") * 0.005), "ticker", "date", "er_monthly:8")
 
 
-@query("SELECT coalesce(a.date, b.date) AS date, count(DISTINCT a.ticker) AS with_price, count(DISTINCT b.ticker) AS with_score, count(DISTINCT CASE WHEN a.ticker = b.ticker THEN a.ticker END) AS common FROM px a FULL JOIN (SELECT * FROM sc WHERE ticker % 3 <> 0) b ON a.ticker = b.ticker AND a.date = b.date GROUP BY 1")
+@query("SELECT coalesce(a.date, b.date) AS date, count(DISTINCT a.ticker) AS with_price, count(DISTINCT b.ticker) AS with_score, count(DISTINCT CASE WHEN a.ticker = b.ticker THEN a.ticker END) AS common FROM px a FULL JOIN (SELECT * FROM sc WHERE S > 50) b ON a.ticker = b.ticker AND a.date = b.date GROUP BY 1")
 def c18_alignment(p: Panels):
-    a, b = p.prices.select("ticker", "date", F.lit(1).alias("a")), p.scores.where("ticker % 3 <> 0").select("ticker", "date", F.lit(1).alias("b"))
+    a, b = p.prices.select("ticker", "date", F.lit(1).alias("a")), p.scores.where("S > 50").select("ticker", "date", F.lit(1).alias("b"))
     return a.join(b, ["ticker", "date"], "full").groupBy("date").agg(F.count("a").alias("with_price"), F.count("b").alias("with_score"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("common"))
 
 
@@ -256,11 +257,10 @@ def d13_beta_statistics(p: Panels):
 
 
 @query(_BETA + """, ix AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) AS i, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS back FROM betas)
-SELECT ticker, round(stddev_samp(beta) / nullif(abs(avg(beta)), 0), 6) AS variation, arg_min(date, beta) AS low_date, arg_max(date, beta) AS high_date, round(regr_slope(beta, i), 6) AS trend, round(avg(beta) FILTER (WHERE back <= 12) - avg(beta) FILTER (WHERE back > 12), 6) AS recent_change, round(count(*) FILTER (WHERE abs(t_stat_beta) > 1.96) / count(*), 6) AS significant FROM ix GROUP BY ticker HAVING count(*) > 12""")
+SELECT ticker, round(stddev_samp(beta) / nullif(abs(avg(beta)), 0), 6) AS variation, CASE WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) < 0.1 THEN 'very stable' WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) < 0.2 THEN 'stable' WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) < 0.3 THEN 'moderate' WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) IS NOT NULL THEN 'unstable' END AS band, arg_min(date, beta) AS low_date, arg_max(date, beta) AS high_date, round(regr_slope(beta, i), 6) AS trend, round(avg(beta) FILTER (WHERE back <= 12) - avg(beta) FILTER (WHERE back > 12), 6) AS recent_change, round(count(*) FILTER (WHERE abs(t_stat_beta) > 1.96) / count(*), 6) AS significant FROM ix GROUP BY ticker HAVING count(*) > 12""")
 def d14_beta_stability(p: Panels):
-    ix = rg.rolling_ols(p.excess, "excess", "mkt_excess").withColumn("i", F.expr("row_number() over (partition by ticker order by date)")).withColumn("back", F.expr("row_number() over (partition by ticker order by date desc)"))
-    df = ix.groupBy("ticker").agg(F.expr("stddev_samp(beta) / nullif(abs(avg(beta)), 0)").alias("variation"), F.min_by("date", "beta").alias("low_date"), F.max_by("date", "beta").alias("high_date"), F.expr("regr_slope(beta, i)").alias("trend"), F.expr("avg(if(back <= 12, beta, null)) - avg(if(back > 12, beta, null))").alias("recent_change"), F.expr("count_if(abs(t_stat_beta) > 1.96) / count(1)").alias("significant"), F.count(F.lit(1)).alias("n")).where("n > 12")
-    return rounded(df, "ticker", "variation:6", "low_date", "high_date", "trend:6", "recent_change:6", "significant:6")
+    df = rg.beta_stability(rg.rolling_ols(p.excess, "excess", "mkt_excess"))
+    return rounded(df, "ticker", "variation:6", "band", "low_date", "high_date", "trend:6", "recent_change:6", "significant:6")
 
 
 @query("SELECT count(*) AS n, min(date) AS first_date, max(date) AS last_date, round(avg(rate), 6) AS mean, round(median(rate), 6) AS median, round(stddev_samp(rate), 6) AS std, round(min(rate), 6) AS low, round(max(rate), 6) AS high FROM rf")
@@ -269,17 +269,17 @@ def d15_rate_summary(p: Panels):
     return rounded(df, "n", "first_date", "last_date", "mean:6", "median:6", "std:6", "low:6", "high:6")
 
 
-_COV = "SELECT a.ticker AS ticker_i, b.ticker AS ticker_j, covar_samp(a.ret, b.ret) AS cov, count(*) AS n FROM ret a JOIN ret b ON a.date = b.date AND a.ticker <= b.ticker WHERE a.ticker <= 20 AND b.ticker <= 20 GROUP BY 1, 2"
+_COV = "SELECT a.ticker AS ticker_i, b.ticker AS ticker_j, covar_samp(a.ret, b.ret) AS cov, count(*) AS n FROM ret a JOIN ret b ON a.date = b.date AND a.ticker <= b.ticker GROUP BY 1, 2"
 
 
 @query(f"SELECT ticker_i, ticker_j, round(cov, 8) AS cov, n FROM ({_COV})")
 def d17_pairwise_covariance(p: Panels):
-    return rounded(op.pairwise_covariance(p.returns.where("ticker <= 20")), "ticker_i", "ticker_j", "cov:8", "n")
+    return rounded(op.pairwise_covariance(p.returns), "ticker_i", "ticker_j", "cov:8", "n")
 
 
 @query(f"SELECT ticker_i, ticker_j, round(CASE WHEN ticker_i = ticker_j THEN cov ELSE cov * 0.75 END, 8) AS cov FROM ({_COV})")
 def d18_shrunk_covariance(p: Panels):
-    return rounded(op.shrunk(op.pairwise_covariance(p.returns.where("ticker <= 20"))), "ticker_i", "ticker_j", "cov:8")
+    return rounded(op.shrunk(op.pairwise_covariance(p.returns)), "ticker_i", "ticker_j", "cov:8")
 
 
 @query("SELECT ticker, date, round(ret, 6) AS ret FROM ret")
@@ -347,9 +347,9 @@ def e15_max_drawdown(p: Panels):
     return rounded(op.drawdowns(p.returns).groupBy("ticker").agg(F.min("drawdown").alias("max_drawdown")), "ticker", "max_drawdown:6")
 
 
-@query("SELECT * FROM (SELECT ticker, date, CASE WHEN count(*) OVER w = 12 THEN round(avg(ret) OVER w, 6) END AS roll_mean, CASE WHEN count(*) OVER w = 12 THEN round(stddev_samp(ret) OVER w, 6) END AS roll_std, CASE WHEN count(*) OVER w = 12 THEN round(stddev_samp(ret) OVER w * sqrt(12), 6) END AS roll_vol FROM ret WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))")
+@query("SELECT * FROM (SELECT ticker, date, CASE WHEN count(*) OVER w = 12 THEN round(avg(ret) OVER w, 6) END AS roll_mean, CASE WHEN count(*) OVER w = 12 THEN round(stddev_samp(ret) OVER w, 6) END AS roll_std, CASE WHEN count(*) OVER w = 12 THEN round(avg(ret) OVER w / stddev_samp(ret) OVER w * sqrt(12), 5) END AS roll_sharpe, CASE WHEN count(*) OVER w = 12 THEN round(stddev_samp(ret) OVER w * sqrt(12), 6) END AS roll_vol FROM ret WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))")
 def e16_rolling_stats(p: Panels):
-    return rounded(op.rolling_stats(p.returns), "ticker", "date", "roll_mean:6", "roll_std:6", "roll_vol:6")
+    return rounded(op.rolling_stats(p.returns), "ticker", "date", "roll_mean:6", "roll_std:6", "roll_sharpe:5", "roll_vol:6")
 
 
 @query("SELECT * FROM (SELECT ticker, date, CASE WHEN count(*) OVER w = 12 THEN round(regr_slope(ESG, n) OVER w, 6) END AS slope FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) AS n FROM sc) WINDOW w AS (PARTITION BY ticker ORDER BY n ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)) WHERE slope IS NOT NULL")
@@ -395,21 +395,26 @@ def f6_two_factor(p: Panels):
 
 @query()
 def f6_two_factor_hac(p: Panels):
-    return rounded(rg.regress_hac(_two_frame(p), "excess", ["mkt_excess", "factor"]), "ticker", "term", "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6").withColumn("stars", fd.stars(F.col("p")))
+    return rounded(rg.regress_hac(_two_frame(p), "excess", ["mkt_excess", "factor"]), "ticker", "term", "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6", "adj_r_squared:6", "f:5", "f_p:6", "stars")
 
 
 @query(_FIVE + """, tf AS (SELECT e.ticker, e.date, e.excess AS y, e.mkt_excess AS x1, f.factor AS x2 FROM exc e JOIN (SELECT * FROM fct WHERE signal = 'ESG') f ON e.date = f.date),
 tm AS (SELECT ticker, date, count(*) OVER w AS n, covar_pop(x1, x2) OVER w AS c12, covar_pop(x1, y) OVER w AS c1y, covar_pop(x2, y) OVER w AS c2y, var_pop(x1) OVER w AS v1, var_pop(x2) OVER w AS v2 FROM tf WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW))
 SELECT ticker, date, round((c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12), 5) AS beta_1, round((c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12), 5) AS beta_2 FROM tm WHERE n >= 36""")
 def f7_rolling_two_factor(p: Panels):
-    frame = "over (partition by ticker order by date rows between 35 preceding and current row)"
-    return rounded(rg.two_factor(_two_frame(p), "excess", "mkt_excess", "factor", frame, 36), "ticker", "date", "beta_1:5", "beta_2:5")
+    return rounded(rg.two_factor(_two_frame(p), "excess", "mkt_excess", "factor", 36, 36), "ticker", "date", "beta_1:5", "beta_2:5")
+
+
+@query()
+def f7_rolling_two_factor_hac(p: Panels):
+    df = rg.rolling_hac(_two_frame(p), "excess", ["mkt_excess", "factor"], 36)
+    return rounded(df, "ticker", "date", "term", "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6", "adj_r_squared:6", "f:5", "f_p:6", "stars")
 
 
 @query()
 def f8_multi_factor(p: Panels):
     wide = op.wide_factors(p.factors, ["E", "S", "G"])
-    return rounded(rg.regress_hac(p.excess.join(wide, "date"), "excess", ["mkt_excess", "E_factor", "S_factor", "G_factor"]), "ticker", "term", "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6")
+    return rounded(rg.regress_hac(p.excess.join(wide, "date"), "excess", ["mkt_excess", "E_factor", "S_factor", "G_factor"]), "ticker", "term", "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6", "f:5", "f_p:6", "stars")
 
 
 @query("SELECT ticker, n, CASE WHEN n >= 24 THEN round(beta, 6) END AS beta, CASE WHEN n >= 24 THEN round(alpha, 6) END AS alpha, CASE WHEN n >= 24 THEN round(r2, 6) END AS r_squared FROM (SELECT ticker, count(*) AS n, regr_slope(excess, mkt_excess) AS beta, regr_intercept(excess, mkt_excess) AS alpha, regr_r2(excess, mkt_excess) AS r2 FROM exc GROUP BY ticker)")
@@ -432,7 +437,7 @@ def f10_durbin_watson(p: Panels):
 
 @query()
 def f10_diagnostics(p: Panels):
-    return rounded(rg.residual_diagnostics(_two_frame(p), "excess", "mkt_excess", "factor"), "ticker", "durbin_watson:5", "dw_flag", "jarque_bera:5", "jb_p:6", "breusch_pagan:5")
+    return rounded(rg.residual_diagnostics(_two_frame(p), "excess", "mkt_excess", "factor"), "ticker", "durbin_watson:5", "dw_flag", "jarque_bera:5", "jb_p:6", "breusch_pagan:5", "bp_p:6")
 
 
 @query(_FIVE + """, u AS (SELECT signal, date, factor, factor - avg(factor) OVER (PARTITION BY signal) AS u FROM fct), pr AS (SELECT a.signal, a.u, a.factor, row_number() OVER (PARTITION BY signal ORDER BY date) AS i FROM u a),
@@ -448,23 +453,71 @@ def d32_premia(p: Panels):
     return rounded(pf.premia(p.factors, {"ESG": 0.001}, 0.5), "signal", "premium:8")
 
 
-_ER = _BETA + ", er AS (SELECT b.ticker, b.date, b.beta, greatest(-3, least(3, b.beta)) AS beta_capped, f.rate / 1200 AS rf, f.rate / 1200 + greatest(-3, least(3, b.beta)) * 0.005 AS er_monthly FROM betas b JOIN rf f ON b.date = f.date) "
+_ER = (
+    _FIVE
+    + """, tf AS (SELECT e.ticker, e.date, e.excess AS y, e.mkt_excess AS x1, f.factor AS x2 FROM exc e JOIN (SELECT * FROM fct WHERE signal = 'ESG') f ON e.date = f.date),
+tm AS (SELECT ticker, date, count(*) OVER w AS n, covar_pop(x1, x2) OVER w AS c12, covar_pop(x1, y) OVER w AS c1y, covar_pop(x2, y) OVER w AS c2y, var_pop(x1) OVER w AS v1, var_pop(x2) OVER w AS v2
+    FROM tf WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW)),
+tb AS (SELECT ticker, date, (c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12) AS beta_market, (c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12) AS beta_score FROM tm WHERE n >= 36),
+fr AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY ticker) = 1 THEN DATE '0001-01-01' ELSE date END AS since FROM tb),
+kd AS (SELECT t.ticker, f.date, f.rate / 1200 AS rf FROM (SELECT DISTINCT ticker FROM tb) t CROSS JOIN rf f),
+bc AS (SELECT kd.ticker, kd.date, kd.rf, b.date AS beta_date, beta_market, beta_score, greatest(-3, least(3, beta_market)) AS bm, greatest(-5, least(5, beta_score)) AS be
+    FROM kd ASOF JOIN fr b ON b.ticker = kd.ticker AND kd.date >= b.since),
+pm AS (SELECT {premia}),
+er AS (SELECT *, rf + bm * market + be * score AS er_monthly, power(1 + rf + bm * market + be * score, 12) - 1 AS er_annual FROM bc CROSS JOIN pm)
+"""
+)
+_FIXED = _ER.replace("{premia}", "0.005 AS market, -0.002 AS score")
+
+
+def _two_betas(p: Panels):
+    fit = rg.two_factor(_two_frame(p), "excess", "mkt_excess", "factor", 36, 36)
+    return fit.select("ticker", "date", F.col("beta_1").alias("beta_market"), F.col("beta_2").alias("beta_score"))
+
+
+def _premia(p: Panels):
+    return p.spark.createDataFrame([(0.005, -0.002)], "market double, score double")
 
 
-@query(_ER + "SELECT ticker, date, round(beta_capped, 6) AS beta_capped, round(rf, 8) AS rf, round(er_monthly, 8) AS er_monthly, round(power(1 + er_monthly, 12) - 1, 6) AS er_annual FROM er")
+def _expected(p: Panels):
+    return pf.expected_returns(_two_betas(p), p.rates, _premia(p))
+
+
+_ER_COLUMNS = "ticker, date, beta_date, round(beta_market, 5) AS beta_market, round(beta_score, 5) AS beta_score, round(bm, 5) AS beta_market_capped, round(be, 5) AS beta_score_capped, round(rf, 8) AS rf, round(er_monthly, 7) AS er_monthly, round(er_annual, 5) AS er_annual"
+_ER_ROUNDED = ("ticker", "date", "beta_date", "beta_market:5", "beta_score:5", "beta_market_capped:5", "beta_score_capped:5", "rf:8", "er_monthly:7", "er_annual:5")
+
+
+@query(_FIXED + f"SELECT {_ER_COLUMNS} FROM er")
 def f13_expected_returns(p: Panels):
-    betas = rg.rolling_ols(p.excess, "excess", "mkt_excess").select("ticker", "date", "beta")
-    return rounded(pf.expected_returns(betas, p.rates, 0.005), "ticker", "date", "beta_capped:6", "rf:8", "er_monthly:8", "er_annual:6")
+    return rounded(_expected(p), *_ER_ROUNDED)
+
+
+@query(_FIXED.replace("FROM tm WHERE n >= 36)", "FROM tm WHERE n >= 36 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1)") + f"SELECT {_ER_COLUMNS} FROM er")
+def f13_constant_expected_returns(p: Panels):
+    return rounded(pf.expected_returns(_two_betas(p), p.rates, _premia(p), constant=True), *_ER_ROUNDED)
+
+
+@query(_ER.replace("{premia}", "0.5 * 0.005 + 0.5 * (SELECT avg(m.ret - f.rate / 1200) FROM mret m JOIN rf f ON m.date = f.date) AS market, 0.5 * (SELECT avg(factor) FROM fct WHERE signal = 'ESG') AS score") + f"SELECT {_ER_COLUMNS} FROM er")
+def f14_expected_return_pipeline(p: Panels):
+    """Premia from history and sample, betas from a stored result table, expected returns of every month."""
+    path = f"{ingest.work_folder(p.spark)}/betas"
+    src.save_table(_two_betas(p), path)
+    market = p.market_returns.join(p.rates, "date").select(F.lit("mkt").alias("signal"), "date", (F.col("mkt") - F.col("rate") / 1200).alias("factor"))
+    blended = pf.premia(market.unionByName(p.factors.where("signal = 'ESG'").select("signal", "date", "factor")), {"mkt": 0.005}, 0.5)
+    one = blended.agg(F.expr("max(if(signal = 'mkt', premium, null))").alias("market"), F.expr("max(if(signal = 'ESG', premium, null))").alias("score"))
+    return rounded(pf.expected_returns(p.spark.read.parquet(path), p.rates, one), *_ER_ROUNDED)
 
 
-@query(_ER + "SELECT ticker, count(*) AS n, round(avg(er_monthly), 8) AS mean, round(max(power(1 + er_monthly, 12) - 1), 6) AS high, count(*) FILTER (WHERE beta <> beta_capped) AS capped FROM er GROUP BY ticker")
+@query(_FIXED + "SELECT ticker, count(*) AS n, round(avg(er_monthly), 7) AS mean, round(min(er_annual), 5) AS low, round(max(er_annual), 5) AS high, count(*) FILTER (WHERE beta_market <> bm) AS capped_market, count(*) FILTER (WHERE beta_score <> be) AS capped_score FROM er GROUP BY ROLLUP (ticker)")
 def d16_expected_return_summary(p: Panels):
-    er = pf.expected_returns(rg.rolling_ols(p.excess, "excess", "mkt_excess").select("ticker", "date", "beta"), p.rates, 0.005)
-    return rounded(er.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), F.avg("er_monthly").alias("mean"), F.max("er_annual").alias("high"), F.count_if(F.col("beta") != F.col("beta_capped")).alias("capped")), "ticker", "n", "mean:8", "high:6", "capped")
+    """A row a ticker and one, of null ticker, over all."""
+    by = _expected(p).rollup("ticker").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("er_monthly").alias("mean"), F.min("er_annual").alias("low"), F.max("er_annual").alias("high"),
+        F.count_if(F.col("beta_market") != F.col("beta_market_capped")).alias("capped_market"), F.count_if(F.col("beta_score") != F.col("beta_score_capped")).alias("capped_score"),
+    )
+    return rounded(by, "ticker", "n", "mean:7", "low:5", "high:5", "capped_market", "capped_score")
 
 
-@query(_ER + "SELECT ticker, round(rf * 12, 6) AS rf_part, round(beta_capped * 0.06, 6) AS market_part FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM er) WHERE n = 1")
+@query(_FIXED + "SELECT ticker, date, round(rf * 12, 6) AS rf_part, round(bm * market * 12, 5) AS market_part, round(be * score * 12, 5) AS score_part FROM er QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1")
 def f15_contributions(p: Panels):
-    er = pf.expected_returns(rg.rolling_ols(p.excess, "excess", "mkt_excess").select("ticker", "date", "beta"), p.rates, 0.005)
-    last = er.groupBy("ticker").agg(F.max_by(F.struct("rf", "beta_capped"), "date").alias("s")).select("ticker", (F.col("s.rf") * 12).alias("rf_part"), (F.col("s.beta_capped") * 0.06).alias("market_part"))
-    return rounded(last, "ticker", "rf_part:6", "market_part:6")
+    return rounded(pf.contributions(_expected(p), _premia(p)), "ticker", "date", "rf_part:6", "market_part:5", "score_part:5")

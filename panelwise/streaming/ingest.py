@@ -15,6 +15,8 @@ from ..sources.panels import upsert
 def work_folder(spark: SparkSession) -> str:
     """A new folder in the cluster's spark.checkpoint.dir; where that is unset, as in tests, a local one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{shared}/{uuid.uuid4().hex}" if shared else "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
@@ -42,8 +44,10 @@ def bars(events: DataFrame, key: str = "event_type", value: str = "value", every
 
 
 def rolling_coverage(events: DataFrame, key: str = "event_type", length: str = "7 days", step: str = "1 day", lookback_days: int = 5) -> DataFrame:
+    """start, end, key, users, n of each sliding window; users is exact on tables and approximate on streams, which cannot count distinct values."""
     df = on_time(events, lookback_days) if events.isStreaming else events
-    out = df.groupBy(F.window("ts", length, step).alias("w"), key).agg(F.approx_count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("n"))
+    users = F.approx_count_distinct("user_id") if events.isStreaming else F.count_distinct("user_id")
+    out = df.groupBy(F.window("ts", length, step).alias("w"), key).agg(users.alias("users"), F.count(F.lit(1)).alias("n"))
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "users", "n")
 
 
