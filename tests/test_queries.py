@@ -26,7 +26,17 @@ def norm(v):
     return v.replace(tzinfo=None) if isinstance(v, datetime.datetime) else v
 
 
-@pytest.mark.parametrize("name", ["f4_rolling_beta", "f3_five_factors", "e7_percentile_rank", "c5_asof_backward", "e22_membership_intervals", "g4_coverage", "g12_successors", "f6_two_factor", "f21_portfolio_evaluation", "d31_hac_mean", "a17_fundamentals_upsert", "f28_lag_sensitivity", "f31_sample_years", "g18_outcomes", "g20_refetch_plan", "k1_stream_upsert", "k2_late_rows", "a11_portfolio_returns"])
+CHECKED = """
+a4_raw_scores a11_portfolio_returns a16_score_upsert a17_fundamentals_upsert a18_rate_upsert a19_membership_merge b10_consistent_improvers c5_asof_backward c15_common_names
+d2_excess_by_period d14_beta_stability d16_expected_return_summary d17_pairwise_covariance d20_holding_summary d28_bootstrap d29_out_of_sample d31_hac_mean d33_last_date_distribution
+e7_percentile_rank e16_rolling_stats e18_rolling_ewma e22_membership_intervals f3_five_factors f4_rolling_beta f6_two_factor f7_rolling_two_factor f9_rolling_factor f12_outcomes
+f13_expected_returns f13_constant_expected_returns f14_expected_return_pipeline f15_contributions f19_horizon_spreads f21_portfolio_evaluation f22_constraints f23_frontier
+f25_two_asset_grid f28_lag_sensitivity f31_sample_years g4_coverage g7_frequency_coverage g8_month_continuity g12_successors g18_outcomes g20_refetch_plan i15_observations
+k1_stream_upsert k2_late_rows k5_window_counts
+""".split()
+
+
+@pytest.mark.parametrize("name", CHECKED)
 def test_query_matches_sql(spark, duck, name):
     df = registry.QUERIES[name](spark, FOLDER)
     found = duck.execute(registry.SQL[name])
