@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .fingerprints import fingerprints
+from .fingerprints import fingerprints, near_duplicates
 from .licenses import known_licenses, license_scan, scan_sql
 from .lm_scoring import score_documents
 from .mixing import mixed
@@ -66,5 +66,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op4_document_fingerprints, op9_packing, op3_mixing_sources, op8_sharding, op2_nearest_neighbours, op7_license_scan, op10_quality_classifier, op5_lm_scoring)}
+def fingerprint_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of operator 4: documents joined by bands of their signatures, with Jaccard verified on whole sets."""
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+_OPERATORS = (
+    op1_ngram_jaccard_join, op2_nearest_neighbours, op3_mixing_sources, op4_document_fingerprints, op5_lm_scoring,
+    op6_substring_dedup, op7_license_scan, op8_sharding, op9_packing, op10_quality_classifier, fingerprint_clusters,
+)
+QUERIES = {f.__name__: f for f in _OPERATORS}
 ORACLE_SQL: dict[str, str] = {"op7_license_scan": scan_sql()}

@@ -20,7 +20,7 @@ from panelwise.llm.mixing import mixed, mixed_documents
 from panelwise.llm.neighbours import nearest
 from panelwise.llm.ngram_join import _across_labels, first_of_each, ngram_jaccard_join, trie_matches
 from panelwise.llm.packing import encoder, first_fit_decreasing, pack
-from panelwise.llm.quality import classify_quality, good_documents
+from panelwise.llm.quality import BUCKETS, LABELLERS, _sampled, _scored, accuracies, classify_quality, good_documents
 from panelwise.llm.sharding import shard_documents
 from panelwise.llm.substring_dedup import _probes, substring_dedup, unpack
 from panelwise.llm.substring_dedup import pack as packed
@@ -165,6 +165,42 @@ def test_fingerprints(docs, empty):
     assert fingerprints(empty).count() == 0
 
 
+def test_likeness_is_near_true_jaccard(docs):
+    def shingles(text):
+        w = words(low(text))
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    got, order = {r.doc_id: r for r in fingerprints(docs).collect()}, sorted(rows(), key=lambda r: -r[0])
+    seen = 0
+    for i, r in enumerate(order):
+        text, after = r[1] or "", order[(i + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        for other, near in ((after, got[r[0]].near_next), (text[: len(text) - half] + after[:half], got[r[0]].near_edited)):
+            a, b = shingles(text), shingles(other)
+            true = len(a & b) / len(a | b) if a and b else float(a == b)
+            seen += 0 < true < 1
+            assert abs(near - true) <= 4.5 * math.sqrt(true * (1 - true) / 128) + 0.01, (r[0], near, true)
+    assert seen > 10
+
+
+def test_fingerprints_of_repeated_rows(spark):
+    data = [(None, "x y z"), (None, None), (3, "a b c d e f g"), (3, "a b c d e f g"), (3, "zz")]
+    got = fingerprints(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.n_chars) for r in got) == [("3", 2), ("3", 13), ("3", 13), ("None", 0), ("None", 5)]
+    assert len({r.fingerprint for r in got if r.n_chars == 13}) == 1 and all(0 <= r.near_next <= 1 for r in got)
+
+
+def test_very_long_text(spark):
+    rng = np.random.default_rng(1)
+    long = " ".join(rng.integers(0, 10**6, 150_000).astype(str))
+    edited = "other " + long[: len(long) // 2] + " changed " + long[len(long) // 2 :]
+    df = spark.createDataFrame([(1, long, "a"), (2, edited, "b"), (3, "short one", "a")], "doc_id long, text string, source string")
+    assert {r.doc_id: r.component_id for r in ngram_jaccard_join(df).collect()} == {1: 1, 2: 1, 3: 3}
+    assert {r.doc_id: r.n_words - r.n_removed for r in substring_dedup(df).collect()}[2] < 200
+    assert {r.doc_id: r.n_chars for r in fingerprints(df).collect()} == {1: len(long), 2: len(edited), 3: 9}
+    assert classify_quality(df).count() == 3 and mixed(df).count() == 3 and shard_documents(df, 2).count() == 3
+
+
 def test_mixing(docs, empty):
     got = mixed(docs).collect()
     by = collections.defaultdict(list)
@@ -327,6 +363,42 @@ def test_quality(docs, spark, empty):
     assert good_documents(table).count() == sum(r.keep for r in classify_quality(table).collect())
 
 
+def test_weak_label_model_against_brute_force():
+    rng = np.random.default_rng(3)
+    truth = rng.random(3000) < 0.7
+    digits = np.zeros((3000, len(LABELLERS)), int)
+    for i in range(len(LABELLERS)):
+        right, silent = rng.random(3000) < 0.9 - 0.05 * i, rng.random(3000) < 0.2
+        digits[:, i] = np.where(silent, 0, np.where(truth == right, 1, 2))
+    codes, back, counts = np.unique(digits @ 3 ** np.arange(len(LABELLERS)), return_inverse=True, return_counts=True)
+    good, chance = accuracies(codes, counts, 30)
+    p = [min(max(0.9 - 0.3 * (d == 2).sum() + 0.02 * (d == 1).sum(), 0.05), 0.95) for d in digits]
+    for _ in range(30):  # a document at a time
+        tables = [[[1.0 + sum(w for w, d in zip(weights, digits[:, i], strict=True) if d == v) for v in range(3)] for i in range(len(LABELLERS))] for weights in ([1 - x for x in p], p)]
+        tables = [[[x / sum(row) for x in row] for row in t] for t in tables]
+        prior = (sum(p) + 1) / (len(p) + 2)
+        odds = {tuple(d): sum(math.log(tables[1][i][v] / tables[0][i][v]) for i, v in enumerate(d)) + math.log(prior / (1 - prior)) for d in np.unique(digits, axis=0)}
+        p = [1 / (1 + math.exp(-odds[tuple(d)])) for d in digits]
+    assert np.allclose(good[back], p) and np.mean((good[back] > 0.5) == truth) > 0.9 and chance.shape == (2, len(LABELLERS), 3)
+
+
+def test_scorer_against_its_features(docs, spark):
+    texts = pa.RecordBatch.from_pydict({"id": pa.array(range(5), pa.int64()), "tag": pa.array(range(5), pa.int64()), "text": pa.array(["", "Some words, here.", "$$ ## AAA BBB", "one one one one", "a"])})
+    weights = np.random.default_rng(2).normal(size=BUCKETS + 1)
+
+    class Shared:
+        value = weights
+
+    got = next(_scored(Shared)(iter([texts]))).column("p_good").to_pylist()
+    rows = next(_sampled(iter([texts])))
+    for p, b, w in zip(got, rows.column("buckets").to_pylist(), rows.column("weights").to_pylist(), strict=True):
+        score = sum(weights[i] * x for i, x in zip(np.frombuffer(b, "<u2").tolist(), np.frombuffer(w, "<f4").tolist(), strict=True)) + weights[-1]
+        assert p == pytest.approx(1 / (1 + math.exp(-score)), rel=1e-4)
+    data = [(None, "a b"), (None, "a b"), (4, None), (4, "a b")]
+    same = classify_quality(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert len(same) == 4 and len({r.p_good for r in same}) == 2
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(600, 16))
