@@ -23,8 +23,11 @@ def _pairs(p: Panels):
     return mp.clean_pairs(p.table("customer"), F.col("c_nationkey"), F.concat(F.lit(" cust"), F.col("c_custkey") % 40, F.lit(" ")), F.col("c_custkey"))
 
 
-_PAIRS = "WITH pr AS (SELECT CAST(c_nationkey AS BIGINT) AS key, upper(trim(' cust' || (c_custkey % 40) || ' ')) AS ticker, min(c_custkey) AS first_row FROM customer WHERE c_nationkey IS NOT NULL GROUP BY 1, 2) "
-_FUNDAMENTALS = "fu AS (SELECT l_suppkey AS ticker, l_returnflag AS statement, l_linestatus || l_linenumber AS data_code, CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_shipdate AS DATE) END AS date, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS quarter, l_extendedprice AS value, l_orderkey AS seq FROM lineitem) "
+_PAIRS = """WITH pr AS (SELECT CAST(c_nationkey AS BIGINT) AS key, upper(trim(' cust' || (c_custkey % 40) || ' ')) AS ticker, min(c_custkey) AS first_row
+FROM customer WHERE c_nationkey IS NOT NULL GROUP BY 1, 2) """
+_FUNDAMENTALS = """fu AS (SELECT l_suppkey AS ticker, l_returnflag AS statement, l_linestatus || l_linenumber AS data_code,
+CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_shipdate AS DATE) END AS date, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS quarter,
+l_extendedprice AS value, l_orderkey AS seq FROM lineitem) """
 
 
 def _fundamentals(p: Panels):
@@ -35,7 +38,9 @@ def _fundamentals(p: Panels):
     )
 
 
-@query("SELECT date, upper(trim(t)) AS ticker FROM (SELECT try_cast(raw AS DATE) AS date, unnest(string_split(tickers, ',')) AS t FROM (SELECT CASE WHEN month(date) = 2 THEN 'undated' ELSE CAST(date AS VARCHAR) END AS raw, string_agg('c' || ticker, ', ') AS tickers FROM md GROUP BY date)) WHERE date >= DATE '1995-01-01'")
+@query("""SELECT date, upper(trim(t)) AS ticker FROM (SELECT try_cast(raw AS DATE) AS date, unnest(string_split(tickers, ',')) AS t
+FROM (SELECT CASE WHEN month(date) = 2 THEN 'undated' ELSE CAST(date AS VARCHAR) END AS raw, string_agg('c' || ticker, ', ') AS tickers
+FROM md GROUP BY date)) WHERE date >= DATE '1995-01-01'""")
 def a7_raw_membership(p: Panels):
     raw = p.daily.groupBy("date").agg(F.array_join(F.collect_list(F.concat(F.lit("c"), "ticker")), ", ").alias("tickers"))
     return src.explode_members(raw.withColumn("date", F.when(F.month("date") == 2, "undated").otherwise(F.date_format("date", "yyyy-MM-dd"))), "1995-01-01")
@@ -63,14 +68,16 @@ def a17_fundamentals_upsert(p: Panels):
     return rounded(p.spark.read.parquet(f"{work}/table").withColumn("year", F.col("year").cast("long")), "ticker", "statement", "year", "at", "data_code", "value:2")
 
 
-@query("SELECT ticker, date, round(arg_max(ESG, seq), 6) AS ESG FROM (SELECT ticker, date, ESG, 0 AS seq FROM sc WHERE date <= DATE '1999-06-30' UNION ALL SELECT ticker, date, ESG + 1, 1 FROM sc WHERE date >= DATE '1999-01-01') GROUP BY ticker, date")
+@query("""SELECT ticker, date, round(arg_max(ESG, seq), 6) AS ESG FROM (SELECT ticker, date, ESG, 0 AS seq FROM sc WHERE date <= DATE '1999-06-30'
+UNION ALL SELECT ticker, date, ESG + 1, 1 FROM sc WHERE date >= DATE '1999-01-01') GROUP BY ticker, date""")
 def a16_score_upsert(p: Panels):
     old, new = p.scores.where("date <= date'1999-06-30'"), p.scores.where("date >= date'1999-01-01'").withColumn("ESG", F.col("ESG") + 1)
     batches = [df.select("ticker", F.col("ticker").alias("gvkey"), "date", "ESG") for df in (old, new)]
     return rounded(src.upserted(p.spark, ingest.work_folder(p.spark), batches, ["ticker", "gvkey", "date"]), "ticker", "date", "ESG:6")
 
 
-@query("SELECT date, round(arg_max(rate, seq), 6) AS rate FROM (SELECT date, rate, 0 AS seq FROM rf WHERE date <= DATE '1996-12-31' UNION ALL SELECT date, rate + 0.5, 1 FROM rf WHERE date >= DATE '1996-06-30') GROUP BY date")
+@query("""SELECT date, round(arg_max(rate, seq), 6) AS rate FROM (SELECT date, rate, 0 AS seq FROM rf WHERE date <= DATE '1996-12-31'
+UNION ALL SELECT date, rate + 0.5, 1 FROM rf WHERE date >= DATE '1996-06-30') GROUP BY date""")
 def a18_rate_upsert(p: Panels):
     new = p.rates.where("date >= date'1996-06-30'").select("date", (F.col("rate") + 0.5).alias("rate"))
     return rounded(src.upserted(p.spark, ingest.work_folder(p.spark), [p.rates.where("date <= date'1996-12-31'"), new], ["date"]), "date", "rate:6")
@@ -112,7 +119,8 @@ def a23_symbol_list(p: Panels):
     return src.read_symbols(p.spark, path)
 
 
-@query("SELECT r.ticker, r.date, round(r.ret - f.rate / 100 / 52, 8) AS weekly, round(r.ret - f.rate / 100 / 252, 8) AS daily FROM ret r JOIN rf f ON r.date = f.date")
+@query("""SELECT r.ticker, r.date, round(r.ret - f.rate / 100 / 52, 8) AS weekly, round(r.ret - f.rate / 100 / 252, 8) AS daily FROM ret r
+JOIN rf f ON r.date = f.date""")
 def d2_excess_by_period(p: Panels):
     weekly, daily = (op.excess_returns(p.returns, p.rates, k).select("ticker", "date", F.col("excess").alias(n)) for n, k in (("weekly", 52), ("daily", 252)))
     return rounded(weekly.join(daily, ["ticker", "date"]), "ticker", "date", "weekly:8", "daily:8")
@@ -123,21 +131,28 @@ def b11_unit_check(p: Panels):
     return rounded(pf.check_units(p.market_returns, "mkt"), "date", "mkt:6")
 
 
-@query("SELECT ticker FROM (SELECT ticker FROM ret GROUP BY ticker HAVING count(*) >= 60 INTERSECT SELECT ticker FROM sc WHERE ESG > 75 INTERSECT SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)")
+@query("""SELECT ticker FROM (SELECT ticker FROM ret GROUP BY ticker HAVING count(*) >= 60 INTERSECT SELECT ticker FROM sc
+WHERE ESG > 75 INTERSECT SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)""")
 def c15_common_names(p: Panels):
     expected = p.returns.groupBy("ticker").agg(F.count(F.lit(1)).alias("n")).where("n >= 60")
     return pf.common_names(expected, p.scores.where("ESG > 75"), p.table("supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("ticker")))
 
 
-@query("""SELECT ticker, CASE WHEN NOT ticker IN (SELECT ticker FROM exc) THEN 'no price' WHEN NOT ticker IN (SELECT ticker FROM sc WHERE ESG > 70) THEN 'no score' WHEN coalesce(n, 0) < 24 THEN 'insufficient' ELSE 'success' END AS outcome, coalesce(n, 0) AS n, round(beta, 5) AS beta FROM (SELECT s_suppkey AS ticker FROM supplier)
-LEFT JOIN (SELECT e.ticker, count(*) AS n, CASE WHEN count(*) >= 24 THEN regr_slope(e.excess, s.chg) END AS beta FROM exc e JOIN (SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS chg FROM sc WHERE ESG > 70) s ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY 1) USING (ticker)""")
+@query("""SELECT ticker, CASE WHEN NOT ticker IN (SELECT ticker FROM exc) THEN 'no price' WHEN NOT ticker IN (SELECT ticker FROM sc
+WHERE ESG > 70) THEN 'no score' WHEN coalesce(n, 0) < 24 THEN 'insufficient' ELSE 'success' END AS outcome, coalesce(n, 0) AS n, round(beta,
+5) AS beta FROM (SELECT s_suppkey AS ticker FROM supplier)
+LEFT JOIN (SELECT e.ticker, count(*) AS n, CASE WHEN count(*) >= 24 THEN regr_slope(e.excess, s.chg) END AS beta FROM exc e
+JOIN (SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS chg FROM sc
+WHERE ESG > 70) s ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY 1) USING (ticker)""")
 def f12_outcomes(p: Panels):
     universe = p.table("supplier").select(F.col("s_suppkey").alias("ticker"))
     return rounded(rg.change_beta_outcomes(universe, p.excess, p.scores.where("ESG > 70").select("ticker", "date", "ESG"), "ESG"), "ticker", "outcome", "n", "beta:5")
 
 
-@query(_FIVE + """, w AS (SELECT e.ticker, e.date, count(*) OVER v AS n, regr_slope(e.excess, f.factor) OVER v AS beta, regr_intercept(e.excess, f.factor) OVER v AS alpha, corr(e.excess, f.factor) OVER v AS r
-FROM exc e JOIN (SELECT * FROM fct WHERE signal = 'ESG') f ON e.date = f.date WINDOW v AS (PARTITION BY e.ticker ORDER BY e.date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW))
+@query(_FIVE + """, w AS (SELECT e.ticker, e.date, count(*) OVER v AS n, regr_slope(e.excess, f.factor) OVER v AS beta, regr_intercept(e.excess,
+f.factor) OVER v AS alpha, corr(e.excess, f.factor) OVER v AS r
+FROM exc e JOIN (SELECT * FROM fct WHERE signal = 'ESG') f ON e.date = f.date WINDOW v AS (PARTITION BY e.ticker
+ORDER BY e.date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW))
 SELECT ticker, date, n AS observations, round(beta, 5) AS beta, round(alpha * 12, 6) AS alpha, round(r * r, 6) AS r_squared FROM w WHERE n >= 24""")
 def f9_rolling_factor(p: Panels):
     return rounded(rg.rolling_ols(_two_frame(p), "excess", "factor", 36, 24), "ticker", "date", "observations", "beta:5", "alpha:6", "r_squared:6")
@@ -150,13 +165,16 @@ def f29_batch_table(p: Panels):
     return rounded(rg.batch_table(fit), "ticker", "alpha:6", "alpha_stars", "beta_market:6", "beta_market_stars", "beta_score:6", "beta_score_stars", "r_squared:6", "n")
 
 
-@query(_PAIRS + ", fn AS (SELECT key, arg_min(ticker, first_row) AS ticker FROM pr GROUP BY key), ex AS (SELECT DISTINCT lower(ticker) AS ticker, key + 1000 AS key FROM fn WHERE key > 12) SELECT ticker, key FROM fn WHERE ticker NOT IN (SELECT upper(ticker) FROM ex) UNION ALL SELECT ticker, key FROM ex", False)
+@query(_PAIRS + """, fn AS (SELECT key, arg_min(ticker, first_row) AS ticker FROM pr
+GROUP BY key), ex AS (SELECT DISTINCT lower(ticker) AS ticker, key + 1000 AS key FROM fn WHERE key > 12) SELECT ticker, key FROM fn
+WHERE ticker NOT IN (SELECT upper(ticker) FROM ex) UNION ALL SELECT ticker, key FROM ex""", False)
 def a20_key_upsert(p: Panels):
     names = mp.first_name(_pairs(p)).select("ticker", "key")
     return mp.put(names, names.where("key > 12").select(F.lower("ticker").alias("ticker"), (F.col("key") + 1000).alias("key")).distinct())
 
 
-@query("SELECT ticker, CAST(year(date) AS BIGINT) AS year, count(*) AS records, min(date) AS first_date, max(date) AS last_date, round(avg(ESG), 6) AS mean FROM sc WHERE ticker IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AND year(date) BETWEEN 1995 AND 1997 GROUP BY 1, 2")
+@query("""SELECT ticker, CAST(year(date) AS BIGINT) AS year, count(*) AS records, min(date) AS first_date, max(date) AS last_date, round(avg(ESG),
+6) AS mean FROM sc WHERE ticker IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AND year(date) BETWEEN 1995 AND 1997 GROUP BY 1, 2""")
 def a25_batch_export(p: Panels):
     asked = p.table("supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("ticker"))
     rows = mp.in_period(mp.fetched(asked, p.scores), start_year=1995, end_year=1997)
@@ -164,7 +182,8 @@ def a25_batch_export(p: Panels):
     return rounded(by.agg(F.count(F.lit(1)).alias("records"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.avg("ESG").alias("mean")), "ticker", "year", "records", "first_date", "last_date", "mean:6")
 
 
-@query(_PAIRS + "SELECT 'Cust' || n AS ticker, (SELECT arg_min(key, first_row) FROM pr WHERE ticker = 'CUST' || n) AS key FROM (SELECT DISTINCT c_custkey % 50 AS n FROM customer)", False)
+@query(_PAIRS + """SELECT 'Cust' || n AS ticker, (SELECT arg_min(key, first_row) FROM pr WHERE ticker = 'CUST' || n) AS key
+FROM (SELECT DISTINCT c_custkey % 50 AS n FROM customer)""", False)
 def b4_key_lookup(p: Panels):
     asked = p.table("customer").select(F.concat(F.lit("Cust"), F.col("c_custkey") % 50).alias("ticker")).distinct()
     return mp.key_of(asked, _pairs(p))
@@ -175,7 +194,8 @@ def b5_entity_period(p: Panels):
     return rounded(mp.in_period(p.scores, start_date="1995-06-30", start_year=1993, end_year=1996), "ticker", "date", "ESG:6")
 
 
-@query("SELECT s_suppkey AS ticker, date, round(ESG, 6) AS ESG FROM supplier LEFT JOIN (SELECT * FROM sc WHERE ESG > 70) ON s_suppkey = ticker WHERE s_acctbal > 0")
+@query("""SELECT s_suppkey AS ticker, date, round(ESG, 6) AS ESG FROM supplier LEFT JOIN (SELECT * FROM sc WHERE ESG > 70) ON s_suppkey = ticker
+WHERE s_acctbal > 0""")
 def b6_many_entities(p: Panels):
     asked = p.table("supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("ticker"))
     return rounded(mp.fetched(asked, p.scores.where("ESG > 70"), skip_missing=False), "ticker", "date", "ESG:6")
@@ -192,7 +212,8 @@ def c10_set_membership(p: Panels):
     return rounded(p.prices.join(rich, "ticker", "left_semi"), "ticker", "date", "adj_close:9")
 
 
-@query("SELECT date, round(a.ret, 6) AS mkt, round(f.rate, 6) AS rate, round(s.score, 6) AS score FROM mret a JOIN rf f USING (date) JOIN (SELECT date, avg(ESG) AS score FROM sc WHERE ESG > 60 GROUP BY date HAVING avg(ESG) > 66) s USING (date)")
+@query("""SELECT date, round(a.ret, 6) AS mkt, round(f.rate, 6) AS rate, round(s.score, 6) AS score FROM mret a JOIN rf f USING (date)
+JOIN (SELECT date, avg(ESG) AS score FROM sc WHERE ESG > 60 GROUP BY date HAVING avg(ESG) > 66) s USING (date)""")
 def c14_complete_cases(p: Panels):
     series = p.market_returns.select("date", F.lit("mkt").alias("signal"), F.col("mkt").alias("factor"))
     series = series.unionByName(p.rates.select("date", F.lit("rate").alias("signal"), F.col("rate").alias("factor")))
@@ -201,7 +222,8 @@ def c14_complete_cases(p: Panels):
     return wide.select("date", *(F.round(f"{c}_factor", 6).alias(c) for c in ("mkt", "rate", "score")))
 
 
-@query("SELECT ticker, round(avg(ret) * 12, 6) AS mean FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM ret) WHERE n <= 36 GROUP BY ticker")
+@query("""SELECT ticker, round(avg(ret) * 12, 6) AS mean FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM ret)
+WHERE n <= 36 GROUP BY ticker""")
 def d26_historical_mean(p: Panels):
     return rounded(pf.historical_mean(p.returns, 36), "ticker", "mean:6")
 
@@ -215,24 +237,31 @@ def d30_latest(p: Panels):
 _BOUNDS = [("none", None, None), ("within 5%", -0.05, 0.05), ("within 2%", -0.02, 0.02), ("positive", 0.0, 0.1), ("negative", -0.1, 0.0)]
 
 
-@query(_WTS + "SELECT scenario, arg_max(portfolio, exp_return - 2.5 * variance) AS portfolio, round(max(exp_return - 2.5 * variance), 7) AS utility, count(*) AS candidates FROM st JOIN (VALUES ('none', -1e9, 1e9), ('within 5%', -0.05, 0.05), ('within 2%', -0.02, 0.02), ('positive', 0, 0.1), ('negative', -0.1, 0)) b(scenario, low, high) ON exposure BETWEEN low AND high GROUP BY 1")
+@query(_WTS + """SELECT scenario, arg_max(portfolio, exp_return - 2.5 * variance) AS portfolio, round(max(exp_return - 2.5 * variance), 7) AS utility,
+count(*) AS candidates FROM st
+JOIN (VALUES ('none', -1e9, 1e9), ('within 5%', -0.05, 0.05), ('within 2%', -0.02, 0.02), ('positive', 0, 0.1), ('negative', -0.1, 0)) b(scenario,
+low, high) ON exposure BETWEEN low AND high GROUP BY 1""")
 def f24_score_scenarios(p: Panels):
     return rounded(pf.best_in_bounds(_portfolios(p)[1], _BOUNDS, 5.0), "scenario", "portfolio", "utility:7", "candidates")
 
 
-_REQUIRED = ", rq AS (SELECT ticker, power(1 + avg(rf) + regr_slope(excess, mkt_excess) * 0.005, 12) - 1 AS required, avg(ret) * 12 AS historical FROM exc GROUP BY ticker) "
+_REQUIRED = """, rq AS (SELECT ticker, power(1 + avg(rf) + regr_slope(excess, mkt_excess) * 0.005, 12) - 1 AS required, avg(ret) * 12 AS historical
+FROM exc GROUP BY ticker) """
 
 
 def _required(p: Panels):
     return p.excess.groupBy("ticker").agg(F.expr("power(1 + avg(rf) + regr_slope(excess, mkt_excess) * 0.005D, 12) - 1").alias("required"), (F.avg("ret") * 12).alias("historical"))
 
 
-@query(_REQUIRED + "SELECT ticker, round(required, 6) AS required, round(historical, 6) AS historical, round(required - historical, 6) AS gap, CASE WHEN required - historical > 0.05 THEN 'underweight' WHEN required - historical > 0.02 THEN 'hold' WHEN required - historical > -0.02 THEN 'market perform' WHEN required - historical IS NOT NULL THEN 'overweight' END AS rating FROM rq")
+@query(_REQUIRED + """SELECT ticker, round(required, 6) AS required, round(historical, 6) AS historical, round(required - historical, 6) AS gap,
+CASE WHEN required - historical > 0.05 THEN 'underweight' WHEN required - historical > 0.02 THEN 'hold' WHEN required - historical > -0.02 THEN 'market perform' WHEN required - historical IS NOT NULL THEN 'overweight' END AS rating
+FROM rq""")
 def f27_expectation_gap(p: Panels):
     return rounded(pf.expectation_gap(_required(p)), "ticker", "required:6", "historical:6", "gap:6", "rating")
 
 
-@query(_REQUIRED + "SELECT ticker, scenario, round(required - spread, 6) AS growth FROM rq CROSS JOIN (VALUES ('bear', 0.08), ('base', 0.06), ('bull', 0.04)) s(scenario, spread)")
+@query(_REQUIRED + """SELECT ticker, scenario, round(required - spread, 6) AS growth FROM rq CROSS
+JOIN (VALUES ('bear', 0.08), ('base', 0.06), ('bull', 0.04)) s(scenario, spread)""")
 def f27_implied_growth(p: Panels):
     return rounded(pf.implied_growth(_required(p), {"bear": 0.08, "base": 0.06, "bull": 0.04}), "ticker", "scenario", "growth:6")
 
@@ -241,9 +270,12 @@ _LAGS = [12, 15, 18, 24]
 
 
 @query(", lg AS (" + " UNION ALL ".join(f"SELECT ticker, date, 'ESG_{k}' AS signal, lag(ESG, {k + 1}) OVER (PARTITION BY ticker ORDER BY date) AS value FROM sc" for k in _LAGS) + """),
-pr AS (SELECT signal, date, excess, (rank() OVER (PARTITION BY signal, date ORDER BY value) + (count(*) OVER (PARTITION BY signal, date, value) - 1) / 2.0) / count(*) OVER (PARTITION BY signal, date) AS pct FROM lg JOIN exc USING (ticker, date) WHERE value IS NOT NULL),
+pr AS (SELECT signal, date, excess, (rank() OVER (PARTITION BY signal, date
+ORDER BY value) + (count(*) OVER (PARTITION BY signal, date, value) - 1) / 2.0) / count(*) OVER (PARTITION BY signal, date) AS pct FROM lg
+JOIN exc USING (ticker, date) WHERE value IS NOT NULL),
 fc AS (SELECT signal, date, avg(excess) FILTER (WHERE pct >= 0.8) - avg(excess) FILTER (WHERE pct <= 0.2) AS factor FROM pr GROUP BY 1, 2)
-SELECT signal, count(factor) AS n, round(avg(factor) * 12, 6) AS ann_mean, round(stddev_samp(factor) * sqrt(12), 6) AS ann_std FROM fc WHERE factor IS NOT NULL GROUP BY signal""")
+SELECT signal, count(factor) AS n, round(avg(factor) * 12, 6) AS ann_mean, round(stddev_samp(factor) * sqrt(12), 6) AS ann_std FROM fc
+WHERE factor IS NOT NULL GROUP BY signal""")
 def f28_lag_sensitivity(p: Panels):
     # All lags are one plan: each is a signal of its own.
     lagged = p.scores.select("ticker", "date", *(F.expr(f"lag(ESG, {k}) {op.OVER}").alias(f"ESG_{k}") for k in _LAGS))
@@ -257,7 +289,12 @@ def f30_fixed_effects(p: Panels):
     return rounded(rg.two_way_effects(panel, "excess", ["ESG"]), "term", "coef:8", "std_error:8", "n")
 
 
-@query("SELECT DISTINCT s.ticker, CAST(year(s.date) AS BIGINT) AS year, CAST(year(s.date) - first AS BIGINT) AS since, years, years = (SELECT count(DISTINCT year(date)) FROM sc WHERE ESG > 50 OR year(date) > 1996) AS balanced, CASE WHEN first <= 1995 THEN 'early' WHEN first <= 1996 THEN 'middle' ELSE 'late' END AS cohort FROM (SELECT * FROM sc WHERE ESG > 50 OR year(date) > 1996) s JOIN (SELECT ticker, min(year(date)) AS first, count(DISTINCT year(date)) AS years FROM sc WHERE ESG > 50 OR year(date) > 1996 GROUP BY ticker) USING (ticker) WHERE years >= 4")
+@query("""SELECT DISTINCT s.ticker, CAST(year(s.date) AS BIGINT) AS year, CAST(year(s.date) - first AS BIGINT) AS since, years,
+years = (SELECT count(DISTINCT year(date)) FROM sc
+WHERE ESG > 50 OR year(date) > 1996) AS balanced,
+CASE WHEN first <= 1995 THEN 'early' WHEN first <= 1996 THEN 'middle' ELSE 'late' END AS cohort FROM (SELECT * FROM sc
+WHERE ESG > 50 OR year(date) > 1996) s JOIN (SELECT ticker, min(year(date)) AS first, count(DISTINCT year(date)) AS years FROM sc
+WHERE ESG > 50 OR year(date) > 1996 GROUP BY ticker) USING (ticker) WHERE years >= 4""")
 def f31_sample_years(p: Panels):
     return mp.sample_years(p.scores.where("ESG > 50 or year(date) > 1996"), 4, 1995, 1996)
 
@@ -284,7 +321,10 @@ def g7_frequency_coverage(p: Panels):
     return ref.frequency_coverage(required, panels).join(scored, "ticker", "left").select("freq", "ticker", "periods", "complete", "missing", "status", *(c for c in scored.columns if c != "ticker"))
 
 
-@query("SELECT s_suppkey AS ticker, b AS actual_start, e AS actual_end, CASE WHEN b IS NULL THEN 'missing' WHEN e >= DATE '2001-10-01' AND b <= DATE '2001-12-31' THEN 'complete' ELSE 'partial' END AS status FROM supplier LEFT JOIN (SELECT ticker, min(date) AS b, max(date) AS e FROM px WHERE adj_volume > 200 AND (adj_close > 1500 OR date < DATE '2001-01-01') GROUP BY ticker) ON s_suppkey = ticker")
+@query("""SELECT s_suppkey AS ticker, b AS actual_start, e AS actual_end,
+CASE WHEN b IS NULL THEN 'missing' WHEN e >= DATE '2001-10-01' AND b <= DATE '2001-12-31' THEN 'complete' ELSE 'partial' END AS status
+FROM supplier LEFT JOIN (SELECT ticker, min(date) AS b, max(date) AS e FROM px
+WHERE adj_volume > 200 AND (adj_close > 1500 OR date < DATE '2001-01-01') GROUP BY ticker) ON s_suppkey = ticker""")
 def g10_overlap_status(p: Panels):
     own = ref.extents(p.prices.where("adj_volume > 200 and (adj_close > 1500 or date < date'2001-01-01')")).drop("records")
     every = p.table("supplier").select(F.col("s_suppkey").alias("ticker")).join(own, "ticker", "left")
@@ -303,7 +343,8 @@ def g16_key_pairs(p: Panels):
     return _pairs(p)
 
 
-@query(_PAIRS + "SELECT count(*) AS rows, count(key) AS matched, round(count(key) * 1.0 / count(*), 6) AS rate FROM (SELECT (SELECT arg_min(key, first_row) FROM pr WHERE ticker = 'CUST' || n) AS key FROM (SELECT o_custkey % 50 AS n FROM orders))", False)
+@query(_PAIRS + """SELECT count(*) AS rows, count(key) AS matched, round(count(key) * 1.0 / count(*), 6) AS rate FROM (SELECT (SELECT arg_min(key, first_row)
+FROM pr WHERE ticker = 'CUST' || n) AS key FROM (SELECT o_custkey % 50 AS n FROM orders))""", False)
 def g17_match_rate(p: Panels):
     members = p.table("orders").select(F.concat(F.lit("Cust"), F.col("o_custkey") % 50).alias("ticker"))
     return rounded(mp.key_of(members, _pairs(p)).agg(F.count(F.lit(1)).alias("rows"), F.count("key").alias("matched"), (F.count("key") / F.count(F.lit(1))).alias("rate")), "rows", "matched", "rate:6")
@@ -317,12 +358,13 @@ def _resolution(p: Panels):
     return mp.resolution(universe, ref.closed_successors(src.successors(p.table("part"))), p.scores.where("ESG > 85"))
 
 
-@query(_RESOLVED + "SELECT CASE WHEN delisted THEN 'skipped' WHEN own THEN 'processed' WHEN found THEN 'mapped' ELSE 'no data' END AS outcome, count(*) AS n FROM rz GROUP BY 1", False)
+@query(_RESOLVED + """SELECT CASE WHEN delisted THEN 'skipped' WHEN own THEN 'processed' WHEN found THEN 'mapped' ELSE 'no data' END AS outcome, count(*) AS n
+FROM rz GROUP BY 1""", False)
 def g18_outcomes(p: Panels):
     return mp.outcome(_resolution(p)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(_RESOLVED + "SELECT ticker, resolved, CASE WHEN own THEN 'fetched' WHEN found AND NOT delisted THEN 'resolved' ELSE 'skipped' END AS plan FROM rz", False)
+@query(_RESOLVED + """SELECT ticker, resolved, CASE WHEN own THEN 'fetched' WHEN found AND NOT delisted THEN 'resolved' ELSE 'skipped' END AS plan FROM rz""", False)
 def g20_refetch_plan(p: Panels):
     return mp.refetch(_resolution(p)).select("ticker", "resolved", "plan")
 
@@ -335,7 +377,8 @@ def k1_stream_upsert(p: Panels):
     return p.spark.read.parquet(f"{work}/table").select("user_id", "event_type", "ts")
 
 
-@query("SELECT event_type, count(*) AS n FROM events WHERE event_id % 2 = 1 OR CAST(ts AS TIMESTAMP) > (SELECT max(CAST(ts AS TIMESTAMP)) FROM events WHERE event_id % 2 = 1) - INTERVAL 5 DAY GROUP BY 1", False)
+@query("""SELECT event_type, count(*) AS n FROM events WHERE event_id % 2 = 1 OR CAST(ts AS TIMESTAMP) > (SELECT max(CAST(ts AS TIMESTAMP)) FROM events
+WHERE event_id % 2 = 1) - INTERVAL 5 DAY GROUP BY 1""", False)
 def k2_late_rows(p: Panels):
     """Odd ids arrive first and set the watermark, even ids after; of those only what lies within the lookback is taken."""
     work = ingest.work_folder(p.spark)

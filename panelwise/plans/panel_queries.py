@@ -24,18 +24,21 @@ def a2_market_scan(p: Panels):
     return rounded(src.date_range(p.market, "1996-01-01"), "date", "adj_close:9")
 
 
-@query("SELECT ticker, date, round(adj_close, 9) AS adj_close, adj_volume FROM px WHERE ticker IN (SELECT ticker FROM sect WHERE sector = 'ASIA') AND date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'")
+@query("""SELECT ticker, date, round(adj_close, 9) AS adj_close, adj_volume FROM px WHERE ticker IN (SELECT ticker FROM sect
+WHERE sector = 'ASIA') AND date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'""")
 def a3_price_panel(p: Panels):
     return rounded(src.panel_scan(p.prices, p.sectors.where("sector = 'ASIA'"), None, "1997-01-01", "1999-12-31"), "ticker", "date", "adj_close:9", "adj_volume")
 
 
-@query("SELECT ticker, date, year(date) AS year, month(date) AS month, round(ESG, 6) AS ESG FROM sc WHERE date IS NOT NULL AND year(date) BETWEEN 1996 AND 1998", True)
+@query("""SELECT ticker, date, year(date) AS year, month(date) AS month, round(ESG, 6) AS ESG FROM sc
+WHERE date IS NOT NULL AND year(date) BETWEEN 1996 AND 1998""", True)
 def a5_score_scan(p: Panels):
     df = p.scores.withColumn("year", F.year("date").cast("long")).withColumn("month", F.month("date").cast("long")).where("year between 1996 and 1998")
     return rounded(df, "ticker", "date", "year", "month", "ESG:6")
 
 
-@query("SELECT ticker, date, round(ESG, 6) AS ESG, round(E, 6) AS E, round(S, 6) AS S, round(G, 6) AS G FROM sc WHERE ticker IN (SELECT ticker FROM sect WHERE sector = 'EUROPE')")
+@query("""SELECT ticker, date, round(ESG, 6) AS ESG, round(E, 6) AS E, round(S, 6) AS S, round(G, 6) AS G FROM sc WHERE ticker IN (SELECT ticker
+FROM sect WHERE sector = 'EUROPE')""")
 def a6_score_panel(p: Panels):
     return rounded(src.panel_scan(p.scores, p.sectors.where("sector = 'EUROPE'")), "ticker", "date", "ESG:6", "E:6", "S:6", "G:6")
 
@@ -45,7 +48,8 @@ def a9_rate_scan(p: Panels):
     return rounded(src.date_range(p.rates, "1996-01-01", "1999-12-31"), "date", "rate:6")
 
 
-@query("SELECT ticker, date, round(ret, 6) AS ret, round(excess, 6) AS excess FROM exc WHERE ticker IN (SELECT ticker FROM exc GROUP BY ticker HAVING count(*) >= 10)")
+@query("""SELECT ticker, date, round(ret, 6) AS ret, round(excess, 6) AS excess FROM exc WHERE ticker IN (SELECT ticker FROM exc GROUP BY ticker
+HAVING count(*) >= 10)""")
 def a12_returns_panel(p: Panels):
     df = p.excess.withColumn("n", F.expr("count(1) over (partition by ticker)")).where("n >= 10")
     return rounded(df, "ticker", "date", "ret:6", "excess:6")
@@ -57,15 +61,18 @@ def a13_sector_scan(p: Panels):
 
 
 @query("""SELECT ticker, date, round(arg_max(adj_close, seq), 6) AS adj_close FROM (
-SELECT ticker, date, adj_close, 0 AS seq FROM px WHERE date <= DATE '1999-06-30' UNION ALL SELECT ticker, date, adj_close * 1.01, 1 FROM px WHERE date >= DATE '1999-01-01') GROUP BY ticker, date""")
+SELECT ticker, date, adj_close, 0 AS seq FROM px WHERE date <= DATE '1999-06-30' UNION ALL SELECT ticker, date, adj_close * 1.01, 1 FROM px
+WHERE date >= DATE '1999-01-01') GROUP BY ticker, date""")
 def a15_price_upsert(p: Panels):
     old = p.prices.select("ticker", "date", "adj_close").where("date <= date'1999-06-30'")
     new = p.prices.select("ticker", "date", (F.col("adj_close") * 1.01).alias("adj_close")).where("date >= date'1999-01-01'")
     return rounded(src.upserted(p.spark, ingest.work_folder(p.spark), [old, new], ["ticker", "date"]), "ticker", "date", "adj_close:6")
 
 
-@query("""SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS date, round(max(l_extendedprice / l_quantity), 9) AS high, round(min(l_extendedprice / l_quantity), 9) AS low, CAST(sum(l_quantity) AS BIGINT) AS volume,
-'us' AS exchange, 'USD' AS currency, 'daily' AS freq, CAST(year(min(CAST(l_shipdate AS DATE))) AS BIGINT) AS year FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""", False)
+@query("""SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS date, round(max(l_extendedprice / l_quantity), 9) AS high,
+round(min(l_extendedprice / l_quantity), 9) AS low, CAST(sum(l_quantity) AS BIGINT) AS volume,
+'us' AS exchange, 'USD' AS currency, 'daily' AS freq, CAST(year(min(CAST(l_shipdate AS DATE))) AS BIGINT) AS year FROM lineitem
+GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""", False)
 def a24_canonical_prices(p: Panels):
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     df = p.table("lineitem").groupBy(F.col("l_suppkey").cast("string").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(F.max(unit).alias("high"), F.min(unit).alias("low"), F.sum("l_quantity").cast("long").alias("volume"))
@@ -78,12 +85,16 @@ def a26_inventory(p: Panels):
     return src.inventory(p.table("lineitem")).withColumn("mb", F.round(F.col("bytes") / 1e6, 3)).drop("bytes")
 
 
-@query("""SELECT ticker, date, round(adj_close, 9) AS adj_close FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM px) WHERE n <= 12""")
+@query("""SELECT ticker, date, round(adj_close, 9) AS adj_close FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM px)
+WHERE n <= 12""")
 def b9_last_rows(p: Panels):
     return rounded(pf.last_rows(p.prices, 12), "ticker", "date", "adj_close:9")
 
 
-@query("SELECT CAST(count(*) FILTER (WHERE adj_close < 0) AS BIGINT) AS negative_price, CAST(count(*) FILTER (WHERE adj_volume < 0) AS BIGINT) AS negative_volume, (SELECT CAST(count(*) FILTER (WHERE NOT (ESG BETWEEN 0 AND 100)) AS BIGINT) FROM sc) AS score_range, (SELECT CAST(count(*) FILTER (WHERE ret NOT BETWEEN -1 AND 1) AS BIGINT) FROM ret) AS return_range FROM px")
+@query("""SELECT CAST(count(*) FILTER (WHERE adj_close < 0) AS BIGINT) AS negative_price,
+CAST(count(*) FILTER (WHERE adj_volume < 0) AS BIGINT) AS negative_volume,
+(SELECT CAST(count(*) FILTER (WHERE NOT (ESG BETWEEN 0 AND 100)) AS BIGINT)
+FROM sc) AS score_range, (SELECT CAST(count(*) FILTER (WHERE ret NOT BETWEEN -1 AND 1) AS BIGINT) FROM ret) AS return_range FROM px""")
 def b14_quality_rules(p: Panels):
     rules = p.prices.agg(F.count_if(F.col("adj_close") < 0).alias("negative_price"), F.count_if(F.col("adj_volume") < 0).alias("negative_volume"))
     return rules.crossJoin(p.scores.agg(F.count_if(~F.col("ESG").between(0, 100)).alias("score_range"))).crossJoin(p.returns.agg(F.count_if(~F.col("ret").between(-1, 1)).alias("return_range")))
@@ -94,18 +105,22 @@ def c1_market_join(p: Panels):
     return rounded(p.returns.join(p.market_returns, "date"), "ticker", "date", "ret:6", "mkt:6")
 
 
-@query("SELECT e.ticker, e.date, round(e.excess, 6) AS excess, round(s.lagged, 6) AS lagged FROM exc e JOIN (SELECT ticker, date, lag(ESG) OVER (PARTITION BY ticker ORDER BY date) AS lagged FROM sc) s ON e.ticker = s.ticker AND e.date = s.date WHERE lagged IS NOT NULL")
+@query("""SELECT e.ticker, e.date, round(e.excess, 6) AS excess, round(s.lagged, 6) AS lagged FROM exc e
+JOIN (SELECT ticker, date, lag(ESG) OVER (PARTITION BY ticker ORDER BY date) AS lagged FROM sc) s ON e.ticker = s.ticker AND e.date = s.date
+WHERE lagged IS NOT NULL""")
 def c2_lagged_signal_join(p: Panels):
     lagged = op.lag_rows(p.scores.select("ticker", "date", F.col("ESG").alias("lagged")), ["lagged"], 1).where("lagged is not null")
     return rounded(p.excess.join(lagged, ["ticker", "date"]), "ticker", "date", "excess:6", "lagged:6")
 
 
-@query("""SELECT d.date, round(last_value(f.rate IGNORE NULLS) OVER (ORDER BY d.date), 6) AS rate FROM (SELECT DISTINCT date FROM md) d LEFT JOIN (SELECT * FROM rf WHERE rate < 4) f ON d.date = f.date""")
+@query("""SELECT d.date, round(last_value(f.rate IGNORE NULLS) OVER (ORDER BY d.date), 6) AS rate FROM (SELECT DISTINCT date FROM md) d LEFT
+JOIN (SELECT * FROM rf WHERE rate < 4) f ON d.date = f.date""")
 def c4_rate_forward_fill(p: Panels):
     return rounded(op.filled_rates(p.daily.select("date").distinct(), p.rates.where("rate < 4")), "date", "rate:6")
 
 
-_ASOF = "SELECT p.ticker, p.date, round(s.ESG, 6) AS ESG FROM px p ASOF {}JOIN (SELECT ticker, date, ESG FROM sc WHERE S > 50) s ON p.ticker = s.ticker AND p.date >= s.date"
+_ASOF = """SELECT p.ticker, p.date, round(s.ESG, 6) AS ESG FROM px p ASOF {}JOIN (SELECT ticker, date, ESG FROM sc
+WHERE S > 50) s ON p.ticker = s.ticker AND p.date >= s.date"""
 
 
 @query(_ASOF.format(""))
@@ -118,20 +133,24 @@ def c6_asof_left(p: Panels):
     return rounded(op.backward_asof(p.prices.select("ticker", "date"), p.scores.where("S > 50"), "ESG", True), "ticker", "date", "ESG:6")
 
 
-@query("SELECT p.ticker, p.date, round(s.ESG, 6) AS ESG FROM px p ASOF JOIN (SELECT ticker, last_day(date + INTERVAL 1 MONTH) AS date, ESG FROM sc WHERE month(date) = 12) s ON p.ticker = s.ticker AND p.date >= s.date")
+@query("""SELECT p.ticker, p.date, round(s.ESG, 6) AS ESG FROM px p ASOF JOIN (SELECT ticker, last_day(date + INTERVAL 1 MONTH) AS date, ESG FROM sc
+WHERE month(date) = 12) s ON p.ticker = s.ticker AND p.date >= s.date""")
 def c7_published_asof(p: Panels):
     out = p.scores.where("month(date) = 12").withColumn("date", F.last_day(F.add_months("date", 1)))
     return rounded(op.backward_asof(p.prices.select("ticker", "date"), out, "ESG"), "ticker", "date", "ESG:6")
 
 
-@query("SELECT b.ticker, f.date, round(f.rate / 1200 + b.beta * 0.005, 8) AS er_monthly FROM (SELECT ticker, regr_slope(excess, mkt_excess) AS beta FROM exc GROUP BY ticker) b CROSS JOIN rf f")
+@query("""SELECT b.ticker, f.date, round(f.rate / 1200 + b.beta * 0.005, 8) AS er_monthly FROM (SELECT ticker, regr_slope(excess, mkt_excess) AS beta
+FROM exc GROUP BY ticker) b CROSS JOIN rf f""")
 def c12_constant_beta(p: Panels):
     betas = rg.static_ols(p.excess, "excess", "mkt_excess", 2).select("ticker", "beta")
     rf = p.rates  # a row a month; Spark broadcasts whichever side its size allows
     return rounded(betas.crossJoin(rf).withColumn("er_monthly", F.col("rate") / 1200 + F.col("beta") * 0.005), "ticker", "date", "er_monthly:8")
 
 
-@query("SELECT coalesce(a.date, b.date) AS date, count(DISTINCT a.ticker) AS with_price, count(DISTINCT b.ticker) AS with_score, count(DISTINCT CASE WHEN a.ticker = b.ticker THEN a.ticker END) AS common FROM px a FULL JOIN (SELECT * FROM sc WHERE S > 50) b ON a.ticker = b.ticker AND a.date = b.date GROUP BY 1")
+@query("""SELECT coalesce(a.date, b.date) AS date, count(DISTINCT a.ticker) AS with_price, count(DISTINCT b.ticker) AS with_score,
+count(DISTINCT CASE WHEN a.ticker = b.ticker THEN a.ticker END) AS common FROM px a FULL JOIN (SELECT * FROM sc
+WHERE S > 50) b ON a.ticker = b.ticker AND a.date = b.date GROUP BY 1""")
 def c18_alignment(p: Panels):
     a, b = p.prices.select("ticker", "date", F.lit(1).alias("a")), p.scores.where("S > 50").select("ticker", "date", F.lit(1).alias("b"))
     return a.join(b, ["ticker", "date"], "full").groupBy("date").agg(F.count("a").alias("with_price"), F.count("b").alias("with_score"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("common"))
@@ -153,12 +172,17 @@ def d6_date_extent(p: Panels):
 
 
 _LS = """, sg AS (SELECT ticker, date, unnest(['ESG', 'E', 'S', 'G']) AS signal, unnest([ESG, E, S, G]) AS value FROM sc),
-lg AS (SELECT * FROM (SELECT signal, ticker, date, lag(value, {lag}) OVER (PARTITION BY signal, ticker ORDER BY date) AS value FROM sg) WHERE value IS NOT NULL),
+lg AS (SELECT * FROM (SELECT signal, ticker, date, lag(value, {lag}) OVER (PARTITION BY signal, ticker ORDER BY date) AS value FROM sg)
+WHERE value IS NOT NULL),
 jn AS (SELECT l.signal, l.date, l.ticker, l.value, e.excess, {extra} FROM lg l JOIN exc e ON l.ticker = e.ticker AND l.date = e.date {join}),
-rk AS (SELECT *, (rank() OVER (PARTITION BY {by} ORDER BY value) + (count(*) OVER (PARTITION BY {by}, value) - 1) / 2.0) / count(*) OVER (PARTITION BY {by}) AS pct FROM jn),
-lgs AS (SELECT signal, date, coalesce(sum(w * excess) FILTER (WHERE pct >= 0.8) / nullif(sum(w) FILTER (WHERE pct >= 0.8), 0), avg(excess) FILTER (WHERE pct >= 0.8)) AS long_leg,
-coalesce(sum(w * excess) FILTER (WHERE pct <= 0.2) / nullif(sum(w) FILTER (WHERE pct <= 0.2), 0), avg(excess) FILTER (WHERE pct <= 0.2)) AS short_leg FROM rk GROUP BY signal, date)
-SELECT signal, date, round(long_leg, 6) AS long_leg, round(short_leg, 6) AS short_leg, round(long_leg - short_leg, 6) AS factor FROM lgs WHERE long_leg IS NOT NULL AND short_leg IS NOT NULL"""
+rk AS (SELECT *, (rank() OVER (PARTITION BY {by}
+ORDER BY value) + (count(*) OVER (PARTITION BY {by}, value) - 1) / 2.0) / count(*) OVER (PARTITION BY {by}) AS pct FROM jn),
+lgs AS (SELECT signal, date, coalesce(sum(w * excess) FILTER (WHERE pct >= 0.8) / nullif(sum(w) FILTER (WHERE pct >= 0.8), 0),
+avg(excess) FILTER (WHERE pct >= 0.8)) AS long_leg,
+coalesce(sum(w * excess) FILTER (WHERE pct <= 0.2) / nullif(sum(w) FILTER (WHERE pct <= 0.2), 0),
+avg(excess) FILTER (WHERE pct <= 0.2)) AS short_leg FROM rk GROUP BY signal, date)
+SELECT signal, date, round(long_leg, 6) AS long_leg, round(short_leg, 6) AS short_leg, round(long_leg - short_leg, 6) AS factor FROM lgs
+WHERE long_leg IS NOT NULL AND short_leg IS NOT NULL"""
 _EQUAL = _LS.format(lag=1, extra="1.0 AS w, 0 AS sector", join="", by="signal, date")
 _SIGNALS = ["ESG", "E", "S", "G"]
 
@@ -172,7 +196,8 @@ def f1_long_short(p: Panels):
     return _legs(op.long_short(p.excess, op.long_signals(p.scores, _SIGNALS)))
 
 
-_W = "(SELECT ticker, date, lag(w) OVER (PARTITION BY ticker ORDER BY date) AS w FROM (SELECT ticker, date, adj_close * adj_volume / sum(adj_close * adj_volume) OVER (PARTITION BY date) AS w FROM px))"
+_W = """(SELECT ticker, date, lag(w) OVER (PARTITION BY ticker ORDER BY date) AS w
+FROM (SELECT ticker, date, adj_close * adj_volume / sum(adj_close * adj_volume) OVER (PARTITION BY date) AS w FROM px))"""
 
 
 @query(_LS.format(lag=1, extra="coalesce(v.w, 0) AS w, 0 AS sector", join=f"LEFT JOIN {_W} v ON v.ticker = l.ticker AND v.date = l.date", by="signal, date"))
@@ -185,36 +210,50 @@ def e8_sector_neutral_legs(p: Panels):
     return _legs(op.long_short(p.excess, op.long_signals(p.scores, _SIGNALS), sectors=p.sectors))
 
 
-@query("SELECT ticker, date, round((chg - avg(chg) OVER (PARTITION BY date)) / coalesce(nullif(stddev_pop(chg) OVER (PARTITION BY date), 0), 1), 6) AS value FROM (SELECT ticker, date, ESG - lag(ESG, 12) OVER (PARTITION BY ticker ORDER BY date) AS chg FROM sc) WHERE chg IS NOT NULL")
+@query("""SELECT ticker, date, round((chg - avg(chg) OVER (PARTITION BY date)) / coalesce(nullif(stddev_pop(chg) OVER (PARTITION BY date), 0), 1),
+6) AS value FROM (SELECT ticker, date, ESG - lag(ESG, 12) OVER (PARTITION BY ticker ORDER BY date) AS chg FROM sc) WHERE chg IS NOT NULL""")
 def f2_momentum_signal(p: Panels):
     return rounded(op.momentum_signal(p.scores), "ticker", "date", "value:6")
 
 
-_FIVE = """, l12 AS (SELECT * FROM (SELECT ticker, date, lag(ESG, 12) OVER w AS ESG, lag(E, 12) OVER w AS E, lag(S, 12) OVER w AS S, lag(G, 12) OVER w AS G FROM sc WINDOW w AS (PARTITION BY ticker ORDER BY date)) WHERE ESG IS NOT NULL),
+_FIVE = """, l12 AS (SELECT * FROM (SELECT ticker, date, lag(ESG, 12) OVER w AS ESG, lag(E, 12) OVER w AS E, lag(S, 12) OVER w AS S, lag(G, 12) OVER w AS G
+FROM sc WINDOW w AS (PARTITION BY ticker ORDER BY date)) WHERE ESG IS NOT NULL),
 mom0 AS (SELECT ticker, date, ESG - lag(ESG, 12) OVER (PARTITION BY ticker ORDER BY date) AS chg FROM l12),
-mom AS (SELECT ticker, date, (chg - avg(chg) OVER (PARTITION BY date)) / coalesce(nullif(stddev_pop(chg) OVER (PARTITION BY date), 0), 1) AS value FROM mom0 WHERE chg IS NOT NULL),
-sg AS (SELECT ticker, date, unnest(['ESG', 'E', 'S', 'G']) AS signal, unnest([ESG, E, S, G]) AS value FROM l12 UNION ALL SELECT ticker, date, 'ESG_mom', value FROM mom),
-lg AS (SELECT * FROM (SELECT signal, ticker, date, lag(value) OVER (PARTITION BY signal, ticker ORDER BY date) AS value FROM sg) WHERE value IS NOT NULL),
+mom AS (SELECT ticker, date, (chg - avg(chg) OVER (PARTITION BY date)) / coalesce(nullif(stddev_pop(chg) OVER (PARTITION BY date), 0),
+1) AS value FROM mom0 WHERE chg IS NOT NULL),
+sg AS (SELECT ticker, date, unnest(['ESG', 'E', 'S', 'G']) AS signal, unnest([ESG, E, S, G]) AS value FROM l12
+UNION ALL SELECT ticker, date, 'ESG_mom', value FROM mom),
+lg AS (SELECT * FROM (SELECT signal, ticker, date, lag(value) OVER (PARTITION BY signal, ticker ORDER BY date) AS value FROM sg)
+WHERE value IS NOT NULL),
 jn AS (SELECT l.signal, l.date, l.ticker, l.value, e.excess FROM lg l JOIN exc e ON l.ticker = e.ticker AND l.date = e.date),
-rk AS (SELECT *, (rank() OVER (PARTITION BY signal, date ORDER BY value) + (count(*) OVER (PARTITION BY signal, date, value) - 1) / 2.0) / count(*) OVER (PARTITION BY signal, date) AS pct FROM jn),
-fac AS (SELECT signal, date, avg(excess) FILTER (WHERE pct >= 0.8) AS long_leg, avg(excess) FILTER (WHERE pct <= 0.2) AS short_leg FROM rk GROUP BY signal, date),
+rk AS (SELECT *, (rank() OVER (PARTITION BY signal, date
+ORDER BY value) + (count(*) OVER (PARTITION BY signal, date, value) - 1) / 2.0) / count(*) OVER (PARTITION BY signal, date) AS pct FROM jn),
+fac AS (SELECT signal, date, avg(excess) FILTER (WHERE pct >= 0.8) AS long_leg, avg(excess) FILTER (WHERE pct <= 0.2) AS short_leg FROM rk
+GROUP BY signal, date),
 fct AS (SELECT signal, date, long_leg, short_leg, long_leg - short_leg AS factor FROM fac WHERE long_leg IS NOT NULL AND short_leg IS NOT NULL)
 """
 
 
-@query(_FIVE + """SELECT * FROM (SELECT date, round(max(factor) FILTER (WHERE signal = 'ESG'), 6) AS ESG_factor, round(max(factor) FILTER (WHERE signal = 'E'), 6) AS E_factor, round(max(factor) FILTER (WHERE signal = 'S'), 6) AS S_factor,
-round(max(factor) FILTER (WHERE signal = 'G'), 6) AS G_factor, round(max(factor) FILTER (WHERE signal = 'ESG_mom'), 6) AS ESG_mom_factor FROM fct GROUP BY date) WHERE ESG_factor IS NOT NULL AND E_factor IS NOT NULL AND S_factor IS NOT NULL AND G_factor IS NOT NULL AND ESG_mom_factor IS NOT NULL""")
+@query(_FIVE + """SELECT * FROM (SELECT date, round(max(factor) FILTER (WHERE signal = 'ESG'), 6) AS ESG_factor, round(max(factor) FILTER (WHERE signal = 'E'),
+6) AS E_factor, round(max(factor) FILTER (WHERE signal = 'S'), 6) AS S_factor,
+round(max(factor) FILTER (WHERE signal = 'G'), 6) AS G_factor, round(max(factor) FILTER (WHERE signal = 'ESG_mom'), 6) AS ESG_mom_factor
+FROM fct GROUP BY date)
+WHERE ESG_factor IS NOT NULL AND E_factor IS NOT NULL AND S_factor IS NOT NULL AND G_factor IS NOT NULL AND ESG_mom_factor IS NOT NULL""")
 def f3_five_factors(p: Panels):
     names = [*_SIGNALS, "ESG_mom"]
     return rounded(op.wide_factors(p.factors, names), "date", *(f"{n}_factor:6" for n in names))
 
 
-@query(_FIVE + "SELECT signal, round(avg(factor) * 12, 6) AS ann_mean, round(stddev_samp(factor) * sqrt(12), 6) AS ann_std, round(avg(factor) * 12 / nullif(stddev_samp(factor) * sqrt(12), 0), 6) AS sharpe, round(min(factor), 6) AS low, round(max(factor), 6) AS high, count(factor) AS n FROM fct GROUP BY signal")
+@query(_FIVE + """SELECT signal, round(avg(factor) * 12, 6) AS ann_mean, round(stddev_samp(factor) * sqrt(12), 6) AS ann_std,
+round(avg(factor) * 12 / nullif(stddev_samp(factor) * sqrt(12), 0), 6) AS sharpe, round(min(factor), 6) AS low, round(max(factor), 6) AS high,
+count(factor) AS n FROM fct GROUP BY signal""")
 def d9_factor_summary(p: Panels):
     return rounded(op.factor_summary(p.factors), "signal", "ann_mean:6", "ann_std:6", "sharpe:6", "low:6", "high:6", "n")
 
 
-@query(_FIVE + "SELECT signal, round(avg(long_leg) * 100, 6) AS long_month, round(avg(short_leg) * 100, 6) AS short_month, round(avg(long_leg) * 1200, 6) AS long_year, round(stddev_samp(long_leg) * sqrt(12) * 100, 6) AS long_vol, round(stddev_samp(short_leg) * sqrt(12) * 100, 6) AS short_vol FROM fct GROUP BY signal")
+@query(_FIVE + """SELECT signal, round(avg(long_leg) * 100, 6) AS long_month, round(avg(short_leg) * 100, 6) AS short_month, round(avg(long_leg) * 1200,
+6) AS long_year, round(stddev_samp(long_leg) * sqrt(12) * 100, 6) AS long_vol, round(stddev_samp(short_leg) * sqrt(12) * 100, 6) AS short_vol
+FROM fct GROUP BY signal""")
 def d10_leg_summary(p: Panels):
     df = p.factors.groupBy("signal").agg((F.avg("long_leg") * 100).alias("long_month"), (F.avg("short_leg") * 100).alias("short_month"), (F.avg("long_leg") * 1200).alias("long_year"), (F.stddev_samp("long_leg") * F.sqrt(F.lit(12)) * 100).alias("long_vol"), (F.stddev_samp("short_leg") * F.sqrt(F.lit(12)) * 100).alias("short_vol"))
     return rounded(df, "signal", "long_month:6", "short_month:6", "long_year:6", "long_vol:6", "short_vol:6")
@@ -225,20 +264,26 @@ def d11_factor_correlation(p: Panels):
     return rounded(op.correlations(p.factors), "a", "b", "corr:6")
 
 
-@query("SELECT date, count(*) AS n, round(avg(ret), 6) AS mean, round(stddev_samp(ret), 6) AS std, round(min(ret), 6) AS low, round(quantile_cont(ret, 0.25), 6) AS q25, round(quantile_cont(ret, 0.5), 6) AS median, round(quantile_cont(ret, 0.75), 6) AS q75, round(max(ret), 6) AS high FROM ret GROUP BY date")
+@query("""SELECT date, count(*) AS n, round(avg(ret), 6) AS mean, round(stddev_samp(ret), 6) AS std, round(min(ret), 6) AS low, round(quantile_cont(ret, 0.25),
+6) AS q25, round(quantile_cont(ret, 0.5), 6) AS median, round(quantile_cont(ret, 0.75), 6) AS q75, round(max(ret), 6) AS high FROM ret GROUP BY date""")
 def d12_describe(p: Panels):
     df = p.returns.groupBy("date").agg(F.count("ret").alias("n"), F.avg("ret").alias("mean"), F.stddev_samp("ret").alias("std"), F.min("ret").alias("low"), F.expr("percentile(ret, array(0.25D, 0.5D, 0.75D))").alias("q"), F.max("ret").alias("high"))
     return rounded(df.select("date", "n", "mean", "std", "low", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75"), "high"), "date", "n", "mean:6", "std:6", "low:6", "q25:6", "median:6", "q75:6", "high:6")
 
 
-_BETA = """, ro AS (SELECT ticker, date, mkt_excess, count(*) OVER w AS observations, regr_slope(excess, mkt_excess) OVER w AS beta, regr_intercept(excess, mkt_excess) OVER w AS a, regr_sxx(excess, mkt_excess) OVER w AS sxx, regr_syy(excess, mkt_excess) OVER w AS syy, avg(mkt_excess) OVER w AS mx, corr(excess, mkt_excess) OVER w AS correlation
+_BETA = """, ro AS (SELECT ticker, date, mkt_excess, count(*) OVER w AS observations, regr_slope(excess, mkt_excess) OVER w AS beta, regr_intercept(excess,
+mkt_excess) OVER w AS a, regr_sxx(excess, mkt_excess) OVER w AS sxx, regr_syy(excess, mkt_excess) OVER w AS syy, avg(mkt_excess) OVER w AS mx,
+corr(excess, mkt_excess) OVER w AS correlation
 FROM exc WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)),
 r2 AS (SELECT *, greatest(syy - beta * beta * sxx, 0) / (observations - 2) AS s2 FROM ro WHERE observations = 60 AND sxx > 0),
-betas AS (SELECT ticker, date, beta, a * 12 AS alpha, correlation * correlation AS r_squared, sqrt(s2 / sxx) AS std_error_beta, sqrt(s2 * (1.0 / observations + mx * mx / sxx)) * 12 AS std_error_alpha, beta / nullif(sqrt(s2 / sxx), 0) AS t_stat_beta, observations, correlation FROM r2)
+betas AS (SELECT ticker, date, beta, a * 12 AS alpha, correlation * correlation AS r_squared, sqrt(s2 / sxx) AS std_error_beta,
+sqrt(s2 * (1.0 / observations + mx * mx / sxx)) * 12 AS std_error_alpha, beta / nullif(sqrt(s2 / sxx), 0) AS t_stat_beta, observations,
+correlation FROM r2)
 """
 
 
-@query(_BETA + "SELECT ticker, date, round(beta, 6) AS beta, round(alpha, 6) AS alpha, round(r_squared, 6) AS r_squared, round(std_error_beta, 6) AS std_error_beta, round(std_error_alpha, 6) AS std_error_alpha, round(t_stat_beta, 5) AS t_stat_beta, observations, round(correlation, 6) AS correlation FROM betas")
+@query(_BETA + """SELECT ticker, date, round(beta, 6) AS beta, round(alpha, 6) AS alpha, round(r_squared, 6) AS r_squared, round(std_error_beta, 6) AS std_error_beta,
+round(std_error_alpha, 6) AS std_error_alpha, round(t_stat_beta, 5) AS t_stat_beta, observations, round(correlation, 6) AS correlation FROM betas""")
 def f4_rolling_beta(p: Panels):
     return rounded(rg.rolling_ols(p.excess, "excess", "mkt_excess"), "ticker", "date", "beta:6", "alpha:6", "r_squared:6", "std_error_beta:6", "std_error_alpha:6", "t_stat_beta:5", "observations", "correlation:6")
 
@@ -249,27 +294,38 @@ def j1_beta_p_values(p: Panels):
     return betas.select("ticker", "date", F.round(p_value_t(F.col("t_stat_beta"), F.col("observations") - 2), 8).alias("p_value_beta"), F.round(p_value_t(F.col("t_stat_alpha"), F.col("observations") - 2), 8).alias("p_value_alpha"), F.round(p_value_f(F.col("t_stat_beta") * F.col("t_stat_beta"), F.lit(1), F.col("observations") - 2), 8).alias("f_p_value"))
 
 
-@query(_BETA + "SELECT count(*) AS n, round(avg(beta), 6) AS mean, round(median(beta), 6) AS median, round(stddev_pop(beta), 6) AS std, round(quantile_cont(beta, 0.25), 6) AS q25, round(quantile_cont(beta, 0.75), 6) AS q75, count(*) FILTER (WHERE beta < 0.9) AS low_risk, count(*) FILTER (WHERE beta BETWEEN 0.9 AND 1.1) AS market_like, count(*) FILTER (WHERE beta > 1.1) AS high_risk FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM betas) WHERE n = 1")
+@query(_BETA + """SELECT count(*) AS n, round(avg(beta), 6) AS mean, round(median(beta), 6) AS median, round(stddev_pop(beta), 6) AS std, round(quantile_cont(beta,
+0.25), 6) AS q25, round(quantile_cont(beta, 0.75), 6) AS q75, count(*) FILTER (WHERE beta < 0.9) AS low_risk,
+count(*) FILTER (WHERE beta BETWEEN 0.9 AND 1.1) AS market_like, count(*) FILTER (WHERE beta > 1.1) AS high_risk
+FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM betas) WHERE n = 1""")
 def d13_beta_statistics(p: Panels):
     last = pf.last_rows(rg.rolling_ols(p.excess, "excess", "mkt_excess"), 1)
     df = last.agg(F.count(F.lit(1)).alias("n"), F.avg("beta").alias("mean"), F.median("beta").alias("median"), F.stddev_pop("beta").alias("std"), F.expr("percentile(beta, 0.25D)").alias("q25"), F.expr("percentile(beta, 0.75D)").alias("q75"), F.count_if(F.col("beta") < 0.9).alias("low_risk"), F.count_if(F.col("beta").between(0.9, 1.1)).alias("market_like"), F.count_if(F.col("beta") > 1.1).alias("high_risk"))
     return rounded(df, "n", "mean:6", "median:6", "std:6", "q25:6", "q75:6", "low_risk", "market_like", "high_risk")
 
 
-@query(_BETA + """, ix AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) AS i, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS back FROM betas)
-SELECT ticker, round(stddev_samp(beta) / nullif(abs(avg(beta)), 0), 6) AS variation, CASE WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) < 0.1 THEN 'very stable' WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) < 0.2 THEN 'stable' WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) < 0.3 THEN 'moderate' WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) IS NOT NULL THEN 'unstable' END AS band, arg_min(date, beta) AS low_date, arg_max(date, beta) AS high_date, round(regr_slope(beta, i), 6) AS trend, round(avg(beta) FILTER (WHERE back <= 12) - avg(beta) FILTER (WHERE back > 12), 6) AS recent_change, round(count(*) FILTER (WHERE abs(t_stat_beta) > 1.96) / count(*), 6) AS significant FROM ix GROUP BY ticker HAVING count(*) > 12""")
+@query(_BETA + """, ix AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) AS i, row_number() OVER (PARTITION BY ticker
+ORDER BY date DESC) AS back FROM betas)
+SELECT ticker, round(stddev_samp(beta) / nullif(abs(avg(beta)), 0), 6) AS variation, CASE WHEN stddev_samp(beta) / nullif(abs(avg(beta)),
+0) < 0.1 THEN 'very stable' WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) < 0.2 THEN 'stable' WHEN stddev_samp(beta) / nullif(abs(avg(beta)),
+0) < 0.3 THEN 'moderate' WHEN stddev_samp(beta) / nullif(abs(avg(beta)), 0) IS NOT NULL THEN 'unstable' END AS band, arg_min(date, beta) AS low_date,
+arg_max(date, beta) AS high_date, round(regr_slope(beta, i), 6) AS trend,
+round(avg(beta) FILTER (WHERE back <= 12) - avg(beta) FILTER (WHERE back > 12), 6) AS recent_change,
+round(count(*) FILTER (WHERE abs(t_stat_beta) > 1.96) / count(*), 6) AS significant FROM ix GROUP BY ticker HAVING count(*) > 12""")
 def d14_beta_stability(p: Panels):
     df = rg.beta_stability(rg.rolling_ols(p.excess, "excess", "mkt_excess"))
     return rounded(df, "ticker", "variation:6", "band", "low_date", "high_date", "trend:6", "recent_change:6", "significant:6")
 
 
-@query("SELECT count(*) AS n, min(date) AS first_date, max(date) AS last_date, round(avg(rate), 6) AS mean, round(median(rate), 6) AS median, round(stddev_samp(rate), 6) AS std, round(min(rate), 6) AS low, round(max(rate), 6) AS high FROM rf")
+@query("""SELECT count(*) AS n, min(date) AS first_date, max(date) AS last_date, round(avg(rate), 6) AS mean, round(median(rate), 6) AS median,
+round(stddev_samp(rate), 6) AS std, round(min(rate), 6) AS low, round(max(rate), 6) AS high FROM rf""")
 def d15_rate_summary(p: Panels):
     df = p.rates.agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.avg("rate").alias("mean"), F.median("rate").alias("median"), F.stddev_samp("rate").alias("std"), F.min("rate").alias("low"), F.max("rate").alias("high"))
     return rounded(df, "n", "first_date", "last_date", "mean:6", "median:6", "std:6", "low:6", "high:6")
 
 
-_COV = "SELECT a.ticker AS ticker_i, b.ticker AS ticker_j, covar_samp(a.ret, b.ret) AS cov, count(*) AS n FROM ret a JOIN ret b ON a.date = b.date AND a.ticker <= b.ticker GROUP BY 1, 2"
+_COV = """SELECT a.ticker AS ticker_i, b.ticker AS ticker_j, covar_samp(a.ret, b.ret) AS cov, count(*) AS n FROM ret a
+JOIN ret b ON a.date = b.date AND a.ticker <= b.ticker GROUP BY 1, 2"""
 
 
 @query(f"SELECT ticker_i, ticker_j, round(cov, 8) AS cov, n FROM ({_COV})")
@@ -287,7 +343,8 @@ def e1_simple_return(p: Panels):
     return rounded(p.returns, "ticker", "date", "ret:6")
 
 
-@query("SELECT * FROM (SELECT ticker, date, round(adj_close / lag(adj_close, 3) OVER w - 1, 6) AS r3, round(adj_close / lag(adj_close, 6) OVER w - 1, 6) AS r6, round(adj_close / lag(adj_close, 12) OVER w - 1, 6) AS r12 FROM px WINDOW w AS (PARTITION BY ticker ORDER BY date)) WHERE r12 IS NOT NULL")
+@query("""SELECT * FROM (SELECT ticker, date, round(adj_close / lag(adj_close, 3) OVER w - 1, 6) AS r3, round(adj_close / lag(adj_close, 6) OVER w - 1,
+6) AS r6, round(adj_close / lag(adj_close, 12) OVER w - 1, 6) AS r12 FROM px WINDOW w AS (PARTITION BY ticker ORDER BY date)) WHERE r12 IS NOT NULL""")
 def e2_change_ratios(p: Panels):
     df = p.prices
     for k in (3, 6, 12):
@@ -305,25 +362,32 @@ def e4_calendar_lag(p: Panels):
     return rounded(op.lag_months(p.scores.select("ticker", "date", "ESG"), ["ESG"], 12), "ticker", "date", "ESG:6")
 
 
-@query("SELECT ticker, date, round(lead(adj_close, 1) OVER w / adj_close - 1, 6) AS fwd_1, round(lead(adj_close, 3) OVER w / adj_close - 1, 6) AS fwd_3, round(lead(adj_close, 6) OVER w / adj_close - 1, 6) AS fwd_6, round(lead(adj_close, 12) OVER w / adj_close - 1, 6) AS fwd_12 FROM px WINDOW w AS (PARTITION BY ticker ORDER BY date)")
+@query("""SELECT ticker, date, round(lead(adj_close, 1) OVER w / adj_close - 1, 6) AS fwd_1, round(lead(adj_close, 3) OVER w / adj_close - 1, 6) AS fwd_3,
+round(lead(adj_close, 6) OVER w / adj_close - 1, 6) AS fwd_6, round(lead(adj_close, 12) OVER w / adj_close - 1, 6) AS fwd_12 FROM px
+WINDOW w AS (PARTITION BY ticker ORDER BY date)""")
 def e5_forward_returns(p: Panels):
     return rounded(op.forward_returns(p.prices, [1, 3, 6, 12]), "ticker", "date", "fwd_1:6", "fwd_3:6", "fwd_6:6", "fwd_12:6")
 
 
-@query("SELECT ticker, date, round((rank() OVER (PARTITION BY date ORDER BY ESG) + (count(*) OVER (PARTITION BY date, ESG) - 1) / 2.0) / count(*) OVER (PARTITION BY date), 8) AS pct FROM sc")
+@query("""SELECT ticker, date, round((rank() OVER (PARTITION BY date
+ORDER BY ESG) + (count(*) OVER (PARTITION BY date, ESG) - 1) / 2.0) / count(*) OVER (PARTITION BY date), 8) AS pct FROM sc""")
 def e7_percentile_rank(p: Panels):
     return rounded(op.percentile_rank(p.scores, "ESG"), "ticker", "date", "pct:8")
 
 
-@query("SELECT ticker, date, round((ESG - avg(ESG) OVER d) / coalesce(nullif(stddev_pop(ESG) OVER d, 0), 1), 6) AS z, round(CASE WHEN stddev_samp(ESG) OVER d > 0 THEN (ESG - avg(ESG) OVER d) / stddev_samp(ESG) OVER d ELSE 0 END, 6) AS z_sample FROM sc WINDOW d AS (PARTITION BY date)")
+@query("""SELECT ticker, date, round((ESG - avg(ESG) OVER d) / coalesce(nullif(stddev_pop(ESG) OVER d, 0), 1), 6) AS z,
+round(CASE WHEN stddev_samp(ESG) OVER d > 0 THEN (ESG - avg(ESG) OVER d) / stddev_samp(ESG) OVER d ELSE 0 END, 6) AS z_sample FROM sc
+WINDOW d AS (PARTITION BY date)""")
 def e9_zscores(p: Panels):
     return rounded(op.zscore(op.zscore(p.scores, "ESG"), "ESG", out="z_sample", sample=True), "ticker", "date", "z:6", "z_sample:6")
 
 
-_DECILE = ", ed AS (SELECT date, quantile_cont(ESG, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM sc GROUP BY date), dc AS (SELECT s.ticker, s.date, s.ESG, 1 + len(list_filter(edges, lambda e: e < ESG)) AS decile FROM sc s JOIN ed ON s.date = ed.date) "
+_DECILE = """, ed AS (SELECT date, quantile_cont(ESG, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM sc
+GROUP BY date), dc AS (SELECT s.ticker, s.date, s.ESG, 1 + len(list_filter(edges, lambda e: e < ESG)) AS decile FROM sc s
+JOIN ed ON s.date = ed.date) """
 
 
-@query(_DECILE + "SELECT ticker, date, CAST(decile AS BIGINT) AS decile, CASE WHEN decile <= 2 THEN 'Q1' WHEN decile <= 8 THEN 'Q3' ELSE 'Q5' END AS quintile FROM dc")
+@query(_DECILE + """SELECT ticker, date, CAST(decile AS BIGINT) AS decile, CASE WHEN decile <= 2 THEN 'Q1' WHEN decile <= 8 THEN 'Q3' ELSE 'Q5' END AS quintile FROM dc""")
 def e11_deciles(p: Panels):
     df = op.quantile_bucket(p.scores, "ESG", out="decile")
     return df.select("ticker", "date", F.col("decile").cast("long").alias("decile"), F.when(F.col("decile") <= 2, "Q1").when(F.col("decile") <= 8, "Q3").otherwise("Q5").alias("quintile"))
@@ -334,7 +398,8 @@ def e13_size_weights(p: Panels):
     return rounded(op.size_weights(p.prices), "ticker", "date", "weight:8")
 
 
-_WEALTH = ", w AS (SELECT ticker, date, exp(sum(ln(1 + ret)) OVER (PARTITION BY ticker ORDER BY date)) AS wealth FROM ret), dd AS (SELECT *, max(wealth) OVER (PARTITION BY ticker ORDER BY date) AS peak FROM w) "
+_WEALTH = """, w AS (SELECT ticker, date, exp(sum(ln(1 + ret)) OVER (PARTITION BY ticker ORDER BY date)) AS wealth
+FROM ret), dd AS (SELECT *, max(wealth) OVER (PARTITION BY ticker ORDER BY date) AS peak FROM w) """
 
 
 @query(_WEALTH + "SELECT ticker, date, round(wealth - 1, 5) AS cumulative, round(wealth / peak - 1, 6) AS drawdown FROM dd")
@@ -347,25 +412,33 @@ def e15_max_drawdown(p: Panels):
     return rounded(op.drawdowns(p.returns).groupBy("ticker").agg(F.min("drawdown").alias("max_drawdown")), "ticker", "max_drawdown:6")
 
 
-@query("SELECT * FROM (SELECT ticker, date, CASE WHEN count(*) OVER w = 12 THEN round(avg(ret) OVER w, 6) END AS roll_mean, CASE WHEN count(*) OVER w = 12 THEN round(stddev_samp(ret) OVER w, 6) END AS roll_std, CASE WHEN count(*) OVER w = 12 THEN round(avg(ret) OVER w / stddev_samp(ret) OVER w * sqrt(12), 5) END AS roll_sharpe, CASE WHEN count(*) OVER w = 12 THEN round(stddev_samp(ret) OVER w * sqrt(12), 6) END AS roll_vol FROM ret WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))")
+@query("""SELECT * FROM (SELECT ticker, date, CASE WHEN count(*) OVER w = 12 THEN round(avg(ret) OVER w, 6) END AS roll_mean,
+CASE WHEN count(*) OVER w = 12 THEN round(stddev_samp(ret) OVER w, 6) END AS roll_std,
+CASE WHEN count(*) OVER w = 12 THEN round(avg(ret) OVER w / stddev_samp(ret) OVER w * sqrt(12), 5) END AS roll_sharpe,
+CASE WHEN count(*) OVER w = 12 THEN round(stddev_samp(ret) OVER w * sqrt(12), 6) END AS roll_vol FROM ret WINDOW w AS (PARTITION BY ticker
+ORDER BY date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))""")
 def e16_rolling_stats(p: Panels):
     return rounded(op.rolling_stats(p.returns), "ticker", "date", "roll_mean:6", "roll_std:6", "roll_sharpe:5", "roll_vol:6")
 
 
-@query("SELECT * FROM (SELECT ticker, date, CASE WHEN count(*) OVER w = 12 THEN round(regr_slope(ESG, n) OVER w, 6) END AS slope FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) AS n FROM sc) WINDOW w AS (PARTITION BY ticker ORDER BY n ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)) WHERE slope IS NOT NULL")
+@query("""SELECT * FROM (SELECT ticker, date, CASE WHEN count(*) OVER w = 12 THEN round(regr_slope(ESG, n) OVER w, 6) END AS slope
+FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) AS n FROM sc) WINDOW w AS (PARTITION BY ticker
+ORDER BY n ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)) WHERE slope IS NOT NULL""")
 def e19_rolling_slope(p: Panels):
     numbered = p.scores.withColumn("n", F.expr(f"row_number() {op.OVER}"))
     w = "over (partition by ticker order by n rows between 12 preceding and 1 preceding)"
     return rounded(numbered.withColumn("slope", F.expr(f"if(count(1) {w} = 12, regr_slope(ESG, n) {w}, null)")).where("slope is not null"), "ticker", "date", "slope:6")
 
 
-@query("SELECT ticker, round(sum(ret), 6) AS ytd_sum, round(exp(sum(ln(1 + ret))) - 1, 6) AS ytd_compound FROM (SELECT *, max(date) OVER (PARTITION BY ticker) AS last_date FROM ret) WHERE year(date) = year(last_date) GROUP BY ticker")
+@query("""SELECT ticker, round(sum(ret), 6) AS ytd_sum, round(exp(sum(ln(1 + ret))) - 1, 6) AS ytd_compound
+FROM (SELECT *, max(date) OVER (PARTITION BY ticker) AS last_date FROM ret) WHERE year(date) = year(last_date) GROUP BY ticker""")
 def e20_year_to_date(p: Panels):
     df = p.returns.withColumn("last_date", F.expr("max(date) over (partition by ticker)")).where("year(date) = year(last_date)")
     return rounded(df.groupBy("ticker").agg(F.sum("ret").alias("ytd_sum"), (F.exp(F.sum(F.log1p("ret"))) - 1).alias("ytd_compound")), "ticker", "ytd_sum:6", "ytd_compound:6")
 
 
-@query(_BETA + "SELECT ticker, date, round(beta, 6) AS beta FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) AS i, count(*) OVER (PARTITION BY ticker) AS n FROM betas) WHERE i IN (1, n // 2 + 1, n)")
+@query(_BETA + """SELECT ticker, date, round(beta, 6) AS beta FROM (SELECT *, row_number() OVER (PARTITION BY ticker
+ORDER BY date) AS i, count(*) OVER (PARTITION BY ticker) AS n FROM betas) WHERE i IN (1, n // 2 + 1, n)""")
 def e23_first_middle_last(p: Panels):
     df = rg.rolling_ols(p.excess, "excess", "mkt_excess").withColumn("i", F.expr(f"row_number() {op.OVER}")).withColumn("n", F.expr("count(1) over (partition by ticker)"))
     return rounded(df.where("i in (1, n div 2 + 1, n)"), "ticker", "date", "beta:6")
@@ -377,7 +450,9 @@ def e24_rebalance_dates(p: Panels):
 
 
 _TWO = """, tf AS (SELECT e.ticker, e.date, e.excess, e.mkt_excess, f.factor FROM exc e JOIN (SELECT * FROM fct WHERE signal = 'ESG') f ON e.date = f.date),
-tm AS (SELECT ticker, count(*) AS n, avg(excess) AS my, avg(mkt_excess) AS m1, avg(factor) AS m2, var_pop(excess) AS vy, var_pop(mkt_excess) AS v1, var_pop(factor) AS v2, covar_pop(mkt_excess, factor) AS c12, covar_pop(mkt_excess, excess) AS c1y, covar_pop(factor, excess) AS c2y FROM tf GROUP BY ticker HAVING count(*) >= 24),
+tm AS (SELECT ticker, count(*) AS n, avg(excess) AS my, avg(mkt_excess) AS m1, avg(factor) AS m2, var_pop(excess) AS vy, var_pop(mkt_excess) AS v1,
+var_pop(factor) AS v2, covar_pop(mkt_excess, factor) AS c12, covar_pop(mkt_excess, excess) AS c1y, covar_pop(factor, excess) AS c2y FROM tf
+GROUP BY ticker HAVING count(*) >= 24),
 tb AS (SELECT *, (c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12) AS beta_1, (c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12) AS beta_2 FROM tm),
 two AS (SELECT *, my - beta_1 * m1 - beta_2 * m2 AS alpha, (beta_1 * c1y + beta_2 * c2y) / vy AS r_squared FROM tb)
 """
@@ -388,7 +463,8 @@ def _two_frame(p: Panels):
     return p.excess.join(esg, "date")
 
 
-@query(_FIVE + _TWO + "SELECT ticker, n, round(alpha, 6) AS alpha, round(beta_1, 5) AS beta_1, round(beta_2, 5) AS beta_2, round(r_squared, 6) AS r_squared, round(1 - (1 - r_squared) * (n - 1) / (n - 3), 6) AS adj_r_squared FROM two")
+@query(_FIVE + _TWO + """SELECT ticker, n, round(alpha, 6) AS alpha, round(beta_1, 5) AS beta_1, round(beta_2, 5) AS beta_2, round(r_squared, 6) AS r_squared,
+round(1 - (1 - r_squared) * (n - 1) / (n - 3), 6) AS adj_r_squared FROM two""")
 def f6_two_factor(p: Panels):
     return rounded(rg.two_factor(_two_frame(p), "excess", "mkt_excess", "factor"), "ticker", "n", "alpha:6", "beta_1:5", "beta_2:5", "r_squared:6", "adj_r_squared:6")
 
@@ -398,9 +474,12 @@ def f6_two_factor_hac(p: Panels):
     return rounded(rg.regress_hac(_two_frame(p), "excess", ["mkt_excess", "factor"]), "ticker", "term", "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6", "adj_r_squared:6", "f:5", "f_p:6", "stars")
 
 
-@query(_FIVE + """, tf AS (SELECT e.ticker, e.date, e.excess AS y, e.mkt_excess AS x1, f.factor AS x2 FROM exc e JOIN (SELECT * FROM fct WHERE signal = 'ESG') f ON e.date = f.date),
-tm AS (SELECT ticker, date, count(*) OVER w AS n, covar_pop(x1, x2) OVER w AS c12, covar_pop(x1, y) OVER w AS c1y, covar_pop(x2, y) OVER w AS c2y, var_pop(x1) OVER w AS v1, var_pop(x2) OVER w AS v2 FROM tf WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW))
-SELECT ticker, date, round((c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12), 5) AS beta_1, round((c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12), 5) AS beta_2 FROM tm WHERE n >= 36""")
+@query(_FIVE + """, tf AS (SELECT e.ticker, e.date, e.excess AS y, e.mkt_excess AS x1, f.factor AS x2 FROM exc e JOIN (SELECT * FROM fct
+WHERE signal = 'ESG') f ON e.date = f.date),
+tm AS (SELECT ticker, date, count(*) OVER w AS n, covar_pop(x1, x2) OVER w AS c12, covar_pop(x1, y) OVER w AS c1y, covar_pop(x2, y) OVER w AS c2y,
+var_pop(x1) OVER w AS v1, var_pop(x2) OVER w AS v2 FROM tf WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW))
+SELECT ticker, date, round((c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12), 5) AS beta_1, round((c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12),
+5) AS beta_2 FROM tm WHERE n >= 36""")
 def f7_rolling_two_factor(p: Panels):
     return rounded(rg.two_factor(_two_frame(p), "excess", "mkt_excess", "factor", 36, 36), "ticker", "date", "beta_1:5", "beta_2:5")
 
@@ -417,18 +496,24 @@ def f8_multi_factor(p: Panels):
     return rounded(rg.regress_hac(p.excess.join(wide, "date"), "excess", ["mkt_excess", "E_factor", "S_factor", "G_factor"]), "ticker", "term", "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6", "f:5", "f_p:6", "stars")
 
 
-@query("SELECT ticker, n, CASE WHEN n >= 24 THEN round(beta, 6) END AS beta, CASE WHEN n >= 24 THEN round(alpha, 6) END AS alpha, CASE WHEN n >= 24 THEN round(r2, 6) END AS r_squared FROM (SELECT ticker, count(*) AS n, regr_slope(excess, mkt_excess) AS beta, regr_intercept(excess, mkt_excess) AS alpha, regr_r2(excess, mkt_excess) AS r2 FROM exc GROUP BY ticker)")
+@query("""SELECT ticker, n, CASE WHEN n >= 24 THEN round(beta, 6) END AS beta, CASE WHEN n >= 24 THEN round(alpha, 6) END AS alpha,
+CASE WHEN n >= 24 THEN round(r2, 6) END AS r_squared
+FROM (SELECT ticker, count(*) AS n, regr_slope(excess, mkt_excess) AS beta, regr_intercept(excess, mkt_excess) AS alpha, regr_r2(excess,
+mkt_excess) AS r2 FROM exc GROUP BY ticker)""")
 def f11_static_beta(p: Panels):
     return rounded(rg.static_ols(p.excess, "excess", "mkt_excess"), "ticker", "n", "beta:6", "alpha:6", "r_squared:6")
 
 
-@query("SELECT ticker, n, round(beta, 6) AS beta FROM (SELECT e.ticker, count(*) AS n, regr_slope(e.excess, s.chg) AS beta FROM exc e JOIN (SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS chg FROM sc) s ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY e.ticker) WHERE n >= 24")
+@query("""SELECT ticker, n, round(beta, 6) AS beta FROM (SELECT e.ticker, count(*) AS n, regr_slope(e.excess, s.chg) AS beta FROM exc e
+JOIN (SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS chg
+FROM sc) s ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY e.ticker) WHERE n >= 24""")
 def f12_score_change_beta(p: Panels):
     change = op.simple_returns(p.scores.select("ticker", "date", "ESG"), price="ESG", out="chg").select("ticker", "date", "chg")
     return rounded(rg.static_ols(p.excess.join(change, ["ticker", "date"]), "excess", "chg").where("n >= 24"), "ticker", "n", "beta:6")
 
 
-@query(_FIVE + _TWO + """, rs AS (SELECT t.ticker, t.date, t.mkt_excess, t.factor, t.excess - w.alpha - w.beta_1 * t.mkt_excess - w.beta_2 * t.factor AS e FROM tf t JOIN two w ON t.ticker = w.ticker),
+@query(_FIVE + _TWO + """, rs AS (SELECT t.ticker, t.date, t.mkt_excess, t.factor, t.excess - w.alpha - w.beta_1 * t.mkt_excess - w.beta_2 * t.factor AS e FROM tf t
+JOIN two w ON t.ticker = w.ticker),
 rl AS (SELECT *, e - lag(e) OVER (PARTITION BY ticker ORDER BY date) AS de FROM rs)
 SELECT ticker, round(sum(de * de) / sum(e * e), 5) AS durbin_watson FROM rl GROUP BY ticker""")
 def f10_durbin_watson(p: Panels):
@@ -440,8 +525,10 @@ def f10_diagnostics(p: Panels):
     return rounded(rg.residual_diagnostics(_two_frame(p), "excess", "mkt_excess", "factor"), "ticker", "durbin_watson:5", "dw_flag", "jarque_bera:5", "jb_p:6", "breusch_pagan:5", "bp_p:6")
 
 
-@query(_FIVE + """, u AS (SELECT signal, date, factor, factor - avg(factor) OVER (PARTITION BY signal) AS u FROM fct), pr AS (SELECT a.signal, a.u, a.factor, row_number() OVER (PARTITION BY signal ORDER BY date) AS i FROM u a),
-lp AS (SELECT a.signal, sum(a.u * b.u * (CASE WHEN a.i = b.i THEN 1 ELSE 2 * (1 - (a.i - b.i) / 13.0) END)) AS s FROM pr a JOIN pr b ON a.signal = b.signal AND a.i - b.i BETWEEN 0 AND 12 GROUP BY a.signal),
+@query(_FIVE + """, u AS (SELECT signal, date, factor, factor - avg(factor) OVER (PARTITION BY signal) AS u
+FROM fct), pr AS (SELECT a.signal, a.u, a.factor, row_number() OVER (PARTITION BY signal ORDER BY date) AS i FROM u a),
+lp AS (SELECT a.signal, sum(a.u * b.u * (CASE WHEN a.i = b.i THEN 1 ELSE 2 * (1 - (a.i - b.i) / 13.0) END)) AS s FROM pr a
+JOIN pr b ON a.signal = b.signal AND a.i - b.i BETWEEN 0 AND 12 GROUP BY a.signal),
 mn AS (SELECT signal, avg(factor) AS mean, count(*) AS n FROM fct GROUP BY signal)
 SELECT m.signal, round(mean, 6) AS mean, n, round(sqrt(greatest(s, 0)) / n, 6) AS std_error FROM mn m JOIN lp ON m.signal = lp.signal""")
 def d31_hac_mean(p: Panels):
@@ -455,13 +542,17 @@ def d32_premia(p: Panels):
 
 _ER = (
     _FIVE
-    + """, tf AS (SELECT e.ticker, e.date, e.excess AS y, e.mkt_excess AS x1, f.factor AS x2 FROM exc e JOIN (SELECT * FROM fct WHERE signal = 'ESG') f ON e.date = f.date),
-tm AS (SELECT ticker, date, count(*) OVER w AS n, covar_pop(x1, x2) OVER w AS c12, covar_pop(x1, y) OVER w AS c1y, covar_pop(x2, y) OVER w AS c2y, var_pop(x1) OVER w AS v1, var_pop(x2) OVER w AS v2
+    + """, tf AS (SELECT e.ticker, e.date, e.excess AS y, e.mkt_excess AS x1, f.factor AS x2 FROM exc e JOIN (SELECT * FROM fct
+WHERE signal = 'ESG') f ON e.date = f.date),
+tm AS (SELECT ticker, date, count(*) OVER w AS n, covar_pop(x1, x2) OVER w AS c12, covar_pop(x1, y) OVER w AS c1y, covar_pop(x2, y) OVER w AS c2y,
+var_pop(x1) OVER w AS v1, var_pop(x2) OVER w AS v2
     FROM tf WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW)),
-tb AS (SELECT ticker, date, (c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12) AS beta_market, (c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12) AS beta_score FROM tm WHERE n >= 36),
+tb AS (SELECT ticker, date, (c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12) AS beta_market,
+(c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12) AS beta_score FROM tm WHERE n >= 36),
 fr AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY ticker) = 1 THEN DATE '0001-01-01' ELSE date END AS since FROM tb),
 kd AS (SELECT t.ticker, f.date, f.rate / 1200 AS rf FROM (SELECT DISTINCT ticker FROM tb) t CROSS JOIN rf f),
-bc AS (SELECT kd.ticker, kd.date, kd.rf, b.date AS beta_date, beta_market, beta_score, greatest(-3, least(3, beta_market)) AS bm, greatest(-5, least(5, beta_score)) AS be
+bc AS (SELECT kd.ticker, kd.date, kd.rf, b.date AS beta_date, beta_market, beta_score, greatest(-3, least(3, beta_market)) AS bm, greatest(-5,
+least(5, beta_score)) AS be
     FROM kd ASOF JOIN fr b ON b.ticker = kd.ticker AND kd.date >= b.since),
 pm AS (SELECT {premia}),
 er AS (SELECT *, rf + bm * market + be * score AS er_monthly, power(1 + rf + bm * market + be * score, 12) - 1 AS er_annual FROM bc CROSS JOIN pm)
@@ -497,7 +588,8 @@ def f13_constant_expected_returns(p: Panels):
     return rounded(pf.expected_returns(_two_betas(p), p.rates, _premia(p), constant=True), *_ER_ROUNDED)
 
 
-@query(_ER.replace("{premia}", "0.5 * 0.005 + 0.5 * (SELECT avg(m.ret - f.rate / 1200) FROM mret m JOIN rf f ON m.date = f.date) AS market, 0.5 * (SELECT avg(factor) FROM fct WHERE signal = 'ESG') AS score") + f"SELECT {_ER_COLUMNS} FROM er")
+@query(_ER.replace("{premia}", """0.5 * 0.005 + 0.5 * (SELECT avg(m.ret - f.rate / 1200) FROM mret m JOIN rf f ON m.date = f.date) AS market, 0.5 * (SELECT avg(factor) FROM fct
+WHERE signal = 'ESG') AS score""") + f"SELECT {_ER_COLUMNS} FROM er")
 def f14_expected_return_pipeline(p: Panels):
     """Premia from history and sample, betas from a stored result table, expected returns of every month."""
     path = f"{ingest.work_folder(p.spark)}/betas"
@@ -508,7 +600,8 @@ def f14_expected_return_pipeline(p: Panels):
     return rounded(pf.expected_returns(p.spark.read.parquet(path), p.rates, one), *_ER_ROUNDED)
 
 
-@query(_FIXED + "SELECT ticker, count(*) AS n, round(avg(er_monthly), 7) AS mean, round(min(er_annual), 5) AS low, round(max(er_annual), 5) AS high, count(*) FILTER (WHERE beta_market <> bm) AS capped_market, count(*) FILTER (WHERE beta_score <> be) AS capped_score FROM er GROUP BY ROLLUP (ticker)")
+@query(_FIXED + """SELECT ticker, count(*) AS n, round(avg(er_monthly), 7) AS mean, round(min(er_annual), 5) AS low, round(max(er_annual), 5) AS high,
+count(*) FILTER (WHERE beta_market <> bm) AS capped_market, count(*) FILTER (WHERE beta_score <> be) AS capped_score FROM er GROUP BY ROLLUP (ticker)""")
 def d16_expected_return_summary(p: Panels):
     """A row a ticker and one, of null ticker, over all."""
     by = _expected(p).rollup("ticker").agg(
@@ -518,6 +611,7 @@ def d16_expected_return_summary(p: Panels):
     return rounded(by, "ticker", "n", "mean:7", "low:5", "high:5", "capped_market", "capped_score")
 
 
-@query(_FIXED + "SELECT ticker, date, round(rf * 12, 6) AS rf_part, round(bm * market * 12, 5) AS market_part, round(be * score * 12, 5) AS score_part FROM er QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1")
+@query(_FIXED + """SELECT ticker, date, round(rf * 12, 6) AS rf_part, round(bm * market * 12, 5) AS market_part, round(be * score * 12, 5) AS score_part FROM er
+QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1""")
 def f15_contributions(p: Panels):
     return rounded(pf.contributions(_expected(p), _premia(p)), "ticker", "date", "rf_part:6", "market_part:5", "score_part:5")

@@ -15,18 +15,25 @@ from ..sources import panels as src
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-PRELUDE = """WITH px AS (SELECT l_suppkey AS ticker, last_day(CAST(l_shipdate AS DATE)) AS date, sum(l_extendedprice) / sum(l_quantity) AS adj_close, sum(l_quantity) AS adj_volume FROM lineitem GROUP BY 1, 2),
+PRELUDE = """WITH px AS (SELECT l_suppkey AS ticker, last_day(CAST(l_shipdate AS DATE)) AS date, sum(l_extendedprice) / sum(l_quantity) AS adj_close,
+sum(l_quantity) AS adj_volume FROM lineitem GROUP BY 1, 2),
 mk AS (SELECT last_day(CAST(l_shipdate AS DATE)) AS date, sum(l_extendedprice) / sum(l_quantity) AS adj_close FROM lineitem GROUP BY 1),
 rf AS (SELECT last_day(CAST(l_shipdate AS DATE)) AS date, 100 * avg(l_tax) AS rate FROM lineitem GROUP BY 1),
-sc0 AS (SELECT l_suppkey AS ticker, last_day(CAST(l_shipdate AS DATE)) AS date, 1000 * avg(l_discount) AS E, 100 * avg(CASE WHEN l_returnflag = 'N' THEN 1.0 ELSE 0.0 END) AS S, 100 * avg(CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END) AS G FROM lineitem GROUP BY 1, 2),
+sc0 AS (SELECT l_suppkey AS ticker, last_day(CAST(l_shipdate AS DATE)) AS date, 1000 * avg(l_discount) AS E,
+100 * avg(CASE WHEN l_returnflag = 'N' THEN 1.0 ELSE 0.0 END) AS S, 100 * avg(CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END) AS G
+FROM lineitem GROUP BY 1, 2),
 sc AS (SELECT *, (E + S + G) / 3 AS ESG FROM sc0),
-sect AS (SELECT s_suppkey AS ticker, r_name AS sector FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-ret AS (SELECT * FROM (SELECT ticker, date, adj_close, adj_volume, adj_close / nullif(lag(adj_close) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS ret FROM px) WHERE ret IS NOT NULL),
+sect AS (SELECT s_suppkey AS ticker, r_name AS sector FROM supplier JOIN nation ON s_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey),
+ret AS (SELECT * FROM (SELECT ticker, date, adj_close, adj_volume, adj_close / nullif(lag(adj_close) OVER (PARTITION BY ticker
+ORDER BY date), 0) - 1 AS ret FROM px) WHERE ret IS NOT NULL),
 mret AS (SELECT * FROM (SELECT date, adj_close / nullif(lag(adj_close) OVER (ORDER BY date), 0) - 1 AS ret FROM mk) WHERE ret IS NOT NULL),
-exc AS (SELECT r.ticker, r.date, r.ret, m.ret AS mkt, f.rate / 1200 AS rf, r.ret - f.rate / 100 / 12 AS excess, m.ret - f.rate / 100 / 12 AS mkt_excess FROM ret r JOIN mret m ON r.date = m.date JOIN rf f ON r.date = f.date),
+exc AS (SELECT r.ticker, r.date, r.ret, m.ret AS mkt, f.rate / 1200 AS rf, r.ret - f.rate / 100 / 12 AS excess,
+m.ret - f.rate / 100 / 12 AS mkt_excess FROM ret r JOIN mret m ON r.date = m.date JOIN rf f ON r.date = f.date),
 md AS (SELECT DISTINCT o_custkey AS ticker, last_day(CAST(o_orderdate AS DATE)) AS date FROM orders),
 mdn AS (SELECT date, row_number() OVER (ORDER BY date) AS d FROM (SELECT DISTINCT date FROM md)),
-iv AS (SELECT ticker, min(date) AS start_date, max(date) AS end_date FROM (SELECT ticker, date, d - row_number() OVER (PARTITION BY ticker ORDER BY date) AS g FROM md JOIN mdn USING (date)) GROUP BY ticker, g)
+iv AS (SELECT ticker, min(date) AS start_date, max(date) AS end_date FROM (SELECT ticker, date, d - row_number() OVER (PARTITION BY ticker
+ORDER BY date) AS g FROM md JOIN mdn USING (date)) GROUP BY ticker, g)
 """
 
 
