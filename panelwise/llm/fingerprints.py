@@ -60,7 +60,10 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def seam(kind: int, id_, text: str) -> pa.RecordBatch:
         nulls = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
-        return pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([part], pa.int32()), pa.array([text], pa.string()), pa.array([id_], pa.int64()), *nulls], names=names)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([kind], pa.int32()), pa.array([part], pa.int32()), pa.array([text], pa.string()), pa.array([id_], pa.int64()), *nulls],
+            names=names
+        )
 
     ids, texts = [], []
     for piece in slices(batches, "text", 1 << 19):
@@ -70,7 +73,9 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(ids) > 1:
             found = _compared(ids[:-1], texts[:-1], texts[1:])
             k = found.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), pa.array([part] * k, pa.int32()), pa.nulls(k, pa.string()), *found.columns], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([0] * k, pa.int32()), pa.array([part] * k, pa.int32()), pa.nulls(k, pa.string()), *found.columns], names=names
+            )
             ids, texts = ids[-1:], texts[-1:]
     if ids:
         yield seam(2, ids[0], texts[0])

@@ -161,7 +161,9 @@ def _texts(rows: DataFrame, name: str, text: Column) -> DataFrame:
     lines = rows.select(name, F.transform(F.split(text, "\n"), canonical).alias("lines"))  # computed once, used twice
     whole = F.struct(F.lit(0).alias("line"), F.array_join(F.filter("lines", lambda x: x != ""), " ").alias("body"))
     each = F.transform("lines", lambda x, i: F.struct((i + 1).alias("line"), x.alias("body")))
-    return lines.select(name, F.explode(F.concat(F.array(whole), each)).alias("t")).where("t.body <> ''").select(name, F.col("t.line").cast("long").alias("line"), F.col("t.body").alias("body"))
+    return lines.select(name, F.explode(F.concat(F.array(whole), each)).alias("t")).where("t.body <> ''").select(
+        name, F.col("t.line").cast("long").alias("line"), F.col("t.body").alias("body")
+    )
 
 
 def license_scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -129,7 +129,10 @@ def _model_rows(total: np.ndarray, weight: int, lane: int) -> pa.RecordBatch:
     """Sums of weighted models, PIECE numbers a row."""
     blobs = [total[a : a + PIECE].tobytes() for a in range(0, len(total), PIECE)]
     k = len(blobs)
-    return pa.RecordBatch.from_arrays([pa.array(range(k), pa.int64()), pa.array([lane] * k, pa.int64()), pa.array(blobs, pa.binary()), pa.array([weight] * k, pa.int64())], names=["piece", "lane", "blob", "weight"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(k), pa.int64()), pa.array([lane] * k, pa.int64()), pa.array(blobs, pa.binary()), pa.array([weight] * k, pa.int64())],
+        names=["piece", "lane", "blob", "weight"]
+    )
 
 
 def _fitting(table, params):
@@ -162,7 +165,10 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             old[0], old[1] = old[0] + np.frombuffer(blob), old[1] + weight
     if sums:
         blobs, weights = zip(*sums.values(), strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.nulls(len(sums), pa.int64()), pa.array([x.tobytes() for x in blobs], pa.binary()), pa.array(weights, pa.int64())], names=["piece", "lane", "blob", "weight"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.nulls(len(sums), pa.int64()), pa.array([x.tobytes() for x in blobs], pa.binary()), pa.array(weights, pa.int64())],
+            names=["piece", "lane", "blob", "weight"]
+        )
 
 
 def _averaged(models: DataFrame, params: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -197,7 +203,9 @@ def _scored(table, params):
             score = gru.document_scores(params.value, number, offsets) / np.log(10)
             at = 0
             for columns, sizes, _ in held:
-                yield pa.RecordBatch.from_arrays([*columns[:7], pa.array(score[at : at + len(sizes)]), *columns[7:]], names=[c.split()[0] for c in _SCORED.split(", ")])
+                yield pa.RecordBatch.from_arrays(
+                    [*columns[:7], pa.array(score[at : at + len(sizes)]), *columns[7:]], names=[c.split()[0] for c in _SCORED.split(", ")]
+                )
                 at += len(sizes)
 
         for part in slices(batches, "text"):
@@ -206,7 +214,10 @@ def _scored(table, params):
             other = (number == len(table.value.lm)).astype(np.int64)
             logs = np.log10(n + 1.0)
             known, others, logs, other_logs = (np.add.reduceat(x, offsets[:-1]) for x in ((n > 0).astype(np.int64), other, logs, logs * other))
-            columns = [pa.array(np.arange(row, row + part.num_rows)), part.column("id"), *map(pa.array, (np.diff(offsets), known, logs, other_logs, others)), *_rare(word, offsets, here)]
+            columns = [
+                pa.array(np.arange(row, row + part.num_rows)), part.column("id"),
+                *map(pa.array, (np.diff(offsets), known, logs, other_logs, others)), *_rare(word, offsets, here)
+            ]
             held.append((columns, np.diff(offsets), number.astype(np.int32)))
             size, row = size + len(word), row + part.num_rows
             if size > BATCH:
@@ -237,7 +248,9 @@ def score_documents(docs: DataFrame, train_condition: str, id_col: str = "doc_id
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.coalesce(F.expr(train_condition), F.lit(False)).alias("learn"))
-    counts = rows.select("text", "learn").mapInArrow(_counted, "word long, n long, every long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("every").alias("every"))
+    counts = rows.select("text", "learn").mapInArrow(_counted, "word long, n long, every long").groupBy("word").agg(
+        F.sum("n").alias("n"), F.sum("every").alias("every")
+    )
     counts = stored(counts)
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     frequent = Table(_frequent(counts))
@@ -253,8 +266,12 @@ def score_documents(docs: DataFrame, train_condition: str, id_col: str = "doc_id
     model = spark.sparkContext.broadcast(params)
 
     own = stored(rows.select("id", "text").mapInArrow(_scored(table, model), _SCORED))
-    rest = own.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    rest = rest.join(counts.where("n > 0").select("word", "n"), "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rest_logs"), F.sum("times").alias("rest_known"))
+    rest = own.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
+        "row", F.col("w.words").alias("word"), F.col("w.times").alias("times")
+    )
+    rest = rest.join(counts.where("n > 0").select("word", "n"), "word").groupBy("row").agg(
+        F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rest_logs"), F.sum("times").alias("rest_known")
+    )
     joined = own.drop("words", "times").join(rest, "row", "left").withColumn("rest_logs", F.coalesce("rest_logs", F.lit(0.0)))
     return joined.select(
         F.col("id").alias("doc_id"), "n_tokens", (F.col("known") + F.coalesce("rest_known", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),

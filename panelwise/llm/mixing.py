@@ -60,7 +60,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], total: float, cap: float
     named = named.withColumn("most", cap * F.col("source_size")).withColumn("all", F.expr(f"{total}D * sum(source_size) over ()"))
     order = "order by most / w, skey rows"
     level = F.expr(f"(all - coalesce(sum(most) over ({order} between unbounded preceding and 1 preceding), 0)) / sum(w) over ({order} between current row and unbounded following)")
-    return named.withColumn("level", level).withColumn("level", F.expr("max(level) over ()")).select("skey", "source_size", "rows", F.least("most", F.col("level") * F.col("w")).alias("target"))
+    return named.withColumn("level", level).withColumn("level", F.expr("max(level) over ()")).select(
+        "skey", "source_size", "rows", F.least("most", F.col("level") * F.col("w")).alias("target")
+    )
 
 
 def _source_key(source: Column) -> Column:
@@ -82,7 +84,10 @@ def mix_sources(
     of two, and sources at most MOST_SOURCES, else it raises.
     """
     skey = _source_key(F.col(source_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), skey.alias("skey"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"), word_count(F.col(text_col)).alias("size"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), skey.alias("skey"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"), word_count(F.col(text_col)).alias("size")
+    )
     rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()).withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "tag", "size")))
     sizes = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     goal = stored(targets(sizes, weights, total, cap))
@@ -92,29 +97,50 @@ def mix_sources(
     laid = rows.join(goal, "skey").withColumn("block", F.pmod(F.shiftright("key", 8), number))
     laid = laid.withColumn("ahead", F.expr("sum(size) over (partition by skey, block order by key, uid) - size"))
     blocks = laid.groupBy("skey", "block").agg(F.sum("size").alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-    blocks = blocks.withColumn("start", F.expr("sum(words) over (partition by skey order by block) - words")).withColumn("at", F.expr("row_number() over (partition by skey order by block) - 1"))
-    blocks = blocks.withColumn("full", F.expr("if(source_size = 0, 0L, cast(floor(target) as bigint) div source_size)")).withColumn("rest", F.expr("cast(floor(target) as bigint) - full * source_size"))
+    blocks = blocks.withColumn(
+        "start", F.expr("sum(words) over (partition by skey order by block) - words")
+    ).withColumn("at", F.expr("row_number() over (partition by skey order by block) - 1"))
+    blocks = blocks.withColumn(
+        "full", F.expr("if(source_size = 0, 0L, cast(floor(target) as bigint) div source_size)")
+    ).withColumn("rest", F.expr("cast(floor(target) as bigint) - full * source_size"))
     blocks = stored(blocks.withColumn("number", F.expr("count(1) over (partition by skey)")))
     draws = blocks.where("words > 0").withColumn("pass", F.expr("explode(sequence(0, full))")).where("pass < full or start < rest")
-    draws = stored(draws.select("skey", "block", "pass", F.expr("if(pass < full, -1L, rest - start)").alias("limit"), F.expr("row_number() over (partition by skey, pass order by at) - 1").alias("at")))
+    draws = stored(draws.select(
+        "skey", "block", "pass", F.expr("if(pass < full, -1L, rest - start)").alias("limit"),
+        F.expr("row_number() over (partition by skey, pass order by at) - 1").alias("at")
+    ))
     passes = draws.groupBy("skey", "pass").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.expr("sum(n) over (partition by skey order by pass) - n"))
-    draws = draws.join(passes.select("skey", "pass", "before"), ["skey", "pass"]).select("skey", "block", "pass", "limit", (F.col("before") + F.col("at")).alias("draw"))
+    draws = draws.join(passes.select("skey", "pass", "before"), ["skey", "pass"]).select(
+        "skey", "block", "pass", "limit", (F.col("before") + F.col("at")).alias("draw")
+    )
 
     quotas = passes.groupBy("skey").agg(F.sum("n").alias("n"))  # one row a source
     node = quotas.agg(F.sort_array(F.collect_list(F.struct("skey", "n"))).alias("q")).where("size(q) > 0")
-    node = node.select(F.col("q.skey").alias("skeys"), F.col("q.n").alias("quotas"), F.lit(0).alias("low"), F.lit(shards).alias("high"), F.lit(seed).alias("seed"))
+    node = node.select(
+        F.col("q.skey").alias("skeys"), F.col("q.n").alias("quotas"), F.lit(0).alias("low"), F.lit(shards).alias("high"),
+        F.lit(seed).alias("seed")
+    )
     node = node.withColumn("all", F.expr("aggregate(quotas, 0L, (a, x) -> a + x)"))
     share = lambda a, b: f"(({b}) * all div {shards} - ({a}) * all div {shards})"
     for _ in range(shards.bit_length() - 1):
-        node = node.withColumn("middle", F.expr("(low + high) div 2")).withColumn("want", F.expr(share("low", "middle"))).withColumn("total", F.expr("aggregate(quotas, 0L, (a, x) -> a + x)"))
+        node = node.withColumn("middle", F.expr("(low + high) div 2")).withColumn("want", F.expr(share("low", "middle"))).withColumn(
+            "total", F.expr("aggregate(quotas, 0L, (a, x) -> a + x)")
+        )
         node = stored(node.withColumn("left", F.expr(_LEFT)))
         halves = F.expr("explode(array(named_struct('l', low, 'h', middle, 'q', left), named_struct('l', middle, 'h', high, 'q', zip_with(quotas, left, (x, y) -> x - y))))")
-        node = node.withColumn("half", halves).select("skeys", F.col("half.q").alias("quotas"), F.col("half.l").cast("int").alias("low"), F.col("half.h").cast("int").alias("high"), "seed", "all")
-    leaves = node.select(F.col("low").alias("shard"), F.explode(F.arrays_zip("skeys", "quotas")).alias("z")).select("shard", F.col("z.skeys").alias("skey"), F.col("z.quotas").alias("n"))
+        node = node.withColumn("half", halves).select(
+            "skeys", F.col("half.q").alias("quotas"), F.col("half.l").cast("int").alias("low"), F.col("half.h").cast("int").alias("high"),
+            "seed", "all"
+        )
+    leaves = node.select(
+        F.col("low").alias("shard"), F.explode(F.arrays_zip("skeys", "quotas")).alias("z")
+    ).select("shard", F.col("z.skeys").alias("skey"), F.col("z.quotas").alias("n"))
     leaves = leaves.withColumn("first", F.expr("sum(n) over (partition by skey order by shard) - n")).where("n > 0")
     slots = leaves.select("skey", "shard", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("draw"))
     dealt = draws.join(slots, ["skey", "draw"]).select("skey", "block", "pass", "limit", "shard")
-    drawn = laid.join(dealt, ["skey", "block"]).withColumn("words", F.expr("if(limit < 0, size, greatest(0L, least(size, limit - ahead)))")).where("words > 0 or (size = 0 and limit < 0)")
+    drawn = laid.join(dealt, ["skey", "block"]).withColumn(
+        "words", F.expr("if(limit < 0, size, greatest(0L, least(size, limit - ahead)))")
+    ).where("words > 0 or (size = 0 and limit < 0)")
     drawn = drawn.select("uid", "doc_id", "tag", "skey", "shard", "pass", "words", F.xxhash64(F.lit(seed), "shard", "pass", "uid").alias("place"))
     return rows.join(goal, "skey").select("uid", "doc_id", "size", "source_size", "target"), drawn
 
@@ -126,7 +152,9 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     return rows.join(taken, "uid", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str = "n_chars", **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str = "n_chars", **options
+) -> DataFrame:
     """The mix itself: a row of docs, with all its columns, for every draw of it.
 
     The last document of a source may be cut to fewer words; length_col, if
@@ -136,10 +164,16 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     drawn = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)[1].select(F.col("doc_id").alias("id"), "tag", "skey", "words")
     # A struct, as columns may have any name.
     tag = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    tagged = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("own_id"), tag.alias("own_tag"), _source_key(F.col(source_col)).alias("own_skey")).dropDuplicates(["own_id", "own_tag", "own_skey"])
+    tagged = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).cast("long").alias("own_id"), tag.alias("own_tag"),
+        _source_key(F.col(source_col)).alias("own_skey")
+    ).dropDuplicates(["own_id", "own_tag", "own_skey"])
     rows = tagged.join(drawn, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_tag") == F.col("tag")) & (F.col("own_skey") == F.col("skey")))
     old = F.col("row")[text_col]
     short = F.array_join(F.slice(F.split(F.regexp_replace(old, "^" + _BLANK, ""), _BLANK[:-1] + "+"), 1, F.greatest(F.col("words"), F.lit(0)).cast("int")), " ")
     cut = word_count(old) > F.col("words")
-    new = {text_col: F.when(cut, short).otherwise(old), length_col: F.when(cut, F.length(short).cast("long")).otherwise(F.col("row")[length_col]) if length_col in docs.columns else None}
+    new = {
+        text_col: F.when(cut, short).otherwise(old),
+        length_col: F.when(cut, F.length(short).cast("long")).otherwise(F.col("row")[length_col]) if length_col in docs.columns else None
+    }
     return rows.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))

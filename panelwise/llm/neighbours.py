@@ -127,7 +127,10 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id
     every row is indexed. An empty table gives no rows.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), F.coalesce(F.expr(queries), F.lit(False)).alias("asks"))
+    rows = vectors.select(
+        F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
+        F.coalesce(F.expr(queries), F.lit(False)).alias("asks")
+    )
     finite = "forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(vec, x -> x <> 0)"
     rows = rows.where(f"id is not null and size(vec) > 0 and {finite}")
     n = rows.count()

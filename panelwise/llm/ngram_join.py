@@ -61,11 +61,17 @@ def _signed(text: str, id_: str, n: int):
             owner = np.repeat(np.arange(k), np.diff(offsets))
             profile = np.bincount(owner * PROFILE + (values >> U(56)).astype(np.int64), minlength=k * PROFILE)
             profiles = pa.array([row.tobytes() for row in np.minimum(profile, 255).astype(np.uint8).reshape(k, PROFILE)], pa.binary())
-            columns = [pa.array(np.zeros(k, np.int32)), part.column(id_), part.column("tag"), pa.array(np.diff(offsets)), pa.array(set_ids(values, offsets), pa.binary()), profiles]
+            columns = [
+                pa.array(np.zeros(k, np.int32)), part.column(id_), part.column("tag"), pa.array(np.diff(offsets)),
+                pa.array(set_ids(values, offsets), pa.binary()), profiles
+            ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         if counts.any():
             pieces, nothing = counts.reshape(PIECES, -1), pa.nulls(PIECES, pa.int64())
-            columns = [pa.array(np.ones(PIECES, np.int32)), nothing, nothing, pa.array(np.arange(PIECES)), pa.array([p.tobytes() for p in pieces], pa.binary()), pa.nulls(PIECES, pa.binary())]
+            columns = [
+                pa.array(np.ones(PIECES, np.int32)), nothing, nothing, pa.array(np.arange(PIECES)),
+                pa.array([p.tobytes() for p in pieces], pa.binary()), pa.nulls(PIECES, pa.binary())
+            ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -99,10 +105,16 @@ def _postings(text: str, n: int, percent: int, ranks):
         for part in slices(batches, text):
             values, offsets = shingle_sets(Words(part.column(text), lower=True), n)
             ids, keys = set_ids(values, offsets), _ordered(values, ranks.value)
-            heads = [np.partition(keys[a:b], p - 1)[:p] if (p := _prefix(b - a, percent)) < b - a else keys[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True) if b > a]
+            heads = [
+                np.partition(keys[a:b], p - 1)[:p] if (p := _prefix(b - a, percent)) < b - a else keys[a:b] for a,
+                b in zip(offsets[:-1], offsets[1:], strict=True) if b > a
+            ]
             if heads:
                 owners = np.repeat(np.arange(len(heads)), list(map(len, heads)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads).view(np.int64)), pa.array([i for i in ids if i], pa.binary()).take(pa.array(owners))], names=["token", "sid"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(heads).view(np.int64)), pa.array([i for i in ids if i], pa.binary()).take(pa.array(owners))],
+                    names=["token", "sid"]
+                )
 
     return run
 
@@ -195,7 +207,10 @@ def _ruled(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                ok = _near(batch.column("n_a").to_numpy(), _stacked(batch.column("p_a")), batch.column("n_b").to_numpy(), _stacked(batch.column("p_b")), percent)
+                ok = _near(
+                    batch.column("n_a").to_numpy(), _stacked(batch.column("p_a")), batch.column("n_b").to_numpy(),
+                    _stacked(batch.column("p_b")), percent
+                )
                 yield batch.select(["probe", "sid"]).filter(pa.array(ok))
 
     return run
@@ -206,7 +221,9 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     of = lambda key, mark: nodes.select(F.col("sid").alias(key), F.col("n").alias(f"n_{mark}"), F.col("profile").alias(f"p_{mark}"))
     sized = pairs.join(nodes.select("sid", F.col("n").alias("n_a")), "sid").join(nodes.select(F.col("sid").alias("probe"), F.col("n").alias("n_b")), "probe")
     sized = sized.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("probe", "sid")
-    return sized.join(of("sid", "a"), "sid").join(of("probe", "b"), "probe").select("probe", "sid", "n_a", "p_a", "n_b", "p_b").mapInArrow(_ruled(percent), "probe binary, sid binary")
+    return sized.join(of("sid", "a"), "sid").join(of("probe", "b"), "probe").select("probe", "sid", "n_a", "p_a", "n_b", "p_b").mapInArrow(
+        _ruled(percent), "probe binary, sid binary"
+    )
 
 
 def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int, ranks) -> DataFrame:
@@ -286,7 +303,9 @@ def _across_labels(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> Da
     """
     marked = shared.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("token", "sid", "probe", F.coalesce("root", "sid").alias("label"))
     sizes = marked.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
-    groups = sizes.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("m"), F.max("n").alias("most")).where("most < m and m > 2")
+    groups = sizes.groupBy("token").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("m"), F.max("n").alias("most")
+    ).where("most < m and m > 2")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("others")
     members = marked.where("probe <> sid").join(groups.select("token", "main", *blocks), "token").join(nodes.select("sid", "n", "profile"), "sid")
     own = "pmod(hash(sid), {})".format
@@ -319,7 +338,9 @@ def _joined(docs: DataFrame, n: int, percent: int, postings) -> tuple[DataFrame,
         links = stored(links.union(_links(second, docs, nodes, n, percent, ranks)))
         labels = components(links, "a", "b")
 
-    member = nodes.select("sid", "rep").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
+    member = nodes.select("sid", "rep").join(
+        labels.withColumnRenamed("node", "sid"), "sid", "left"
+    ).select("sid", "rep", F.coalesce("root", "sid").alias("root"))
     least = member.groupBy("root").agg(F.min("rep").alias("component_id"))
     return rows, member.join(least, "root").select("sid", "root", "component_id")
 
@@ -341,7 +362,10 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows, member = _joined(_tagged(docs, id_col, text_col), n, percent, postings)
     out = rows.join(member, "sid", "left")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+    return out.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")
+    )
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -352,7 +376,9 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     last = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     rows, member = _joined(_tagged(docs.select(last.alias("id"), F.col(text_col)), "id", text_col), n, percent, _postings)
-    kept = rows.join(member, "sid").groupBy("root").agg(F.min(F.struct("id", "tag")).alias("x")).select(F.xxhash64("x.id", "x.tag").alias("key"), F.col("x.tag").alias("tag"))
+    kept = rows.join(member, "sid").groupBy("root").agg(F.min(F.struct("id", "tag")).alias("x")).select(
+        F.xxhash64("x.id", "x.tag").alias("key"), F.col("x.tag").alias("tag")
+    )
     tag, worded = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     whole = docs.where(worded).select(F.struct("*").alias("row"), tag.alias("tag"), F.xxhash64(last, tag).alias("key"))  # a struct, as columns may have any name
     once = whole.join(kept, ["key", "tag"], "left_semi").withColumn("n", F.expr("row_number() over (partition by key, tag order by tag)")).where("n = 1")

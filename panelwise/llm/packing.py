@@ -50,7 +50,9 @@ def _pieces(path: str, length: int, end: int):
                 ids = np.concatenate([encode(text), last])
                 rows += [(id_, row, at, min(length, len(ids) - at), zlib.crc32(ids[at : at + length].tobytes()), len(ids)) for at in range(0, len(ids), length)]
                 row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["id", "row", "start", "length", "crc", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["id", "row", "start", "length", "crc", "tokens"]
+            )
 
     return run
 
@@ -115,4 +117,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 1, id_c
     pieces = rows.mapInArrow(_pieces(tokenizer, length, end), "id long, row long, start long, length long, crc long, tokens long")
     dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("row", "start"), F.lit(groups)))
     packed = dealt.groupBy("grp").applyInArrow(_packed(length), "id long, start long, length long, crc long, tokens long, sequence_id long, offset long")
-    return packed.select(F.col("id").alias("doc_id"), "start", "length", F.col("crc").alias("ids_crc32"), F.col("tokens").alias("doc_tokens"), "sequence_id", "offset")
+    return packed.select(
+        F.col("id").alias("doc_id"), "start", "length", F.col("crc").alias("ids_crc32"), F.col("tokens").alias("doc_tokens"), "sequence_id",
+        "offset"
+    )

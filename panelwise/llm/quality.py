@@ -114,7 +114,10 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = local[words.offsets[d] : words.offsets[d + 1]].ravel()
             bucket, count = np.unique(own, return_counts=True)
             rows.append((np.concatenate([bucket, whole[d]]), np.concatenate([2 * count / max(len(own), 1), np.ones(len(whole[d]))])))
-        columns = [part.column("tag"), pa.array(votes(stats)), *(pa.array([r[i].astype(kind).tobytes() for r in rows], pa.binary()) for i, kind in ((0, "<u2"), (1, "<f4")))]
+        columns = [
+            part.column("tag"), pa.array(votes(stats)),
+            *(pa.array([r[i].astype(kind).tobytes() for r in rows], pa.binary()) for i, kind in ((0, "<u2"), (1, "<f4")))
+        ]
         yield pa.RecordBatch.from_arrays(columns, names=["tag", "votes", "buckets", "weights"])
 
 
@@ -159,7 +162,10 @@ def _scored(weights):
             score = _per_text(w[local].sum(axis=1), words) / np.maximum(words.counts(), 1) + w[whole].sum(axis=1) + w[-1]
             columns = [part.column(i) for i in range(part.num_columns) if part.schema.names[i] != "text"]
             names = [n for n in part.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(votes(stats)), pa.array(1 / (1 + np.exp(-np.clip(score, -500, 500))))], names=[*names, "votes", "p_good"])
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(votes(stats)), pa.array(1 / (1 + np.exp(-np.clip(score, -500, 500))))],
+                names=[*names, "votes", "p_good"]
+            )
 
     return run
 

@@ -59,8 +59,12 @@ def _partition(rows: DataFrame, shards: int) -> DataFrame:
     shift = FIRST_SHIFT
     cells = stored(_cells(rows, F.shiftright("key", shift)))
     while True:
-        table = cells.agg(F.sort_array(F.collect_list(F.struct("low", "high", "bytes"))).alias("cells"), F.sum("bytes").cast("long").alias("total")).where("size(cells) > 0")
-        table = stored(table.withColumn("largest", F.expr("array_max(transform(cells, x -> x.bytes))")).withColumn("group", F.expr("coalesce(array_max(transform(filter(cells, x -> x.low = x.high), x -> x.bytes)), 0L)")))
+        table = cells.agg(
+            F.sort_array(F.collect_list(F.struct("low", "high", "bytes"))).alias("cells"), F.sum("bytes").cast("long").alias("total")
+        ).where("size(cells) > 0")
+        table = stored(table.withColumn("largest", F.expr("array_max(transform(cells, x -> x.bytes))")).withColumn(
+            "group", F.expr("coalesce(array_max(transform(filter(cells, x -> x.low = x.high), x -> x.bytes)), 0L)")
+        ))
         # Tables of one row: else the optimizer would put a search into the loop that uses its result.
         enough = f"total div {shards} + 1 + largest"
         table = stored(table.withColumn("floor", F.expr(_least(_FLUID_COUNT, f"greatest(group, cast(ceil(total / {shards}) as bigint), 1L)", enough, shards))))
@@ -68,7 +72,9 @@ def _partition(rows: DataFrame, shards: int) -> DataFrame:
         table = stored(table.withColumn("firsts", F.expr(_WHOLE.format(c="capacity"))).withColumn("earliest", F.expr(_WHOLE.format(c="floor"))).withColumn("latest", F.expr(_FLUID.format(c="capacity"))))
         may_cut = f"exists(sequence(0, {shards - 2}), j -> i >= get(earliest, j) and i <= coalesce(get(latest, j), size(cells)))" if shards > 1 else "false"
         opened = table.where("floor < capacity").select(F.expr(f"filter(transform(cells, (x, i) -> if(x.low < x.high and (x.bytes > floor div 4 or {may_cut}), x, null)), x -> x is not null)").alias("opened"))
-        opened = stored(opened.select(F.explode("opened").alias("x")).select(F.col("x.low").alias("low"), F.col("x.high").alias("high"), F.col("x.bytes").alias("bytes")).orderBy(F.desc("bytes"), "low").limit(OPENED))
+        opened = stored(opened.select(F.explode("opened").alias("x")).select(
+            F.col("x.low").alias("low"), F.col("x.high").alias("high"), F.col("x.bytes").alias("bytes")
+        ).orderBy(F.desc("bytes"), "low").limit(OPENED))
         if shift == 0 or opened.isEmpty():
             return table.select("capacity", F.expr("transform(firsts, i -> cells[i].low)").alias("firsts"))
         shift -= STEP
@@ -89,15 +95,22 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     others, other columns are ignored. grown_shard is null under this law.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("key"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("key")
+    )
     # Salts by place, as equal rows would share a salt of their values; the stored table fixes them.
     rows = stored(rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")))
     cut = stored(_partition(rows.select("key", "size"), shards))
     placed = rows.crossJoin(F.broadcast(cut.select("firsts"))).withColumn("shard", F.expr("size(filter(firsts, x -> x <= key))")).drop("firsts")  # one row
     placed = placed.withColumn("range", F.shiftright("key", FIRST_SHIFT))
-    cells = placed.groupBy("shard", "range", "salt").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.expr("sum(n) over (partition by shard, range order by salt) - n"))
+    cells = placed.groupBy("shard", "range", "salt").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "before", F.expr("sum(n) over (partition by shard, range order by salt) - n")
+    )
     ranges = cells.groupBy("shard", "range").agg(F.sum("n").alias("n")).withColumn("base", F.expr("sum(n) over (partition by shard order by range) - n"))
-    cells = cells.join(ranges.select("shard", "range", "base"), ["shard", "range"]).select("shard", "range", "salt", (F.col("base") + F.col("before")).alias("base"))
+    cells = cells.join(ranges.select("shard", "range", "base"), ["shard", "range"]).select(
+        "shard", "range", "salt", (F.col("base") + F.col("before")).alias("base")
+    )
     numbered = placed.withColumn("at", F.expr("row_number() over (partition by shard, range, salt order by key, doc_id) - 1"))
     return numbered.join(cells, ["shard", "range", "salt"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("base") + F.col("at")).alias("slot"), F.lit(None).cast("int").alias("grown_shard")

@@ -69,7 +69,10 @@ def kept_text(words: Words, gone: np.ndarray | None = None) -> list[bytes]:
 def _batch(schema: str, columns: list) -> pa.RecordBatch:
     kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = [c.split() for c in schema.split(", ")]
-    arrays = [x if isinstance(x, pa.Array) else pa.nulls(len(columns[0]), kinds[t]) if x is None else pa.array(x, kinds[t]) for x, (_, t) in zip(columns, fields, strict=True)]
+    arrays = [
+        x if isinstance(x, pa.Array) else pa.nulls(len(columns[0]), kinds[t]) if x is None else pa.array(x, kinds[t]) for x,
+        (_, t) in zip(columns, fields, strict=True)
+    ]
     return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
 
 
@@ -84,7 +87,10 @@ def _pieced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if size and size + bytes_ > PIECE_BYTES:
             piece, size = piece + 1, 0
         size += bytes_
-        yield _batch(_PIECED, [np.full(part.num_rows, piece), part.column("id"), part.column("tag"), part.column("text"), pa.array(np.full(part.num_rows, bytes_ // part.num_rows))])
+        yield _batch(
+            _PIECED,
+            [np.full(part.num_rows, piece), part.column("id"), part.column("tag"), part.column("text"), pa.array(np.full(part.num_rows, bytes_ // part.num_rows))]
+        )
 
 
 def _places(words: Words, n: int, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -256,7 +262,10 @@ def _extended(window: int, bits: int):
         if not has.all():
             rest = pa.array(np.flatnonzero(~has))
             digests = [hashlib.sha256(x).hexdigest() for x, own in zip(kept_text(words), has.tolist(), strict=True) if not own]
-            yield _batch(_NEAR, [np.zeros(len(rest), np.int32), part.column("piece").take(rest), ids.take(rest), part.column("tag").take(rest), counts.take(rest), digests, None, None])
+            yield _batch(
+                _NEAR,
+                [np.zeros(len(rest), np.int32), part.column("piece").take(rest), ids.take(rest), part.column("tag").take(rest), counts.take(rest), digests, None, None]
+            )
         if has.any():
             own = pa.array(np.flatnonzero(has))
             blobs = [pack(at[cuts[d] : cuts[d + 1]] - words.offsets[d]) for d in own.to_pylist()]
@@ -385,13 +394,20 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = stored(windows.mapInArrow(_least(bits), _LEAST))
     cut = _by_piece(near, least).mapInArrow(_removed(window), _CUT)
     whole = found.where("kind = 0").select("id", "tag", "n_words", F.lit(0).cast("long").alias("gone"), "digest", F.lit(None).cast("string").alias("kept_text"))
-    return whole.unionByName(cut).select(F.col("id").alias("doc_id"), "n_words", F.col("gone").alias("n_removed"), F.col("digest").alias("kept_sha256"), "kept_text", "tag")
+    return whole.unionByName(cut).select(
+        F.col("id").alias("doc_id"), "n_words", F.col("gone").alias("n_removed"), F.col("digest").alias("kept_sha256"), "kept_text", "tag"
+    )
 
 
 def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", window: int = 50) -> DataFrame:
     """The rows of docs, with all their columns: text_col has the kept words joined by one space where words went, and length_col, if there, its length."""
-    cut = substring_dedup(docs, id_col, text_col, window).where("kept_text is not null").select(F.col("doc_id").alias("id"), "tag", "kept_text").dropDuplicates(["id", "tag"])
+    cut = substring_dedup(docs, id_col, text_col, window).where("kept_text is not null").select(
+        F.col("doc_id").alias("id"), "tag", "kept_text"
+    ).dropDuplicates(["id", "tag"])
     # A struct, as columns may have any name. Equal rows are cut alike; null ids lose nothing.
     whole = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"))
-    new = {text_col: F.coalesce("kept_text", F.col("row")[text_col]), length_col: F.coalesce(F.length("kept_text").cast("long"), F.col("row")[length_col]) if length_col in docs.columns else None}
+    new = {
+        text_col: F.coalesce("kept_text", F.col("row")[text_col]),
+        length_col: F.coalesce(F.length("kept_text").cast("long"), F.col("row")[length_col]) if length_col in docs.columns else None
+    }
     return whole.join(cut, ["id", "tag"], "left").select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))

@@ -48,7 +48,10 @@ def rows():
                 own[at] = f"edit{rng.integers(1000)}"
             out += [" ".join(own), text]
     passage = " ".join(f"p{i}" for i in range(70))
-    out += [f"{base[1]} {passage}\n{base[2]}", f"start {passage} end", f"{passage} {passage}", "Copyright 2020 X\nReleased under the  MIT Licence.", "All rights reserved."]
+    out += [
+        f"{base[1]} {passage}\n{base[2]}", f"start {passage} end", f"{passage} {passage}",
+        "Copyright 2020 X\nReleased under the  MIT Licence.", "All rights reserved."
+    ]
     sources = ["a", "b", None, "c", "hot", "hot", "hot"]
     return [(i * 3 + 1, t, "en", sources[i % 7], len(t or ""), i, "x", 1, "y") for i, t in enumerate(out)]
 
@@ -94,7 +97,10 @@ def test_null_and_repeated_ids(spark):
 def test_one_row_of_each_group_stays(spark):
     a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
     near = a.replace("a59", "z")
-    data = [(5, a, "x"), (5, a, "x"), (7, near, "x"), (5, b, "y"), (None, b, "y"), (None, b, "y"), (None, "alone here", "z"), (None, "alone here", "z"), (9, None, "n"), (9, None, "n"), (8, " ", "n")]
+    data = [
+        (5, a, "x"), (5, a, "x"), (7, near, "x"), (5, b, "y"), (None, b, "y"), (None, b, "y"), (None, "alone here", "z"),
+        (None, "alone here", "z"), (9, None, "n"), (9, None, "n"), (8, " ", "n")
+    ]
     got = first_of_each(spark.createDataFrame(data, "doc_id long, text string, _n string").repartition(3)).collect()
     want = [(5, a, "x"), (5, b, "y"), (None, "alone here", "z"), (9, None, "n"), (9, None, "n"), (8, " ", "n")]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
@@ -111,7 +117,9 @@ def test_outliers_of_a_large_group_cost_a_row_a_member(spark):
 
 
 def test_trie_shares_paths_and_prunes():
-    arrays = [np.array(x, np.uint64) for x in ([1, 2, 3, 4, 5, 6, 7, 8, 9, 10], [1, 2, 3, 4, 5, 6, 7, 8, 9, 11], [1, 2, 20, 21, 22, 23, 24, 25, 26, 27], list(range(1, 41)))]
+    arrays = [np.array(x, np.uint64) for x in (
+        [1, 2, 3, 4, 5, 6, 7, 8, 9, 10], [1, 2, 3, 4, 5, 6, 7, 8, 9, 11], [1, 2, 20, 21, 22, 23, 24, 25, 26, 27], list(range(1, 41))
+    )]
     assert trie_matches(np.arange(1, 11, dtype=np.uint64), arrays, 80) == [0, 1]
 
 
@@ -135,7 +143,10 @@ def test_substring_dedup(docs, empty):
 def test_substring_probes_stay_small(bits):
     rng = np.random.default_rng(3)
     texts = [" ".join(rng.choice(20_000, 300).astype(str)) for _ in range(4000)]
-    columns = {"id": pa.array(range(4000), pa.int64()), "tag": pa.array(range(4000), pa.int64()), "text": pa.array(texts), "piece": pa.array([0] * 4000, pa.int64())}
+    columns = {
+        "id": pa.array(range(4000), pa.int64()), "tag": pa.array(range(4000), pa.int64()), "text": pa.array(texts),
+        "piece": pa.array([0] * 4000, pa.int64())
+    }
     out = list(_probes(50, bits)(iter([pa.RecordBatch.from_pydict(columns)])))
     size, rows = sum(b.nbytes for b in out), sum(b.num_rows for b in out)
     assert rows <= 1 << bits and size + 64 * rows < 3 * sum(map(len, texts))
@@ -332,7 +343,12 @@ def test_license_scan(docs, spark, empty):
 def test_license_files_in_usual_wrapping(spark):
     isc, mit, bsd = TEXTS["ISC"], TEXTS["MIT"], TEXTS["BSD-3-Clause"]
     wrapped = isc.replace("above copyright notice", "above\ncopyright notice")
-    files = [f"ISC License\n\nCopyright (c) 2020 A B\n\n{wrapped}\n", f"Copyright A B\n{wrapped}", f"MIT License\n\nCopyright 2020 A\n\n{mit.replace('COPYRIGHT HOLDERS', chr(10) + 'COPYRIGHT HOLDERS')}", isc.replace("above copyright", "above\ncopyright\n"), "BSD 3-Clause License\nCopyright (c) 2001, X\nAll rights\n".replace("All rights\n", "") + bsd.replace(" 2. ", "\n2. ")]
+    files = [
+        f"ISC License\n\nCopyright (c) 2020 A B\n\n{wrapped}\n", f"Copyright A B\n{wrapped}",
+        f"MIT License\n\nCopyright 2020 A\n\n{mit.replace('COPYRIGHT HOLDERS', chr(10) + 'COPYRIGHT HOLDERS')}",
+        isc.replace("above copyright", "above\ncopyright\n"),
+        "BSD 3-Clause License\nCopyright (c) 2001, X\nAll rights\n".replace("All rights\n", "") + bsd.replace(" 2. ", "\n2. ")
+    ]
     assert all("\ncopyright" in f.lower() or f.startswith("Copyright") for f in files)
     got = license_scan(spark.createDataFrame(list(enumerate(files)), "doc_id long, text string"), known_licenses(spark)).collect()
     assert sorted((r.doc_id, r.line, r.license) for r in got) == [(0, 0, "ISC"), (1, 0, "ISC"), (2, 0, "MIT"), (3, 0, "ISC"), (4, 0, "BSD-3-Clause")]
@@ -377,13 +393,18 @@ def test_weak_label_model_against_brute_force():
         tables = [[[1.0 + sum(w for w, d in zip(weights, digits[:, i], strict=True) if d == v) for v in range(3)] for i in range(len(LABELLERS))] for weights in ([1 - x for x in p], p)]
         tables = [[[x / sum(row) for x in row] for row in t] for t in tables]
         prior = (sum(p) + 1) / (len(p) + 2)
-        odds = {tuple(d): sum(math.log(tables[1][i][v] / tables[0][i][v]) for i, v in enumerate(d)) + math.log(prior / (1 - prior)) for d in np.unique(digits, axis=0)}
+        odds = {tuple(d): sum(
+            math.log(tables[1][i][v] / tables[0][i][v]) for i, v in enumerate(d)
+        ) + math.log(prior / (1 - prior)) for d in np.unique(digits, axis=0)}
         p = [1 / (1 + math.exp(-odds[tuple(d)])) for d in digits]
     assert np.allclose(good[back], p) and np.mean((good[back] > 0.5) == truth) > 0.9 and chance.shape == (2, len(LABELLERS), 3)
 
 
 def test_scorer_against_its_features(docs, spark):
-    texts = pa.RecordBatch.from_pydict({"id": pa.array(range(5), pa.int64()), "tag": pa.array(range(5), pa.int64()), "text": pa.array(["", "Some words, here.", "$$ ## AAA BBB", "one one one one", "a"])})
+    texts = pa.RecordBatch.from_pydict({
+        "id": pa.array(range(5), pa.int64()), "tag": pa.array(range(5), pa.int64()),
+        "text": pa.array(["", "Some words, here.", "$$ ## AAA BBB", "one one one one", "a"])
+    })
     weights = np.random.default_rng(2).normal(size=BUCKETS + 1)
 
     class Shared:
@@ -422,7 +443,10 @@ def test_nearest_with_many_copies(spark):
     x = rng.normal(size=(1200, 16))
     x[1::3] = x[1]
     got = collections.defaultdict(list)
-    for r in nearest(spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>"), "vec_id % 20 = 0 or vec_id = 4", 10).orderBy("query_id", "rank").collect():
+    for r in nearest(
+        spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>"),
+        "vec_id % 20 = 0 or vec_id = 4", 10
+    ).orderBy("query_id", "rank").collect():
         got[r.query_id].append(r.vec_id)
     copies, found = list(range(1, 1200, 3)), []
     for q, ids in got.items():
@@ -437,7 +461,10 @@ def test_nearest_with_many_copies(spark):
 
 def test_nearest_edges(spark):
     one, two = [1.0, 0.0], [0.0, 1.0]
-    data = [(0, one, "c"), (0, one, "c"), (20, two, "c"), (5, one, "d"), (3, one, "d"), (3, one, "d"), (7, two, "e"), (None, one, "f"), (8, [float("inf"), 1.0], "g"), (9, [1.0], "h"), (11, [1.0, None], "i")]
+    data = [
+        (0, one, "c"), (0, one, "c"), (20, two, "c"), (5, one, "d"), (3, one, "d"), (3, one, "d"), (7, two, "e"), (None, one, "f"),
+        (8, [float("inf"), 1.0], "g"), (9, [1.0], "h"), (11, [1.0, None], "i")
+    ]
     got = nearest(spark.createDataFrame(data, "vec_id long, embedding array<double>, rank string"), "vec_id % 20 = 0", 3).orderBy("query_id", "rank").collect()
     assert [tuple(r) for r in got] == [(0, 1, 3, 1.0), (0, 2, 5, 1.0), (0, 3, 7, 0.0), (20, 1, 7, 1.0), (20, 2, 0, 0.0), (20, 3, 3, 0.0)]
 
@@ -456,7 +483,10 @@ def test_lm_counts_match_brute_force(spark):
     tokens = lambda t: [*words(low(t)), None]
     count = collections.Counter(w for i, t in data if i is not None and i % 3 for w in tokens(t))
     n, v = sum(count.values()), len(count)
-    want = sorted((str(i), len(w := tokens(t)), sum(count[x] > 0 for x in w), round(sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w), 6)) for i, t in data)
+    want = sorted(
+        (str(i), len(w := tokens(t)), sum(count[x] > 0 for x in w), round(sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w), 6)) for i,
+        t in data
+    )
     assert sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got) == want
     assert {r.train_tokens for r in got} == {n} and all(np.isfinite(r.score) for r in got)
     nothing = score_documents(spark.createDataFrame(data[:5], "doc_id long, text string"), "false").collect()
