@@ -87,4 +87,7 @@ def sample_years(panel: DataFrame, least: int, early: int, late: int) -> DataFra
     every = years.agg(F.count_distinct("year").alias("_all"))
     cohort = F.when(F.col("first_year") <= early, "early").when(F.col("first_year") <= late, "middle").otherwise("late")
     out = years.join(by, "ticker").crossJoin(every)
-    return out.select("ticker", "year", (F.col("year") - F.col("first_year")).alias("since"), "years", (F.col("years") == F.col("_all")).alias("balanced"), cohort.alias("cohort"))
+    return out.select(
+        "ticker", "year", (F.col("year") - F.col("first_year")).alias("since"), "years",
+        (F.col("years") == F.col("_all")).alias("balanced"), cohort.alias("cohort")
+    )

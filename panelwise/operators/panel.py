@@ -51,14 +51,20 @@ def horizon_spreads(deciles: DataFrame, forward: DataFrame, horizons: list[int])
     rows = deciles.join(forward.select("ticker", "date", *(f"fwd_{h}" for h in horizons)), ["ticker", "date"])
     long = rows.unpivot(["date", "decile"], [f"fwd_{h}" for h in horizons], "name", "ret").withColumn("horizon", F.expr("cast(substring(name, 5) as int)"))
     mean = lambda rule: f"avg(if({rule}, ret, null))"
-    out = long.groupBy("date", "horizon").agg(F.expr(mean("decile = 10")).alias("decile_long"), F.expr(mean("decile = 1")).alias("decile_short"), F.expr(f"{mean('decile > 8')} - {mean('decile <= 2')}").alias("quintile_spread"))
+    out = long.groupBy("date", "horizon").agg(
+        F.expr(mean("decile = 10")).alias("decile_long"), F.expr(mean("decile = 1")).alias("decile_short"),
+        F.expr(f"{mean('decile > 8')} - {mean('decile <= 2')}").alias("quintile_spread")
+    )
     return out.withColumn("decile_spread", F.col("decile_long") - F.col("decile_short"))
 
 
 def holding_summary(spreads: DataFrame, column: str = "decile_spread") -> DataFrame:
     """horizon, n, mean, std, sharpe times sqrt(12 / horizon), win_rate of the dates that have a spread."""
     by = spreads.where(F.col(column).isNotNull()).groupBy("horizon")
-    out = by.agg(F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.avg((F.col(column) > 0).cast("double")).alias("win_rate"))
+    out = by.agg(
+        F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"),
+        F.avg((F.col(column) > 0).cast("double")).alias("win_rate")
+    )
     return out.withColumn("sharpe", F.expr("mean / nullif(std, 0) * sqrt(12.0D / horizon)"))
 
 
@@ -71,7 +77,9 @@ def consistent_improvers(scores: DataFrame, column: str, rows: list[int]) -> Dat
 def formation_scores(scores: DataFrame, pillars: dict[str, float], k: int = 12) -> DataFrame:
     """method, ticker, date, score: the score itself, the weighted pillars and the change ratio over k rows."""
     weighted = " + ".join(f"{w!r}D * {c}" for c, w in pillars.items())
-    wide = scores.withColumns({"esg_score": F.col("ESG"), "pillar_weighted": F.expr(weighted), "momentum": F.expr(f"ESG / nullif(lag(ESG, {k}) {OVER}, 0) - 1")})
+    wide = scores.withColumns({
+        "esg_score": F.col("ESG"), "pillar_weighted": F.expr(weighted), "momentum": F.expr(f"ESG / nullif(lag(ESG, {k}) {OVER}, 0) - 1")
+    })
     return wide.unpivot(["ticker", "date"], ["esg_score", "pillar_weighted", "momentum"], "method", "score").where("score is not null")
 
 
@@ -99,7 +107,9 @@ def rolling_stats(returns: DataFrame, window: int = 12) -> DataFrame:
     """Rolling mean, standard deviation and annualised ratio; null until the window is full."""
     frame = f"over (partition by ticker order by date rows between {window - 1} preceding and current row)"
     full = f"count(ret) {frame} = {window}"
-    df = returns.withColumn("roll_mean", F.expr(f"if({full}, avg(ret) {frame}, null)")).withColumn("roll_std", F.expr(f"if({full}, stddev_samp(ret) {frame}, null)"))
+    df = returns.withColumn("roll_mean", F.expr(f"if({full}, avg(ret) {frame}, null)")).withColumn(
+        "roll_std", F.expr(f"if({full}, stddev_samp(ret) {frame}, null)")
+    )
     return df.withColumn("roll_sharpe", F.expr("roll_mean / nullif(roll_std, 0) * sqrt(12)")).withColumn("roll_vol", F.expr("roll_std * sqrt(12)"))
 
 
@@ -124,9 +134,13 @@ def percentile_rank(df: DataFrame, column: str, by: str = "date", out: str = "pc
     rows = df.where(F.col(column).isNotNull())
     ends = rows.groupBy(*keys).agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
     cell = F.expr(f"cast(floor(({column} - _low) / nullif(_high - _low, 0) * {CELLS - 1}) as int)")
-    counts = _back(rows.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n")), ends, keys).select(*keys, column, "_n", F.coalesce(cell, F.lit(0)).alias("_cell"))
+    counts = _back(
+        rows.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n")), ends, keys
+    ).select(*keys, column, "_n", F.coalesce(cell, F.lit(0)).alias("_cell"))
     cells = counts.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_in"))
-    cells = cells.withColumn("_before", F.expr(f"sum(_in) over (partition by {by} order by _cell) - _in")).withColumn("_all", F.expr(f"sum(_in) over (partition by {by})"))
+    cells = cells.withColumn(
+        "_before", F.expr(f"sum(_in) over (partition by {by} order by _cell) - _in")
+    ).withColumn("_all", F.expr(f"sum(_in) over (partition by {by})"))
     placed = _back(counts, cells.select(*keys, "_cell", "_before", "_all"), [*keys, "_cell"])
     running = F.expr(f"_before + sum(_n) over (partition by {by}, _cell order by {column})")
     ranks = placed.withColumn("_upto", running).select(*keys, column, F.expr("(_upto - (_n - 1) / 2.0D) / _all").alias("_pct"))
@@ -166,7 +180,10 @@ def momentum_signal(scores: DataFrame, column: str = "ESG", k: int = 12) -> Data
     return zscore(moved, "change").select("ticker", "date", F.lit("ESG_mom").alias("signal"), F.col("z").alias("value"))
 
 
-def long_short(excess: DataFrame, signals: DataFrame, lag: int = 1, quantile: float = 0.2, weights: DataFrame | None = None, sectors: DataFrame | None = None) -> DataFrame:
+def long_short(
+    excess: DataFrame, signals: DataFrame, lag: int = 1, quantile: float = 0.2, weights: DataFrame | None = None,
+    sectors: DataFrame | None = None
+) -> DataFrame:
     """signal, date, long_leg, short_leg, factor: means of the top and bottom quantile of the lagged signal, ranked within date (and sector).
 
     All signals and dates are one plan: lags are dealt by ticker, ranks by
@@ -203,13 +220,18 @@ def wide_factors(factors: DataFrame, names: list[str]) -> DataFrame:
 
 
 def factor_summary(factors: DataFrame) -> DataFrame:
-    out = factors.groupBy("signal").agg((F.avg("factor") * 12).alias("ann_mean"), (F.stddev_samp("factor") * F.sqrt(F.lit(12))).alias("ann_std"), F.min("factor").alias("low"), F.max("factor").alias("high"), F.count("factor").alias("n"))
+    out = factors.groupBy("signal").agg(
+        (F.avg("factor") * 12).alias("ann_mean"), (F.stddev_samp("factor") * F.sqrt(F.lit(12))).alias("ann_std"),
+        F.min("factor").alias("low"), F.max("factor").alias("high"), F.count("factor").alias("n")
+    )
     return out.withColumn("sharpe", F.expr("ann_mean / nullif(ann_std, 0)"))
 
 
 def correlations(factors: DataFrame) -> DataFrame:
     """Pairwise correlation in long form; the series are few, dates are the join key."""
-    a, b = factors.select("date", F.col("signal").alias("a"), F.col("factor").alias("x")), factors.select("date", F.col("signal").alias("b"), F.col("factor").alias("y"))
+    a, b = factors.select(
+        "date", F.col("signal").alias("a"), F.col("factor").alias("x")
+    ), factors.select("date", F.col("signal").alias("b"), F.col("factor").alias("y"))
     return a.join(b, "date").groupBy("a", "b").agg(F.corr("x", "y").alias("corr"))
 
 
@@ -223,7 +245,10 @@ def backward_asof(left: DataFrame, right: DataFrame, value: str, keep_unmatched:
     tagged = left.withColumn("_side", F.lit(1)).withColumn("_v", F.lit(None).cast(dict(right.dtypes)[value]))
     other = right.select("ticker", "date", F.lit(0).alias("_side"), F.col(value).alias("_v"))
     both = tagged.unionByName(other, allowMissingColumns=True)
-    both = both.withColumn(value, F.expr("last_value(_v) ignore nulls over (partition by ticker order by date, _side rows between unbounded preceding and current row)"))
+    both = both.withColumn(
+        value,
+        F.expr("last_value(_v) ignore nulls over (partition by ticker order by date, _side rows between unbounded preceding and current row)")
+    )
     out = both.where("_side = 1").select("ticker", "date", *cols, value)
     return out if keep_unmatched else out.where(F.col(value).isNotNull())
 
@@ -246,7 +271,9 @@ def pairwise_covariance(panel: DataFrame, value: str = "ret") -> DataFrame:
     blocks = F.lit(-(-(panel.select("ticker").distinct().count() or 1) // NAMES))
     own = F.pmod(F.xxhash64("ticker"), blocks)
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1))
-    dealt = rows.withColumn("own", own).withColumn("other", other).select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "ticker", "date", "x")
+    dealt = rows.withColumn("own", own).withColumn("other", other).select(
+        F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "ticker", "date", "x"
+    )
     kind = dict(panel.dtypes)["ticker"]
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -38,7 +38,10 @@ def expected_returns(betas: DataFrame, rates: DataFrame, premia: DataFrame, caps
     """
     betas = latest(betas) if constant else betas
     one = betas.groupBy("ticker").agg(F.count(F.lit(1)).alias("_n"))
-    value = F.struct(F.col("date").alias("beta_date"), F.col("beta_market").cast("double").alias("beta_market"), F.col("beta_score").cast("double").alias("beta_score"))
+    value = F.struct(
+        F.col("date").alias("beta_date"), F.col("beta_market").cast("double").alias("beta_market"),
+        F.col("beta_score").cast("double").alias("beta_score")
+    )
     since = F.when(F.col("_n") == 1, F.lit("0001-01-01").cast("date")).otherwise(F.col("date"))
     known = betas.join(one, "ticker").select("ticker", since.alias("date"), value.alias("_b"))
     asked = one.select("ticker").crossJoin(rates.select("date", (F.col("rate") / 1200).alias("rf")).crossJoin(F.broadcast(premia.select(F.col("market").alias("_lm"), F.col("score").alias("_le")))))  # one row of premia
@@ -52,14 +55,20 @@ def expected_returns(betas: DataFrame, rates: DataFrame, premia: DataFrame, caps
 def contributions(er: DataFrame, premia: DataFrame) -> DataFrame:
     """ticker, date, rf_part, market_part, score_part: twelve times the parts of the latest expected return."""
     last = latest(er).crossJoin(F.broadcast(premia.select("market", "score")))  # one row
-    return last.select("ticker", "date", (F.col("rf") * 12).alias("rf_part"), F.expr("beta_market_capped * market * 12").alias("market_part"), F.expr("beta_score_capped * score * 12").alias("score_part"))
+    return last.select(
+        "ticker", "date", (F.col("rf") * 12).alias("rf_part"), F.expr("beta_market_capped * market * 12").alias("market_part"),
+        F.expr("beta_score_capped * score * 12").alias("score_part")
+    )
 
 
 def ewma(returns: DataFrame, center: int = 36, least: int | None = None) -> DataFrame:
     """Exponentially weighted mean at each ticker's last date, span 2 * center - 1."""
     a = 2 / (2 * center)
     aged = returns.withColumn("age", F.expr("row_number() over (partition by ticker order by date desc) - 1"))
-    out = aged.groupBy("ticker").agg((F.sum(F.col("ret") * F.pow(F.lit(1 - a), F.col("age"))) / F.sum(F.pow(F.lit(1 - a), F.col("age")))).alias("ewma"), F.count(F.lit(1)).alias("n"))
+    out = aged.groupBy("ticker").agg(
+        (F.sum(F.col("ret") * F.pow(F.lit(1 - a), F.col("age"))) / F.sum(F.pow(F.lit(1 - a), F.col("age")))).alias("ewma"),
+        F.count(F.lit(1)).alias("n")
+    )
     return out.where(F.col("n") >= (center if least is None else least)).withColumn("ewma", F.col("ewma") * 12)
 
 
@@ -126,7 +135,10 @@ def bootstrap(returns: DataFrame, resamples: int = 1000, confidence: float = 0.9
 def out_of_sample(estimates: DataFrame, test: DataFrame) -> DataFrame:
     """method, n, mse, mae, rmse of annual estimates (method, ticker, value) against the realised means of test rows."""
     err = estimates.join(test.groupBy("ticker").agg((F.avg("ret") * 12).alias("real")), "ticker").withColumn("e", F.col("value") - F.col("real"))
-    return err.groupBy("method").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("e") * F.col("e")).alias("mse"), F.avg(F.abs("e")).alias("mae"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"))
+    return err.groupBy("method").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.col("e") * F.col("e")).alias("mse"), F.avg(F.abs("e")).alias("mae"),
+        F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse")
+    )
 
 
 def common_names(*tables: DataFrame) -> DataFrame:
@@ -140,7 +152,10 @@ def common_names(*tables: DataFrame) -> DataFrame:
 def check_units(df: DataFrame, column: str, most: float = 1.0) -> DataFrame:
     """df; reading it raises where a monthly value lies outside [-most, most]."""
     ok = F.col(column).isNull() | F.col(column).between(-most, most)
-    return df.withColumn(column, F.when(ok, F.col(column)).otherwise(F.raise_error(F.concat(F.lit(f"{column} is not a monthly decimal: "), F.col(column).cast("string"))).cast("double")))
+    return df.withColumn(
+        column,
+        F.when(ok, F.col(column)).otherwise(F.raise_error(F.concat(F.lit(f"{column} is not a monthly decimal: "), F.col(column).cast("string"))).cast("double"))
+    )
 
 
 def evaluate(weights: DataFrame, returns: DataFrame, rf: float, exposures: DataFrame | None = None, benchmark: DataFrame | None = None) -> DataFrame:
@@ -156,14 +171,23 @@ def evaluate(weights: DataFrame, returns: DataFrame, rf: float, exposures: DataF
     bench = spark.createDataFrame([], "ticker long, weight double") if benchmark is None else benchmark
     own = weights.join(exposures, "ticker", "left").join(bench.select("ticker", F.col("weight").alias("b")), "ticker", "left").na.fill(0.0, ["exposure", "b"])
     own = own.withColumn("names", F.expr("count(1) over (partition by portfolio)")).join(returns.groupBy("ticker").agg(F.avg("ret").alias("mu")), "ticker")
-    of_names = own.groupBy("portfolio").agg(F.expr("sum(weight * mu)").alias("exp_return"), F.expr("sum(weight * exposure)").alias("exposure"), F.expr("sum((weight - b) * mu)").alias("active_return"))
-    by_date = own.join(returns.select("ticker", "date", "ret"), "ticker").groupBy("portfolio", "date").agg(F.count("ret").alias("n"), F.first("names").alias("names"), F.expr("sum(weight * ret)").alias("r"), F.expr("sum((weight - b) * ret)").alias("d"))
+    of_names = own.groupBy("portfolio").agg(
+        F.expr("sum(weight * mu)").alias("exp_return"), F.expr("sum(weight * exposure)").alias("exposure"),
+        F.expr("sum((weight - b) * mu)").alias("active_return")
+    )
+    by_date = own.join(returns.select("ticker", "date", "ret"), "ticker").groupBy("portfolio", "date").agg(
+        F.count("ret").alias("n"), F.first("names").alias("names"), F.expr("sum(weight * ret)").alias("r"),
+        F.expr("sum((weight - b) * ret)").alias("d")
+    )
     risk = by_date.where("n = names").groupBy("portfolio").agg(F.var_samp("r").alias("variance"), F.stddev_samp("d").alias("tracking_error"))
     out = of_names.join(risk, "portfolio").withColumn("sharpe", F.expr(f"(exp_return - {rf!r}D) / nullif(sqrt(variance), 0)"))
     return out.select("portfolio", "exp_return", "variance", "sharpe", "exposure", "tracking_error", "active_return")
 
 
-def constraints(weights: DataFrame, sectors: DataFrame, name_cap: float, sector_cap: float, exposures: DataFrame | None = None, band: tuple[float, float] | None = None) -> DataFrame:
+def constraints(
+    weights: DataFrame, sectors: DataFrame, name_cap: float, sector_cap: float, exposures: DataFrame | None = None,
+    band: tuple[float, float] | None = None
+) -> DataFrame:
     """Per portfolio: sum of weights, negative weights, names and sectors above their caps, active names, exposure outside its band, and whether all hold.
 
     exposures has ticker, exposure, 0 where absent; without a band it is not looked at.
@@ -177,7 +201,9 @@ def constraints(weights: DataFrame, sectors: DataFrame, name_cap: float, sector_
         F.sum("weight").alias("total"), F.count_if(F.col("weight") < -1e-9).alias("negative"), F.count_if(F.col("weight") > name_cap + 1e-9).alias("names_over"),
         F.count_if(F.abs("weight") > 1e-6).alias("active"), (~total.between(low - 1e-9, high + 1e-9)).alias("outside_band"),
     )
-    return own.join(over, "portfolio").withColumn("feasible", F.expr("abs(total - 1) < 1e-6 and negative = 0 and names_over = 0 and sectors_over = 0 and not outside_band"))
+    return own.join(over, "portfolio").withColumn(
+        "feasible", F.expr("abs(total - 1) < 1e-6 and negative = 0 and names_over = 0 and sectors_over = 0 and not outside_band")
+    )
 
 
 def turnover(weights: DataFrame, previous: DataFrame) -> DataFrame:
@@ -201,11 +227,18 @@ def two_asset_grid(df: DataFrame, ret: str = "ret", market: str = "mkt", rf: str
 
     benefit is the weighted mean of both deviations less the mix's own, at that weight.
     """
-    stats = df.groupBy("ticker").agg(F.avg(ret).alias("m"), F.avg(market).alias("mm"), F.avg(rf).alias("f"), F.var_samp(ret).alias("v"), F.var_samp(market).alias("vm"), F.covar_samp(ret, market).alias("c"))
+    stats = df.groupBy("ticker").agg(
+        F.avg(ret).alias("m"), F.avg(market).alias("mm"), F.avg(rf).alias("f"), F.var_samp(ret).alias("v"), F.var_samp(market).alias("vm"),
+        F.covar_samp(ret, market).alias("c")
+    )
     risk = "sqrt(w * w * v + (1 - w) * (1 - w) * vm + 2 * w * (1 - w) * c)"
     grid = stats.withColumn("w", F.explode(F.expr(f"transform(sequence(0, {points - 1}), x -> x / {float(points - 1)!r}D)"))).withColumn("risk", F.expr(risk))
-    grid = grid.withColumn("sh", F.expr("(w * m + (1 - w) * mm - f) / nullif(risk, 0)")).withColumn("benefit", F.expr("w * sqrt(v) + (1 - w) * sqrt(vm) - risk"))
-    return grid.groupBy("ticker").agg(F.max_by(F.struct("w", "benefit"), F.struct("sh", "w")).alias("best"), F.max("sh").alias("sharpe")).select("ticker", F.col("best.w").alias("weight"), "sharpe", "best.benefit")
+    grid = grid.withColumn(
+        "sh", F.expr("(w * m + (1 - w) * mm - f) / nullif(risk, 0)")
+    ).withColumn("benefit", F.expr("w * sqrt(v) + (1 - w) * sqrt(vm) - risk"))
+    return grid.groupBy("ticker").agg(
+        F.max_by(F.struct("w", "benefit"), F.struct("sh", "w")).alias("best"), F.max("sh").alias("sharpe")
+    ).select("ticker", F.col("best.w").alias("weight"), "sharpe", "best.benefit")
 
 
 def concentration(weights: DataFrame) -> DataFrame:
@@ -230,7 +263,10 @@ def best_in_bounds(stats: DataFrame, scenarios: list[tuple[str, float | None, fl
     bounds = stats.sparkSession.createDataFrame(scenarios, "scenario string, low double, high double")
     rows = stats.crossJoin(F.broadcast(bounds)).where("exposure >= coalesce(low, exposure) and exposure <= coalesce(high, exposure)")
     rows = rows.withColumn("utility", F.col("exp_return") - gamma / 2 * F.col("variance"))
-    return rows.groupBy("scenario").agg(F.max_by("portfolio", F.struct("utility", "portfolio")).alias("portfolio"), F.max("utility").alias("utility"), F.count(F.lit(1)).alias("candidates"))
+    return rows.groupBy("scenario").agg(
+        F.max_by("portfolio", F.struct("utility", "portfolio")).alias("portfolio"), F.max("utility").alias("utility"),
+        F.count(F.lit(1)).alias("candidates")
+    )
 
 
 def expectation_gap(required: DataFrame) -> DataFrame:
@@ -243,4 +279,6 @@ def expectation_gap(required: DataFrame) -> DataFrame:
 def implied_growth(required: DataFrame, spreads: dict[str, float]) -> DataFrame:
     """Growth that each scenario's spread below the required return implies, one row a ticker and scenario."""
     cases = F.explode(F.array(*(F.struct(F.lit(k).alias("scenario"), F.lit(v).alias("spread")) for k, v in spreads.items()))).alias("c")
-    return required.select("ticker", "required", cases).select("ticker", F.col("c.scenario").alias("scenario"), (F.col("required") - F.col("c.spread")).alias("growth"))
+    return required.select("ticker", "required", cases).select(
+        "ticker", F.col("c.scenario").alias("scenario"), (F.col("required") - F.col("c.spread")).alias("growth")
+    )

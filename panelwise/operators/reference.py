@@ -23,7 +23,9 @@ def expanded(spans: DataFrame, dates: DataFrame) -> DataFrame:
     """ticker, date of every recorded date inside an interval: months are the join key, so the range test runs within a month."""
     months = F.explode(F.sequence(F.trunc("start_date", "MM"), F.trunc("end_date", "MM"), F.expr("interval 1 month"))).alias("_m")
     keyed = spans.select("ticker", "start_date", "end_date", months)
-    return keyed.join(dates.select("date", F.trunc("date", "MM").alias("_m")).distinct(), "_m").where("date between start_date and end_date").select("ticker", "date")
+    return keyed.join(
+        dates.select("date", F.trunc("date", "MM").alias("_m")).distinct(), "_m"
+    ).where("date between start_date and end_date").select("ticker", "date")
 
 
 def members_on(spans: DataFrame, day: str) -> DataFrame:
@@ -46,7 +48,9 @@ def while_member(panel: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def overlaps(spans: DataFrame, start: str, end: str) -> DataFrame:
-    cut = spans.withColumn("start_date", F.greatest("start_date", F.lit(start).cast("date"))).withColumn("end_date", F.least("end_date", F.lit(end).cast("date")))
+    cut = spans.withColumn(
+        "start_date", F.greatest("start_date", F.lit(start).cast("date"))
+    ).withColumn("end_date", F.least("end_date", F.lit(end).cast("date")))
     return cut.where("start_date <= end_date")
 
 
@@ -60,7 +64,10 @@ def closed_successors(mapping: DataFrame, hops: int = 10) -> DataFrame:
     for _ in range(hops - 1):
         joined = out.join(step, out["final"] == step["_at"], "left")
         moved = F.coalesce("_known", F.lit(False))
-        out = joined.select("old", F.when(moved, F.col("_to")).otherwise(F.col("final")).alias("final"), F.when(moved, F.concat("chain", F.array("_to"))).otherwise(F.col("chain")).alias("chain"))
+        out = joined.select(
+            "old", F.when(moved, F.col("_to")).otherwise(F.col("final")).alias("final"),
+            F.when(moved, F.concat("chain", F.array("_to"))).otherwise(F.col("chain")).alias("chain")
+        )
     # A repeated key in a chain is a cycle.
     return out.where(F.when(F.size(F.array_distinct(F.filter("chain", lambda x: x.isNotNull()))) == F.size(F.filter("chain", lambda x: x.isNotNull())), True).otherwise(F.raise_error(F.lit("successor cycle")).isNull()))
 
@@ -69,7 +76,9 @@ def resolved(df: DataFrame, closed: DataFrame, key: str) -> DataFrame:
     """df with resolved and delisted: a key without a successor resolves to itself."""
     known = closed.select(F.col("old").alias("_old"), "final", F.lit(True).alias("_known"))
     joined = df.join(known, df[key] == known["_old"], "left")
-    return joined.withColumn("resolved", F.when(F.col("_known"), F.col("final")).otherwise(F.col(key))).withColumn("delisted", F.coalesce("_known", F.lit(False)) & F.col("final").isNull()).drop("_old", "final", "_known")
+    return joined.withColumn(
+        "resolved", F.when(F.col("_known"), F.col("final")).otherwise(F.col(key))
+    ).withColumn("delisted", F.coalesce("_known", F.lit(False)) & F.col("final").isNull()).drop("_old", "final", "_known")
 
 
 def overridden(mapping: DataFrame, extra: DataFrame) -> DataFrame:
@@ -105,19 +114,34 @@ def gap_check(required: DataFrame, panel: DataFrame, freq: str = "monthly") -> D
     inside = panel.select("ticker", "date").join(required, "ticker").where("date between start_date and end_date")
     found = inside.groupBy("ticker", "start_date", "end_date").agg(F.min("date").alias("actual_start"), F.max("date").alias("actual_end"))
     df = required.join(found, ["ticker", "start_date", "end_date"], "left").withColumn("want", aligned_start(F.col("start_date"), F.lit(freq)))
-    df = df.withColumn("missing_start_days", F.greatest(F.datediff("actual_start", "want"), F.lit(0))).withColumn("missing_end_days", F.greatest(F.datediff("end_date", "actual_end"), F.lit(0)))
+    df = df.withColumn(
+        "missing_start_days", F.greatest(F.datediff("actual_start", "want"), F.lit(0))
+    ).withColumn("missing_end_days", F.greatest(F.datediff("end_date", "actual_end"), F.lit(0)))
     slack = tolerance(F.lit(freq))
-    status = F.when(F.col("actual_start").isNull(), "missing").when((F.col("missing_start_days") <= slack) & (F.col("missing_end_days") <= slack), "complete").otherwise("partial")
+    status = F.when(F.col("actual_start").isNull(), "missing").when(
+        (F.col("missing_start_days") <= slack) & (F.col("missing_end_days") <= slack), "complete"
+    ).otherwise("partial")
     df = df.withColumn("status", status)
     fetch = F.col("status") != "complete"
-    return df.withColumn("fetch_start", F.when(fetch, F.when((F.col("missing_start_days") > slack) | F.col("actual_start").isNull(), F.col("start_date")).otherwise(F.date_add("actual_end", 1)))).withColumn("fetch_end", F.when(fetch, F.when((F.col("missing_end_days") > slack) | F.col("actual_start").isNull(), F.col("end_date")).otherwise(F.date_sub("actual_start", 1)))).drop("want")
+    return df.withColumn(
+        "fetch_start",
+        F.when(fetch, F.when((F.col("missing_start_days") > slack) | F.col("actual_start").isNull(), F.col("start_date")).otherwise(F.date_add("actual_end", 1)))
+    ).withColumn("fetch_end", F.when(fetch, F.when((F.col("missing_end_days") > slack) | F.col("actual_start").isNull(), F.col("end_date")).otherwise(F.date_sub("actual_start", 1)))).drop("want")
 
 
 def coverage(checked: DataFrame, slack: int = 3) -> DataFrame:
     """One row a ticker: complete or missing if all its periods are, else partial; missing days beyond the tolerance."""
-    beyond = F.when(F.col("actual_start").isNull(), F.datediff("end_date", "start_date") + 1).otherwise(F.when(F.col("missing_start_days") > slack, F.col("missing_start_days")).otherwise(0) + F.when(F.col("missing_end_days") > slack, F.col("missing_end_days")).otherwise(0))
-    out = checked.groupBy("ticker").agg(F.count(F.lit(1)).alias("periods"), F.count_if(F.col("status") == "complete").alias("complete"), F.count_if(F.col("status") == "missing").alias("missing"), F.sum(beyond).cast("long").alias("total_missing_days"))
-    return out.withColumn("status", F.when(F.col("complete") == F.col("periods"), "complete").when(F.col("missing") == F.col("periods"), "missing").otherwise("partial"))
+    beyond = F.when(F.col("actual_start").isNull(), F.datediff("end_date", "start_date") + 1).otherwise(F.when(
+        F.col("missing_start_days") > slack, F.col("missing_start_days")
+    ).otherwise(0) + F.when(F.col("missing_end_days") > slack, F.col("missing_end_days")).otherwise(0))
+    out = checked.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("periods"), F.count_if(F.col("status") == "complete").alias("complete"),
+        F.count_if(F.col("status") == "missing").alias("missing"), F.sum(beyond).cast("long").alias("total_missing_days")
+    )
+    return out.withColumn(
+        "status",
+        F.when(F.col("complete") == F.col("periods"), "complete").when(F.col("missing") == F.col("periods"), "missing").otherwise("partial")
+    )
 
 
 def frequency_coverage(required: DataFrame, panels: dict[str, DataFrame]) -> DataFrame:
@@ -133,11 +157,18 @@ def month_continuity(panel: DataFrame, start: str | None = None) -> DataFrame:
     """Expected and present months between each ticker's first and last, gap percent and the first ten missing months."""
     months = panel.select("ticker", F.trunc("date", "MM").alias("month")).distinct()
     months = months if start is None else months.where(F.col("month") >= F.trunc(F.lit(start).cast("date"), "MM"))
-    by = months.groupBy("ticker").agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"), F.count(F.lit(1)).alias("present"), F.collect_set("month").alias("have"))
+    by = months.groupBy("ticker").agg(
+        F.min("month").alias("first_month"), F.max("month").alias("last_month"), F.count(F.lit(1)).alias("present"),
+        F.collect_set("month").alias("have")
+    )
     by = by.withColumn("lack", F.array_sort(F.array_except(F.sequence("first_month", "last_month", F.expr("interval 1 month")), "have")))
     by = by.withColumn("expected", (F.months_between("last_month", "first_month") + 1).cast("long")).withColumn("missing", F.size("lack").cast("long"))
     sample = F.array_join(F.transform(F.slice("lack", 1, 10), lambda d: F.date_format(d, "yyyy-MM")), ",")
-    return by.select("ticker", "first_month", "last_month", "expected", "present", "missing", (F.col("missing") / F.col("expected") * 100).alias("gap_percent"), (F.col("missing") == 0).alias("continuous"), sample.alias("sample_gaps"))
+    return by.select(
+        "ticker", "first_month", "last_month", "expected", "present", "missing",
+        (F.col("missing") / F.col("expected") * 100).alias("gap_percent"), (F.col("missing") == 0).alias("continuous"),
+        sample.alias("sample_gaps")
+    )
 
 
 def period_bars(events: DataFrame, key: str, value: str, period: str = "week") -> DataFrame:
@@ -145,5 +176,8 @@ def period_bars(events: DataFrame, key: str, value: str, period: str = "week") -
     end = F.last_day("ts") if period == "month" else F.next_day(F.date_sub(F.to_date("ts"), 1), "FRI")
     bars = events.select(key, end.alias("date"), "ts", "event_id", value).groupBy(key, "date").agg(F.max_by(value, F.struct("ts", "event_id")).alias(value))
     ends = bars.groupBy(key).agg(F.min("date").alias("a"), F.max("date").alias("b"))
-    spine = ends.select(key, F.explode(F.expr("sequence(a, b, interval 7 day)" if period == "week" else "transform(sequence(trunc(a, 'MM'), trunc(b, 'MM'), interval 1 month), d -> last_day(d))")).alias("date"))
+    spine = ends.select(
+        key,
+        F.explode(F.expr("sequence(a, b, interval 7 day)" if period == "week" else "transform(sequence(trunc(a, 'MM'), trunc(b, 'MM'), interval 1 month), d -> last_day(d))")).alias("date")
+    )
     return spine.join(bars, [key, "date"], "left").withColumn(value, F.expr(f"last_value({value}) ignore nulls over (partition by {key} order by date)"))

@@ -20,7 +20,9 @@ def rolling_sums(df: DataFrame, sums: dict[str, str], window: int, by: str = "ti
     Expressions should be centred, as what lies before the window cancels.
     """
     over = f"over (partition by {by} order by date"
-    running = df.withColumns({"_at": F.expr(f"row_number() {over})")} | {f"_run_{c}": F.expr(f"sum({e}) {over} rows between unbounded preceding and current row)") for c, e in sums.items()})
+    running = df.withColumns({"_at": F.expr(f"row_number() {over})")} | {
+        f"_run_{c}": F.expr(f"sum({e}) {over} rows between unbounded preceding and current row)") for c, e in sums.items()
+    })
     cut = {c: F.expr(f"_run_{c} - coalesce(lag(_run_{c}, {window}) {over}), 0)") for c in sums}
     return running.withColumns({"n": F.least("_at", F.lit(window)).cast("long")} | cut).drop("_at", *(f"_run_{c}" for c in sums))
 
@@ -41,7 +43,10 @@ def rolling_ols(df: DataFrame, y: str, x: str, window: int = 60, least: int | No
     rows = rolling_sums(rows, {"_sy": "_y", "_sx": "_x", "_qy": "_y * _y", "_qx": "_x * _x", "_p": "_x * _y"}, window)
     rows = rows.withColumns({"_sxx": F.expr("_qx - _sx * _sx / n"), "_syy": F.expr("greatest(_qy - _sy * _sy / n, 0)"), "_sxy": F.expr("_p - _sx * _sy / n")})
     rows = rows.where(f"n >= {window if least is None else least} and _sxx > 1e-12 * _qx").withColumn("beta", F.expr("_sxy / _sxx"))
-    rows = rows.withColumns({"_mx": F.expr("m__x + _sx / n"), "_a": F.expr("m__y + _sy / n - beta * (m__x + _sx / n)"), "correlation": F.expr("_sxy / nullif(sqrt(_sxx * _syy), 0)")})
+    rows = rows.withColumns({
+        "_mx": F.expr("m__x + _sx / n"), "_a": F.expr("m__y + _sy / n - beta * (m__x + _sx / n)"),
+        "correlation": F.expr("_sxy / nullif(sqrt(_sxx * _syy), 0)")
+    })
     rows = rows.withColumn("_s2", F.expr("greatest(_syy - beta * beta * _sxx, 0) / (n - 2)"))
     rows = rows.withColumn("std_error_beta", F.expr("sqrt(_s2 / _sxx)")).withColumn("_sea", F.expr("sqrt(_s2 * (1.0D / n + _mx * _mx / _sxx))"))
     return rows.select(
@@ -59,7 +64,9 @@ def beta_stability(betas: DataFrame) -> DataFrame:
         F.expr("regr_slope(beta, i)").alias("trend"), F.expr("avg(if(back <= 12, beta, null)) - avg(if(back > 12, beta, null))").alias("recent_change"),
         F.expr("count_if(abs(t_stat_beta) > 1.96) / count(1)").alias("significant"), F.count(F.lit(1)).alias("n"),
     )
-    band = F.when(F.col("variation") < 0.1, "very stable").when(F.col("variation") < 0.2, "stable").when(F.col("variation") < 0.3, "moderate").when(F.col("variation").isNotNull(), "unstable")
+    band = F.when(F.col("variation") < 0.1, "very stable").when(F.col("variation") < 0.2, "stable").when(F.col("variation") < 0.3, "moderate").when(
+        F.col("variation").isNotNull(), "unstable"
+    )
     return out.where("n > 12").withColumn("band", band)
 
 
@@ -75,10 +82,14 @@ def change_beta_outcomes(universe: DataFrame, excess: DataFrame, scores: DataFra
 
     outcome is no price, no score, insufficient (fewer than `least` common rows) or success.
     """
-    change = scores.withColumn("chg", F.expr(f"{column} / nullif(lag({column}) over (partition by ticker order by date), 0) - 1")).where("chg is not null").select("ticker", "date", "chg")
+    change = scores.withColumn(
+        "chg", F.expr(f"{column} / nullif(lag({column}) over (partition by ticker order by date), 0) - 1")
+    ).where("chg is not null").select("ticker", "date", "chg")
     fit = static_ols(excess.join(change, ["ticker", "date"]), "excess", "chg", least)
     has = lambda df, name: df.select("ticker").distinct().withColumn(name, F.lit(True))
-    rows = universe.join(has(excess, "priced"), "ticker", "left").join(has(scores, "scored"), "ticker", "left").join(fit.select("ticker", "n", "beta"), "ticker", "left").na.fill(0, ["n"])
+    rows = universe.join(has(excess, "priced"), "ticker", "left").join(has(scores, "scored"), "ticker", "left").join(
+        fit.select("ticker", "n", "beta"), "ticker", "left"
+    ).na.fill(0, ["n"])
     outcome = F.when(F.col("priced").isNull(), "no price").when(F.col("scored").isNull(), "no score").when(F.col("n") < least, "insufficient").otherwise("success")
     return rows.select("ticker", outcome.alias("outcome"), "n", "beta")
 
@@ -95,13 +106,19 @@ def two_factor(df: DataFrame, y: str, x1: str, x2: str, window: int | None = Non
         rows = _centred(df.select("ticker", "date", y, x1, x2), dict(zip(names.values(), (y, x1, x2), strict=True)))
         pairs = {f"q{i}{j}": f"{names[i]} * {names[j]}" for i, j in ("yy", "11", "22", "12", "1y", "2y")}
         out = rolling_sums(rows, {f"s{i}": c for i, c in names.items()} | pairs, window)
-        out = out.withColumns({f"{v}{k}": F.expr(f"q{i}{j} / n - s{i} * s{j} / n / n") for v, k, i, j in (("v", "y", "y", "y"), ("v", "1", "1", "1"), ("v", "2", "2", "2"), ("c", "12", "1", "2"), ("c", "1y", "1", "y"), ("c", "2y", "2", "y"))})
+        out = out.withColumns({
+            f"{v}{k}": F.expr(f"q{i}{j} / n - s{i} * s{j} / n / n") for v, k, i,
+            j in (("v", "y", "y", "y"), ("v", "1", "1", "1"), ("v", "2", "2", "2"), ("c", "12", "1", "2"), ("c", "1y", "1", "y"), ("c", "2y", "2", "y"))
+        })
         out = out.withColumns({f"m{i}": F.expr(f"m_{c} + s{i} / n") for i, c in names.items()})
     out = out.where(f"n >= {least}").withColumn("d", F.expr("nullif(v1 * v2 - c12 * c12, 0)"))
     out = out.withColumn("beta_1", F.expr("(c1y * v2 - c2y * c12) / d")).withColumn("beta_2", F.expr("(c2y * v1 - c1y * c12) / d"))
     out = out.withColumn("alpha", F.expr("my - beta_1 * m1 - beta_2 * m2")).withColumn("r_squared", F.expr("(beta_1 * c1y + beta_2 * c2y) / nullif(vy, 0)"))
     keys = ["ticker"] if window is None else ["ticker", "date"]
-    return out.select(*keys, F.col("n").cast("long").alias("n"), "alpha", "beta_1", "beta_2", "r_squared", F.expr("1 - (1 - r_squared) * (n - 1) / (n - 3)").alias("adj_r_squared"))
+    return out.select(
+        *keys, F.col("n").cast("long").alias("n"), "alpha", "beta_1", "beta_2", "r_squared",
+        F.expr("1 - (1 - r_squared) * (n - 1) / (n - 3)").alias("adj_r_squared")
+    )
 
 
 def ols_windows(y: np.ndarray, x: np.ndarray, lags: int | None = 12) -> dict[str, np.ndarray]:
@@ -152,10 +169,15 @@ def _terms(fit: dict[str, np.ndarray], n: int, names: list[str], lags: int | Non
         t = np.where(fit["error"] > 0, fit["coef"] / fit["error"], np.nan).ravel()
     free = max(n - k, 1)
     plain = lags is None
-    p = incomplete_beta(free / 2, 0.5, free / (free + np.nan_to_num(t) ** 2)) if plain else np.vectorize(math.erfc, otypes=[float])(np.abs(np.nan_to_num(t)) / math.sqrt(2))
+    p = incomplete_beta(
+        free / 2, 0.5, free / (free + np.nan_to_num(t) ** 2)
+    ) if plain else np.vectorize(math.erfc, otypes=[float])(np.abs(np.nan_to_num(t)) / math.sqrt(2))
     f_p = incomplete_beta(free / 2, (k - 1) / 2, free / (free + (k - 1) * np.maximum(np.nan_to_num(fit["f"]), 0)))
     each = {c: np.repeat(fit[c], k) for c in ("r_squared", "adj_r_squared", "f")} | {"f_p": np.repeat(f_p, k)}
-    return pd.DataFrame({"term": names * windows, "coef": fit["coef"].ravel(), "std_error": fit["error"].ravel(), "t": t, "p": np.where(np.isnan(t), np.nan, p), "n": n} | each)
+    return pd.DataFrame({
+        "term": names * windows, "coef": fit["coef"].ravel(), "std_error": fit["error"].ravel(), "t": t,
+        "p": np.where(np.isnan(t), np.nan, p), "n": n
+    } | each)
 
 
 def regress_hac(df: DataFrame, y: str, factors: list[str], lags: int | None = 12, least: int = 24) -> DataFrame:
@@ -174,7 +196,9 @@ def regress_hac(df: DataFrame, y: str, factors: list[str], lags: int | None = 12
         return out.assign(ticker=pdf["ticker"].iloc[0])
 
     kind = dict(df.dtypes)["ticker"]
-    return _no_nan(df.select("ticker", "date", y, *factors).groupBy("ticker").applyInPandas(_ordered(one, f"ticker {kind}, term string, {_TERMS}"), f"ticker {kind}, term string, {_TERMS}")).withColumn("stars", stars(F.col("p")))
+    return _no_nan(df.select("ticker", "date", y, *factors).groupBy("ticker").applyInPandas(
+        _ordered(one, f"ticker {kind}, term string, {_TERMS}"), f"ticker {kind}, term string, {_TERMS}"
+    )).withColumn("stars", stars(F.col("p")))
 
 
 def rolling_hac(df: DataFrame, y: str, factors: list[str], window: int = 36, lags: int | None = 12, least: int | None = None) -> DataFrame:
@@ -202,7 +226,10 @@ def batch_table(fit: DataFrame) -> DataFrame:
     names = {"alpha": "alpha", "mkt_excess": "beta_market", "factor": "beta_score"}
     scaled = fit.withColumn("coef", F.when(F.col("term") == "alpha", F.col("coef") * 12).otherwise(F.col("coef")))
     pick = lambda column, term: F.max(F.when(F.col("term") == term, F.col(column)))
-    wide = scaled.groupBy("ticker").agg(*(pick("coef", t).alias(n) for t, n in names.items()), *(pick("stars", t).alias(f"{n}_stars") for t, n in names.items()), F.max("r_squared").alias("r_squared"), F.max("n").alias("n"))
+    wide = scaled.groupBy("ticker").agg(
+        *(pick("coef", t).alias(n) for t, n in names.items()), *(pick("stars", t).alias(f"{n}_stars") for t, n in names.items()),
+        F.max("r_squared").alias("r_squared"), F.max("n").alias("n")
+    )
     means = wide.agg(*(F.avg(n).alias(n) for n in names.values()), F.avg("r_squared").alias("r_squared"), F.sum("n").alias("n"))
     return wide.unionByName(means, allowMissingColumns=True)
 
@@ -232,7 +259,10 @@ def residual_diagnostics(df: DataFrame, y: str, x1: str, x2: str) -> DataFrame:
     rest = df.where(f"{y} is not null and {x1} is not null and {x2} is not null").join(fit, "ticker").withColumn("e", F.expr(f"{y} - alpha - beta_1 * {x1} - beta_2 * {x2}"))
     rest = rest.withColumn("before", F.expr("lag(e) over (partition by ticker order by date)")).withColumn("e2", F.col("e") * F.col("e"))
     bp = two_factor(rest.select("ticker", "date", "e2", x1, x2), "e2", x1, x2).select("ticker", (F.col("n") * F.col("r_squared")).alias("breusch_pagan"))
-    out = rest.groupBy("ticker").agg(F.expr("sum((e - before) * (e - before)) / nullif(sum(e2), 0)").alias("durbin_watson"), F.count(F.lit(1)).alias("n"), F.skewness("e").alias("s"), F.kurtosis("e").alias("k"))
+    out = rest.groupBy("ticker").agg(
+        F.expr("sum((e - before) * (e - before)) / nullif(sum(e2), 0)").alias("durbin_watson"), F.count(F.lit(1)).alias("n"),
+        F.skewness("e").alias("s"), F.kurtosis("e").alias("k")
+    )
     out = out.withColumn("jarque_bera", F.expr("n / 6.0D * (s * s + k * k / 4)")).withColumn("jb_p", F.expr("exp(-jarque_bera / 2)"))
     out = out.join(bp, "ticker").withColumn("bp_p", F.expr("exp(-breusch_pagan / 2)"))
     return out.select("ticker", "durbin_watson", (~F.col("durbin_watson").between(1.5, 2.5)).alias("dw_flag"), "jarque_bera", "jb_p", "breusch_pagan", "bp_p")
@@ -246,7 +276,9 @@ def james_stein(panel: DataFrame, by: str, most: int = 500) -> DataFrame:
     """
     dates = panel.groupBy(by).agg(F.count_distinct("ticker").alias("_all"))
     full = panel.join(dates, by).withColumn("_here", F.expr(f"count(1) over (partition by {by}, date)")).where("_here = _all")
-    a, b = full.select(by, "date", F.col("ticker").alias("i"), F.col("ret").alias("x")), full.select(by, "date", F.col("ticker").alias("j"), F.col("ret").alias("y"))
+    a, b = full.select(
+        by, "date", F.col("ticker").alias("i"), F.col("ret").alias("x")
+    ), full.select(by, "date", F.col("ticker").alias("j"), F.col("ret").alias("y"))
     cov = a.join(b, [by, "date"]).groupBy(by, "i", "j").agg(F.covar_samp("x", "y").alias("c"), F.avg("x").alias("m"), F.count(F.lit(1)).alias("t"))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -262,7 +294,10 @@ def james_stein(panel: DataFrame, by: str, most: int = 500) -> DataFrame:
         except np.linalg.LinAlgError:
             share = 0.5
         share = max(share, 0.0)
-        return pd.DataFrame({by: pdf[by].iloc[0], "ticker": names, "mean": mean * 12, "shrunk": ((1 - share) * mean + share * mean.mean()) * 12, "intensity": share})
+        return pd.DataFrame({
+            by: pdf[by].iloc[0], "ticker": names, "mean": mean * 12, "shrunk": ((1 - share) * mean + share * mean.mean()) * 12,
+            "intensity": share
+        })
 
     kind = dict(panel.dtypes)[by]
     return cov.groupBy(by).applyInPandas(solve, f"{by} {kind}, ticker long, mean double, shrunk double, intensity double")
@@ -298,4 +333,6 @@ def two_way_effects(panel: DataFrame, y: str, xs: list[str], entity: str = "tick
     free = found.n - found.entities - np.linalg.matrix_rank(gram[:-1, :-1])
     variance = max(gram[-1, -1] - coef @ gram[:-1, -1], 0.0) / free if free > 0 else float("nan")
     errors = np.sqrt(variance * np.diag(inverse))
-    return panel.sparkSession.createDataFrame([(x, float(coef[i]), None if np.isnan(errors[i]) else float(errors[i]), found.n) for i, x in enumerate(xs)], schema)
+    return panel.sparkSession.createDataFrame(
+        [(x, float(coef[i]), None if np.isnan(errors[i]) else float(errors[i]), found.n) for i, x in enumerate(xs)], schema
+    )

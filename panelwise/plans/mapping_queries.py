@@ -51,21 +51,32 @@ def a8_key_map(p: Panels):
     return mp.first_name(_pairs(p))
 
 
-@query(f"WITH {_FUNDAMENTALS} SELECT ticker, data_code, coalesce(date, quarter) AS at, value FROM fu WHERE statement = 'R' AND coalesce(date, quarter) BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'", False)
+@query(
+    f"WITH {_FUNDAMENTALS} SELECT ticker, data_code, coalesce(date, quarter) AS at, value FROM fu WHERE statement = 'R' AND coalesce(date, quarter) BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'",
+    False
+)
 def a10_fundamentals_scan(p: Panels):
     rows = _fundamentals(p).where("statement = 'R'").withColumn("at", F.coalesce("date", "quarter"))
     return src.date_range(rows, "1995-01-01", "1996-12-31", "at").select("ticker", "data_code", "at", "value")
 
 
-@query(f"WITH {_FUNDAMENTALS} SELECT ticker, statement, year(coalesce(date, quarter)) AS year, coalesce(date, quarter) AS at, data_code, round(max(struct_pack(s := seq, v := value)).v, 2) AS value FROM fu GROUP BY ALL", False)
+@query(
+    f"WITH {_FUNDAMENTALS} SELECT ticker, statement, year(coalesce(date, quarter)) AS year, coalesce(date, quarter) AS at, data_code, round(max(struct_pack(s := seq, v := value)).v, 2) AS value FROM fu GROUP BY ALL",
+    False
+)
 def a17_fundamentals_upsert(p: Panels):
-    rows = _fundamentals(p).withColumn("at", F.coalesce("date", "quarter")).withColumn("year", F.year("at")).select("ticker", "statement", "year", "at", "data_code", "value", "seq")
+    rows = _fundamentals(p).withColumn("at", F.coalesce("date", "quarter")).withColumn("year", F.year("at")).select(
+        "ticker", "statement", "year", "at", "data_code", "value", "seq"
+    )
     # The largest value of an order breaks the tie of its lines. Two loads, which overlap in the middle year.
     once = rows.groupBy("ticker", "statement", "year", "at", "data_code", "seq").agg(F.max("value").alias("value"))
     work = ingest.work_folder(p.spark)
     for i, part in enumerate(("seq <= 30000 or year < 1997", "seq > 30000 and year >= 1997")):
         src.upsert(p.spark, f"{work}/table", once.where(part), ["ticker", "statement", "at", "data_code"], ["statement", "year"], f"{work}/merge{i}")
-    return rounded(p.spark.read.parquet(f"{work}/table").withColumn("year", F.col("year").cast("long")), "ticker", "statement", "year", "at", "data_code", "value:2")
+    return rounded(
+        p.spark.read.parquet(f"{work}/table").withColumn("year", F.col("year").cast("long")), "ticker", "statement", "year", "at",
+        "data_code", "value:2"
+    )
 
 
 @query("""SELECT ticker, date, round(arg_max(ESG, seq), 6) AS ESG FROM (SELECT ticker, date, ESG, 0 AS seq FROM sc WHERE date <= DATE '1999-06-30'
@@ -109,7 +120,10 @@ def a4_raw_scores(p: Panels):
     text = [F.when((F.col(c) >= 45) | F.lit(c != "ESG"), F.col(c).cast("string")).otherwise(".").alias(n) for n, c in names.items()]
     src.save_report(p.scores.select(F.col("ticker").alias("gvkey"), month.alias("YearMonth"), *text), path)
     df = src.read_raw_scores(p.spark, path)
-    return rounded(df.select(F.col("gvkey").alias("ticker"), "date", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"), "ESG", "E"), "ticker", "date", "year", "month", "ESG:6", "E:6")
+    return rounded(
+        df.select(F.col("gvkey").alias("ticker"), "date", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"), "ESG", "E"),
+        "ticker", "date", "year", "month", "ESG:6", "E:6"
+    )
 
 
 @query("SELECT DISTINCT CAST(ticker AS VARCHAR) AS ticker FROM md")
@@ -146,7 +160,10 @@ JOIN (SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker ORDER
 WHERE ESG > 70) s ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY 1) USING (ticker)""")
 def f12_outcomes(p: Panels):
     universe = p.table("supplier").select(F.col("s_suppkey").alias("ticker"))
-    return rounded(rg.change_beta_outcomes(universe, p.excess, p.scores.where("ESG > 70").select("ticker", "date", "ESG"), "ESG"), "ticker", "outcome", "n", "beta:5")
+    return rounded(
+        rg.change_beta_outcomes(universe, p.excess, p.scores.where("ESG > 70").select("ticker", "date", "ESG"), "ESG"), "ticker", "outcome",
+        "n", "beta:5"
+    )
 
 
 @query(_FIVE + """, w AS (SELECT e.ticker, e.date, count(*) OVER v AS n, regr_slope(e.excess, f.factor) OVER v AS beta, regr_intercept(e.excess,
@@ -162,7 +179,10 @@ def f9_rolling_factor(p: Panels):
 def f29_batch_table(p: Panels):
     """A row a ticker, coefficients as text with stars, and one of null ticker with the means."""
     fit = rg.regress_hac(_two_frame(p), "excess", ["mkt_excess", "factor"])
-    return rounded(rg.batch_table(fit), "ticker", "alpha:6", "alpha_stars", "beta_market:6", "beta_market_stars", "beta_score:6", "beta_score_stars", "r_squared:6", "n")
+    return rounded(
+        rg.batch_table(fit), "ticker", "alpha:6", "alpha_stars", "beta_market:6", "beta_market_stars", "beta_score:6", "beta_score_stars",
+        "r_squared:6", "n"
+    )
 
 
 @query(_PAIRS + """, fn AS (SELECT key, arg_min(ticker, first_row) AS ticker FROM pr
@@ -179,7 +199,10 @@ def a25_batch_export(p: Panels):
     asked = p.table("supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("ticker"))
     rows = mp.in_period(mp.fetched(asked, p.scores), start_year=1995, end_year=1997)
     by = rows.groupBy("ticker", F.year("date").cast("long").alias("year"))
-    return rounded(by.agg(F.count(F.lit(1)).alias("records"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.avg("ESG").alias("mean")), "ticker", "year", "records", "first_date", "last_date", "mean:6")
+    return rounded(
+        by.agg(F.count(F.lit(1)).alias("records"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.avg("ESG").alias("mean")),
+        "ticker", "year", "records", "first_date", "last_date", "mean:6"
+    )
 
 
 @query(_PAIRS + """SELECT 'Cust' || n AS ticker, (SELECT arg_min(key, first_row) FROM pr WHERE ticker = 'CUST' || n) AS key
@@ -217,7 +240,9 @@ JOIN (SELECT date, avg(ESG) AS score FROM sc WHERE ESG > 60 GROUP BY date HAVING
 def c14_complete_cases(p: Panels):
     series = p.market_returns.select("date", F.lit("mkt").alias("signal"), F.col("mkt").alias("factor"))
     series = series.unionByName(p.rates.select("date", F.lit("rate").alias("signal"), F.col("rate").alias("factor")))
-    series = series.unionByName(p.scores.where("ESG > 60").groupBy("date").agg(F.lit("score").alias("signal"), F.avg("ESG").alias("factor")).where("factor > 66"))
+    series = series.unionByName(p.scores.where("ESG > 60").groupBy("date").agg(
+        F.lit("score").alias("signal"), F.avg("ESG").alias("factor")
+    ).where("factor > 66"))
     wide = op.wide_factors(series, ["mkt", "rate", "score"])
     return wide.select("date", *(F.round(f"{c}_factor", 6).alias(c) for c in ("mkt", "rate", "score")))
 
@@ -250,7 +275,10 @@ FROM exc GROUP BY ticker) """
 
 
 def _required(p: Panels):
-    return p.excess.groupBy("ticker").agg(F.expr("power(1 + avg(rf) + regr_slope(excess, mkt_excess) * 0.005D, 12) - 1").alias("required"), (F.avg("ret") * 12).alias("historical"))
+    return p.excess.groupBy("ticker").agg(
+        F.expr("power(1 + avg(rf) + regr_slope(excess, mkt_excess) * 0.005D, 12) - 1").alias("required"),
+        (F.avg("ret") * 12).alias("historical")
+    )
 
 
 @query(_REQUIRED + """SELECT ticker, round(required, 6) AS required, round(historical, 6) AS historical, round(required - historical, 6) AS gap,
@@ -285,7 +313,9 @@ def f28_lag_sensitivity(p: Panels):
 
 @query()
 def f30_fixed_effects(p: Panels):
-    panel = p.excess.join(p.scores.select("ticker", "date", "ESG"), ["ticker", "date"]).groupBy("ticker", F.year("date").alias("year")).agg(F.avg("excess").alias("excess"), F.avg("ESG").alias("ESG"), F.avg("mkt_excess").alias("mkt"))
+    panel = p.excess.join(p.scores.select("ticker", "date", "ESG"), ["ticker", "date"]).groupBy("ticker", F.year("date").alias("year")).agg(
+        F.avg("excess").alias("excess"), F.avg("ESG").alias("ESG"), F.avg("mkt_excess").alias("mkt")
+    )
     return rounded(rg.two_way_effects(panel, "excess", ["ESG"]), "term", "coef:8", "std_error:8", "n")
 
 
@@ -299,7 +329,11 @@ def f31_sample_years(p: Panels):
     return mp.sample_years(p.scores.where("ESG > 50 or year(date) > 1996"), 4, 1995, 1996)
 
 
-_FREQUENCIES = {"daily": ("CAST(l_shipdate AS DATE)", "start_date", 2), "weekly": ("CAST(l_shipdate AS DATE) + CAST((5 - isodow(l_shipdate) + 7) % 7 AS INTEGER)", "start_date + CAST((5 - isodow(start_date) + 7) % 7 AS INTEGER)", 6), "monthly": ("last_day(CAST(l_shipdate AS DATE))", "last_day(start_date)", 3)}
+_FREQUENCIES = {
+    "daily": ("CAST(l_shipdate AS DATE)", "start_date", 2),
+    "weekly": ("CAST(l_shipdate AS DATE) + CAST((5 - isodow(l_shipdate) + 7) % 7 AS INTEGER)", "start_date + CAST((5 - isodow(start_date) + 7) % 7 AS INTEGER)", 6),
+    "monthly": ("last_day(CAST(l_shipdate AS DATE))", "last_day(start_date)", 3)
+}
 _BY_FREQUENCY = " UNION ALL ".join(
     f"""SELECT '{name}' AS freq, r.ticker, r.start_date, r.end_date, min(p.date) AS a, max(p.date) AS b, CAST({want} AS DATE) AS want, {slack} AS slack
     FROM rq r LEFT JOIN (SELECT DISTINCT l_suppkey AS ticker, CAST({date} AS DATE) AS date FROM lineitem) p ON p.ticker = r.ticker AND p.date BETWEEN r.start_date AND r.end_date GROUP BY ALL"""
@@ -317,8 +351,13 @@ def g7_frequency_coverage(p: Panels):
     day = F.to_date("l_shipdate")
     dates = {"daily": day, "weekly": F.next_day(F.date_sub(day, 1), "FRI"), "monthly": F.last_day(day)}
     panels = {f: p.table("lineitem").select(F.col("l_suppkey").alias("ticker"), d.alias("date")).distinct() for f, d in dates.items()}
-    scored = p.scores.groupBy("ticker").agg(F.count(F.lit(1)).alias("score_records"), F.count_distinct(F.year("date")).alias("score_years"), F.min("date").alias("score_start"), F.max("date").alias("score_end"))
-    return ref.frequency_coverage(required, panels).join(scored, "ticker", "left").select("freq", "ticker", "periods", "complete", "missing", "status", *(c for c in scored.columns if c != "ticker"))
+    scored = p.scores.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("score_records"), F.count_distinct(F.year("date")).alias("score_years"), F.min("date").alias("score_start"),
+        F.max("date").alias("score_end")
+    )
+    return ref.frequency_coverage(required, panels).join(scored, "ticker", "left").select(
+        "freq", "ticker", "periods", "complete", "missing", "status", *(c for c in scored.columns if c != "ticker")
+    )
 
 
 @query("""SELECT s_suppkey AS ticker, b AS actual_start, e AS actual_end,
@@ -331,7 +370,10 @@ def g10_overlap_status(p: Panels):
     return mp.overlap_status(every, "2001-10-01", "2001-12-31")
 
 
-@query(f"WITH {_SUCC} SELECT old, CASE WHEN new IS NULL OR old IN (SELECT p_partkey FROM part WHERE p_size > 45) THEN 0 ELSE new END AS new FROM su UNION ALL SELECT p_partkey, 0 FROM part WHERE p_size > 45 AND p_partkey NOT IN (SELECT old FROM su)", False)
+@query(
+    f"WITH {_SUCC} SELECT old, CASE WHEN new IS NULL OR old IN (SELECT p_partkey FROM part WHERE p_size > 45) THEN 0 ELSE new END AS new FROM su UNION ALL SELECT p_partkey, 0 FROM part WHERE p_size > 45 AND p_partkey NOT IN (SELECT old FROM su)",
+    False
+)
 def g14_overridden(p: Panels):
     own = src.successors(p.table("part"))
     extra = own.where("new is null").select("old").union(p.table("part").where("p_size > 45").select("p_partkey")).distinct()
@@ -347,7 +389,10 @@ def g16_key_pairs(p: Panels):
 FROM pr WHERE ticker = 'CUST' || n) AS key FROM (SELECT o_custkey % 50 AS n FROM orders))""", False)
 def g17_match_rate(p: Panels):
     members = p.table("orders").select(F.concat(F.lit("Cust"), F.col("o_custkey") % 50).alias("ticker"))
-    return rounded(mp.key_of(members, _pairs(p)).agg(F.count(F.lit(1)).alias("rows"), F.count("key").alias("matched"), (F.count("key") / F.count(F.lit(1))).alias("rate")), "rows", "matched", "rate:6")
+    return rounded(
+        mp.key_of(members, _pairs(p)).agg(F.count(F.lit(1)).alias("rows"), F.count("key").alias("matched"), (F.count("key") / F.count(F.lit(1))).alias("rate")),
+        "rows", "matched", "rate:6"
+    )
 
 
 _RESOLVED = _RECURSIVE + f", {_SUCC}, ch AS (SELECT old, new AS final, 1 AS hop FROM su UNION ALL SELECT c.old, s.new, c.hop + 1 FROM ch c JOIN su s ON c.final = s.old WHERE c.hop < 10), cl AS (SELECT old, arg_max(struct_pack(f := final), hop).f AS final FROM ch GROUP BY old), dt AS (SELECT DISTINCT ticker FROM sc WHERE ESG > 85), rs AS (SELECT s_suppkey AS ticker, CASE WHEN old IS NULL THEN s_suppkey ELSE final END AS resolved, old IS NOT NULL AND final IS NULL AS delisted FROM supplier LEFT JOIN cl ON s_suppkey = old), rz AS (SELECT *, ticker IN (SELECT ticker FROM dt) AS own, coalesce(resolved IN (SELECT ticker FROM dt), false) AS found FROM rs) "
@@ -364,7 +409,10 @@ def g18_outcomes(p: Panels):
     return mp.outcome(_resolution(p)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(_RESOLVED + """SELECT ticker, resolved, CASE WHEN own THEN 'fetched' WHEN found AND NOT delisted THEN 'resolved' ELSE 'skipped' END AS plan FROM rz""", False)
+@query(
+    _RESOLVED + """SELECT ticker, resolved, CASE WHEN own THEN 'fetched' WHEN found AND NOT delisted THEN 'resolved' ELSE 'skipped' END AS plan FROM rz""",
+    False
+)
 def g20_refetch_plan(p: Panels):
     return mp.refetch(_resolution(p)).select("ticker", "resolved", "plan")
 

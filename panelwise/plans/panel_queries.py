@@ -27,7 +27,10 @@ def a2_market_scan(p: Panels):
 @query("""SELECT ticker, date, round(adj_close, 9) AS adj_close, adj_volume FROM px WHERE ticker IN (SELECT ticker FROM sect
 WHERE sector = 'ASIA') AND date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'""")
 def a3_price_panel(p: Panels):
-    return rounded(src.panel_scan(p.prices, p.sectors.where("sector = 'ASIA'"), None, "1997-01-01", "1999-12-31"), "ticker", "date", "adj_close:9", "adj_volume")
+    return rounded(
+        src.panel_scan(p.prices, p.sectors.where("sector = 'ASIA'"), None, "1997-01-01", "1999-12-31"), "ticker", "date", "adj_close:9",
+        "adj_volume"
+    )
 
 
 @query("""SELECT ticker, date, year(date) AS year, month(date) AS month, round(ESG, 6) AS ESG FROM sc
@@ -75,7 +78,9 @@ round(min(l_extendedprice / l_quantity), 9) AS low, CAST(sum(l_quantity) AS BIGI
 GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""", False)
 def a24_canonical_prices(p: Panels):
     unit = F.col("l_extendedprice") / F.col("l_quantity")
-    df = p.table("lineitem").groupBy(F.col("l_suppkey").cast("string").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(F.max(unit).alias("high"), F.min(unit).alias("low"), F.sum("l_quantity").cast("long").alias("volume"))
+    df = p.table("lineitem").groupBy(F.col("l_suppkey").cast("string").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(
+        F.max(unit).alias("high"), F.min(unit).alias("low"), F.sum("l_quantity").cast("long").alias("volume")
+    )
     df = df.withColumns({"exchange": F.lit("us"), "currency": F.lit("USD"), "freq": F.lit("daily"), "year": F.year("date").cast("long")})
     return rounded(df, "ticker", "date", "high:9", "low:9", "volume", "exchange", "currency", "freq", "year")
 
@@ -153,7 +158,10 @@ count(DISTINCT CASE WHEN a.ticker = b.ticker THEN a.ticker END) AS common FROM p
 WHERE S > 50) b ON a.ticker = b.ticker AND a.date = b.date GROUP BY 1""")
 def c18_alignment(p: Panels):
     a, b = p.prices.select("ticker", "date", F.lit(1).alias("a")), p.scores.where("S > 50").select("ticker", "date", F.lit(1).alias("b"))
-    return a.join(b, ["ticker", "date"], "full").groupBy("date").agg(F.count("a").alias("with_price"), F.count("b").alias("with_score"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("common"))
+    return a.join(b, ["ticker", "date"], "full").groupBy("date").agg(
+        F.count("a").alias("with_price"), F.count("b").alias("with_score"),
+        F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("common")
+    )
 
 
 @query("SELECT CAST(year(date) AS BIGINT) AS year, count(*) AS records, count(DISTINCT ticker) AS tickers FROM sc GROUP BY 1")
@@ -255,7 +263,11 @@ def d9_factor_summary(p: Panels):
 6) AS long_year, round(stddev_samp(long_leg) * sqrt(12) * 100, 6) AS long_vol, round(stddev_samp(short_leg) * sqrt(12) * 100, 6) AS short_vol
 FROM fct GROUP BY signal""")
 def d10_leg_summary(p: Panels):
-    df = p.factors.groupBy("signal").agg((F.avg("long_leg") * 100).alias("long_month"), (F.avg("short_leg") * 100).alias("short_month"), (F.avg("long_leg") * 1200).alias("long_year"), (F.stddev_samp("long_leg") * F.sqrt(F.lit(12)) * 100).alias("long_vol"), (F.stddev_samp("short_leg") * F.sqrt(F.lit(12)) * 100).alias("short_vol"))
+    df = p.factors.groupBy("signal").agg(
+        (F.avg("long_leg") * 100).alias("long_month"), (F.avg("short_leg") * 100).alias("short_month"),
+        (F.avg("long_leg") * 1200).alias("long_year"), (F.stddev_samp("long_leg") * F.sqrt(F.lit(12)) * 100).alias("long_vol"),
+        (F.stddev_samp("short_leg") * F.sqrt(F.lit(12)) * 100).alias("short_vol")
+    )
     return rounded(df, "signal", "long_month:6", "short_month:6", "long_year:6", "long_vol:6", "short_vol:6")
 
 
@@ -267,8 +279,14 @@ def d11_factor_correlation(p: Panels):
 @query("""SELECT date, count(*) AS n, round(avg(ret), 6) AS mean, round(stddev_samp(ret), 6) AS std, round(min(ret), 6) AS low, round(quantile_cont(ret, 0.25),
 6) AS q25, round(quantile_cont(ret, 0.5), 6) AS median, round(quantile_cont(ret, 0.75), 6) AS q75, round(max(ret), 6) AS high FROM ret GROUP BY date""")
 def d12_describe(p: Panels):
-    df = p.returns.groupBy("date").agg(F.count("ret").alias("n"), F.avg("ret").alias("mean"), F.stddev_samp("ret").alias("std"), F.min("ret").alias("low"), F.expr("percentile(ret, array(0.25D, 0.5D, 0.75D))").alias("q"), F.max("ret").alias("high"))
-    return rounded(df.select("date", "n", "mean", "std", "low", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75"), "high"), "date", "n", "mean:6", "std:6", "low:6", "q25:6", "median:6", "q75:6", "high:6")
+    df = p.returns.groupBy("date").agg(
+        F.count("ret").alias("n"), F.avg("ret").alias("mean"), F.stddev_samp("ret").alias("std"), F.min("ret").alias("low"),
+        F.expr("percentile(ret, array(0.25D, 0.5D, 0.75D))").alias("q"), F.max("ret").alias("high")
+    )
+    return rounded(
+        df.select("date", "n", "mean", "std", "low", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75"), "high"),
+        "date", "n", "mean:6", "std:6", "low:6", "q25:6", "median:6", "q75:6", "high:6"
+    )
 
 
 _BETA = """, ro AS (SELECT ticker, date, mkt_excess, count(*) OVER w AS observations, regr_slope(excess, mkt_excess) OVER w AS beta, regr_intercept(excess,
@@ -285,13 +303,20 @@ correlation FROM r2)
 @query(_BETA + """SELECT ticker, date, round(beta, 6) AS beta, round(alpha, 6) AS alpha, round(r_squared, 6) AS r_squared, round(std_error_beta, 6) AS std_error_beta,
 round(std_error_alpha, 6) AS std_error_alpha, round(t_stat_beta, 5) AS t_stat_beta, observations, round(correlation, 6) AS correlation FROM betas""")
 def f4_rolling_beta(p: Panels):
-    return rounded(rg.rolling_ols(p.excess, "excess", "mkt_excess"), "ticker", "date", "beta:6", "alpha:6", "r_squared:6", "std_error_beta:6", "std_error_alpha:6", "t_stat_beta:5", "observations", "correlation:6")
+    return rounded(
+        rg.rolling_ols(p.excess, "excess", "mkt_excess"), "ticker", "date", "beta:6", "alpha:6", "r_squared:6", "std_error_beta:6",
+        "std_error_alpha:6", "t_stat_beta:5", "observations", "correlation:6"
+    )
 
 
 @query()
 def j1_beta_p_values(p: Panels):
     betas = rg.rolling_ols(p.excess, "excess", "mkt_excess")
-    return betas.select("ticker", "date", F.round(p_value_t(F.col("t_stat_beta"), F.col("observations") - 2), 8).alias("p_value_beta"), F.round(p_value_t(F.col("t_stat_alpha"), F.col("observations") - 2), 8).alias("p_value_alpha"), F.round(p_value_f(F.col("t_stat_beta") * F.col("t_stat_beta"), F.lit(1), F.col("observations") - 2), 8).alias("f_p_value"))
+    return betas.select(
+        "ticker", "date", F.round(p_value_t(F.col("t_stat_beta"), F.col("observations") - 2), 8).alias("p_value_beta"),
+        F.round(p_value_t(F.col("t_stat_alpha"), F.col("observations") - 2), 8).alias("p_value_alpha"),
+        F.round(p_value_f(F.col("t_stat_beta") * F.col("t_stat_beta"), F.lit(1), F.col("observations") - 2), 8).alias("f_p_value")
+    )
 
 
 @query(_BETA + """SELECT count(*) AS n, round(avg(beta), 6) AS mean, round(median(beta), 6) AS median, round(stddev_pop(beta), 6) AS std, round(quantile_cont(beta,
@@ -300,7 +325,12 @@ count(*) FILTER (WHERE beta BETWEEN 0.9 AND 1.1) AS market_like, count(*) FILTER
 FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM betas) WHERE n = 1""")
 def d13_beta_statistics(p: Panels):
     last = pf.last_rows(rg.rolling_ols(p.excess, "excess", "mkt_excess"), 1)
-    df = last.agg(F.count(F.lit(1)).alias("n"), F.avg("beta").alias("mean"), F.median("beta").alias("median"), F.stddev_pop("beta").alias("std"), F.expr("percentile(beta, 0.25D)").alias("q25"), F.expr("percentile(beta, 0.75D)").alias("q75"), F.count_if(F.col("beta") < 0.9).alias("low_risk"), F.count_if(F.col("beta").between(0.9, 1.1)).alias("market_like"), F.count_if(F.col("beta") > 1.1).alias("high_risk"))
+    df = last.agg(
+        F.count(F.lit(1)).alias("n"), F.avg("beta").alias("mean"), F.median("beta").alias("median"), F.stddev_pop("beta").alias("std"),
+        F.expr("percentile(beta, 0.25D)").alias("q25"), F.expr("percentile(beta, 0.75D)").alias("q75"),
+        F.count_if(F.col("beta") < 0.9).alias("low_risk"), F.count_if(F.col("beta").between(0.9, 1.1)).alias("market_like"),
+        F.count_if(F.col("beta") > 1.1).alias("high_risk")
+    )
     return rounded(df, "n", "mean:6", "median:6", "std:6", "q25:6", "q75:6", "low_risk", "market_like", "high_risk")
 
 
@@ -320,7 +350,10 @@ def d14_beta_stability(p: Panels):
 @query("""SELECT count(*) AS n, min(date) AS first_date, max(date) AS last_date, round(avg(rate), 6) AS mean, round(median(rate), 6) AS median,
 round(stddev_samp(rate), 6) AS std, round(min(rate), 6) AS low, round(max(rate), 6) AS high FROM rf""")
 def d15_rate_summary(p: Panels):
-    df = p.rates.agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.avg("rate").alias("mean"), F.median("rate").alias("median"), F.stddev_samp("rate").alias("std"), F.min("rate").alias("low"), F.max("rate").alias("high"))
+    df = p.rates.agg(
+        F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.avg("rate").alias("mean"),
+        F.median("rate").alias("median"), F.stddev_samp("rate").alias("std"), F.min("rate").alias("low"), F.max("rate").alias("high")
+    )
     return rounded(df, "n", "first_date", "last_date", "mean:6", "median:6", "std:6", "low:6", "high:6")
 
 
@@ -390,7 +423,10 @@ JOIN ed ON s.date = ed.date) """
 @query(_DECILE + """SELECT ticker, date, CAST(decile AS BIGINT) AS decile, CASE WHEN decile <= 2 THEN 'Q1' WHEN decile <= 8 THEN 'Q3' ELSE 'Q5' END AS quintile FROM dc""")
 def e11_deciles(p: Panels):
     df = op.quantile_bucket(p.scores, "ESG", out="decile")
-    return df.select("ticker", "date", F.col("decile").cast("long").alias("decile"), F.when(F.col("decile") <= 2, "Q1").when(F.col("decile") <= 8, "Q3").otherwise("Q5").alias("quintile"))
+    return df.select(
+        "ticker", "date", F.col("decile").cast("long").alias("decile"),
+        F.when(F.col("decile") <= 2, "Q1").when(F.col("decile") <= 8, "Q3").otherwise("Q5").alias("quintile")
+    )
 
 
 @query("SELECT ticker, date, round(adj_close * adj_volume / sum(adj_close * adj_volume) OVER (PARTITION BY date), 8) AS weight FROM px")
@@ -427,20 +463,28 @@ ORDER BY n ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)) WHERE slope IS NOT NULL""
 def e19_rolling_slope(p: Panels):
     numbered = p.scores.withColumn("n", F.expr(f"row_number() {op.OVER}"))
     w = "over (partition by ticker order by n rows between 12 preceding and 1 preceding)"
-    return rounded(numbered.withColumn("slope", F.expr(f"if(count(1) {w} = 12, regr_slope(ESG, n) {w}, null)")).where("slope is not null"), "ticker", "date", "slope:6")
+    return rounded(
+        numbered.withColumn("slope", F.expr(f"if(count(1) {w} = 12, regr_slope(ESG, n) {w}, null)")).where("slope is not null"), "ticker",
+        "date", "slope:6"
+    )
 
 
 @query("""SELECT ticker, round(sum(ret), 6) AS ytd_sum, round(exp(sum(ln(1 + ret))) - 1, 6) AS ytd_compound
 FROM (SELECT *, max(date) OVER (PARTITION BY ticker) AS last_date FROM ret) WHERE year(date) = year(last_date) GROUP BY ticker""")
 def e20_year_to_date(p: Panels):
     df = p.returns.withColumn("last_date", F.expr("max(date) over (partition by ticker)")).where("year(date) = year(last_date)")
-    return rounded(df.groupBy("ticker").agg(F.sum("ret").alias("ytd_sum"), (F.exp(F.sum(F.log1p("ret"))) - 1).alias("ytd_compound")), "ticker", "ytd_sum:6", "ytd_compound:6")
+    return rounded(
+        df.groupBy("ticker").agg(F.sum("ret").alias("ytd_sum"), (F.exp(F.sum(F.log1p("ret"))) - 1).alias("ytd_compound")), "ticker",
+        "ytd_sum:6", "ytd_compound:6"
+    )
 
 
 @query(_BETA + """SELECT ticker, date, round(beta, 6) AS beta FROM (SELECT *, row_number() OVER (PARTITION BY ticker
 ORDER BY date) AS i, count(*) OVER (PARTITION BY ticker) AS n FROM betas) WHERE i IN (1, n // 2 + 1, n)""")
 def e23_first_middle_last(p: Panels):
-    df = rg.rolling_ols(p.excess, "excess", "mkt_excess").withColumn("i", F.expr(f"row_number() {op.OVER}")).withColumn("n", F.expr("count(1) over (partition by ticker)"))
+    df = rg.rolling_ols(p.excess, "excess", "mkt_excess").withColumn("i", F.expr(f"row_number() {op.OVER}")).withColumn(
+        "n", F.expr("count(1) over (partition by ticker)")
+    )
     return rounded(df.where("i in (1, n div 2 + 1, n)"), "ticker", "date", "beta:6")
 
 
@@ -466,12 +510,18 @@ def _two_frame(p: Panels):
 @query(_FIVE + _TWO + """SELECT ticker, n, round(alpha, 6) AS alpha, round(beta_1, 5) AS beta_1, round(beta_2, 5) AS beta_2, round(r_squared, 6) AS r_squared,
 round(1 - (1 - r_squared) * (n - 1) / (n - 3), 6) AS adj_r_squared FROM two""")
 def f6_two_factor(p: Panels):
-    return rounded(rg.two_factor(_two_frame(p), "excess", "mkt_excess", "factor"), "ticker", "n", "alpha:6", "beta_1:5", "beta_2:5", "r_squared:6", "adj_r_squared:6")
+    return rounded(
+        rg.two_factor(_two_frame(p), "excess", "mkt_excess", "factor"), "ticker", "n", "alpha:6", "beta_1:5", "beta_2:5", "r_squared:6",
+        "adj_r_squared:6"
+    )
 
 
 @query()
 def f6_two_factor_hac(p: Panels):
-    return rounded(rg.regress_hac(_two_frame(p), "excess", ["mkt_excess", "factor"]), "ticker", "term", "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6", "adj_r_squared:6", "f:5", "f_p:6", "stars")
+    return rounded(
+        rg.regress_hac(_two_frame(p), "excess", ["mkt_excess", "factor"]), "ticker", "term", "coef:6", "std_error:6", "t:5", "p:6", "n",
+        "r_squared:6", "adj_r_squared:6", "f:5", "f_p:6", "stars"
+    )
 
 
 @query(_FIVE + """, tf AS (SELECT e.ticker, e.date, e.excess AS y, e.mkt_excess AS x1, f.factor AS x2 FROM exc e JOIN (SELECT * FROM fct
@@ -493,7 +543,10 @@ def f7_rolling_two_factor_hac(p: Panels):
 @query()
 def f8_multi_factor(p: Panels):
     wide = op.wide_factors(p.factors, ["E", "S", "G"])
-    return rounded(rg.regress_hac(p.excess.join(wide, "date"), "excess", ["mkt_excess", "E_factor", "S_factor", "G_factor"]), "ticker", "term", "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6", "f:5", "f_p:6", "stars")
+    return rounded(
+        rg.regress_hac(p.excess.join(wide, "date"), "excess", ["mkt_excess", "E_factor", "S_factor", "G_factor"]), "ticker", "term",
+        "coef:6", "std_error:6", "t:5", "p:6", "n", "r_squared:6", "f:5", "f_p:6", "stars"
+    )
 
 
 @query("""SELECT ticker, n, CASE WHEN n >= 24 THEN round(beta, 6) END AS beta, CASE WHEN n >= 24 THEN round(alpha, 6) END AS alpha,
@@ -522,7 +575,10 @@ def f10_durbin_watson(p: Panels):
 
 @query()
 def f10_diagnostics(p: Panels):
-    return rounded(rg.residual_diagnostics(_two_frame(p), "excess", "mkt_excess", "factor"), "ticker", "durbin_watson:5", "dw_flag", "jarque_bera:5", "jb_p:6", "breusch_pagan:5", "bp_p:6")
+    return rounded(
+        rg.residual_diagnostics(_two_frame(p), "excess", "mkt_excess", "factor"), "ticker", "durbin_watson:5", "dw_flag", "jarque_bera:5",
+        "jb_p:6", "breusch_pagan:5", "bp_p:6"
+    )
 
 
 @query(_FIVE + """, u AS (SELECT signal, date, factor, factor - avg(factor) OVER (PARTITION BY signal) AS u
@@ -575,7 +631,10 @@ def _expected(p: Panels):
 
 
 _ER_COLUMNS = "ticker, date, beta_date, round(beta_market, 5) AS beta_market, round(beta_score, 5) AS beta_score, round(bm, 5) AS beta_market_capped, round(be, 5) AS beta_score_capped, round(rf, 8) AS rf, round(er_monthly, 7) AS er_monthly, round(er_annual, 5) AS er_annual"
-_ER_ROUNDED = ("ticker", "date", "beta_date", "beta_market:5", "beta_score:5", "beta_market_capped:5", "beta_score_capped:5", "rf:8", "er_monthly:7", "er_annual:5")
+_ER_ROUNDED = (
+    "ticker", "date", "beta_date", "beta_market:5", "beta_score:5", "beta_market_capped:5", "beta_score_capped:5", "rf:8", "er_monthly:7",
+    "er_annual:5"
+)
 
 
 @query(_FIXED + f"SELECT {_ER_COLUMNS} FROM er")
@@ -583,7 +642,9 @@ def f13_expected_returns(p: Panels):
     return rounded(_expected(p), *_ER_ROUNDED)
 
 
-@query(_FIXED.replace("FROM tm WHERE n >= 36)", "FROM tm WHERE n >= 36 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1)") + f"SELECT {_ER_COLUMNS} FROM er")
+@query(_FIXED.replace(
+    "FROM tm WHERE n >= 36)", "FROM tm WHERE n >= 36 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1)"
+) + f"SELECT {_ER_COLUMNS} FROM er")
 def f13_constant_expected_returns(p: Panels):
     return rounded(pf.expected_returns(_two_betas(p), p.rates, _premia(p), constant=True), *_ER_ROUNDED)
 

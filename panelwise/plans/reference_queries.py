@@ -50,14 +50,18 @@ FROM iv) WHERE bad) AS overlapping, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGI
 def g24_membership_validation(p: Panels):
     back = ref.expanded(p.spans, p.daily.select("date").distinct())
     own = p.daily.select("ticker", "date")
-    over = p.spans.withColumn("before", F.expr("lag(end_date) over (partition by ticker order by start_date)")).agg(F.count_if(F.col("start_date") <= F.col("before")).alias("overlapping"))
+    over = p.spans.withColumn(
+        "before", F.expr("lag(end_date) over (partition by ticker order by start_date)")
+    ).agg(F.count_if(F.col("start_date") <= F.col("before")).alias("overlapping"))
     rows = own.agg(F.count(F.lit(1)).alias("rows"))
     return rows.crossJoin(over).crossJoin(own.exceptAll(back).agg(F.count(F.lit(1)).alias("missing"))).crossJoin(back.exceptAll(own).agg(F.count(F.lit(1)).alias("extra")))
 
 
 @query("SELECT ticker, start_date, end_date, CAST(end_date - start_date + 1 AS BIGINT) AS days FROM iv ORDER BY days DESC, ticker, start_date LIMIT 10")
 def g22_longest_tenures(p: Panels):
-    return p.spans.select("ticker", "start_date", "end_date", (F.datediff("end_date", "start_date") + 1).cast("long").alias("days")).orderBy(F.desc("days"), "ticker", "start_date").limit(10)
+    return p.spans.select(
+        "ticker", "start_date", "end_date", (F.datediff("end_date", "start_date") + 1).cast("long").alias("days")
+    ).orderBy(F.desc("days"), "ticker", "start_date").limit(10)
 
 
 @query("""SELECT ticker, 'added' AS change FROM (SELECT ticker FROM md WHERE date = DATE '1998-12-31' EXCEPT SELECT ticker FROM md
@@ -105,13 +109,19 @@ _SUCC = """su AS (SELECT p_partkey AS old, CASE WHEN p_partkey % 11 = 0 THEN NUL
 WHERE p_partkey % 7 IN (1, 2) OR p_partkey % 11 = 0)"""
 
 
-@query(f"WITH RECURSIVE {_SUCC}, ch AS (SELECT old, new AS final, 1 AS hop, true AS open FROM su UNION ALL SELECT c.old, s.new, c.hop + 1, true FROM ch c JOIN su s ON c.final = s.old WHERE c.hop < 10) SELECT p.p_partkey AS key, CASE WHEN l.old IS NULL THEN p.p_partkey ELSE l.final END AS resolved, l.old IS NOT NULL AND l.final IS NULL AS delisted FROM part p LEFT JOIN (SELECT old, arg_max(struct_pack(f := final), hop).f AS final FROM ch GROUP BY old) l ON p.p_partkey = l.old", False)
+@query(
+    f"WITH RECURSIVE {_SUCC}, ch AS (SELECT old, new AS final, 1 AS hop, true AS open FROM su UNION ALL SELECT c.old, s.new, c.hop + 1, true FROM ch c JOIN su s ON c.final = s.old WHERE c.hop < 10) SELECT p.p_partkey AS key, CASE WHEN l.old IS NULL THEN p.p_partkey ELSE l.final END AS resolved, l.old IS NOT NULL AND l.final IS NULL AS delisted FROM part p LEFT JOIN (SELECT old, arg_max(struct_pack(f := final), hop).f AS final FROM ch GROUP BY old) l ON p.p_partkey = l.old",
+    False
+)
 def g12_successors(p: Panels):
     closed = ref.closed_successors(src.successors(p.table("part")))
     return ref.resolved(p.table("part").select(F.col("p_partkey").alias("key")), closed, "key").select("key", "resolved", "delisted")
 
 
-@query(f"WITH RECURSIVE {_SUCC}, ch AS (SELECT old, new AS final, 1 AS hop, CAST(old AS VARCHAR) || '>' || coalesce(CAST(new AS VARCHAR), 'none') AS chain FROM su UNION ALL SELECT c.old, s.new, c.hop + 1, c.chain || '>' || coalesce(CAST(s.new AS VARCHAR), 'none') FROM ch c JOIN su s ON c.final = s.old WHERE c.hop < 10) SELECT old, arg_max(chain, hop) AS chain FROM ch GROUP BY old", False)
+@query(
+    f"WITH RECURSIVE {_SUCC}, ch AS (SELECT old, new AS final, 1 AS hop, CAST(old AS VARCHAR) || '>' || coalesce(CAST(new AS VARCHAR), 'none') AS chain FROM su UNION ALL SELECT c.old, s.new, c.hop + 1, c.chain || '>' || coalesce(CAST(s.new AS VARCHAR), 'none') FROM ch c JOIN su s ON c.final = s.old WHERE c.hop < 10) SELECT old, arg_max(chain, hop) AS chain FROM ch GROUP BY old",
+    False
+)
 def g13_chains(p: Panels):
     closed = ref.closed_successors(src.successors(p.table("part")))
     return closed.select("old", F.array_join("chain", ">", "none").alias("chain"))
@@ -122,7 +132,10 @@ FROM nm GROUP BY entity
 HAVING count(*) > 1) SELECT CAST(n.entity AS BIGINT) AS entity, n.ticker, array_to_string(list_filter(every, lambda x: x <> n.ticker),
 ',') AS others FROM nm n JOIN ls ON n.entity = ls.entity""", False)
 def d8_alternative_tickers(p: Panels):
-    names = p.table("supplier").select(F.col("s_nationkey").cast("long").alias("entity"), F.col("s_suppkey").alias("ticker"), F.lit("1995-01-01").cast("date").alias("start_date"))
+    names = p.table("supplier").select(
+        F.col("s_nationkey").cast("long").alias("entity"), F.col("s_suppkey").alias("ticker"),
+        F.lit("1995-01-01").cast("date").alias("start_date")
+    )
     return ref.alternatives(names).select("entity", "ticker", F.array_join(F.transform("others", lambda x: x.cast("string")), ",").alias("others"))
 
 
@@ -135,9 +148,14 @@ def g15_clean_tickers(p: Panels):
 _SIC = "CASE WHEN sic <= 999 THEN 'Agriculture' WHEN sic <= 1499 THEN 'Mining' WHEN sic <= 1799 THEN 'Construction' WHEN sic <= 3999 THEN 'Manufacturing' WHEN sic <= 4999 THEN 'Transportation & Utilities' WHEN sic <= 5199 THEN 'Wholesale Trade' WHEN sic <= 5999 THEN 'Retail Trade' WHEN sic <= 6799 THEN 'Finance & Real Estate' WHEN sic <= 8999 THEN 'Services' WHEN sic <= 9999 THEN 'Public Administration' END"
 
 
-@query(f"SELECT ticker, {_SIC} AS sector FROM (SELECT l_suppkey AS ticker, max_by(l_partkey * 37 % 10000, l_shipdate * 1) AS sic FROM (SELECT l_suppkey, l_partkey, epoch_us(l_shipdate) * 1000 + l_partkey AS l_shipdate FROM lineitem) GROUP BY 1)".replace("max_by", "arg_max").replace("l_shipdate * 1", "l_shipdate"), False)
+@query(
+    f"SELECT ticker, {_SIC} AS sector FROM (SELECT l_suppkey AS ticker, max_by(l_partkey * 37 % 10000, l_shipdate * 1) AS sic FROM (SELECT l_suppkey, l_partkey, epoch_us(l_shipdate) * 1000 + l_partkey AS l_shipdate FROM lineitem) GROUP BY 1)".replace("max_by", "arg_max").replace("l_shipdate * 1", "l_shipdate"),
+    False
+)
 def g19_sic_sectors(p: Panels):
-    last = p.table("lineitem").groupBy(F.col("l_suppkey").alias("ticker")).agg(F.max_by(F.expr("l_partkey * 37 % 10000"), F.expr("unix_micros(cast(l_shipdate as timestamp)) * 1000 + l_partkey")).alias("sic"))
+    last = p.table("lineitem").groupBy(F.col("l_suppkey").alias("ticker")).agg(F.max_by(
+        F.expr("l_partkey * 37 % 10000"), F.expr("unix_micros(cast(l_shipdate as timestamp)) * 1000 + l_partkey")
+    ).alias("sic"))
     return last.select("ticker", fd.sic_division(F.col("sic")).alias("sector"))
 
 
@@ -204,7 +222,10 @@ GROUP BY ticker) r
         LEFT JOIN (SELECT DISTINCT ticker, date_trunc('month', date) AS m FROM md) h ON h.ticker = r.ticker AND h.m = r.m))
 GROUP BY ticker) USING (ticker)""")
 def g8_month_continuity(p: Panels):
-    return rounded(ref.month_continuity(p.daily), "ticker", "first_month", "last_month", "expected", "present", "missing", "gap_percent:6", "continuous", "sample_gaps")
+    return rounded(
+        ref.month_continuity(p.daily), "ticker", "first_month", "last_month", "expected", "present", "missing", "gap_percent:6",
+        "continuous", "sample_gaps"
+    )
 
 
 @query("""SELECT ticker, round((expected - present) * 100.0 / expected, 6) AS gap_percent
@@ -217,7 +238,10 @@ def g9_worst_gaps(p: Panels):
 @query("""SELECT ticker, count(*) AS n, round(least(100, count(*) * 100.0 / (date_diff('month', min(date), max(date)) + 1)), 6) AS percent FROM px
 GROUP BY ticker""")
 def g11_completeness(p: Panels):
-    df = p.prices.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), F.least(F.lit(100.0), F.expr("count(1) * 100.0D / (months_between(max(date), min(date)) + 1)")).alias("percent"))
+    df = p.prices.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.least(F.lit(100.0), F.expr("count(1) * 100.0D / (months_between(max(date), min(date)) + 1)")).alias("percent")
+    )
     return rounded(df, "ticker", "n", "percent:6")
 
 
@@ -225,7 +249,10 @@ def g11_completeness(p: Panels):
 FROM (SELECT 'prices' AS name, max(date) AS last_date FROM px UNION ALL SELECT 'scores', max(date) FROM sc
 UNION ALL SELECT 'membership', max(date) FROM md)""")
 def g26_freshness(p: Panels):
-    parts = [df.agg(F.max("date").alias("last_date")).withColumn("name", F.lit(n)) for n, df in (("prices", p.prices), ("scores", p.scores), ("membership", p.daily))]
+    parts = [
+        df.agg(F.max("date").alias("last_date")).withColumn("name", F.lit(n)) for n,
+        df in (("prices", p.prices), ("scores", p.scores), ("membership", p.daily))
+    ]
     age = F.datediff(F.lit("2002-01-15").cast("date"), F.col("last_date")).cast("long")
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("name", "last_date", age.alias("age_days"), (age > 7).alias("stale"))
 
@@ -257,21 +284,30 @@ def d33_last_date_distribution(p: Panels):
 6) AS q75 FROM sc GROUP BY date""")
 def d21_dispersion(p: Panels):
     df = p.scores.groupBy("date").agg(F.avg("ESG").alias("mean"), F.expr("percentile(ESG, array(0.25D, 0.5D, 0.75D))").alias("q"))
-    return rounded(df.select("date", "mean", F.col("q")[1].alias("median"), F.col("q")[0].alias("q25"), F.col("q")[2].alias("q75")), "date", "mean:6", "median:6", "q25:6", "q75:6")
+    return rounded(
+        df.select("date", "mean", F.col("q")[1].alias("median"), F.col("q")[0].alias("q25"), F.col("q")[2].alias("q75")), "date", "mean:6",
+        "median:6", "q25:6", "q75:6"
+    )
 
 
 @query("""SELECT date, count(*) FILTER (WHERE chg > 0) AS improvers, count(*) FILTER (WHERE chg < 0) AS decliners, count(DISTINCT ticker) AS covered
 FROM (SELECT ticker, date, ESG - lag(ESG, 12) OVER (PARTITION BY ticker ORDER BY date) AS chg FROM sc) GROUP BY date""")
 def d22_improvers(p: Panels):
     df = p.scores.withColumn("chg", F.expr(f"ESG - lag(ESG, 12) {op.OVER}"))
-    return df.groupBy("date").agg(F.count_if(F.col("chg") > 0).alias("improvers"), F.count_if(F.col("chg") < 0).alias("decliners"), F.count_distinct("ticker").alias("covered"))
+    return df.groupBy("date").agg(
+        F.count_if(F.col("chg") > 0).alias("improvers"), F.count_if(F.col("chg") < 0).alias("decliners"),
+        F.count_distinct("ticker").alias("covered")
+    )
 
 
 @query("""SELECT round(count(lagged) * 1.0 / count(*), 8) AS lagged_rate, round(count(ESG) * 1.0 / count(*), 8) AS score_rate
 FROM (SELECT ESG, lag(ESG, 12) OVER (PARTITION BY ticker ORDER BY date) AS lagged FROM sc)""")
 def d23_column_coverage(p: Panels):
     df = p.scores.withColumn("lagged", F.expr(f"lag(ESG, 12) {op.OVER}"))
-    return rounded(df.agg((F.count("lagged") / F.count(F.lit(1))).alias("lagged_rate"), (F.count("ESG") / F.count(F.lit(1))).alias("score_rate")), "lagged_rate:8", "score_rate:8")
+    return rounded(
+        df.agg((F.count("lagged") / F.count(F.lit(1))).alias("lagged_rate"), (F.count("ESG") / F.count(F.lit(1))).alias("score_rate")),
+        "lagged_rate:8", "score_rate:8"
+    )
 
 
 _NEXT = ", nx AS (SELECT ticker, date, lead(ret) OVER (PARTITION BY ticker ORDER BY date) AS nxt FROM ret) "
@@ -292,7 +328,9 @@ def d19_decile_pivot(p: Panels):
 @query(_DECILE.rstrip() + _NEXT + """SELECT * FROM (SELECT date, count(*) AS n, round(avg(nxt) FILTER (WHERE decile = 10) - avg(nxt) FILTER (WHERE decile = 1), 6) AS spread FROM dc
 JOIN nx USING (ticker, date) WHERE nxt IS NOT NULL GROUP BY date) WHERE n >= 10 AND spread IS NOT NULL""")
 def f20_decile_spread(p: Panels):
-    df = _decile_returns(p).groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.expr("avg(if(decile = 10, nxt, null)) - avg(if(decile = 1, nxt, null))").alias("spread"))
+    df = _decile_returns(p).groupBy("date").agg(
+        F.count(F.lit(1)).alias("n"), F.expr("avg(if(decile = 10, nxt, null)) - avg(if(decile = 1, nxt, null))").alias("spread")
+    )
     return rounded(df.where("n >= 10 and spread is not null"), "date", "n", "spread:6")
 
 
@@ -403,14 +441,20 @@ def h4_top_k_per_date(p: Panels):
 FROM (SELECT s_suppkey, CAST(DATE '2014-01-01' + CAST(s_suppkey % 400 AS INTEGER) AS DATE) AS d FROM supplier)""", False)
 def i2_aligned_start(p: Panels):
     d = F.expr("date_add(date'2014-01-01', cast(s_suppkey % 400 as int))")
-    return p.table("supplier").select(F.col("s_suppkey").alias("key"), fd.aligned_start(d, F.lit("monthly")).alias("monthly"), fd.aligned_start(d, F.lit("weekly")).alias("weekly"))
+    return p.table("supplier").select(
+        F.col("s_suppkey").alias("key"), fd.aligned_start(d, F.lit("monthly")).alias("monthly"),
+        fd.aligned_start(d, F.lit("weekly")).alias("weekly")
+    )
 
 
 @query("""SELECT date, round(rate / 100 / 12, 9) AS monthly, round(rate / 100 / 52, 9) AS weekly, round(rate / 100 / 252, 9) AS daily,
 round(power(1 + rate / 1200, 12) - 1, 9) AS compounded, round(rate / 1200, 9) AS back FROM rf""")
 def i9_periodic_rates(p: Panels):
     r = F.col("rate")
-    df = p.rates.select("date", fd.periodic(r, 12).alias("monthly"), fd.periodic(r, 52).alias("weekly"), fd.periodic(r, 252).alias("daily"), fd.compounded(fd.periodic(r, 12)).alias("compounded"))
+    df = p.rates.select(
+        "date", fd.periodic(r, 12).alias("monthly"), fd.periodic(r, 52).alias("weekly"), fd.periodic(r, 252).alias("daily"),
+        fd.compounded(fd.periodic(r, 12)).alias("compounded")
+    )
     return rounded(df.withColumn("back", fd.monthly_from_annual(F.col("compounded"))), "date", "monthly:9", "weekly:9", "daily:9", "compounded:9", "back:9")
 
 

@@ -165,7 +165,10 @@ def raw_scores(raw: DataFrame) -> DataFrame:
     made = F.expr("try_make_timestamp(_ym div 100, _ym % 100, 1, 0, 0, 0)").cast("date")
     dated = ym.withColumn("date", F.last_day(made)).where("date is not null")
     names = dict(zip(RAW_SCORES[2:], ("ESG", "E", "S", "G"), strict=True))
-    return dated.select(F.col("gvkey").cast("long").alias("gvkey"), "date", F.year("date").alias("year"), F.month("date").alias("month"), *(number(F.col(f"`{c}`")).alias(n) for c, n in names.items()))
+    return dated.select(
+        F.col("gvkey").cast("long").alias("gvkey"), "date", F.year("date").alias("year"), F.month("date").alias("month"),
+        *(number(F.col(f"`{c}`")).alias(n) for c, n in names.items())
+    )
 
 
 def read_raw_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -183,7 +186,10 @@ def build_membership(spark: SparkSession, path: str, new: DataFrame, rebuild: bo
         merged_rows.write.mode("overwrite").parquet(scratch or f"{path}_merge")
         merged_rows = spark.read.parquet(scratch or f"{path}_merge")
     save_table(merged_rows, path)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("dates"), F.count_distinct("ticker").alias("tickers"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    return spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("dates"), F.count_distinct("ticker").alias("tickers"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date")
+    )
 
 
 def save_symbols(df: DataFrame, path: str, key: str = "ticker") -> None:

@@ -62,6 +62,10 @@ def upsert_stream(events: DataFrame, path: str, key: list[str], partition_by: li
     """Merge each micro-batch into a table; a batch that runs again changes nothing, as the later row of a key wins again."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        upsert(batch.sparkSession, path, batch.withColumn("seq", F.unix_micros(F.col(order).cast("timestamp")) if order == "ts" else F.col(order)), key, partition_by, f"{scratch}/{number}")
+        upsert(
+            batch.sparkSession, path,
+            batch.withColumn("seq", F.unix_micros(F.col(order).cast("timestamp")) if order == "ts" else F.col(order)), key, partition_by,
+            f"{scratch}/{number}"
+        )
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

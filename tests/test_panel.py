@@ -30,7 +30,9 @@ def test_periodic_rates(spark):
 
 def test_aligned_start_and_tolerance(spark):
     df = spark.createDataFrame([("monthly",), ("daily",), ("weekly",), ("other",)], "f string")
-    r = {x.f: (x.a, x.t) for x in df.select("f", fd.aligned_start(F.lit("2014-01-01").cast("date"), F.col("f")).alias("a"), fd.tolerance(F.col("f")).alias("t")).collect()}
+    r = {x.f: (x.a, x.t) for x in df.select(
+        "f", fd.aligned_start(F.lit("2014-01-01").cast("date"), F.col("f")).alias("a"), fd.tolerance(F.col("f")).alias("t")
+    ).collect()}
     assert r == {"monthly": (D("2014-01-31"), 3), "daily": (D("2014-01-01"), 2), "weekly": (D("2014-01-03"), 6), "other": (D("2014-01-01"), 2)}
 
 
@@ -46,7 +48,9 @@ def test_successor_chains(spark):
     closed = ref.closed_successors(mapping)
     assert {r.old: r.chain for r in closed.collect()}["CBS"] == ["CBS", "VIAC", "PARA"]
     names = spark.createDataFrame([(x,) for x in ("FB", "CBS", "LIFE", "AAPL", "HFC")], "k string")
-    assert {r.k: (r.resolved, r.delisted) for r in ref.resolved(names, closed, "k").collect()} == {"FB": ("META", False), "CBS": ("PARA", False), "LIFE": (None, True), "AAPL": ("AAPL", False), "HFC": (None, True)}
+    assert {r.k: (r.resolved, r.delisted) for r in ref.resolved(names, closed, "k").collect()} == {
+        "FB": ("META", False), "CBS": ("PARA", False), "LIFE": (None, True), "AAPL": ("AAPL", False), "HFC": (None, True)
+    }
     with pytest.raises(Exception, match="cycle"):
         ref.closed_successors(spark.createDataFrame([("a", "b"), ("b", "a")], "old string, new string")).collect()
 
@@ -55,11 +59,16 @@ def test_clean_tickers_and_divisions(spark):
     df = spark.createDataFrame([("AAPL.1",), ("MSFT.",), ("brk.b",)], "t string")
     assert [r[0] for r in df.select(fd.clean_ticker(F.col("t"))).collect()] == ["AAPL", "MSFT", "BRK.B"]
     codes = spark.createDataFrame([(999,), (1000,), (1800,), (5200,), (9000,), (None,)], "c int")
-    assert [r[0] for r in codes.select(fd.sic_division(F.col("c"))).collect()] == ["Agriculture", "Mining", "Manufacturing", "Retail Trade", "Public Administration", None]
+    assert [r[0] for r in codes.select(fd.sic_division(F.col("c"))).collect()] == [
+        "Agriculture", "Mining", "Manufacturing", "Retail Trade", "Public Administration", None
+    ]
 
 
 def test_gap_check(spark):
-    required = frame(spark, [(1, "2023-10-02", "2024-12-31"), (2, "2020-01-01", "2020-04-03"), (3, "2020-01-01", "2020-02-01")], "ticker int, start_date date, end_date date")
+    required = frame(
+        spark, [(1, "2023-10-02", "2024-12-31"), (2, "2020-01-01", "2020-04-03"), (3, "2020-01-01", "2020-02-01")],
+        "ticker int, start_date date, end_date date"
+    )
     panel = frame(spark, [(1, "2023-10-04"), (1, "2024-12-31"), (2, "2020-04-01"), (2, "2020-04-03")], "ticker int, date date")
     got = {r.ticker: (r.status, r.missing_start_days if r.actual_start else None) for r in ref.gap_check(required, panel, "daily").collect()}
     assert got == {1: ("complete", 2), 2: ("partial", 91), 3: ("missing", None)}
@@ -69,7 +78,9 @@ def test_intervals_round_trip(spark):
     rows = [(1, "2020-01-31"), (1, "2020-02-29"), (1, "2020-04-30"), (2, "2020-02-29"), (2, "2020-03-31"), (2, "2020-04-30")]
     daily = frame(spark, rows, "ticker int, date date")
     spans = ref.intervals(daily)
-    assert sorted(tuple(r) for r in spans.collect()) == [(1, D("2020-01-31"), D("2020-02-29")), (1, D("2020-04-30"), D("2020-04-30")), (2, D("2020-02-29"), D("2020-04-30"))]
+    assert sorted(tuple(r) for r in spans.collect()) == [
+        (1, D("2020-01-31"), D("2020-02-29")), (1, D("2020-04-30"), D("2020-04-30")), (2, D("2020-02-29"), D("2020-04-30"))
+    ]
     assert sorted(tuple(r) for r in ref.expanded(spans, daily.select("date").distinct()).collect()) == sorted((a, D(b)) for a, b in rows)
 
 
@@ -136,7 +147,10 @@ def test_upsert_is_idempotent(spark, tmp_path):
     schema = "ticker int, date date, v double, year int, seq long"
     src.upsert(spark, path, frame(spark, rows, schema), ["ticker", "date"], ["year"], str(tmp_path / "s0"))
     for i in range(2):
-        src.upsert(spark, path, frame(spark, [(1, "2021-01-31", 3.0, 2021, 1), (2, "2021-01-31", 4.0, 2021, 1)], schema), ["ticker", "date"], ["year"], str(tmp_path / f"s{i + 1}"))
+        src.upsert(
+            spark, path, frame(spark, [(1, "2021-01-31", 3.0, 2021, 1), (2, "2021-01-31", 4.0, 2021, 1)], schema), ["ticker", "date"],
+            ["year"], str(tmp_path / f"s{i + 1}")
+        )
     assert sorted((r.ticker, r.year, r.v) for r in spark.read.parquet(path).collect()) == [(1, 2020, 1.0), (1, 2021, 3.0), (2, 2021, 4.0)]
 
 
@@ -144,7 +158,9 @@ def test_stream_equals_batch(spark, tmp_path):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     folder = str(tmp_path / "events")
     events.repartition(3).write.parquet(folder)
-    stream = ingest.bars(ingest.read_events(spark, folder), lookback_days=60).writeStream.format("memory").queryName("bars").outputMode("complete").trigger(availableNow=True).start()
+    stream = ingest.bars(
+        ingest.read_events(spark, folder), lookback_days=60
+    ).writeStream.format("memory").queryName("bars").outputMode("complete").trigger(availableNow=True).start()
     stream.awaitTermination(120)
     key = lambda df: sorted((r.start, r.event_type, r.last_value, r.n) for r in df.collect())
     assert key(spark.table("bars")) == key(ingest.bars(events))
@@ -261,17 +277,24 @@ def test_residual_diagnostics(spark):
     jb = 80 / 6 * (s * s + k * k / 4)
     fit = design @ np.linalg.lstsq(design, e**2, rcond=None)[0]
     bp = 80 * (1 - ((e**2 - fit) ** 2).sum() / ((e**2 - (e**2).mean()) ** 2).sum())
-    assert (got.durbin_watson, got.jarque_bera, got.jb_p, got.breusch_pagan, got.bp_p) == pytest.approx((((np.diff(e)) ** 2).sum() / (e**2).sum(), jb, math.exp(-jb / 2), bp, math.exp(-bp / 2)))
+    assert (got.durbin_watson, got.jarque_bera, got.jb_p, got.breusch_pagan, got.bp_p) == pytest.approx((
+        ((np.diff(e)) ** 2).sum() / (e**2).sum(), jb, math.exp(-jb / 2), bp, math.exp(-bp / 2)
+    ))
 
 
 def test_expected_returns_caps_and_dates(spark):
     rates = frame(spark, [("2020-01-31", 1.2), ("2020-02-29", 1.2), ("2020-03-31", 2.4)], "date date, rate double")
-    betas = frame(spark, [(1, "2020-02-29", 3.2, -7.69), (2, "2020-02-15", 1.0, 1.0), (2, "2020-03-31", 2.0, -1.0)], "ticker int, date date, beta_market double, beta_score double")
+    betas = frame(
+        spark, [(1, "2020-02-29", 3.2, -7.69), (2, "2020-02-15", 1.0, 1.0), (2, "2020-03-31", 2.0, -1.0)],
+        "ticker int, date date, beta_market double, beta_score double"
+    )
     premia = spark.createDataFrame([(0.01, 0.002)], "market double, score double")
     got = {(r.ticker, r.date): r for r in pf.expected_returns(betas, rates, premia).collect()}
     assert set(got) == {(1, D("2020-01-31")), (1, D("2020-02-29")), (1, D("2020-03-31")), (2, D("2020-02-29")), (2, D("2020-03-31"))}
     first = got[1, D("2020-01-31")]
-    assert (first.beta_market, first.beta_score, first.beta_market_capped, first.beta_score_capped) == (3.2, -7.69, 3.0, -5.0) and first.beta_date == D("2020-02-29")
+    assert (
+        first.beta_market, first.beta_score, first.beta_market_capped, first.beta_score_capped
+    ) == (3.2, -7.69, 3.0, -5.0) and first.beta_date == D("2020-02-29")
     assert first.er_monthly == pytest.approx(0.001 + 3 * 0.01 - 5 * 0.002) and first.er_annual == pytest.approx((1 + first.er_monthly) ** 12 - 1)
     assert got[2, D("2020-02-29")].beta_market == 1.0 and got[2, D("2020-03-31")].beta_market == 2.0
     constant = [r.beta_market for r in pf.expected_returns(betas, rates, premia, constant=True).where("ticker = 2").collect()]
@@ -284,10 +307,16 @@ def test_portfolios_against_matrices(spark):
     rng = np.random.default_rng(5)
     n = 30
     x = rng.normal(size=(4, n)) * 0.05
-    returns = spark.createDataFrame([(t, d, float(x[t, i])) for t in range(4) for i, d in enumerate(months(n)) if not (t == 1 and i == 3)], "ticker long, date date, ret double")
+    returns = spark.createDataFrame(
+        [(t, d, float(x[t, i])) for t in range(4) for i, d in enumerate(months(n)) if not (t == 1 and i == 3)],
+        "ticker long, date date, ret double"
+    )
     w, b, e = np.array([0.5, 0.3, 0.2]), np.array([0.25, 0.25, 0.25, 0.25]), np.array([1.0, -2.0, 0.0, 4.0])
     weights = spark.createDataFrame([("p", t, float(w[t])) for t in range(3)], "portfolio string, ticker long, weight double")
-    got = pf.evaluate(weights, returns, 0.001, spark.createDataFrame([(0, 1.0), (1, -2.0), (3, 4.0)], "ticker long, exposure double"), spark.createDataFrame([(t, 0.25) for t in range(4)], "ticker long, weight double")).first()
+    got = pf.evaluate(
+        weights, returns, 0.001, spark.createDataFrame([(0, 1.0), (1, -2.0), (3, 4.0)], "ticker long, exposure double"),
+        spark.createDataFrame([(t, 0.25) for t in range(4)], "ticker long, weight double")
+    ).first()
     full = np.delete(x[:3], 3, axis=1)
     s = np.cov(full)
     mean = np.array([x[0].mean(), np.delete(x[1], 3).mean(), x[2].mean()])
@@ -314,7 +343,9 @@ def test_covariance_over_blocks(spark):
 def test_james_stein(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(5, 40)) * 0.03 + np.array([[0.02], [0.0], [0.01], [-0.01], [0.03]])
-    df = spark.createDataFrame([("u", t, d, float(x[t, i])) for t in range(5) for i, d in enumerate(months(40))], "u string, ticker long, date date, ret double")
+    df = spark.createDataFrame(
+        [("u", t, d, float(x[t, i])) for t in range(5) for i, d in enumerate(months(40))], "u string, ticker long, date date, ret double"
+    )
     mean, s = x.mean(axis=1), np.cov(x)
     d = mean - mean.mean()
     share = max(0.0, min(3 / (40 * d @ np.linalg.solve(s, d)), 1.0))
@@ -348,7 +379,9 @@ def test_units_names_and_numbers(spark):
 
 
 def test_membership_build_and_inventory(spark, tmp_path):
-    one, two = frame(spark, [("2020-01-31", 1), ("2020-02-29", 1)], "date date, ticker int"), frame(spark, [("2020-02-29", 1), ("2020-02-29", 2)], "date date, ticker int")
+    one, two = frame(
+        spark, [("2020-01-31", 1), ("2020-02-29", 1)], "date date, ticker int"
+    ), frame(spark, [("2020-02-29", 1), ("2020-02-29", 2)], "date date, ticker int")
     path = str(tmp_path / "members")
     assert src.build_membership(spark, path, one).first().rows == 2
     merged = src.build_membership(spark, path, two).first()
@@ -363,7 +396,9 @@ def test_sliding_windows_and_spells_on_a_stream(spark, tmp_path):
     folder = str(tmp_path / "events")
     events.repartition(3).write.parquet(folder)
     for name, f, columns in (("sliding", ingest.rolling_coverage, ("start", "event_type", "n")), ("spells", ingest.spells, ("start", "end", "user_id", "n"))):
-        query = f(ingest.read_events(spark, folder, files_a_batch=None), lookback_days=60).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+        query = f(
+            ingest.read_events(spark, folder, files_a_batch=None), lookback_days=60
+        ).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
         query.awaitTermination(120)
         key = lambda df, columns=columns: sorted(tuple(r[c] for c in columns) for r in df.collect())
         assert key(spark.table(name)) == key(f(events)) and spark.table(name).count() > 0
