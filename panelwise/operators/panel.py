@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import month_end
+
 OVER = "over (partition by ticker order by date)"
 #: Cells that a group's values are counted in before they are ranked.
 CELLS = 4096
@@ -38,7 +40,7 @@ def lag_rows(df: DataFrame, columns: list[str], k: int, by: str = "ticker") -> D
 
 def lag_months(df: DataFrame, columns: list[str], k: int) -> DataFrame:
     """Columns as of k calendar months before, by a self join on the shifted month end."""
-    past = df.select("ticker", F.last_day(F.add_months("date", k)).alias("date"), *columns)
+    past = df.select("ticker", month_end(F.add_months("date", k)).alias("date"), *columns)
     return df.drop(*columns).join(past, ["ticker", "date"])
 
 

@@ -71,27 +71,31 @@ def beta_stability(betas: DataFrame) -> DataFrame:
 
 
 def static_ols(df: DataFrame, y: str, x: str, least: int = 24) -> DataFrame:
-    """ticker, n, beta, alpha, r_squared; these are null with fewer than `least` rows."""
+    """ticker, n, beta, alpha, r_squared and the slope's t; all but n are null with fewer than `least` rows."""
     fit = {"beta": f"regr_slope({y}, {x})", "alpha": f"regr_intercept({y}, {x})", "r_squared": f"regr_r2({y}, {x})"}
     by = df.where(f"{y} is not null and {x} is not null").groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), *(F.expr(e).alias(c) for c, e in fit.items()))
-    return by.withColumns({c: F.when(F.col("n") >= least, F.col(c)) for c in fit})
+    by = by.withColumns({c: F.when(F.col("n") >= least, F.col(c)) for c in fit})
+    return by.withColumn("t_stat", F.expr("sign(beta) * sqrt(r_squared * (n - 2) / nullif(1 - r_squared, 0))"))
 
 
 def change_beta_outcomes(universe: DataFrame, excess: DataFrame, scores: DataFrame, column: str, least: int = 24) -> DataFrame:
-    """ticker, outcome, n, beta of every name: excess returns on the score's change ratio to the row before.
+    """ticker, outcome, n, beta, t_stat of every name: excess returns on the score's change ratio to the row before.
 
     outcome is no price, no score, insufficient (fewer than `least` common rows) or success.
     """
-    change = scores.withColumn(
-        "chg", F.expr(f"{column} / nullif(lag({column}) over (partition by ticker order by date), 0) - 1")
-    ).where("chg is not null").select("ticker", "date", "chg")
-    fit = static_ols(excess.join(change, ["ticker", "date"]), "excess", "chg", least)
+    change = scores.withColumn("chg", F.expr(f"{column} / nullif(lag({column}) over (partition by ticker order by date), 0) - 1"))
+    fit = static_ols(excess.join(change.where("chg is not null").select("ticker", "date", "chg"), ["ticker", "date"]), "excess", "chg", least)
     has = lambda df, name: df.select("ticker").distinct().withColumn(name, F.lit(True))
-    rows = universe.join(has(excess, "priced"), "ticker", "left").join(has(scores, "scored"), "ticker", "left").join(
-        fit.select("ticker", "n", "beta"), "ticker", "left"
-    ).na.fill(0, ["n"])
+    rows = universe.join(has(excess, "priced"), "ticker", "left").join(has(scores, "scored"), "ticker", "left")
+    rows = rows.join(fit.select("ticker", "n", "beta", "t_stat"), "ticker", "left").na.fill(0, ["n"])
     outcome = F.when(F.col("priced").isNull(), "no price").when(F.col("scored").isNull(), "no score").when(F.col("n") < least, "insufficient").otherwise("success")
-    return rows.select("ticker", outcome.alias("outcome"), "n", "beta")
+    return rows.select("ticker", outcome.alias("outcome"), "n", "beta", "t_stat")
+
+
+def beta_shares(outcomes: DataFrame) -> DataFrame:
+    """One row: successes, mean beta, shares that are positive and significant at 5%, of the outcomes that succeeded."""
+    done = outcomes.where("outcome = 'success'")
+    return done.agg(F.count(F.lit(1)).alias("n"), F.avg("beta").alias("mean"), F.expr("avg(if(beta > 0, 1.0D, 0.0D))").alias("positive"), F.expr("avg(if(abs(t_stat) > 1.96, 1.0D, 0.0D))").alias("significant"))
 
 
 def two_factor(df: DataFrame, y: str, x1: str, x2: str, window: int | None = None, least: int = 24) -> DataFrame:

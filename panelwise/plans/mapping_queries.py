@@ -159,11 +159,27 @@ LEFT JOIN (SELECT e.ticker, count(*) AS n, CASE WHEN count(*) >= 24 THEN regr_sl
 JOIN (SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS chg FROM sc
 WHERE ESG > 70) s ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY 1) USING (ticker)""")
 def f12_outcomes(p: Panels):
+    return rounded(_score_betas(p), "ticker", "outcome", "n", "beta:5")
+
+
+def _score_betas(p: Panels):
     universe = p.table("supplier").select(F.col("s_suppkey").alias("ticker"))
-    return rounded(
-        rg.change_beta_outcomes(universe, p.excess, p.scores.where("ESG > 70").select("ticker", "date", "ESG"), "ESG"), "ticker", "outcome",
-        "n", "beta:5"
-    )
+    return rg.change_beta_outcomes(universe, p.excess, p.scores.where("ESG > 70").select("ticker", "date", "ESG"), "ESG")
+
+
+@query("""SELECT count(*) AS n, round(avg(b), 5) AS mean, round(avg(CASE WHEN b > 0 THEN 1.0 ELSE 0.0 END), 6) AS positive,
+round(avg(CASE WHEN abs(r) * sqrt((n - 2) / (1 - r * r)) > 1.96 THEN 1.0 ELSE 0.0 END), 6) AS significant FROM (
+    SELECT e.ticker, count(*) AS n, regr_slope(e.excess, s.chg) AS b, corr(e.excess, s.chg) AS r FROM exc e JOIN (
+        SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS chg FROM sc) s
+    ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY 1 HAVING count(*) >= 24)""")
+def f12_beta_shares(p: Panels):
+    universe = p.table("supplier").select(F.col("s_suppkey").alias("ticker"))
+    return rounded(rg.beta_shares(rg.change_beta_outcomes(universe, p.excess, p.scores.select("ticker", "date", "ESG"), "ESG")), "n", "mean:5", "positive:6", "significant:6")
+
+
+@query("SELECT ticker, min(date) AS date, round(arg_min(adj_close, date), 6) AS adj_close FROM px GROUP BY ticker")
+def h6_keep_first(p: Panels):
+    return rounded(src.keep_first(p.prices, ["ticker"], "date"), "ticker", "date", "adj_close:6")
 
 
 @query(_FIVE + """, w AS (SELECT e.ticker, e.date, count(*) OVER v AS n, regr_slope(e.excess, f.factor) OVER v AS beta, regr_intercept(e.excess,
