@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_end
 
 OVER = "over (partition by ticker order by date)"
-#: Cells that a group's values are counted in before they are ranked.
-CELLS = 4096
+#: Cells that numbers are counted in before they are ranked, for each unit of their logarithm.
+CELLS = 1024
 #: Names of one block of the pairwise covariance.
 NAMES = 64
 
@@ -129,24 +129,16 @@ def _back(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
 def percentile_rank(df: DataFrame, column: str, by: str = "date", out: str = "pct") -> DataFrame:
     """Rank over count with average ranks for ties.
 
-    Rows are counted by value first and values by coarse cells of their order, so
-    the running count of a group is over its few cells, then within each cell.
+    A group's numbers are counted in cells of about a thousandth of their size;
+    running counts are over these, ranks within them, so no task sorts a group.
     """
-    keys = _keys(by)
-    rows = df.where(F.col(column).isNotNull())
-    ends = rows.groupBy(*keys).agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
-    cell = F.expr(f"cast(floor(({column} - _low) / nullif(_high - _low, 0) * {CELLS - 1}) as int)")
-    counts = _back(
-        rows.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n")), ends, keys
-    ).select(*keys, column, "_n", F.coalesce(cell, F.lit(0)).alias("_cell"))
-    cells = counts.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_in"))
-    cells = cells.withColumn(
-        "_before", F.expr(f"sum(_in) over (partition by {by} order by _cell) - _in")
-    ).withColumn("_all", F.expr(f"sum(_in) over (partition by {by})"))
-    placed = _back(counts, cells.select(*keys, "_cell", "_before", "_all"), [*keys, "_cell"])
-    running = F.expr(f"_before + sum(_n) over (partition by {by}, _cell order by {column})")
-    ranks = placed.withColumn("_upto", running).select(*keys, column, F.expr("(_upto - (_n - 1) / 2.0D) / _all").alias("_pct"))
-    return _back(rows, ranks, [*keys, column]).withColumn(out, F.col("_pct")).drop("_pct")
+    keys, order = _keys(by), f"partition by {by}, _cell order by {column}"
+    rows = df.where(F.col(column).isNotNull()).withColumn("_cell", F.expr(f"cast(floor(sign({column}) * ln(1 + abs({column})) * {CELLS}) as bigint)"))
+    cells = rows.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_in"))
+    cells = cells.withColumn("_before", F.expr(f"sum(_in) over (partition by {by} order by _cell) - _in")).withColumn("_all", F.expr(f"sum(_in) over (partition by {by})"))
+    placed = _back(rows, cells.drop("_in"), [*keys, "_cell"])
+    rank = f"_before + rank() over ({order}) + (count(1) over ({order} range between current row and current row) - 1) / 2.0D"
+    return placed.withColumn(out, F.expr(f"({rank}) / _all")).drop("_cell", "_before", "_all")
 
 
 def zscore(df: DataFrame, column: str, by: str = "date", out: str = "z", sample: bool = False) -> DataFrame:
