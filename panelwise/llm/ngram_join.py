@@ -251,7 +251,7 @@ def _across(percent: int, best: bool):
         side, n = np.array(side), np.array(n)
         labels = np.unique(np.array(label, dtype=object), return_inverse=True)[1]
         profiles = np.frombuffer(b"".join(profile), dtype=np.uint8).reshape(-1, PROFILE).astype(np.int16)
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         found, nearest = [], {}
         for x in left:
             ok = right[(labels[right] != labels[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
@@ -299,7 +299,8 @@ def _across_labels(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> Da
 
     One of any two members under different labels is not of the group's most
     common label. Those (side 0) meet all members (side 1), both in blocks, so a
-    large group of one label and few outliers costs about a row a member.
+    large group of one label and few outliers costs about a row a member. Where
+    a member's two blocks meet it is there once, on both sides (2).
     """
     marked = shared.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("token", "sid", "probe", F.coalesce("root", "sid").alias("label"))
     sizes = marked.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -309,8 +310,9 @@ def _across_labels(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> Da
     blocks = F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("others")
     members = marked.where("probe <> sid").join(groups.select("token", "main", *blocks), "token").join(nodes.select("sid", "n", "profile"), "sid")
     own = "pmod(hash(sid), {})".format
-    every = f"transform(sequence(0, others - 1), j -> named_struct('i', {own('blocks')}, 'j', j, 'side', 1))"
-    other = f"if(label = main, cast(array() as array<struct<i: int, j: int, side: int>>), transform(sequence(0, blocks - 1), i -> named_struct('i', i, 'j', {own('others')}, 'side', 0)))"
+    every = f"transform(sequence(0, others - 1), j -> named_struct('i', {own('blocks')}, 'j', j, 'side', if(label <> main and j = {own('others')}, 2, 1)))"
+    away = f"filter(sequence(0, blocks - 1), i -> label <> main and i <> {own('blocks')})"
+    other = f"transform({away}, i -> named_struct('i', i, 'j', {own('others')}, 'side', 0))"
     placed = members.withColumn("at", F.explode(F.expr(f"concat({every}, {other})"))).select("token", "at.*", "sid", "label", "n", "profile")
     return placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 

@@ -19,15 +19,15 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read again, so that a lost executor costs no earlier work.
+def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
+    """df written to the shared folder and read again, so that a lost executor costs no earlier work. Tables of texts are worth zstd.
 
     What is read may be part of a caller's lazy result, so tables stay until the
     caller calls clear().
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/panelwise/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
