@@ -52,5 +52,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        docs = stored(stage(spark, docs, sf_dir), "zstd")
     return STAGES[-1][1](spark, docs, sf_dir)
