@@ -29,7 +29,7 @@ from .scratch import stored
 from .textkernel import U, Words, ngrams, slices, stretches
 
 #: Text of one piece, and of what is hashed at once.
-PIECE_BYTES, PART_BYTES = 8 << 20, 2 << 20
+PIECE_BYTES, PART_BYTES = 8 << 20, 1 << 20
 #: Text whose hashes fall into one range, and the least number of ranges. A range is counted in SPLITS steps: what bounds a task's memory.
 RANGE_BYTES, LEAST_RANGES, SPLITS = 128 << 20, 64, 8
 
