@@ -40,11 +40,11 @@ def _met(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFram
 
 
 def in_relations(rows: DataFrame, relations: list[DataFrame], on: list[str], out: str = "pattern") -> DataFrame:
-    """rows with a column of bits: bit i is set where relations[i] has their key."""
+    """rows with a column of bits: bit i is set where relations[i] has their key. Each relation's split is stored, so that the next reads it once."""
     rows = rows.withColumn(out, F.lit(0))
     for bit, ids in enumerate(relations):
         inside = _met(rows, ids, on, "left_semi").withColumn(out, F.col(out) + F.lit(1 << bit))
-        rows = inside.unionByName(_met(rows, ids, on, "left_anti"))
+        rows = stored(inside.unionByName(_met(rows, ids, on, "left_anti")))
     return rows
 
 
