@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_end
+from .ranks import back, keys_of, percentile_rank, quantile_bucket
 
 OVER = "over (partition by ticker order by date)"
-#: Cells that numbers are counted in before they are ranked, for each unit of their logarithm.
-CELLS = 1024
 #: Names of one block of the pairwise covariance.
 NAMES = 64
 
@@ -98,11 +97,17 @@ def formation_ranks(scored: DataFrame) -> DataFrame:
     return ranked.withColumn("pctrank", F.col("pct") * 100).drop("pct")
 
 
+def compounded(factor: str, over: str = "") -> str:
+    """SQL of the product of a factor over a group or window: logarithms of sizes, the count of negative ones and whether one is 0."""
+    sign = f"if(count_if({factor} < 0) {over} % 2 = 1, -1, 1)"
+    return f"if(count_if({factor} = 0) {over} > 0, 0.0D, {sign} * exp(coalesce(sum(ln(nullif(abs({factor}), 0))) {over}, 0.0D)))"
+
+
 def drawdowns(returns: DataFrame) -> DataFrame:
-    """Cumulative return, running maximum of wealth and drawdown of each row."""
-    grown = returns.withColumn("wealth", F.expr(f"exp(sum(ln(1 + ret)) {OVER})"))
+    """Cumulative return, running maximum of wealth and drawdown of each row; a return of -1 loses all for good, and a drawdown from a peak of 0 is null."""
+    grown = returns.withColumn("wealth", F.expr(compounded("(1 + ret)", OVER)))
     grown = grown.withColumn("peak", F.expr(f"max(wealth) {OVER}"))
-    return grown.withColumn("cumulative", F.col("wealth") - 1).withColumn("drawdown", F.col("wealth") / F.col("peak") - 1)
+    return grown.withColumn("cumulative", F.col("wealth") - 1).withColumn("drawdown", F.expr("wealth / nullif(peak, 0) - 1"))
 
 
 def rolling_stats(returns: DataFrame, window: int = 12) -> DataFrame:
@@ -115,52 +120,19 @@ def rolling_stats(returns: DataFrame, window: int = 12) -> DataFrame:
     return df.withColumn("roll_sharpe", F.expr("roll_mean / nullif(roll_std, 0) * sqrt(12)")).withColumn("roll_vol", F.expr("roll_std * sqrt(12)"))
 
 
-def _keys(by: str) -> list[str]:
-    return by.split(", ")
-
-
-def _back(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
-    """df with the columns of stats, a row a key; null keys meet null keys. Spark broadcasts stats where it is small, so the panel is not dealt by date."""
-    renamed = stats.select(*(F.col(k).alias(f"_key_{k}") for k in keys), *(c for c in stats.columns if c not in keys))
-    on = [df[k].eqNullSafe(renamed[f"_key_{k}"]) for k in keys]
-    return df.join(renamed, on).drop(*(f"_key_{k}" for k in keys))
-
-
-def percentile_rank(df: DataFrame, column: str, by: str = "date", out: str = "pct") -> DataFrame:
-    """Rank over count with average ranks for ties.
-
-    A group's numbers are counted in cells of about a thousandth of their size;
-    running counts are over these, ranks within them, so no task sorts a group.
-    """
-    keys, order = _keys(by), f"partition by {by}, _cell order by {column}"
-    rows = df.where(F.col(column).isNotNull()).withColumn("_cell", F.expr(f"cast(floor(sign({column}) * ln(1 + abs({column})) * {CELLS}) as bigint)"))
-    cells = rows.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_in"))
-    cells = cells.withColumn("_before", F.expr(f"sum(_in) over (partition by {by} order by _cell) - _in")).withColumn("_all", F.expr(f"sum(_in) over (partition by {by})"))
-    placed = _back(rows, cells.drop("_in"), [*keys, "_cell"])
-    rank = f"_before + rank() over ({order}) + (count(1) over ({order} range between current row and current row) - 1) / 2.0D"
-    return placed.withColumn(out, F.expr(f"({rank}) / _all")).drop("_cell", "_before", "_all")
-
-
 def zscore(df: DataFrame, column: str, by: str = "date", out: str = "z", sample: bool = False) -> DataFrame:
     """Population form divides by 1 where the deviation is 0; the sample form is 0 there."""
-    keys = _keys(by)
+    keys = keys_of(by)
     stats = df.groupBy(*keys).agg(F.avg(column).alias("_mean"), F.expr(f"stddev_{'samp' if sample else 'pop'}({column})").alias("_dev"))
     formula = f"if(coalesce(_dev, 0) > 0, ({column} - _mean) / nullif(_dev, 0), 0.0D)" if sample else f"({column} - _mean) / coalesce(nullif(_dev, 0), 1)"
-    return _back(df, stats, keys).withColumn(out, F.expr(formula)).drop("_mean", "_dev")
-
-
-def quantile_bucket(df: DataFrame, column: str, q: int = 10, by: str = "date", out: str = "bucket") -> DataFrame:
-    """Bucket 1..q by interpolated quantile edges, closed on the right."""
-    points = ", ".join(f"{i / q!r}D" for i in range(1, q))
-    edges = df.groupBy(*_keys(by)).agg(F.expr(f"percentile({column}, array({points}))").alias("_edges"))
-    return _back(df, edges, _keys(by)).withColumn(out, F.expr(f"1 + size(filter(_edges, e -> e < {column}))")).drop("_edges")
+    return back(df, stats, keys).withColumn(out, F.expr(formula)).drop("_mean", "_dev")
 
 
 def size_weights(prices: DataFrame) -> DataFrame:
     """price * volume over its date's sum; equal weights where the sum is 0."""
     df = prices.withColumn("_v", F.expr("greatest(coalesce(nullif(adj_close * adj_volume, 0), 0), 0)"))
     sums = df.groupBy("date").agg(F.sum("_v").alias("_sum"), F.count(F.lit(1)).alias("_n"))
-    return _back(df, sums, ["date"]).withColumn("weight", F.expr("if(_sum > 0, _v / nullif(_sum, 0), 1.0D / _n)")).drop("_v", "_sum", "_n")
+    return back(df, sums, ["date"]).withColumn("weight", F.expr("if(_sum > 0, _v / nullif(_sum, 0), 1.0D / _n)")).drop("_v", "_sum", "_n")
 
 
 def long_signals(scores: DataFrame, columns: list[str]) -> DataFrame:

@@ -164,7 +164,7 @@ def f12_outcomes(p: Panels):
 
 def _score_betas(p: Panels):
     universe = p.table("supplier").select(F.col("s_suppkey").alias("ticker"))
-    return rg.change_beta_outcomes(universe, p.excess, p.scores.where("ESG > 70").select("ticker", "date", "ESG"), "ESG")
+    return rg.change_beta_outcomes(universe, p.excess, p.joint.scores.where("ESG > 70").select("ticker", "date", "ESG"), "ESG")
 
 
 @query("""SELECT count(*) AS n, round(avg(b), 5) AS mean, round(avg(CASE WHEN b > 0 THEN 1.0 ELSE 0.0 END), 6) AS positive,
@@ -174,7 +174,7 @@ round(avg(CASE WHEN abs(r) * sqrt((n - 2) / (1 - r * r)) > 1.96 THEN 1.0 ELSE 0.
     ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY 1 HAVING count(*) >= 24)""")
 def f12_beta_shares(p: Panels):
     universe = p.table("supplier").select(F.col("s_suppkey").alias("ticker"))
-    return rounded(rg.beta_shares(rg.change_beta_outcomes(universe, p.excess, p.scores.select("ticker", "date", "ESG"), "ESG")), "n", "mean:5", "positive:6", "significant:6")
+    return rounded(rg.beta_shares(rg.change_beta_outcomes(universe, p.excess, p.joint.scores.select("ticker", "date", "ESG"), "ESG")), "n", "mean:5", "positive:6", "significant:6")
 
 
 @query("SELECT ticker, min(date) AS date, round(arg_min(adj_close, date), 6) AS adj_close FROM px GROUP BY ticker")
@@ -329,7 +329,7 @@ def f28_lag_sensitivity(p: Panels):
 
 @query()
 def f30_fixed_effects(p: Panels):
-    panel = p.excess.join(p.scores.select("ticker", "date", "ESG"), ["ticker", "date"]).groupBy("ticker", F.year("date").alias("year")).agg(
+    panel = p.excess.join(p.joint.scores.select("ticker", "date", "ESG"), ["ticker", "date"]).groupBy("ticker", F.year("date").alias("year")).agg(
         F.avg("excess").alias("excess"), F.avg("ESG").alias("ESG"), F.avg("mkt_excess").alias("mkt")
     )
     return rounded(rg.two_way_effects(panel, "excess", ["ESG"]), "term", "coef:8", "std_error:8", "n")

@@ -8,6 +8,7 @@ from ..functions import dates as fd
 from ..functions.pvalues import p_value_f, p_value_t
 from ..operators import panel as op
 from ..operators import portfolio as pf
+from ..operators import ranks
 from ..operators import regression as rg
 from ..sources import panels as src
 from ..streaming import ingest
@@ -201,7 +202,7 @@ def _legs(df):
 
 @query(_EQUAL)
 def f1_long_short(p: Panels):
-    return _legs(op.long_short(p.excess, op.long_signals(p.scores, _SIGNALS)))
+    return _legs(op.long_short(p.excess, op.long_signals(p.joint.scores, _SIGNALS)))
 
 
 _W = """(SELECT ticker, date, lag(w) OVER (PARTITION BY ticker ORDER BY date) AS w
@@ -210,12 +211,12 @@ FROM (SELECT ticker, date, adj_close * adj_volume / sum(adj_close * adj_volume)
 
 @query(_LS.format(lag=1, extra="coalesce(v.w, 0) AS w, 0 AS sector", join=f"LEFT JOIN {_W} v ON v.ticker = l.ticker AND v.date = l.date", by="signal, date"))
 def d3_value_weighted_legs(p: Panels):
-    return _legs(op.long_short(p.excess, op.long_signals(p.scores, _SIGNALS), weights=op.size_weights(p.prices)))
+    return _legs(op.long_short(p.excess, op.long_signals(p.joint.scores, _SIGNALS), weights=op.size_weights(p.joint.prices)))
 
 
 @query(_LS.format(lag=1, extra="1.0 AS w, s.sector", join="LEFT JOIN sect s ON s.ticker = l.ticker", by="signal, date, sector"))
 def e8_sector_neutral_legs(p: Panels):
-    return _legs(op.long_short(p.excess, op.long_signals(p.scores, _SIGNALS), sectors=p.sectors))
+    return _legs(op.long_short(p.excess, op.long_signals(p.joint.scores, _SIGNALS), sectors=p.sectors))
 
 
 @query("""SELECT ticker, date, round((chg - avg(chg) OVER (PARTITION BY date)) / coalesce(nullif(stddev_pop(chg) OVER (PARTITION BY date), 0), 1),
@@ -280,9 +281,9 @@ def d11_factor_correlation(p: Panels):
 6) AS q25, round(quantile_cont(ret, 0.5), 6) AS median, round(quantile_cont(ret, 0.75), 6) AS q75, round(max(ret), 6) AS high FROM ret GROUP BY date""")
 def d12_describe(p: Panels):
     df = p.returns.groupBy("date").agg(
-        F.count("ret").alias("n"), F.avg("ret").alias("mean"), F.stddev_samp("ret").alias("std"), F.min("ret").alias("low"),
-        F.expr("percentile(ret, array(0.25D, 0.5D, 0.75D))").alias("q"), F.max("ret").alias("high")
+        F.count("ret").alias("n"), F.avg("ret").alias("mean"), F.stddev_samp("ret").alias("std"), F.min("ret").alias("low"), F.max("ret").alias("high")
     )
+    df = df.join(ranks.quantiles(p.returns, "ret", [0.25, 0.5, 0.75], out="q"), "date")
     return rounded(
         df.select("date", "n", "mean", "std", "low", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75"), "high"),
         "date", "n", "mean:6", "std:6", "low:6", "q25:6", "median:6", "q75:6", "high:6"
@@ -324,10 +325,10 @@ def j1_beta_p_values(p: Panels):
 count(*) FILTER (WHERE beta BETWEEN 0.9 AND 1.1) AS market_like, count(*) FILTER (WHERE beta > 1.1) AS high_risk
 FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM betas) WHERE n = 1""")
 def d13_beta_statistics(p: Panels):
-    last = pf.last_rows(rg.rolling_ols(p.excess, "excess", "mkt_excess"), 1)
-    df = last.agg(
-        F.count(F.lit(1)).alias("n"), F.avg("beta").alias("mean"), F.median("beta").alias("median"), F.stddev_pop("beta").alias("std"),
-        F.expr("percentile(beta, 0.25D)").alias("q25"), F.expr("percentile(beta, 0.75D)").alias("q75"),
+    last = src.stored(pf.last_rows(rg.rolling_ols(p.excess, "excess", "mkt_excess"), 1).select("beta", F.lit("all").alias("of")))
+    points = ranks.quantiles(last, "beta", [0.25, 0.5, 0.75], "of", "q").select("of", *(F.col("q")[i].alias(n) for i, n in enumerate(("q25", "median", "q75"))))
+    df = last.join(points, "of").groupBy("of", "q25", "median", "q75").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("beta").alias("mean"), F.stddev_pop("beta").alias("std"),
         F.count_if(F.col("beta") < 0.9).alias("low_risk"), F.count_if(F.col("beta").between(0.9, 1.1)).alias("market_like"),
         F.count_if(F.col("beta") > 1.1).alias("high_risk")
     )
@@ -434,7 +435,7 @@ def e13_size_weights(p: Panels):
     return rounded(op.size_weights(p.prices), "ticker", "date", "weight:8")
 
 
-_WEALTH = """, w AS (SELECT ticker, date, exp(sum(ln(1 + ret)) OVER (PARTITION BY ticker ORDER BY date)) AS wealth
+_WEALTH = """, w AS (SELECT ticker, date, product(1 + ret) OVER (PARTITION BY ticker ORDER BY date) AS wealth
 FROM ret), dd AS (SELECT *, max(wealth) OVER (PARTITION BY ticker ORDER BY date) AS peak FROM w) """
 
 
@@ -469,12 +470,12 @@ def e19_rolling_slope(p: Panels):
     )
 
 
-@query("""SELECT ticker, round(sum(ret), 6) AS ytd_sum, round(exp(sum(ln(1 + ret))) - 1, 6) AS ytd_compound
+@query("""SELECT ticker, round(sum(ret), 6) AS ytd_sum, round(product(1 + ret) - 1, 6) AS ytd_compound
 FROM (SELECT *, max(date) OVER (PARTITION BY ticker) AS last_date FROM ret) WHERE year(date) = year(last_date) GROUP BY ticker""")
 def e20_year_to_date(p: Panels):
     df = p.returns.withColumn("last_date", F.expr("max(date) over (partition by ticker)")).where("year(date) = year(last_date)")
     return rounded(
-        df.groupBy("ticker").agg(F.sum("ret").alias("ytd_sum"), (F.exp(F.sum(F.log1p("ret"))) - 1).alias("ytd_compound")), "ticker",
+        df.groupBy("ticker").agg(F.sum("ret").alias("ytd_sum"), F.expr(f"{op.compounded('(1 + ret)')} - 1").alias("ytd_compound")), "ticker",
         "ytd_sum:6", "ytd_compound:6"
     )
 
@@ -561,7 +562,7 @@ def f11_static_beta(p: Panels):
 JOIN (SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS chg
 FROM sc) s ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY e.ticker) WHERE n >= 24""")
 def f12_score_change_beta(p: Panels):
-    change = op.simple_returns(p.scores.select("ticker", "date", "ESG"), price="ESG", out="chg").select("ticker", "date", "chg")
+    change = op.simple_returns(p.joint.scores.select("ticker", "date", "ESG"), price="ESG", out="chg").select("ticker", "date", "chg")
     return rounded(rg.static_ols(p.excess.join(change, ["ticker", "date"]), "excess", "chg").where("n >= 24"), "ticker", "n", "beta:6")
 
 
@@ -627,7 +628,7 @@ def _premia(p: Panels):
 
 
 def _expected(p: Panels):
-    return pf.expected_returns(_two_betas(p), p.rates, _premia(p))
+    return pf.expected_returns(_two_betas(p), p.joint.rates, _premia(p))
 
 
 _ER_COLUMNS = "ticker, date, beta_date, round(beta_market, 5) AS beta_market, round(beta_score, 5) AS beta_score, round(bm, 5) AS beta_market_capped, round(be, 5) AS beta_score_capped, round(rf, 8) AS rf, round(er_monthly, 7) AS er_monthly, round(er_annual, 5) AS er_annual"
@@ -646,7 +647,7 @@ def f13_expected_returns(p: Panels):
     "FROM tm WHERE n >= 36)", "FROM tm WHERE n >= 36 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1)"
 ) + f"SELECT {_ER_COLUMNS} FROM er")
 def f13_constant_expected_returns(p: Panels):
-    return rounded(pf.expected_returns(_two_betas(p), p.rates, _premia(p), constant=True), *_ER_ROUNDED)
+    return rounded(pf.expected_returns(_two_betas(p), p.joint.rates, _premia(p), constant=True), *_ER_ROUNDED)
 
 
 @query(_ER.replace("{premia}", """0.5 * 0.005 + 0.5 * (SELECT avg(m.ret - f.rate / 1200) FROM mret m JOIN rf f ON m.date = f.date) AS market, 0.5 * (SELECT avg(factor) FROM fct
@@ -655,10 +656,10 @@ def f14_expected_return_pipeline(p: Panels):
     """Premia from history and sample, betas from a stored result table, expected returns of every month."""
     path = f"{ingest.work_folder(p.spark)}/betas"
     src.save_table(_two_betas(p), path)
-    market = p.market_returns.join(p.rates, "date").select(F.lit("mkt").alias("signal"), "date", (F.col("mkt") - F.col("rate") / 1200).alias("factor"))
+    market = p.joint.market_returns.join(p.joint.rates, "date").select(F.lit("mkt").alias("signal"), "date", (F.col("mkt") - F.col("rate") / 1200).alias("factor"))
     blended = pf.premia(market.unionByName(p.factors.where("signal = 'ESG'").select("signal", "date", "factor")), {"mkt": 0.005}, 0.5)
     one = blended.agg(F.expr("max(if(signal = 'mkt', premium, null))").alias("market"), F.expr("max(if(signal = 'ESG', premium, null))").alias("score"))
-    return rounded(pf.expected_returns(p.spark.read.parquet(path), p.rates, one), *_ER_ROUNDED)
+    return rounded(pf.expected_returns(p.spark.read.parquet(path), p.joint.rates, one), *_ER_ROUNDED)
 
 
 @query(_FIXED + """SELECT ticker, count(*) AS n, round(avg(er_monthly), 7) AS mean, round(min(er_annual), 5) AS low, round(max(er_annual), 5) AS high,

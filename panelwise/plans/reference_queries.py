@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as fd
 from ..operators import panel as op
 from ..operators import portfolio as pf
+from ..operators import ranks
 from ..operators import reference as ref
 from ..operators import regression as rg
 from ..sources import panels as src
@@ -270,8 +271,9 @@ def d37_completeness_patterns(p: Panels):
 @query("""SELECT max(n) AS most, min(n) AS least, round(median(n), 4) AS middle
 FROM (SELECT CAST(date_diff('day', DATE '1990-01-01', max(date)) AS DOUBLE) AS n FROM px GROUP BY ticker)""")
 def d33_last_date_spread(p: Panels):
-    last = ref.extents(p.prices).select(F.datediff("actual_end", F.lit("1990-01-01").cast("date")).cast("double").alias("n"))
-    return last.agg(F.max("n").alias("most"), F.min("n").alias("least"), F.round(F.median("n"), 4).alias("middle"))
+    last = ref.extents(p.prices).select(F.lit("all").alias("of"), F.datediff("actual_end", F.lit("1990-01-01").cast("date")).cast("double").alias("n"))
+    middle = ranks.quantiles(last, "n", [0.5], "of", "q").select("of", F.round(F.col("q")[0], 4).alias("middle"))
+    return last.groupBy("of").agg(F.max("n").alias("most"), F.min("n").alias("least")).join(middle, "of").drop("of")
 
 
 @query("""SELECT date, count(*) AS n, round(count(*) * 100.0 / (SELECT count(DISTINCT ticker) FROM px), 6) AS percent
@@ -283,7 +285,7 @@ def d33_last_date_distribution(p: Panels):
 @query("""SELECT date, round(avg(ESG), 6) AS mean, round(median(ESG), 6) AS median, round(quantile_cont(ESG, 0.25), 6) AS q25, round(quantile_cont(ESG, 0.75),
 6) AS q75 FROM sc GROUP BY date""")
 def d21_dispersion(p: Panels):
-    df = p.scores.groupBy("date").agg(F.avg("ESG").alias("mean"), F.expr("percentile(ESG, array(0.25D, 0.5D, 0.75D))").alias("q"))
+    df = p.scores.groupBy("date").agg(F.avg("ESG").alias("mean")).join(ranks.quantiles(p.scores, "ESG", [0.25, 0.5, 0.75], out="q"), "date")
     return rounded(
         df.select("date", "mean", F.col("q")[1].alias("median"), F.col("q")[0].alias("q25"), F.col("q")[2].alias("q75")), "date", "mean:6",
         "median:6", "q25:6", "q75:6"

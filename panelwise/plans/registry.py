@@ -38,7 +38,13 @@ ORDER BY date) AS g FROM md JOIN mdn USING (date)) GROUP BY ticker, g)
 
 
 class Panels:
-    """The derived panels of one folder; each is a lazy DataFrame."""
+    """The derived panels of one folder.
+
+    prices, market, rates, scores and returns are lazy scans of the fact table, which
+    filters and columns reach. Those of `joint` are ratios of one stored table of
+    sums, for queries that need several panels; excess and factors are stored
+    themselves, as later steps read them more than once.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -55,6 +61,15 @@ class Panels:
     daily = cached_property(lambda s: src.membership_daily(s.table("orders")))
     spans = cached_property(lambda s: ref.intervals(s.daily))
 
+    @cached_property
+    def joint(self) -> Panels:
+        """These panels, read from one pass over the fact table."""
+        sums, out = src.stored(src.panel_sums(self.table("lineitem"))), Panels(self.spark, self.folder)
+        for name, made in (("prices", src.prices_of), ("market", src.market_of), ("rates", src.rates_of), ("scores", src.scores_of)):
+            out.__dict__[name] = made(sums)
+        out.__dict__["joint"] = out
+        return out
+
     @cached_property
     def market_returns(self) -> DataFrame:
         # One row a month, so the unpartitioned window is small.
@@ -63,12 +78,13 @@ class Panels:
     @cached_property
     def excess(self) -> DataFrame:
         """ticker, date, ret, mkt, rf, excess, mkt_excess."""
-        df = op.excess_returns(self.returns.join(self.market_returns, "date"), self.rates)
-        return df.withColumn("rf", F.col("rate") / 1200).withColumn("mkt_excess", F.col("mkt") - F.col("rate") / 100 / 12).drop("rate")
+        own = self.joint
+        df = op.excess_returns(own.returns.join(own.market_returns, "date"), own.rates)
+        return src.stored(df.withColumn("rf", F.col("rate") / 1200).withColumn("mkt_excess", F.col("mkt") - F.col("rate") / 100 / 12).drop("rate"))
 
     @cached_property
     def factors(self) -> DataFrame:
-        return op.five_factors(self.excess, self.scores)
+        return src.stored(op.five_factors(self.excess, self.joint.scores))
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:

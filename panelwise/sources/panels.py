@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder in the cluster's spark.checkpoint.dir; where that is unset, as in tests, a local one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{shared}/{uuid.uuid4().hex}" if shared else "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written to a work folder and read again, for a panel that later steps read more than once; a lost executor costs no earlier work."""
+    path = f"{work_folder(df.sparkSession)}/panel"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -43,6 +61,33 @@ def scores(lineitem: DataFrame) -> DataFrame:
     return by.agg(e.alias("E"), s.alias("S"), g.alias("G")).withColumn("ESG", (F.col("E") + F.col("S") + F.col("G")) / 3)
 
 
+def panel_sums(lineitem: DataFrame) -> DataFrame:
+    """ticker, date and the sums of which prices, scores, market and rates are ratios: one pass over the fact table for all panels."""
+    by = lineitem.groupBy(F.col("l_suppkey").alias("ticker"), F.last_day("l_shipdate").alias("date"))
+    return by.agg(
+        F.sum("l_extendedprice").alias("paid"), F.sum("l_quantity").alias("quantity"), F.sum("l_tax").alias("tax"), F.count("l_tax").alias("taxed"),
+        F.sum("l_discount").alias("discount"), F.count("l_discount").alias("discounted"), F.count_if(F.col("l_returnflag") == "N").alias("kept"),
+        F.count_if(F.col("l_linestatus") == "O").alias("open"), F.count(F.lit(1)).alias("rows"),
+    )
+
+
+def prices_of(sums: DataFrame) -> DataFrame:
+    return sums.select("ticker", "date", (F.col("paid") / F.col("quantity")).alias("adj_close"), F.col("quantity").alias("adj_volume"))
+
+
+def market_of(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("date").agg((F.sum("paid") / F.sum("quantity")).alias("adj_close"))
+
+
+def rates_of(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("date").agg((100 * (F.sum("tax") / F.sum("taxed"))).alias("rate"))
+
+
+def scores_of(sums: DataFrame) -> DataFrame:
+    e, s, g = F.expr("1000 * (discount / nullif(discounted, 0))"), F.expr("100 * (double(kept) / rows)"), F.expr("100 * (double(open) / rows)")
+    return sums.select("ticker", "date", e.alias("E"), s.alias("S"), g.alias("G")).withColumn("ESG", (F.col("E") + F.col("S") + F.col("G")) / 3)
+
+
 def sectors(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     joined = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).join(region, nation["n_regionkey"] == region["r_regionkey"])
     return joined.select(F.col("s_suppkey").alias("ticker"), F.col("r_name").alias("sector"))

@@ -2,22 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.panels import upsert
-
-
-def work_folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's spark.checkpoint.dir; where that is unset, as in tests, a local one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and spark.sparkContext.master.split("[")[0] != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{shared}/{uuid.uuid4().hex}" if shared else "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+from ..sources.panels import upsert, work_folder  # noqa: F401
 
 
 def read_events(spark: SparkSession, folder: str, pattern: str = "*.parquet", files_a_batch: int | None = 1) -> DataFrame:
