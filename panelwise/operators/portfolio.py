@@ -84,15 +84,33 @@ def to_grand_mean(means: DataFrame, strength: float = 0.3) -> DataFrame:
     return means.crossJoin(means.agg(F.avg("mean").alias("_g"))).withColumn("bayes", (1 - strength) * F.col("mean") + strength * F.col("_g")).drop("_g")
 
 
+def _rolling_ewma(returns: DataFrame, window: int, keep: float) -> DataFrame:
+    """Weighted means of full windows by differences of scaled running sums.
+
+    A series is cut into blocks of `window` rows and its sums start anew in each,
+    weighted by keep to the power of minus the place, so that weights stay within
+    keep ** -window. A window is the end of one block and the start of the next:
+    a row costs the same whatever the window is.
+    """
+    by = "partition by ticker order by date"
+    rows = returns.where("ret is not null").select("ticker", "date", "ret").withColumn("_at", F.expr(f"row_number() over ({by}) - 1"))
+    rows = rows.withColumns({"_block": F.expr(f"_at div {window}"), "_place": F.expr(f"_at % {window}")}).withColumn("_x", F.expr(f"ret * pow({keep!r}D, -_place)"))
+    rows = rows.withColumns({
+        "_sum": F.expr("sum(_x) over (partition by ticker, _block order by date rows unbounded preceding)"), "_whole": F.expr("sum(_x) over (partition by ticker, _block)")
+    })
+    before = f"coalesce(lag(_whole, {window}) over ({by}) - lag(_sum, {window}) over ({by}), 0)"
+    weights = (1 - keep**window) / (1 - keep)
+    rows = rows.withColumn("estimate", F.expr(f"pow({keep!r}D, _place) * (_sum + {keep**window!r}D * {before}) / {weights!r}D * 12"))
+    return rows.where(F.col("_at") >= window - 1).select("ticker", "date", "estimate")
+
+
 def rolling_mean_returns(returns: DataFrame, window: int = 60, method: str = "historical") -> DataFrame:
     """ticker, date, estimate (annual) of each full window: the plain mean, or the exponentially weighted one of span window // 2."""
     over = f"over (partition by ticker order by date rows between {window - 1} preceding and current row)"
     if method == "historical":
         estimate = f"avg(ret) {over}"
     elif method == "ewma":
-        keep = 1 - 2 / (window // 2 + 1)
-        weighed = f"aggregate(collect_list(ret) {over}, named_struct('s', 0.0D, 'w', 0.0D), (a, x) -> named_struct('s', a.s * {keep!r}D + x, 'w', a.w * {keep!r}D + 1), a -> a.s / a.w)"
-        estimate = weighed
+        return _rolling_ewma(returns, window, 1 - 2 / (window // 2 + 1))
     else:
         raise ValueError(f"neither historical nor ewma: {method}")
     rows = returns.where("ret is not null").withColumn("_n", F.expr(f"count(1) {over}")).withColumn("estimate", F.expr(f"{estimate}") * 12)
@@ -106,11 +124,19 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def draws(ticker: int, resamples: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """The rows, of n, that each resample (a column of numbers) draws."""
+    key = _mixed((resamples * 7919 + ticker * 104729 + seed) % (1 << 31))
+    return _mixed(key ^ (np.arange(n, dtype=np.int64) * 1103515245 % (1 << 31))) % n
+
+
 def bootstrap(returns: DataFrame, resamples: int = 1000, confidence: float = 0.95, lookback: int | None = None, seed: int = 5) -> DataFrame:
     """ticker, mean, std_error, low, high (annual) over resamples of each ticker's rows; draws are a seeded hash, so reruns agree.
 
-    A ticker's history, or its last `lookback` rows, is one group and is drawn
-    from where it lies; null returns are left out.
+    The draw of a row is a mix of its own place and of a key mixed from ticker
+    and resample, so resamples share no draws, however long a history is. A
+    ticker's history, or its last `lookback` rows, is one group and is drawn from
+    where it lies; null returns are left out.
     """
     rows = (returns if lookback is None else last_rows(returns, lookback)).where("ret is not null")
     kind = dict(rows.dtypes)["ticker"]
@@ -122,8 +148,7 @@ def bootstrap(returns: DataFrame, resamples: int = 1000, confidence: float = 0.9
         step = max(1, (1 << 22) // n)
         for first in range(0, resamples, step):
             b = np.arange(first, min(first + step, resamples), dtype=np.int64)[:, None]
-            place = _mixed(((b * 1000 + np.arange(n)) * 7919 + own * 104729 + seed) % (1 << 31)) % n
-            means.append(rets[place].mean(axis=1) * 12)
+            means.append(rets[draws(own, b, n, seed)].mean(axis=1) * 12)
         m, tail = np.concatenate(means), (1 - confidence) / 2
         low, high = np.quantile(m, [tail, 1 - tail])
         return pd.DataFrame({"ticker": pdf["ticker"].iloc[:1], "mean": m.mean(), "std_error": m.std(ddof=1), "low": low, "high": high})

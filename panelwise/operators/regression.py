@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import stars
@@ -98,6 +98,17 @@ def beta_shares(outcomes: DataFrame) -> DataFrame:
     return done.agg(F.count(F.lit(1)).alias("n"), F.avg("beta").alias("mean"), F.expr("avg(if(beta > 0, 1.0D, 0.0D))").alias("positive"), F.expr("avg(if(abs(t_stat) > 1.96, 1.0D, 0.0D))").alias("significant"))
 
 
+def beta_extremes(fit: DataFrame, k: int = 10) -> DataFrame:
+    """list, place, ticker, beta, t_stat: the k largest and smallest betas and the k largest t statistics in size, ties to the smaller ticker. Rows without a beta go."""
+    out = None
+    known = fit.where("beta is not null")
+    for name, order in (("top", F.desc("beta")), ("bottom", F.asc("beta")), ("largest_t", F.desc_nulls_last(F.abs("t_stat")))):
+        best = known.orderBy(order, "ticker").limit(k)  # k rows, so that numbering them needs no partition
+        own = best.select(F.lit(name).alias("list"), F.row_number().over(Window.orderBy(order, "ticker")).alias("place"), "ticker", "beta", "t_stat")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def two_factor(df: DataFrame, y: str, x1: str, x2: str, window: int | None = None, least: int = 24) -> DataFrame:
     """ticker (and date, over a window of rows), n, alpha, beta_1, beta_2, r_squared, adj_r_squared by covariances."""
     df = df.where(f"{y} is not null and {x1} is not null and {x2} is not null")

@@ -528,11 +528,13 @@ def f6_two_factor_hac(p: Panels):
 @query(_FIVE + """, tf AS (SELECT e.ticker, e.date, e.excess AS y, e.mkt_excess AS x1, f.factor AS x2 FROM exc e JOIN (SELECT * FROM fct
 WHERE signal = 'ESG') f ON e.date = f.date),
 tm AS (SELECT ticker, date, count(*) OVER w AS n, covar_pop(x1, x2) OVER w AS c12, covar_pop(x1, y) OVER w AS c1y, covar_pop(x2, y) OVER w AS c2y,
-var_pop(x1) OVER w AS v1, var_pop(x2) OVER w AS v2 FROM tf WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW))
-SELECT ticker, date, round((c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12), 5) AS beta_1, round((c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12),
-5) AS beta_2 FROM tm WHERE n >= 36""")
+var_pop(x1) OVER w AS v1, var_pop(x2) OVER w AS v2, var_pop(y) OVER w AS vy, avg(y) OVER w AS my, avg(x1) OVER w AS m1, avg(x2) OVER w AS m2
+FROM tf WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW)),
+bb AS (SELECT *, (c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12) AS b1, (c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12) AS b2 FROM tm WHERE n >= 36)
+SELECT ticker, date, round(my - b1 * m1 - b2 * m2, 6) AS alpha, round(b1, 5) AS beta_1, round(b2, 5) AS beta_2,
+round((b1 * c1y + b2 * c2y) / vy, 5) AS r_squared FROM bb""")
 def f7_rolling_two_factor(p: Panels):
-    return rounded(rg.two_factor(_two_frame(p), "excess", "mkt_excess", "factor", 36, 36), "ticker", "date", "beta_1:5", "beta_2:5")
+    return rounded(rg.two_factor(_two_frame(p), "excess", "mkt_excess", "factor", 36, 36), "ticker", "date", "alpha:6", "beta_1:5", "beta_2:5", "r_squared:5")
 
 
 @query()
@@ -562,8 +564,54 @@ def f11_static_beta(p: Panels):
 JOIN (SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS chg
 FROM sc) s ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL GROUP BY e.ticker) WHERE n >= 24""")
 def f12_score_change_beta(p: Panels):
+    return rounded(rg.static_ols(_score_change(p), "excess", "chg").where("n >= 24"), "ticker", "n", "beta:6")
+
+
+_CHG = """, ch AS (SELECT e.ticker, e.date, e.excess, s.chg FROM exc e JOIN (SELECT ticker, date, ESG / nullif(lag(ESG) OVER (PARTITION BY ticker
+ORDER BY date), 0) - 1 AS chg FROM sc) s ON e.ticker = s.ticker AND e.date = s.date WHERE chg IS NOT NULL)"""
+
+
+def _score_change(p: Panels):
     change = op.simple_returns(p.joint.scores.select("ticker", "date", "ESG"), price="ESG", out="chg").select("ticker", "date", "chg")
-    return rounded(rg.static_ols(p.excess.join(change, ["ticker", "date"]), "excess", "chg").where("n >= 24"), "ticker", "n", "beta:6")
+    return p.excess.join(change, ["ticker", "date"])
+
+
+@query(_CHG + """SELECT ticker, date, round(beta, 5) AS beta, round(r, 5) AS correlation, n AS observations FROM (SELECT ticker, date, count(*) OVER w AS n,
+regr_slope(excess, chg) OVER w AS beta, corr(excess, chg) OVER w AS r FROM ch WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 35 PRECEDING AND CURRENT ROW))
+WHERE n >= 24""")
+def f12_rolling_change_beta(p: Panels):
+    """The rolling form: windows of up to 36 rows, 24 at least."""
+    return rounded(rg.rolling_ols(_score_change(p), "excess", "chg", 36, 24), "ticker", "date", "beta:5", "correlation:5", "observations")
+
+
+@query(_CHG + """, st AS (SELECT ticker, n, beta, sign(beta) * sqrt(r2 * (n - 2) / (1 - r2)) AS t FROM (SELECT ticker, count(*) AS n, regr_slope(excess, chg) AS beta,
+regr_r2(excess, chg) AS r2 FROM ch GROUP BY ticker HAVING count(*) >= 24)),
+rk AS (SELECT *, row_number() OVER (ORDER BY beta DESC, ticker) AS up, row_number() OVER (ORDER BY beta, ticker) AS down,
+row_number() OVER (ORDER BY abs(t) DESC, ticker) AS sure FROM st)
+SELECT 'top' AS list, up AS place, ticker, round(beta, 5) AS beta, round(t, 4) AS t_stat FROM rk WHERE up <= 10 UNION ALL
+SELECT 'bottom', down, ticker, round(beta, 5), round(t, 4) FROM rk WHERE down <= 10 UNION ALL SELECT 'largest_t', sure, ticker, round(beta, 5), round(t, 4) FROM rk WHERE sure <= 10""")
+def f12_extremes(p: Panels):
+    """The ten largest and smallest betas and the ten largest t statistics in size."""
+    return rounded(rg.beta_extremes(rg.static_ols(_score_change(p), "excess", "chg")), "list", "place", "ticker", "beta:5", "t_stat:4")
+
+
+@query()
+def f12_lowest_p(p: Panels):
+    """The ten betas of lowest p value, by Student's t with n - 2 degrees."""
+    fit = rg.static_ols(_score_change(p), "excess", "chg").where("n >= 24")
+    tested = fit.withColumn("p_value", p_value_t(F.col("t_stat"), F.col("n") - 2))
+    return rounded(tested.orderBy("p_value", "ticker").limit(10), "ticker", "n", "beta:5", "t_stat:4", "p_value:8")
+
+
+@query(_FIVE + """SELECT 'factor' AS kind, signal, date, round(factor, 6) AS value FROM fct WHERE date >= DATE '1999-01-01' UNION ALL
+SELECT 'long_leg', signal, date, round(long_leg, 6) FROM fct WHERE date >= DATE '1999-01-01' UNION ALL
+SELECT 'short_leg', signal, date, round(short_leg, 6) FROM fct WHERE date >= DATE '1999-01-01'""")
+def a14_stored_factors(p: Panels):
+    """Factors and legs saved as a result table and loaded from a date on."""
+    path = f"{ingest.work_folder(p.spark)}/factors"
+    src.save_table(p.factors, path)
+    loaded = src.date_range(p.spark.read.parquet(path), "1999-01-01")
+    return rounded(loaded.unpivot(["signal", "date"], ["factor", "long_leg", "short_leg"], "kind", "value"), "kind", "signal", "date", "value:6")
 
 
 @query(_FIVE + _TWO + """, rs AS (SELECT t.ticker, t.date, t.mkt_excess, t.factor, t.excess - w.alpha - w.beta_1 * t.mkt_excess - w.beta_2 * t.factor AS e FROM tf t
@@ -677,3 +725,12 @@ def d16_expected_return_summary(p: Panels):
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1""")
 def f15_contributions(p: Panels):
     return rounded(pf.contributions(_expected(p), _premia(p)), "ticker", "date", "rf_part:6", "market_part:5", "score_part:5")
+
+
+@query(_FIXED + """SELECT ticker, date, round(er_monthly, 7) AS er_monthly, round(er_annual, 5) AS er_annual FROM er
+QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1""")
+def a14_stored_expected_returns(p: Panels):
+    """Expected returns saved as a result table; the latest of each ticker loaded."""
+    path = f"{ingest.work_folder(p.spark)}/expected"
+    src.save_table(_expected(p), path)
+    return rounded(pf.latest(p.spark.read.parquet(path)), "ticker", "date", "er_monthly:7", "er_annual:5")

@@ -481,7 +481,7 @@ def _mixed_sql(h: str) -> str:
 
 
 @query(f""", hs AS (SELECT ticker, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS i, count(*) OVER (PARTITION BY ticker) AS n, ret FROM ret),
-dr AS (SELECT ticker, n, b, {_mixed_sql("((b * 1000 + i) * 7919 + ticker * 104729 + 5) % 2147483648")} % n AS i FROM hs CROSS JOIN (SELECT unnest(range(0, 1000)) AS b)),
+dr AS (SELECT ticker, n, b, {_mixed_sql(f"xor({_mixed_sql('((b * 7919 + ticker * 104729 + 5) % 2147483648)')}, (i * 1103515245) % 2147483648)")} % n AS i FROM hs CROSS JOIN (SELECT unnest(range(0, 1000)) AS b)),
 bm AS (SELECT d.ticker, d.b, sum(h.ret) / any_value(d.n) * 12 AS m FROM dr d JOIN hs h ON h.ticker = d.ticker AND h.i = d.i GROUP BY 1, 2)
 SELECT ticker, round(avg(m), 6) AS mean, round(stddev_samp(m), 6) AS std_error, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM bm GROUP BY ticker""")
 def d28_bootstrap(p: Panels):
@@ -541,11 +541,11 @@ def e18_rolling_ewma(p: Panels):
 
 @query("""SELECT ticker, round(power(1 + m, 12) - 1, 6) AS ann_return, round(s * sqrt(12), 6) AS ann_vol, round((m - f) / s * sqrt(12), 5) AS sharpe,
 round((m - f) * 12 / beta, 4) AS treynor, round(active / te * sqrt(12), 5) AS information, round((m - f) / down * sqrt(12), 5) AS sortino,
-round(abs(beta) * sm * sqrt(12), 6) AS systematic
+round(abs(beta) * sm * sqrt(12), 6) AS systematic, round(CASE WHEN n > 2 THEN sqrt(greatest(syy - beta * beta * sxx, 0) / (n - 1)) * sqrt(12) END, 5) AS residual
 FROM (SELECT ticker, avg(ret) AS m, stddev_samp(ret) AS s, avg(rf) AS f, regr_slope(ret, mkt) AS beta, stddev_samp(mkt) AS sm,
-stddev_samp(ret) FILTER (WHERE ret < rf) AS down, avg(ret - mkt) AS active, stddev_samp(ret - mkt) AS te FROM exc GROUP BY ticker)""")
+count(*) AS n, regr_syy(ret, mkt) AS syy, regr_sxx(ret, mkt) AS sxx, stddev_samp(ret) FILTER (WHERE ret < rf) AS down, avg(ret - mkt) AS active, stddev_samp(ret - mkt) AS te FROM exc GROUP BY ticker)""")
 def d34_performance(p: Panels):
-    return rounded(pf.performance(p.excess), "ticker", "ann_return:6", "ann_vol:6", "sharpe:5", "treynor:4", "information:5", "sortino:5", "systematic:6")
+    return rounded(pf.performance(p.excess), "ticker", "ann_return:6", "ann_vol:6", "sharpe:5", "treynor:4", "information:5", "sortino:5", "systematic:6", "residual:5")
 
 
 # Candidate portfolios: suppliers of a residue class, weights in unequal steps. The SQL's variance is over pairs of names, on the dates that all names have.
@@ -647,6 +647,14 @@ def k4_weekly_bars(p: Panels):
     return ref.period_bars(p.table("events"), "user_id", "value")
 
 
+@query("""SELECT s.event_type, s.date, last_value(b.value IGNORE NULLS) OVER (PARTITION BY s.event_type ORDER BY s.date) AS value
+FROM (SELECT event_type, last_day(CAST(unnest(generate_series(date_trunc('month', min(ts)), date_trunc('month', max(ts)), INTERVAL 1 MONTH)) AS DATE)) AS date
+FROM events GROUP BY event_type) s LEFT JOIN (SELECT event_type, last_day(CAST(ts AS DATE)) AS date,
+arg_max(value, CAST(epoch_us(ts) AS HUGEINT) * 1000000 + event_id) AS value FROM events GROUP BY 1, 2) b ON s.event_type = b.event_type AND s.date = b.date""", False)
+def k4_monthly_bars(p: Panels):
+    return ref.period_bars(p.table("events"), "event_type", "value", "month")
+
+
 @query("""SELECT event_type, ts AS start, n FROM (SELECT event_type, time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS ts, count(*) AS n
 FROM events GROUP BY 1, 2)""", False)
 def k4_tumbling_bars(p: Panels):
