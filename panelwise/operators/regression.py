@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import stars
 from ..functions.pvalues import incomplete_beta
+from ..sources.panels import stored
+from .ranks import back
 
 
 def rolling_sums(df: DataFrame, sums: dict[str, str], window: int, by: str = "ticker") -> DataFrame:
@@ -283,71 +287,134 @@ def residual_diagnostics(df: DataFrame, y: str, x1: str, x2: str) -> DataFrame:
     return out.select("ticker", "durbin_watson", (~F.col("durbin_watson").between(1.5, 2.5)).alias("dw_flag"), "jarque_bera", "jb_p", "breusch_pagan", "bp_p")
 
 
-def james_stein(panel: DataFrame, by: str, most: int = 500) -> DataFrame:
-    """by, ticker, mean, shrunk, intensity: each universe's means drawn to their grand mean.
-
-    A universe's means and covariances are aggregated on Spark; the N x N solve
-    runs on one universe a task, N being checked against `most`.
+def js_intensity(x: np.ndarray) -> float:
+    """Share by which the means of x (names, dates) are drawn to their grand mean: (N - 2) / (T d'S^-1 d) within [0, 1]; 0.5 where S is singular."""
+    n, t = x.shape
+    if n >= t:  # S has rank T - 1 at most
+        return 0.5
+    mean = x.mean(axis=1)
+    d, rest = mean - mean.mean(), x - mean[:, None]
+    s = rest @ rest.T / (t - 1)
+    try:
+        lower = np.linalg.cholesky(s)
+    except np.linalg.LinAlgError:
+        return 0.5
+    pivots = np.diagonal(lower)
+    if pivots.min() <= 1e-8 * pivots.max():
+        return 0.5
+    half = np.linalg.solve(lower, d)
+    below = t * half @ half
+    return 0.0 if below <= 0 else float(max(min((n - 2) / below, 1.0), 0.0))
+
+
+def james_stein(panel: DataFrame, by: str) -> DataFrame:
+    """by, ticker, mean, shrunk (annual), intensity: each universe's means drawn to their grand mean, over dates that all its names have.
+
+    Names (N) and complete dates (T) of a universe are counted first. With N >= T
+    the covariance is singular whatever the returns are, and nothing is solved;
+    else the universe's N x T returns are solved in one task, N being less than
+    its number of dates. Pairs of names are never formed. Universes without a
+    complete date give no rows; a ticker has one row a date.
     """
-    dates = panel.groupBy(by).agg(F.count_distinct("ticker").alias("_all"))
-    full = panel.join(dates, by).withColumn("_here", F.expr(f"count(1) over (partition by {by}, date)")).where("_here = _all")
-    a, b = full.select(
-        by, "date", F.col("ticker").alias("i"), F.col("ret").alias("x")
-    ), full.select(by, "date", F.col("ticker").alias("j"), F.col("ret").alias("y"))
-    cov = a.join(b, [by, "date"]).groupBy(by, "i", "j").agg(F.covar_samp("x", "y").alias("c"), F.avg("x").alias("m"), F.count(F.lit(1)).alias("t"))
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = np.sort(pdf["i"].unique())
-        if len(names) > most:
-            raise ValueError(f"a universe has {len(names)} members; at most {most} are solved in one task")
-        s = pdf.pivot(index="i", columns="j", values="c").loc[names, names].to_numpy()
-        mean = pdf.drop_duplicates("i").set_index("i").loc[names, "m"].to_numpy()
-        n, t, d = len(names), int(pdf["t"].iloc[0]), mean - mean.mean()
-        try:
-            below = t * d @ np.linalg.solve(s, d)
-            share = 0.0 if below <= 0 else min((n - 2) / below, 1.0)
-        except np.linalg.LinAlgError:
-            share = 0.5
-        share = max(share, 0.0)
-        return pd.DataFrame({
-            by: pdf[by].iloc[0], "ticker": names, "mean": mean * 12, "shrunk": ((1 - share) * mean + share * mean.mean()) * 12,
-            "intensity": share
-        })
-
+    rows = stored(panel.where("ret is not null").select(by, "ticker", "date", "ret"))
+    names = rows.groupBy(by).agg(F.count_distinct("ticker").alias("_names"))
+    full = back(rows.groupBy(by, "date").agg(F.count(F.lit(1)).alias("_here")), names, [by]).where("_here = _names").select(by, "date", "_names")
+    size = full.groupBy(by).agg(F.count(F.lit(1)).alias("_dates"), F.first("_names").alias("_names"))
+    kept = back(rows, full.select(by, "date"), [by, "date"])
+    means = kept.groupBy(by, "ticker").agg(F.avg("ret").alias("mean"))
+    small = back(kept, size.where("_names < _dates").select(by), [by])
     kind = dict(panel.dtypes)[by]
-    return cov.groupBy(by).applyInPandas(solve, f"{by} {kind}, ticker long, mean double, shrunk double, intensity double")
-
 
-def two_way_effects(panel: DataFrame, y: str, xs: list[str], entity: str = "ticker", period: str = "year", most_periods: int = 60) -> DataFrame:
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.pivot(index="ticker", columns="date", values="ret").to_numpy()
+        return pd.DataFrame({by: pdf[by].iloc[:1], "intensity": js_intensity(x)})
+
+    solved = small.groupBy(by).applyInPandas(solve, f"{by} {kind}, intensity double")
+    share = solved.unionByName(size.where("_names >= _dates").select(by, F.lit(0.5).alias("intensity")))
+    whole = back(means, means.groupBy(by).agg(F.avg("mean").alias("_grand")), [by])
+    out = back(whole, share, [by])
+    return out.select(by, "ticker", (F.col("mean") * 12).alias("mean"), F.expr("((1 - intensity) * mean + intensity * _grand) * 12").alias("shrunk"), "intensity")
+
+
+def _period_grams(periods: int):
+    """Rows (entity, place of the period, count), each entity's together, to the sum over entities of counts counts' / rows: a row a period."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, chunk, now, at = np.zeros((periods, periods)), np.zeros((256, periods)), None, -1
+
+        def close() -> None:
+            nonlocal at
+            own = chunk[: at + 1]
+            np.add(total, (own / np.maximum(own.sum(axis=1, keepdims=True), 1)).T @ own, out=total)
+            chunk[:], at = 0.0, -1
+
+        some = False
+        for batch in batches:
+            for entity, place, count in zip(*(batch.column(c).to_pylist() for c in ("entity", "place", "n")), strict=True):
+                if not some or entity != now:
+                    if at == len(chunk) - 1:
+                        close()
+                    some, now, at = True, entity, at + 1
+                chunk[at, place] += count
+        if some:
+            close()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(periods), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["place", "row"]
+            )
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of the rows of each place."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for place, row in zip(batch.column("place").to_pylist(), batch.column("row"), strict=True):
+            own = row.values.to_numpy()
+            total[place] = total[place] + own if place in total else own
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.list_(pa.float64()))], names=["place", "row"])
+
+
+def two_way_effects(panel: DataFrame, y: str, xs: list[str], entity: str = "ticker", period: str = "year") -> DataFrame:
     """term, coef, std_error, n: y on xs with effects of entity and period, exact on unbalanced panels.
 
-    Entities are taken out by their means, periods stay as indicators, so one
-    aggregation of cross products is all the data's part; the system that is
-    solved has a row a period and regressor. Rows with a null go. Raises beyond
-    most_periods; an empty panel gives no rows.
+    Entities are taken out by their means. Cross products of the regressors, and
+    their sums by period, are aggregates; those of the period indicators with each
+    other, less the entities' means, are one matrix product a partition, added up
+    by rows. The driver takes one number for each pair of periods and regressors,
+    8 MB for 1,000 periods, however many rows there are, and runs two small
+    aggregations while the plan is built. Rows with a null go; an empty panel
+    gives no rows.
     """
-    rows = panel.select(entity, period, y, *xs).na.drop()
-    periods = [r[0] for r in rows.select(period).distinct().orderBy(period).limit(most_periods + 1).collect()]
-    if len(periods) > most_periods:
-        raise ValueError(f"more than {most_periods} periods")
-    names = [*xs, *(f"_p{i}" for i in range(1, len(periods))), y]
-    rows = rows.withColumns({f"_p{i}": (F.col(period) == F.lit(v)).cast("double") for i, v in enumerate(periods) if i})
-    means = rows.groupBy(entity).agg(*(F.avg(c).alias(f"_m{i}") for i, c in enumerate(names)))
-    within = rows.join(means, entity).select(entity, *((F.col(c) - F.col(f"_m{i}")).alias(f"_z{i}") for i, c in enumerate(names)))
-    k = len(names)
-    row = within.withColumn("_z", F.array(*(f"_z{i}" for i in range(k))))
-    # One sum a pair of columns, by place in the product of the two arrays, so that no plan has thousands of columns.
-    cells = row.select(F.posexplode(F.expr("flatten(transform(_z, a -> transform(_z, b -> a * b)))")).alias("place", "x")).groupBy("place").agg(F.sum("x").alias("x"))
-    found = within.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(entity).alias("entities")).first()
-    schema = "term string, coef double, std_error double, n long"
-    if not found.n:
-        return panel.sparkSession.createDataFrame([], schema)
-    gram = np.array([r.x for r in cells.orderBy("place").collect()]).reshape(k, k)  # (most_periods + regressors) squared at most
-    inverse = np.linalg.pinv(gram[:-1, :-1])
-    coef = inverse @ gram[:-1, -1]
-    free = found.n - found.entities - np.linalg.matrix_rank(gram[:-1, :-1])
-    variance = max(gram[-1, -1] - coef @ gram[:-1, -1], 0.0) / free if free > 0 else float("nan")
+    spark, schema = panel.sparkSession, "term string, coef double, std_error double, n long"
+    rows = stored(panel.select(F.col(entity).alias("entity"), F.col(period).alias("period"), F.col(y).alias("_z0"), *(F.col(x).alias(f"_z{i}") for i, x in enumerate(xs, 1))).na.drop())
+    z = [f"_z{i}" for i in range(len(xs) + 1)]
+    periods = [r[0] for r in rows.select("period").distinct().orderBy("period").collect()]
+    if not periods:
+        return spark.createDataFrame([], schema)
+    places = spark.createDataFrame([(p, i) for i, p in enumerate(periods)], f"period {dict(rows.dtypes)['period']}, place int")  # a row a period
+    within = back(rows, rows.groupBy("entity").agg(*(F.avg(c).alias(f"_m{c}") for c in z)), ["entity"]).select("period", *((F.col(c) - F.col(f"_m{c}")).alias(c) for c in z))
+    sums = within.groupBy("period").agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(c) for c in z), *(F.expr(f"sum({a} * {b})").alias(f"{a}{b}") for i, a in enumerate(z) for b in z[i:]))
+    by = {r["period"]: r for r in sums.collect()}
+    counts = rows.groupBy("entity", "period").agg(F.count(F.lit(1)).alias("n")).join(places, "period").select("entity", "place", "n")
+    grams = counts.repartition("entity").sortWithinPartitions("entity").mapInArrow(_period_grams(len(periods)), "place int, row array<double>")
+    added = grams.repartition("place").mapInArrow(_added, "place int, row array<double>")
+    shared = np.zeros((len(periods), len(periods)))
+    for r in added.collect():
+        shared[r.place] = r.row
+    n = sum(r["n"] for r in by.values())
+    entities = rows.select("entity").distinct().count()
+    own = np.diag([float(by[p]["n"]) for p in periods]) - shared
+    cross = np.array([[by[p][c] for c in z] for p in periods])
+    gram = np.array([[sum(r[z[min(i, j)] + z[max(i, j)]] for r in by.values()) for j in range(len(z))] for i in range(len(z))])
+    values, vectors = np.linalg.eigh(own)
+    open_ = values > 1e-9 * max(values.max(), 1.0)
+    turned = vectors[:, open_].T @ cross
+    left = gram - (turned / values[open_, None]).T @ turned
+    inverse = np.linalg.pinv(left[1:, 1:])
+    coef = inverse @ left[1:, 0]
+    free = n - entities - int(open_.sum()) - np.linalg.matrix_rank(left[1:, 1:], tol=1e-9 * max(gram.diagonal().max(), 1e-300))
+    variance = max(left[0, 0] - coef @ left[1:, 0], 0.0) / free if free > 0 else float("nan")
     errors = np.sqrt(variance * np.diag(inverse))
-    return panel.sparkSession.createDataFrame(
-        [(x, float(coef[i]), None if np.isnan(errors[i]) else float(errors[i]), found.n) for i, x in enumerate(xs)], schema
-    )
+    return spark.createDataFrame([(x, float(coef[i]), None if np.isnan(errors[i]) else float(errors[i]), n) for i, x in enumerate(xs)], schema)

@@ -668,6 +668,17 @@ def k5_window_counts(p: Panels):
     return ingest.rolling_coverage(p.table("events")).select("event_type", "start", "n", "users")
 
 
+@query("""SELECT event_type, start, count(*) AS n, count(DISTINCT user_id) AS users
+FROM (SELECT event_type, user_id, date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) AS start FROM events CROSS
+JOIN (SELECT unnest(range(0, 7)) AS k)) WHERE start + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 5 DAY GROUP BY 1, 2""", False)
+def k5_stream_windows(p: Panels):
+    """The windows that a stream of all events has closed: those that end before the watermark, 5 days behind the newest event."""
+    work = ingest.work_folder(p.spark)
+    stream = ingest.rolling_coverage(ingest.read_events(p.spark, p.folder, "events.parquet"))
+    stream.writeStream.format("parquet").option("path", f"{work}/windows").option("checkpointLocation", f"{work}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return p.spark.read.schema(stream.schema).parquet(f"{work}/windows").select("event_type", "start", "n", "users")
+
+
 @query("""SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 1 DAY AS "end", count(*) AS n FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id
 ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id
 ORDER BY ts) + INTERVAL 1 DAY > ts THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, g""", False)

@@ -33,10 +33,20 @@ def bars(events: DataFrame, key: str = "event_type", value: str = "value", every
 
 
 def rolling_coverage(events: DataFrame, key: str = "event_type", length: str = "7 days", step: str = "1 day", lookback_days: int = 5) -> DataFrame:
-    """start, end, key, users, n of each sliding window; users is exact on tables and approximate on streams, which cannot count distinct values."""
+    """start, end, key, users, n of each sliding window, users being distinct and exact.
+
+    A stream counts in two stateful steps: events of each window, key and user,
+    then, as the watermark closes a window, its users and their events. Such a
+    stream is written in append mode and gives each window once, when no event
+    can change it any more; a table gives all windows.
+    """
     df = on_time(events, lookback_days) if events.isStreaming else events
-    users = F.approx_count_distinct("user_id") if events.isStreaming else F.count_distinct("user_id")
-    out = df.groupBy(F.window("ts", length, step).alias("w"), key).agg(users.alias("users"), F.count(F.lit(1)).alias("n"))
+    window = F.window("ts", length, step).alias("w")
+    if events.isStreaming:
+        seen = df.groupBy(window, key, "user_id").agg(F.count(F.lit(1)).alias("n"))
+        out = seen.groupBy("w", key).agg(F.count("user_id").alias("users"), F.sum("n").alias("n"))
+    else:
+        out = df.groupBy(window, key).agg(F.count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("n"))
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "users", "n")
 
 
