@@ -698,3 +698,15 @@ def i15_observations(p: Panels):
     each = F.struct(F.col("date").cast("string").alias("date"), value.alias("value"))
     payload = p.rates.groupBy(F.year("date").alias("year")).agg(F.to_json(F.struct(F.lit("rate").alias("series"), F.collect_list(each).alias("observations"))).alias("body"))
     return rounded(src.observations(payload, "body"), "date", "value:6")
+
+
+@query("""SELECT ticker, start_date, end_date FROM iv JOIN (SELECT date, lead(date) OVER (ORDER BY date) AS next FROM (SELECT DISTINCT date FROM md)) n
+ON n.date = iv.end_date WHERE next < (SELECT max(date) FROM md) - INTERVAL 5 DAY""")
+def k6_recorded_spells(p: Panels):
+    """Membership spells over recorded dates, from a stream of the order rows: those that the watermark has closed."""
+    work = ingest.work_folder(p.spark)
+    src.save_table(p.daily.select("date").distinct(), f"{work}/dates")
+    rows = ingest.read_events(p.spark, p.folder, "orders.parquet").select(F.col("o_custkey").alias("ticker"), F.last_day("o_orderdate").alias("date"))
+    spells = ingest.recorded_spells(rows, p.spark.read.parquet(f"{work}/dates"))
+    spells.writeStream.format("parquet").option("path", f"{work}/spells").option("checkpointLocation", f"{work}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return p.spark.read.schema(spells.schema).parquet(f"{work}/spells")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from ..sources.panels import upsert, work_folder  # noqa: F401
 
@@ -68,3 +73,57 @@ def upsert_stream(events: DataFrame, path: str, key: list[str], partition_by: li
         )
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+_PENDING = "number array<int>, date array<date>, next array<date>"
+
+
+def _closed_runs(watermark: datetime.date | None, pending: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """(closed runs as (start, end), what stays) of (number, date, next recorded date): a run is closed once the watermark is past its next recorded date."""
+    closed, stay, run = [], [], []
+    for row in [*sorted(set(pending)), None]:
+        if run and (row is None or row[0] > run[-1][0] + 1):
+            after = run[-1][2]
+            if watermark is not None and after is not None and after < watermark:
+                closed.append((run[0][1], run[-1][1]))
+            else:
+                stay += run
+            run = []
+        if row is not None:
+            run.append(row)
+    return closed, stay
+
+
+def recorded_spells(rows: DataFrame, dates: DataFrame, key: str = "ticker", lookback_days: int = 5) -> DataFrame:
+    """key, start_date, end_date (inclusive) of each closed spell of a stream of (key, date): runs over the recorded dates, however far apart these are.
+
+    dates is the table of recorded dates, read anew in each micro-batch, so it may
+    grow as the feed does; rows of other dates are left out. A key's state is its
+    rows of spells that are still open. A spell is given once, in append mode, when
+    the watermark, lookback_days behind the newest row, is past the recorded date
+    that follows it; rows may come in any order within that time. Null keys and
+    dates are left out.
+    """
+    kind = dict(rows.dtypes)[key]
+    numbered = dates.select("date").distinct().select("date", F.expr("int(row_number() over (order by date))").alias("number"), F.expr("lead(date) over (order by date)").alias("next"))
+    feed = rows.where(f"{key} is not null and date is not null").withColumn("at", F.col("date").cast("timestamp")).withWatermark("at", f"{lookback_days} days")
+    known = feed.join(numbered, "date").select(key, "at", "number", "date", "next")
+
+    def close(own: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pending = list(zip(*state.get, strict=True)) if state.exists else []
+        for pdf in batches:
+            pending += list(zip(pdf["number"].tolist(), pdf["date"], pdf["next"].where(pdf["next"].notna(), None), strict=True))
+        now = state.getCurrentWatermarkMs()
+        closed, stay = _closed_runs(datetime.datetime.fromtimestamp(now / 1000, datetime.UTC).date() if now > 0 else None, pending)
+        if stay:
+            state.update(tuple(map(list, zip(*stay, strict=True))))
+            ends = [n for _, _, n in stay if n is not None]
+            if ends:
+                first = datetime.datetime.combine(min(ends), datetime.time(), datetime.UTC) + datetime.timedelta(days=1)
+                state.setTimeoutTimestamp(max(int(first.timestamp() * 1000), now + 1))
+        else:
+            state.remove()
+        if closed:
+            yield pd.DataFrame({key: own[0], "start_date": [a for a, _ in closed], "end_date": [b for _, b in closed]})
+
+    return known.groupBy(key).applyInPandasWithState(close, f"{key} {kind}, start_date date, end_date date", _PENDING, "append", "EventTimeTimeout")
