@@ -146,10 +146,14 @@ def mix_sources(
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every row: the words that the mix takes of it, repeats counted."""
+    """doc_id, size, source_size, target, taken of every row, and its draws in order: taken is the words that the mix takes of it, repeats counted; a draw has shard, place, pass and words."""
     rows, draws = mix_sources(docs, **options)
-    taken = draws.groupBy("uid").agg(F.sum("words").alias("taken"))
-    return rows.join(taken, "uid", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    draw = F.struct("shard", "place", "pass", "words")
+    taken = draws.groupBy("uid").agg(F.sum("words").alias("taken"), F.sort_array(F.collect_list(draw)).alias("draws"))  # at most cap + 1 draws of a document
+    none = F.expr("cast(array() as array<struct<shard:int,place:bigint,pass:bigint,words:bigint>>)")
+    return rows.join(taken, "uid", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("draws", none).alias("draws")
+    )
 
 
 def mixed_documents(

@@ -4,7 +4,10 @@ A vector is represented by the order of its nearest pivots and posted in their
 inverted files. A query opens the files of its own nearest pivots and counts in
 how many of them each vector is; those met most often are ranked by the footrule
 distance of the two orders, and the best of these are ranked again by the exact
-measure. Vectors are indexed in blocks, so a task holds one block's files.
+measure. Orders know directions only, so a block also learns which cosine a count
+and a footrule stand for, on pairs of its own, and both rankings are by that
+cosine times the vector's norm. Vectors are indexed in blocks, so a task holds
+one block's files.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ PIVOTS_BY, LEAST_PIVOTS, MOST_PIVOTS, ORDER = 4.5, 256, 4096, 256
 #: Share of a block, and least number, whose footrule a query takes, and which it ranks again exactly.
 COUNTED, LEAST_COUNTED = 0.1, 500
 EXACT, LEAST_EXACT = 0.04, 160
+#: Entries of a block that it learns from, and queries whose orders are taken at once.
+LEARNED, SLICE = 48, 1024
 
 
 def pivots_for(vectors: int) -> int:
@@ -49,6 +54,13 @@ def orders(x: np.ndarray, pivots: np.ndarray, near: int) -> tuple[np.ndarray, np
     return places, np.argpartition(-products, near - 1, axis=1)[:, :near]
 
 
+def _cosines(feature: np.ndarray, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(levels of the feature, mean cosine at each): steps of equal numbers of pairs, to be read off by interpolation."""
+    order = np.argsort(feature, kind="stable")
+    parts = np.array_split(order, min(24, max(len(order) // 32, 1)))
+    return np.array([feature[p].mean() for p in parts]), np.array([cosine[p].mean() for p in parts])
+
+
 class Block:
     """The inverted files of one block. Equal vectors, and then equal orders, are one entry; of equal vectors the k + 1 smallest ids suffice."""
 
@@ -70,19 +82,49 @@ class Block:
         by_file = np.argsort(flat, kind="stable")
         self.posted, self.file = by_file // near.shape[1], np.searchsorted(flat[by_file], np.arange(len(pivots) + 1))
         self.size = len(one)
+        norms = np.sqrt((self.x * self.x).sum(axis=1))
+        self.norm = np.maximum.reduceat(norms[self.vector], self.entry[:-1]) if self.size else np.zeros(0)
+        self.alike = not self.size or bool(self.norm.max() <= self.norm.min() * (1 + 1e-6))
+        self._learn(pivots)
+
+    def _learn(self, pivots: np.ndarray) -> None:
+        """Which cosine a count and a footrule stand for: on some entries as queries against the entries nearest to them and as many others."""
+        if self.alike or self.size < 2:
+            return
+        rng = np.random.default_rng(11)
+        unit = self.x[self.vector[self.entry[:-1]]]
+        unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+        asks = rng.choice(self.size, min(self.size, LEARNED), replace=False)
+        places, files = orders(unit[asks], pivots, PROBED)
+        others, felt = rng.choice(self.size, min(self.size, 256), replace=False), []
+        for own, place, opened in zip(asks.tolist(), places, files, strict=True):
+            times = self._times(opened)
+            cosine = unit @ unit[own]
+            cosine[own] = -2
+            to = np.unique(np.concatenate([np.argpartition(-cosine, min(64, self.size - 1))[:64], others]))
+            to = to[to != own]
+            felt.append((times[to], np.abs(self.places[to] - place).sum(axis=1, dtype=np.int32), cosine[to]))
+        times, far, cosine = (np.concatenate(x) for x in zip(*felt, strict=True))
+        self.by_times, self.by_far = _cosines(times, cosine), _cosines(far, cosine)
+
+    def _times(self, files: np.ndarray) -> np.ndarray:
+        """In how many of the files each entry is."""
+        return np.bincount(np.concatenate([self.posted[self.file[f] : self.file[f + 1]] for f in files.tolist()]), minlength=self.size)
 
     def candidates(self, places: np.ndarray, files: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(entries whose footrule is taken, those of them that are ranked exactly), all that tie with the last included."""
         counted, exact = max(LEAST_COUNTED, k + 1, int(COUNTED * self.size)), max(LEAST_EXACT, k + 1, int(EXACT * self.size))
         met = np.arange(self.size)
         if self.size > counted:
-            times = np.bincount(np.concatenate([self.posted[self.file[f] : self.file[f + 1]] for f in files.tolist()]), minlength=self.size)
-            often = np.flatnonzero(times >= max(np.partition(times, self.size - counted)[self.size - counted], 1))
+            times = self._times(files)
+            worth = times if self.alike else self.norm * np.interp(times, *self.by_times)
+            often = np.flatnonzero((worth >= np.partition(worth, self.size - counted)[self.size - counted]) & (times > 0))
             met = often if len(often) > k else met
         if len(met) <= exact:
             return met, met
         far = np.abs(self.places[met] - places).sum(axis=1, dtype=np.int32)
-        return met, met[far <= np.partition(far, exact - 1)[exact - 1]]
+        cost = far if self.alike else -self.norm[met] * np.interp(far, *self.by_far)
+        return met, met[cost <= np.partition(cost, exact - 1)[exact - 1]]
 
     def search(self, query: int, x: np.ndarray, places: np.ndarray, files: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best that are not the query."""
@@ -106,10 +148,12 @@ def _searched(pivots, k: int):
         if base.num_rows and queries.num_rows:
             block = Block(base.column("id").to_numpy(), _matrix(base), pivots.value, k)
             x = _matrix(queries)
-            places, files = orders(x, pivots.value, PROBED)
-            for i, query in enumerate(queries.column("id").to_pylist()):
-                ids, score = block.search(query, x[i], places[i], files[i], k)
-                found.append((np.full(len(ids), query), ids, score))
+            names = queries.column("id").to_pylist()
+            for at in range(0, len(names), SLICE):
+                places, files = orders(x[at : at + SLICE], pivots.value, PROBED)
+                for i, query in enumerate(names[at : at + SLICE]):
+                    ids, score = block.search(query, x[at + i], places[i], files[i], k)
+                    found.append((np.full(len(ids), query), ids, score))
         a, b, c = (np.concatenate(y) for y in zip(*found, strict=True))
         return pa.table({"query_id": a, "vec_id": b, "score": c})
 
@@ -143,7 +187,7 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id
     rows = rows.where(F.size("vec") == sample.shape[1])
     n, asking = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
     blocks = -(-n // int(np.clip(n // 16, 4096, 65536))) or 1
-    chunks = -(-asking // int(np.clip(asking // 4, 1024, 8192))) or 1
+    chunks = -(-asking // int(np.clip(asking // 4, 1024, 65536))) or 1
     dealt = lambda many: F.pmod(F.xxhash64("id"), F.lit(many)).cast("int")
     spread = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
     base = rows.select("id", "vec", dealt(blocks).alias("block"), spread(chunks).alias("chunk"))

@@ -26,7 +26,7 @@ from .components import components
 from .scratch import stored
 from .textkernel import U, Words, set_ids, shingle_sets, slices
 
-#: Counters of the table that orders n-grams by how common they are, and the pieces it travels in. The table is 2 MB for any corpus.
+#: Counters of the table that orders n-grams by how common they are, and the pieces it travels in. The table is 512 KB for any corpus.
 COUNTERS, PIECES = 1 << 18, 64
 #: Members of one posting group that one block holds.
 BLOCK = 1024
@@ -34,6 +34,8 @@ BLOCK = 1024
 PROFILE = 256
 #: Pairs tried for two labels of a group before all their other pairs are.
 FIRST = 4
+#: Rows of one id and text beyond which each partition first keeps one of them.
+HOT_KEY = 1000
 
 
 def _needed(x, y, percent: int):
@@ -370,6 +372,19 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
+def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each (key, tag) of a partition."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        places = []
+        for i, own in enumerate(zip(batch.column("key").to_pylist(), batch.column("tag").to_pylist(), strict=True)):
+            if own not in seen:
+                seen.add(own)
+                places.append(i)
+        if places:
+            yield batch.take(pa.array(places))
+
+
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, with all their columns, that stay when one row of each linked group does: that of the smallest id.
 
@@ -383,5 +398,10 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     tag, worded = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     whole = docs.where(worded).select(F.struct("*").alias("row"), tag.alias("tag"), F.xxhash64(last, tag).alias("key"))  # a struct, as columns may have any name
+    # Keys of very many rows, such as copies of one text without ids, leave one row a partition before rows meet by key.
+    hot = stored(rows.groupBy(F.xxhash64("id", "tag").alias("key"), "tag").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_KEY).select("key", "tag"))
+    if not hot.isEmpty():
+        few = whole.join(hot, ["key", "tag"], "left_semi").select("row", "tag", "key").mapInArrow(_first_seen, whole.schema)
+        whole = whole.join(hot, ["key", "tag"], "left_anti").select("row", "tag", "key").unionByName(few)
     once = whole.join(kept, ["key", "tag"], "left_semi").withColumn("n", F.expr("row_number() over (partition by key, tag order by tag)")).where("n = 1")
     return once.select("row.*").unionByName(docs.where(~worded))

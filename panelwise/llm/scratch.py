@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_inner: ContextVar[str | None] = ContextVar("_inner", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; where that is unset on a local master, as in tests, a folder of this session."""
@@ -19,20 +23,41 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
+def _own(spark: SparkSession) -> str:
+    """This application's folder in the shared one."""
+    return f"{shared_folder(spark)}/panelwise/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """df written to the shared folder and read again, so that a lost executor costs no earlier work. Tables of texts are worth zstd.
 
     What is read may be part of a caller's lazy result, so tables stay until the
-    caller calls clear().
+    caller calls clear(), or until finished() has the result that they were for.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/panelwise/{uuid.uuid4().hex}"
+    path = f"{_inner.get() or _own(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, make: Callable[[], DataFrame], codec: str = "zstd") -> DataFrame:
+    """make()'s result as a stored table; the tables that make() itself stored on the way are deleted."""
+    folder = f"{_own(spark)}/{uuid.uuid4().hex}"
+    token = _inner.set(folder)
+    try:
+        lazy = make()
+    finally:
+        _inner.reset(token)
+    out = stored(lazy, codec)
+    _delete(spark, folder)
+    return out
+
+
 def clear(spark: SparkSession) -> None:
-    """Deletes the tables of stored(); no DataFrame that was built on them can be read afterwards."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/panelwise")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Deletes this application's tables of stored(); no DataFrame that was built on them can be read afterwards."""
+    _delete(spark, _own(spark))

@@ -4,8 +4,10 @@ Equal texts are one group, ordered by a 64-bit hash. The partition's search sees
 a bounded table of cells, which are stretches of that order. Taking cells as
 whole gives a capacity that suffices, taking them as divisible one that nothing
 can undercut; cells that a cut of a capacity in between may fall into are opened
-into smaller cells, down to single groups, until both are the same or no such
-cell is left. Then the cuts are those over all groups.
+into smaller cells, the largest first, down to single groups, until both are the
+same or no such cell is left. Then the cuts are those over all groups. A round
+opens OPENED cells into 2**STEP at most; what is left comes in later rounds, so
+the row that the search sees grows by what lies around the cuts.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from .scratch import stored
 
 #: Bits of the hash that the first cells share not, and bits by which an opened cell is divided each time.
 FIRST_SHIFT, STEP = 48, 12
-#: Cells opened at once, the largest first.
+#: Cells opened in one round, the largest first; the others that may hold a cut come in later rounds.
 OPENED = 4096
 SALTS = 64
 
@@ -51,13 +53,15 @@ def _least(count: str, low: str, high: str, shards: int) -> str:
 
 
 def _cells(rows: DataFrame, *keys) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("size").alias("bytes")).select("low", "high", "bytes")
+    """Cells by keys, the last of which is the rows' keys without `shift` bits."""
+    by = rows.groupBy("shift", *keys).agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("size").alias("bytes"))
+    return by.select("low", "high", "bytes", "shift")
 
 
 def _partition(rows: DataFrame, shards: int) -> DataFrame:
     """One row: the capacity and `firsts`, the least key of each shard but the first; no row without rows. rows have key, size."""
-    shift = FIRST_SHIFT
-    cells = stored(_cells(rows, F.shiftright("key", shift)))
+    own = F.expr("shiftright(key, shift)")
+    cells = stored(_cells(rows.withColumn("shift", F.lit(FIRST_SHIFT)), own))
     while True:
         table = cells.agg(
             F.sort_array(F.collect_list(F.struct("low", "high", "bytes"))).alias("cells"), F.sum("bytes").cast("long").alias("total")
@@ -72,16 +76,16 @@ def _partition(rows: DataFrame, shards: int) -> DataFrame:
         table = stored(table.withColumn("firsts", F.expr(_WHOLE.format(c="capacity"))).withColumn("earliest", F.expr(_WHOLE.format(c="floor"))).withColumn("latest", F.expr(_FLUID.format(c="capacity"))))
         may_cut = f"exists(sequence(0, {shards - 2}), j -> i >= get(earliest, j) and i <= coalesce(get(latest, j), size(cells)))" if shards > 1 else "false"
         opened = table.where("floor < capacity").select(F.expr(f"filter(transform(cells, (x, i) -> if(x.low < x.high and (x.bytes > floor div 4 or {may_cut}), x, null)), x -> x is not null)").alias("opened"))
-        opened = stored(opened.select(F.explode("opened").alias("x")).select(
-            F.col("x.low").alias("low"), F.col("x.high").alias("high"), F.col("x.bytes").alias("bytes")
-        ).orderBy(F.desc("bytes"), "low").limit(OPENED))
-        if shift == 0 or opened.isEmpty():
+        named = opened.select(F.explode("opened").alias("x")).select("x.low", "x.high", "x.bytes").join(cells.select("low", "shift"), "low").where("shift > 0")
+        opened = stored(named.orderBy(F.desc("bytes"), "low").limit(OPENED))
+        if opened.isEmpty():
             return table.select("capacity", F.expr("transform(firsts, i -> cells[i].low)").alias("firsts"))
-        shift -= STEP
-        spans = F.broadcast(opened.select(F.shiftright("low", FIRST_SHIFT).alias("range"), F.col("low").alias("first"), F.col("high").alias("last")))  # OPENED rows at most
+        spans = F.broadcast(opened.select(
+            F.shiftright("low", FIRST_SHIFT).alias("range"), F.col("low").alias("first"), F.col("high").alias("last"), F.expr(f"greatest(shift - {STEP}, 0)").alias("shift")
+        ))  # OPENED rows at most
         inside = rows.select("key", "size", F.shiftright("key", FIRST_SHIFT).alias("range")).join(spans, "range").where("key between first and last")
-        closed = cells.join(F.broadcast(opened.select("low")), "low", "left_anti").select("low", "high", "bytes")
-        cells = stored(closed.unionByName(_cells(inside, "first", F.shiftright("key", shift))))
+        closed = cells.join(F.broadcast(opened.select("low")), "low", "left_anti").select("low", "high", "bytes", "shift")
+        cells = stored(closed.unionByName(_cells(inside, "first", own)))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

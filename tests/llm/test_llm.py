@@ -12,11 +12,11 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from panelwise.llm import gru
+from panelwise.llm import gru, sharding
 from panelwise.llm.fingerprints import fingerprints, near_duplicates
 from panelwise.llm.licenses import TEXTS, known_licenses, license_scan, scan_sql
 from panelwise.llm.lm_scoring import score_documents
-from panelwise.llm.mixing import mixed, mixed_documents
+from panelwise.llm.mixing import mix_sources, mixed, mixed_documents
 from panelwise.llm.neighbours import nearest
 from panelwise.llm.ngram_join import _across_labels, first_of_each, ngram_jaccard_join, trie_matches
 from panelwise.llm.packing import encoder, first_fit_decreasing, pack
@@ -94,6 +94,15 @@ def test_null_and_repeated_ids(spark):
     assert sorted((str(r.doc_id), str(r.component_id)) for r in ngram_jaccard_join(df, n=3).collect()) == [("5", "5"), ("5", "5"), ("7", "5"), ("None", "None")]
 
 
+def test_one_of_very_many_copies_without_ids_stays(spark):
+    text = F.expr("if(id % 3 = 0, 'a b c d e f g', concat('own text number ', string(id)))")
+    docs = spark.range(9000).repartition(5).select(F.when(F.col("id") % 2 == 1, F.col("id")).alias("doc_id"), text.alias("text"), F.lit("k").alias("key"), F.lit(1).alias("tag"))
+    got = first_of_each(docs)
+    assert got.columns == docs.columns and got.count() == 6001 and [r.doc_id for r in got.where("text = 'a b c d e f g'").collect()] == [3]
+    lone = first_of_each(docs.where("doc_id is null"))
+    assert lone.count() == 3001 and lone.where("text = 'a b c d e f g'").count() == 1
+
+
 def test_one_row_of_each_group_stays(spark):
     a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
     near = a.replace("a59", "z")
@@ -227,6 +236,18 @@ def test_mixing(docs, empty):
     assert mixed(empty).count() == 0
 
 
+def test_mixing_splits_exact_quotas(spark):
+    """Each pass over a block lies in one shard, shards get equal numbers of draws, and the split of a source follows the hypergeometric law over seeds."""
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), F.lit("two words").alias("text"), F.expr("if(id % 3 = 0, 'a', 'b')").alias("source")).cache()
+    firsts = []
+    for seed in range(12):
+        draws = mix_sources(docs, weights=(1, 1), total=1.0, shards=4, seed=seed)[1].toPandas()
+        assert not draws.duplicated(["uid", "pass"]).any() and (draws.groupby("skey")["words"].sum() - 24_000).abs().max() <= 16_000
+        blocks = draws.groupby(["skey", "pass", "shard"])["uid"].count().unstack(fill_value=0)
+        firsts.append(blocks.loc["sa"].sum()[0] / blocks.loc["sa"].sum().sum())
+    assert np.mean(firsts) == pytest.approx(0.25, abs=0.06) and 0.005 < np.std(firsts) < 0.12
+
+
 def least_capacity(texts, shards):
     """Smallest largest shard of groups of equal texts, in the order of their hash, over all contiguous partitions."""
     groups = collections.Counter()
@@ -274,6 +295,13 @@ def test_sharding_opens_cells_with_cuts(spark, shards):
     check_shards(shard_documents(spark.createDataFrame(data, "doc_id long, text string").repartition(6), shards).collect(), texts, shards)
 
 
+def test_sharding_opens_few_cells_a_round(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "OPENED", 3)
+    rng = np.random.default_rng(3)
+    texts = {i: "x" * int(n) + str(i) for i, n in enumerate(rng.integers(0, 900, 3000))}
+    check_shards(shard_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6), 5).collect(), texts, 5)
+
+
 def test_sharding_of_repeated_rows(spark):
     data = [(None, None), (1, "a"), (1, "a"), (None, ""), (2, "b" * 50)]
     got = shard_documents(spark.createDataFrame(data, "doc_id long, text string"), 3).collect()
@@ -438,6 +466,26 @@ def test_nearest(spark):
     assert nearest(spark.createDataFrame([], "vec_id long, embedding array<double>"), "vec_id % 20 = 0").count() == 0
 
 
+@pytest.mark.parametrize("n", [2000, 6000])
+@pytest.mark.parametrize("kind", ["unit", "lognormal", "clustered"])
+def test_nearest_where_norms_differ(spark, n, kind):
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 48))
+    if kind == "clustered":
+        x = rng.normal(size=(60, 48))[rng.integers(0, 60, n)] + 0.6 * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= {"unit": 1.0, "lognormal": np.exp(0.5 * rng.normal(size=(n, 1))), "clustered": np.exp(0.7 * rng.normal(size=(n, 1)))}[kind]
+    got = collections.defaultdict(set)
+    for r in nearest(spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>"), "vec_id % 100 = 0").collect():
+        got[r.query_id].add(r.vec_id)
+    found = []
+    for q in range(0, n, 100):
+        s = x @ x[q]
+        s[q] = -np.inf
+        found.append(len(set(np.argsort(-s)[:20].tolist()) & got[q]) / 20)
+    assert np.mean(found) >= 0.9
+
+
 def test_nearest_with_many_copies(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(1200, 16))
