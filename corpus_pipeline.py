@@ -13,7 +13,7 @@ from panelwise.llm.mixing import mixed_documents
 from panelwise.llm.ngram_join import first_of_each
 from panelwise.llm.packing import pack
 from panelwise.llm.quality import good_documents
-from panelwise.llm.scratch import stored
+from panelwise.llm.scratch import finished
 from panelwise.llm.substring_dedup import cut_documents
 
 
@@ -38,7 +38,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of 2,048; null texts are empty."""
+    """Token pieces in sequences of 2,048; null texts are empty, ties and repeated rows are pieces of their own."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
@@ -52,5 +52,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "zstd")
+        docs = finished(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
