@@ -172,8 +172,13 @@ def _window(p: dict, source: np.ndarray, target: np.ndarray, h: np.ndarray, fres
     return g, h
 
 
-def train(p: dict, blocks, window: int = 32, lanes: int = 256, rate: float = 0.1) -> dict:
-    """Adaptive gradient steps, once over every word of blocks of whole documents (words, offsets).
+def no_steps(p: dict) -> dict:
+    """The sums of squares of steps that training starts from."""
+    return {n: np.full_like(p[n], 1e-6) for n in SHAPES}
+
+
+def train(p: dict, blocks, window: int = 32, lanes: int = 256, rate: float = 0.1, squares: dict | None = None) -> tuple[dict, dict]:
+    """(p, sums of squares of steps) after adaptive gradient steps, once over every word of blocks of whole documents (words, offsets), going on from the squares given.
 
     Documents lie end to end in lanes, in an order fixed by a seed, each from the
     zero state and the start sign; the state goes on from window to window to a
@@ -181,7 +186,7 @@ def train(p: dict, blocks, window: int = 32, lanes: int = 256, rate: float = 0.1
     small blocks have fewer lanes, for 64 windows or so.
     """
     p = {n: p[n].copy() for n in p}
-    squares = {n: np.full_like(p[n], 1e-6) for n in SHAPES}
+    squares = {n: x.copy() for n, x in (squares or no_steps(p)).items()}
     first, rng = len(p["embed"]) - 1, np.random.default_rng(2)
     for words, offsets in blocks:
         sizes = np.diff(offsets)
@@ -206,4 +211,4 @@ def train(p: dict, blocks, window: int = 32, lanes: int = 256, rate: float = 0.1
                 step = g[n] * share
                 squares[n] += step**2
                 p[n] -= rate * step / np.sqrt(squares[n])
-    return p
+    return p, squares

@@ -17,8 +17,8 @@ from .textkernel import U, Words, slices, stretches
 
 #: Words with counts in a broadcast table (6 MB at most), and those of them that the model tells apart; the rest is joined by hash.
 FREQUENT, VOCABULARY = 1 << 18, 4096
-#: Training words of one group, whose models are averaged. Each goes once over every word of its documents.
-GROUP_WORDS = 1 << 22
+#: Training words of one group, and the rounds in which the groups go over them: after each, their models are averaged and all go on from there.
+GROUP_WORDS, ROUNDS = 1 << 22, 12
 #: Words that are fitted or scored at once.
 BATCH = 1 << 21
 #: Numbers of the model in one row of the averaging, and rows that one task of its first step adds up.
@@ -104,18 +104,34 @@ def _frequent(counts: DataFrame) -> list[tuple[int, int]]:
     return list(zip(found["word"].tolist(), found["n"].tolist(), strict=True))
 
 
-def _streams(batches: Iterator[pa.RecordBatch], table: Table, limit: int = BATCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Numbers of all words and the end of each whole text, and offsets, in blocks of about `limit` words."""
+_ENCODED = "round int, grp long, place long, words binary"
+
+
+def _encoded(table):
+    """Each text's words and its end by their numbers in the model's vocabulary, two bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            word, offsets = _with_end(Words(part.column("text"), lower=True))
+            number = table.value.look(word)[2].astype("<i2")
+            blobs = [number[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("round", "grp", "place")), pa.array(blobs, pa.binary())], names=["round", "grp", "place", "words"])
+
+    return run
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], limit: int = BATCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of all words of each whole text, and offsets, in blocks of about `limit` words."""
     held, size = [], 0
-    for part in slices(batches, "text"):
-        word, offsets = _with_end(Words(part.column("text"), lower=True))
-        held.append((table.look(word)[2].astype(np.int32), np.diff(offsets)))
-        size += len(word)
-        if size > limit:
-            yield np.concatenate([x for x, _ in held]), np.concatenate([[0], *(y for _, y in held)]).cumsum()
-            held, size = [], 0
+    for batch in batches:
+        for blob in batch.column("words"):
+            held.append(np.frombuffer(blob.as_buffer(), "<i2").astype(np.int32))
+            size += len(held[-1])
+            if size > limit:
+                yield np.concatenate(held), np.concatenate([[0], list(map(len, held))]).cumsum()
+                held, size = [], 0
     if held:
-        yield np.concatenate([x for x, _ in held]), np.concatenate([[0], *(y for _, y in held)]).cumsum()
+        yield np.concatenate(held), np.concatenate([[0], list(map(len, held))]).cumsum()
 
 
 _MODEL = "piece long, lane long, blob binary, weight long"
@@ -135,8 +151,8 @@ def _model_rows(total: np.ndarray, weight: int, lane: int) -> pa.RecordBatch:
     )
 
 
-def _fitting(table, params):
-    """The sum of a partition's models, one a group, each after training on all words of its texts and weighted by their number."""
+def _fitting(state):
+    """The sum of a partition's models and of their steps' squares, one a group, each trained on from `state` on all words of its texts and weighted by their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, weight = 0, 0
@@ -145,12 +161,12 @@ def _fitting(table, params):
 
             def counted(group=group) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 nonlocal words
-                for block in _streams(group, table.value):
+                for block in _blocks(group):
                     words += len(block[0])
                     yield block
 
-            p = gru.train(params.value, counted())
-            total, weight = total + _flat(p) * words, weight + words
+            p, squares = gru.train(state.value[0], counted(), squares=state.value[1])
+            total, weight = total + np.concatenate([_flat(p), _flat(squares)]) * words, weight + words
         if weight:
             yield _model_rows(total, weight, TaskContext.get().partitionId() % LANES)
 
@@ -171,13 +187,32 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _averaged(models: DataFrame, params: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """The mean of the models, weighted by their words."""
+def _averaged(models: DataFrame, params: dict[str, np.ndarray], squares: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """The means of the models and of their steps' squares, weighted by their words; what was given where there are none."""
     sums = models.repartition("piece", "lane").mapInArrow(_summed, _MODEL).repartition("piece").mapInArrow(_summed, _MODEL)
-    rows = sorted(sums.select("piece", "blob", "weight").collect())  # one model, 1 MB
+    rows = sorted(sums.select("piece", "blob", "weight").collect())  # one model and its squares, 2 MB
+    if not rows:
+        return params, squares
     flat = np.concatenate([np.frombuffer(blob) / weight for _, blob, weight in rows]).astype(np.float32)
-    cuts = np.cumsum([params[n].size for n in gru.SHAPES])[:-1]
-    return params | {n: x.reshape(params[n].shape) for n, x in zip(gru.SHAPES, np.split(flat, cuts), strict=True)}
+    cuts = np.cumsum([params[n].size for n in gru.SHAPES] * 2)[:-1]
+    parts = np.split(flat, cuts)
+    shaped = [{n: x.reshape(params[n].shape) for n, x in zip(gru.SHAPES, own, strict=True)} for own in (parts[: len(gru.SHAPES)], parts[len(gru.SHAPES) :])]
+    return params | shaped[0], shaped[1]
+
+
+def fitted(learned: DataFrame, words: int, table, params: dict[str, np.ndarray], group_words: int) -> dict[str, np.ndarray]:
+    """params trained on all texts of learned (id, text), which have so many words, in groups of group_words and ROUNDS rounds."""
+    spark, place = learned.sparkSession, F.xxhash64("id", "text")
+    dealt = learned.select(
+        F.pmod(F.xxhash64(place, F.lit(1)), F.lit(ROUNDS)).cast("int").alias("round"), F.pmod(place, F.lit(-(-words // group_words))).alias("grp"), place.alias("place"), "text"
+    )
+    encoded = stored(dealt.mapInArrow(_encoded(table), _ENCODED), "zstd", "round")
+    squares = gru.no_steps(params)
+    for number in range(ROUNDS):
+        own = encoded.where(F.col("round") == number).select("grp", "place", "words").repartition("grp").sortWithinPartitions("grp", "place")
+        state = spark.sparkContext.broadcast((params, squares))  # 2 MB
+        params, squares = _averaged(own.mapInArrow(_fitting(state), _MODEL), params, squares)
+    return params
 
 
 _SCORED = "row long, id long, n_tokens long, known long, logs double, other_logs double, others long, state_score double, words array<long>, times array<long>"
@@ -237,9 +272,10 @@ def score_documents(docs: DataFrame, train_condition: str, id_col: str = "doc_id
     4,096 most frequent tokens; a word outside has the chance of that class,
     given the state, times its smoothed share of the class, so the chances of all
     words and one unknown add up to 1. Training documents are dealt to groups of
-    about 4 million words by a hash of id and text; each group fits a model on
-    every word and end of its documents, the state going on through a document,
-    and the models are averaged. So the model depends on the rows alone, but for
+    about 4 million words, and to twelve rounds, by hashes of id and text; in each
+    round each group trains the model on every word and end of its documents of
+    that round, the state going on through a document, and the groups' models
+    are averaged before the next. So the model depends on the rows alone, but for
     rounding, not on how they are partitioned. Null texts are empty; equal texts
     score alike; null ids and repeated rows are scored like others; other columns
     are ignored; an empty table gives no rows, and where nothing is learned from,
@@ -259,10 +295,7 @@ def score_documents(docs: DataFrame, train_condition: str, id_col: str = "doc_id
 
     params = gru.start(frequent.lm, rest_n + rest_v + 1)
     if n:
-        place = F.xxhash64("id", "text")
-        dealt = rows.where("learn").select(F.pmod(place, F.lit(-(-n // GROUP_WORDS))).alias("grp"), place.alias("place"), "text")
-        grouped = dealt.repartition("grp").sortWithinPartitions("grp", "place").select("grp", "text")
-        params = _averaged(grouped.mapInArrow(_fitting(table, spark.sparkContext.broadcast(params)), _MODEL), params)
+        params = fitted(rows.where("learn").select("id", "text"), n, table, params, GROUP_WORDS)
     model = spark.sparkContext.broadcast(params)
 
     own = stored(rows.select("id", "text").mapInArrow(_scored(table, model), _SCORED))

@@ -62,7 +62,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = "crc32(cast(doc_id as string)) % 7"
     scored = score_documents(_read(spark, sf_dir, "documents"), f"{part} <> 2")
-    return scored.select("doc_id", F.expr(f"{part} = 2").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", F.expr(f"coalesce({part} = 2, false)").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,15 +33,16 @@ def _delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
+def stored(df: DataFrame, codec: str = "snappy", by: str | None = None) -> DataFrame:
     """df written to the shared folder and read again, so that a lost executor costs no earlier work. Tables of texts are worth zstd.
 
     What is read may be part of a caller's lazy result, so tables stay until the
     caller calls clear(), or until finished() has the result that they were for.
+    by is a column whose values lie in folders of their own.
     """
     spark = df.sparkSession
     path = f"{_inner.get() or _own(spark)}/{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    df.write.option("compression", codec).partitionBy(*([by] if by else [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

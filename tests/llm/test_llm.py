@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from panelwise.llm import gru, sharding
+from panelwise.llm import gru, lm_scoring, sharding
 from panelwise.llm.fingerprints import fingerprints, near_duplicates
 from panelwise.llm.licenses import TEXTS, known_licenses, license_scan, scan_sql
 from panelwise.llm.lm_scoring import score_documents
@@ -541,6 +541,17 @@ def test_lm_counts_match_brute_force(spark):
     assert all((r.n_known, r.train_tokens) == (0, 0) and np.isfinite(r.score) for r in nothing)
 
 
+def test_lm_groups_do_not_undo_each_other(spark, monkeypatch):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 2 = 0").select("doc_id", "text")
+    scores = []
+    for words_of_a_group in (1 << 22, 1 << 20):  # one group and two
+        monkeypatch.setattr(lm_scoring, "GROUP_WORDS", words_of_a_group)
+        held = score_documents(table, "doc_id % 7 <> 2").where("doc_id % 7 = 2").agg(F.sum("score"), F.sum("n_tokens"), F.first("train_tokens"), F.sum("base_score")).first()
+        scores.append(held[0] / held[1])
+        assert held[0] > held[3]
+    assert held[2] > 700_000 and abs(scores[0] - scores[1]) < 0.02
+
+
 def test_lm_scores_do_not_depend_on_partitions(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     a, b = ({r.doc_id: r.score for r in score_documents(table.repartition(k), "doc_id % 7 <> 2").collect()} for k in (2, 9))
