@@ -13,6 +13,7 @@ from panelwise.operators import panel as op
 from panelwise.operators import portfolio as pf
 from panelwise.operators import reference as ref
 from panelwise.operators import regression as rg
+from panelwise.plans import panel_queries, registry
 from panelwise.sources import panels as src
 from panelwise.streaming import ingest
 
@@ -222,6 +223,30 @@ def factor_rows(n=50, tickers=(1, 2)):
     return rows, "ticker long, date date, y double, a double, b double"
 
 
+def test_lowest_p_values_of_score_betas(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = panel_queries._score_change(panel_queries.Panels(spark, folder)).select("ticker", "excess", "chg").where("excess is not null and chg is not null").toPandas()
+    want = []
+    for ticker, own in rows.groupby("ticker"):
+        x, y, n = own["chg"].to_numpy(float), own["excess"].to_numpy(float), len(own)
+        if n < 24:
+            continue
+        a = np.column_stack([np.ones(n), x])
+        coef, left = np.linalg.lstsq(a, y, rcond=None)[:2]
+        t = coef[1] / math.sqrt(left[0] / (n - 2) * np.linalg.inv(a.T @ a)[1, 1])
+        # Student's t by integration: the density's tail from |t| on, x = tan(u).
+        u = np.linspace(math.atan(abs(t)), math.pi / 2, 200_001)
+        density = np.cos(u) ** (n - 3) * (1 + (1 / (n - 2) - 1) * np.sin(u) ** 2) ** (-(n - 1) / 2)
+        scale = math.exp(math.lgamma((n - 1) / 2) - math.lgamma((n - 2) / 2)) / math.sqrt((n - 2) * math.pi)
+        want.append((2 * scale * float(np.trapezoid(density, u)), ticker, n, coef[1], t))
+    want.sort()
+    got = registry.QUERIES["f12_lowest_p"](spark, folder).collect()
+    assert len(want) >= 2 and len(got) == min(10, len(want))
+    for r, (p, ticker, n, beta, t) in zip(got, want, strict=False):
+        assert (r.ticker, r.n) == (ticker, n) and (r.beta, r.t_stat) == (pytest.approx(beta, abs=1e-5), pytest.approx(t, abs=1e-3))
+        assert r.p_value == pytest.approx(p, abs=1e-5)
+
+
 def test_more_p_values(spark):
     df = spark.createDataFrame([(3.841459, 1.0), (5.991465, 2.0), (11.0, 10.0), (40.0, 10.0), (None, 1.0)], "x double, d double")
     got = [r[0] for r in df.select(p_value_chi2("x", "d")).collect()]
