@@ -15,7 +15,7 @@ each other again, so a large group of near copies costs one comparison a member.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +43,9 @@ def _needed(x, y, percent: int):
     return -((-percent * (x + y)) // (100 + percent))
 
 
-def _prefix(n: int, percent: int) -> int:
-    return n - -((-percent * n) // 100) + 1
+def _prefix(n: int, percent: int, shared: int = 1) -> int:
+    """So many of the first n-grams of each of two linked sets hold at least `shared` common ones, if their overlap has as many."""
+    return n - -((-percent * n) // 100) + shared
 
 
 _SIGNED = "kind int, id long, tag long, n long, blob binary, profile binary"
@@ -102,13 +103,13 @@ def _ordered(values: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return (ranks[(values & U(COUNTERS - 1)).astype(np.int64)].astype(U) << U(48)) | (values >> U(16))
 
 
-def _postings(text: str, n: int, percent: int, ranks):
+def _postings(text: str, n: int, percent: int, ranks, common: int = 1):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
             values, offsets = shingle_sets(Words(part.column(text), lower=True), n)
             ids, keys = set_ids(values, offsets), _ordered(values, ranks.value)
             heads = [
-                np.partition(keys[a:b], p - 1)[:p] if (p := _prefix(b - a, percent)) < b - a else keys[a:b] for a,
+                np.partition(keys[a:b], p - 1)[:p] if (p := _prefix(b - a, percent, common)) < b - a else keys[a:b] for a,
                 b in zip(offsets[:-1], offsets[1:], strict=True) if b > a
             ]
             if heads:
@@ -296,27 +297,55 @@ def _across(percent: int, best: bool):
     return run
 
 
-def _across_labels(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+def _labelled(members: DataFrame, by: list[str]) -> DataFrame:
+    """Groups under several labels: their most common label (main), members (m), and members outside that label (away)."""
+    sizes = members.groupBy(*by, "label").agg(F.count(F.lit(1)).alias("n"))
+    groups = sizes.groupBy(*by).agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("m"), (F.sum("n") - F.max("n")).alias("away"))
+    return groups.where("away > 0")
+
+
+def _split(wide: DataFrame, members: DataFrame, longer: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(token, second, sid, label; groups by token and second; tokens) of the wide groups that a second n-gram makes cheaper.
+
+    Linked sets of different members share two n-grams of their longer prefixes
+    at least, so one besides the token: no pair is lost. A token is split only if
+    its finer groups together compare fewer pairs.
+    """
+    own = members.join(wide.select("token"), "token").select("token", "sid", "label")
+    finer = stored(own.join(longer(own.select("sid").distinct()), "sid").where("second <> token").select("token", "second", "sid", "label"))
+    groups = stored(_labelled(finer, ["token", "second"]))
+    cost = groups.groupBy("token").agg(F.sum(F.col("m").cast("double") * F.col("away")).alias("cost"))
+    tokens = stored(wide.join(cost, "token", "left").where("coalesce(cost, 0) < cast(m as double) * away").select("token"))
+    return finer, groups, tokens
+
+
+def _across_labels(shared: DataFrame, labels: DataFrame, nodes: DataFrame, longer: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Members of posting groups of three and more under several labels, by (token, i, j).
 
     One of any two members under different labels is not of the group's most
     common label. Those (side 0) meet all members (side 1), both in blocks, so a
     large group of one label and few outliers costs about a row a member. Where
-    a member's two blocks meet it is there once, on both sides (2).
+    a member's two blocks meet it is there once, on both sides (2). A group of
+    more than a block of outliers is first split by second n-grams, where
+    longer gives (sid, second) of the sets asked for and that saves work.
     """
     marked = shared.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("token", "sid", "probe", F.coalesce("root", "sid").alias("label"))
-    sizes = marked.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
-    groups = sizes.groupBy("token").agg(
-        F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("m"), F.max("n").alias("most")
-    ).where("most < m and m > 2")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("others")
-    members = marked.where("probe <> sid").join(groups.select("token", "main", *blocks), "token").join(nodes.select("sid", "n", "profile"), "sid")
+    groups = stored(_labelled(marked, ["token"]).where("m > 2"))
+    members, key = marked.where("probe <> sid").select("token", "sid", "label"), F.col("token")
+    placed = members.join(groups, "token")
+    wide = groups.where(F.col("away") > BLOCK)
+    if longer and not wide.isEmpty():
+        finer, own, tokens = _split(wide, members, longer)
+        kept = finer.join(tokens, "token", "left_semi").join(own, ["token", "second"]).withColumn("token", F.xxhash64(key, "second")).drop("second")
+        placed = members.join(groups.join(tokens, "token", "left_anti"), "token").unionByName(kept)
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("away") / BLOCK).cast("int").alias("others")
+    members = placed.select("token", "sid", "label", "main", *blocks).join(nodes.select("sid", "n", "profile"), "sid")
     own = "pmod(hash(sid), {})".format
     every = f"transform(sequence(0, others - 1), j -> named_struct('i', {own('blocks')}, 'j', j, 'side', if(label <> main and j = {own('others')}, 2, 1)))"
     away = f"filter(sequence(0, blocks - 1), i -> label <> main and i <> {own('blocks')})"
     other = f"transform({away}, i -> named_struct('i', i, 'j', {own('others')}, 'side', 0))"
-    placed = members.withColumn("at", F.explode(F.expr(f"concat({every}, {other})"))).select("token", "at.*", "sid", "label", "n", "profile")
-    return placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    cells = members.withColumn("at", F.explode(F.expr(f"concat({every}, {other})"))).select("token", "at.*", "sid", "label", "n", "profile")
+    return cells.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
 
 def _joined(docs: DataFrame, n: int, percent: int, postings) -> tuple[DataFrame, DataFrame]:
@@ -334,9 +363,16 @@ def _joined(docs: DataFrame, n: int, percent: int, postings) -> tuple[DataFrame,
     first = shared.where("probe <> sid").select("probe", "sid").distinct()
     links = stored(_links(stored(_possible(first, nodes, percent)), docs, nodes, n, percent, ranks))
     labels = components(links, "a", "b")
+
+    def longer(sids: DataFrame) -> DataFrame:
+        active = nodes.join(sids, "sid", "left_semi").select("sid", "rep")
+        texts = docs.join(active.select(F.col("rep").alias("id")).distinct(), "id").select("text")
+        seconds = texts.mapInArrow(_postings("text", n, percent, ranks, 2), "second long, sid binary")
+        return seconds.join(active.select("sid"), "sid", "left_semi").distinct()
+
     for best in (True, False):
         # What the groups' smallest members have not connected: first the likeliest pair of each two labels, then all that is left.
-        second = stored(_across_labels(shared, labels, nodes).mapInArrow(_across(percent, best), "probe binary, sid binary").distinct())
+        second = stored(_across_labels(shared, labels, nodes, longer).mapInArrow(_across(percent, best), "probe binary, sid binary").distinct())
         if second.isEmpty():
             break
         links = stored(links.union(_links(second, docs, nodes, n, percent, ranks)))

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from panelwise.llm import gru, lm_scoring, sharding
+from panelwise.llm import gru, lm_scoring, ngram_join, sharding
 from panelwise.llm.fingerprints import fingerprints, near_duplicates
 from panelwise.llm.licenses import TEXTS, known_licenses, license_scan, scan_sql
 from panelwise.llm.lm_scoring import score_documents
@@ -24,6 +24,7 @@ from panelwise.llm.quality import BUCKETS, LABELLERS, _sampled, _scored, accurac
 from panelwise.llm.sharding import shard_documents
 from panelwise.llm.substring_dedup import _probes, substring_dedup, unpack
 from panelwise.llm.substring_dedup import pack as packed
+from panelwise.llm.textkernel import Words, shingle_sets
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, tag string, n int, token string"
 
@@ -125,6 +126,61 @@ def test_outliers_of_a_large_group_cost_a_row_a_member(spark):
     assert cells.count() <= 20_100 and cells.where("side <> 1").select("sid").distinct().count() == 1
 
 
+def test_unlinked_members_of_a_large_group_are_split(spark):
+    sid = F.expr("cast(lpad(string(id), 16, '0') as binary)")
+    many = spark.range(32_768)
+    shared = many.select(F.lit(1).cast("long").alias("token"), F.expr("cast(lpad('x', 16, '0') as binary)").alias("probe"), sid.alias("sid"))
+    labels = spark.createDataFrame([], "node binary, root binary")
+    nodes = many.select(sid.alias("sid"), F.lit(50).alias("n"), F.lit(bytes(256)).alias("profile"))
+    seconds = many.select(sid.alias("sid"), F.explode(F.expr("array(1, 100000 + id, 200000 + id div 2)")).alias("second"))
+    cells = _across_labels(shared, labels, nodes, lambda sids: seconds.join(sids, "sid", "left_semi"))
+    assert cells.count() <= 32_768 * 2
+    met = cells.groupBy("token", "i", "j").agg(F.collect_set("sid").alias("s")).where("size(s) = 2")
+    assert met.select(F.explode("s")).distinct().count() == 32_768
+    # Where every second n-gram is shared by all, the group is not split.
+    common = many.select(sid.alias("sid"), F.explode(F.expr("array(5L, 6L)")).alias("second"))
+    few = _across_labels(shared.limit(3000), labels, nodes, lambda sids: common.join(sids, "sid", "left_semi"))
+    assert few.select("token").distinct().collect() == [(1,)]
+
+
+@pytest.mark.parametrize("own", [20, 60])
+def test_split_groups_lose_no_link(spark, monkeypatch, own):
+    rng = np.random.default_rng(own)
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    ranks = np.ones(ngram_join.COUNTERS, np.uint16)
+    ranks[int(shingle_sets(Words(pa.array(["c0 c1 c2"]), lower=True), 3)[0][0]) % ngram_join.COUNTERS] = 0  # what all texts share stands first
+    monkeypatch.setattr(ngram_join, "_common", lambda signed: ranks)
+    chosen = []
+    split = ngram_join._split
+    monkeypatch.setattr(ngram_join, "_split", lambda *a: chosen.append(split(*a)) or chosen[-1])
+    texts = []
+    for _ in range(40):
+        text = [*(f"c{i}" for i in range(3)), *(f"w{x}" for x in rng.integers(0, 5000, own))]
+        texts.append(text)
+        for edits in rng.integers(0, 4, 2):
+            near = list(text)
+            for at in rng.integers(3, len(near), edits):
+                near[at] = f"e{rng.integers(1000)}"
+            texts.append(near)
+    sets = [frozenset(tuple(t[i : i + 3]) for i in range(len(t) - 2)) for t in texts]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_jaccard_join(docs, n=3, percent=80).collect()}
+    assert got == {i: find(i) for i in range(len(sets))}
+    assert any(tokens.count() for _, _, tokens in chosen)
+
+
 def test_trie_shares_paths_and_prunes():
     arrays = [np.array(x, np.uint64) for x in (
         [1, 2, 3, 4, 5, 6, 7, 8, 9, 10], [1, 2, 3, 4, 5, 6, 7, 8, 9, 11], [1, 2, 20, 21, 22, 23, 24, 25, 26, 27], list(range(1, 41))
