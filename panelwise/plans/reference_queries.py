@@ -47,7 +47,11 @@ def g25_expanded_daily(p: Panels):
 
 
 @query("""SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT start_date <= lag(end_date) OVER (PARTITION BY ticker ORDER BY start_date) AS bad
-FROM iv) WHERE bad) AS overlapping, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra FROM md""")
+FROM iv) WHERE bad) AS overlapping,
+(SELECT count(*) FROM (SELECT ticker, date FROM md EXCEPT ALL SELECT i.ticker, d.date FROM iv i JOIN (SELECT DISTINCT date FROM md) d
+ON d.date BETWEEN i.start_date AND i.end_date)) AS missing,
+(SELECT count(*) FROM (SELECT i.ticker, d.date FROM iv i JOIN (SELECT DISTINCT date FROM md) d ON d.date BETWEEN i.start_date AND i.end_date
+EXCEPT ALL SELECT ticker, date FROM md)) AS extra FROM md""")
 def g24_membership_validation(p: Panels):
     back = ref.expanded(p.spans, p.daily.select("date").distinct())
     own = p.daily.select("ticker", "date")
