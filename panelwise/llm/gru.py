@@ -35,35 +35,60 @@ def start(counts: np.ndarray, rare: float, seed: int = 1) -> dict[str, np.ndarra
     }
 
 
-def _sigmoid(x):
-    return 0.5 * (1 + np.tanh(0.5 * x))
+def _shift(x: np.ndarray) -> np.ndarray | None:
+    """What to take off each row of x before exp, or None where exp of x and sums of it are far from the limits of a float."""
+    return None if x.size and -40 < x.min() and x.max() < 40 else x.max(axis=1)[:, None]
 
 
-def _softmax(x):
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+def _softmax(x: np.ndarray, times: float) -> np.ndarray:
+    """The chances of each row's entries times a number; x is used up."""
+    if (top := _shift(x)) is not None:
+        x -= top
+    np.exp(x, out=x)
+    x *= (times / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
     return x
 
 
+def _log_sums(x: np.ndarray) -> np.ndarray:
+    """Logs of the sums of exp of each row; x is used up."""
+    if (top := _shift(x)) is not None:
+        x -= top
+    np.exp(x, out=x)
+    sums = np.log(x @ np.ones(x.shape[1], x.dtype))
+    return sums if top is None else sums + top[:, 0]
+
+
 def _log_chance(p: dict, h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log of the chance of each word after each state."""
     bounds = p["bounds"]
-    label = np.searchsorted(bounds, word, side="right") - 1
-    logits = h @ p["wc"] + p["bc"]
-    top = logits.max(axis=1)
-    out = logits[np.arange(len(h)), label] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+    label = (np.searchsorted(bounds, word, side="right") - 1).astype(np.int16)
     order = np.argsort(label, kind="stable")
-    cuts = np.searchsorted(label[order], np.arange(len(bounds)))
+    h, word, label = h[order], word[order], label[order]
+    logits = h @ p["wc"] + p["bc"]
+    found = logits[np.arange(len(h)), label]
+    found -= _log_sums(logits)
+    cuts = np.searchsorted(label, np.arange(len(bounds)))
     for c in np.flatnonzero(np.diff(cuts)):
         a, b = bounds[c], bounds[c + 1]
         if b - a > 1:
-            own = order[cuts[c] : cuts[c + 1]]
+            own = slice(cuts[c], cuts[c + 1])
             inner = h[own] @ p["wo"][a:b].T + p["bo"][a:b]
-            top = inner.max(axis=1)
-            out[own] += inner[np.arange(len(own)), word[own] - a] - top - np.log(np.exp(inner - top[:, None]).sum(axis=1))
+            found[own] += inner[np.arange(len(inner)), word[own] - a]
+            found[own] -= _log_sums(inner)
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
+def _stepping(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(input part of each word's gates, weights of the state), those of the two gates halved, as a sigmoid is (1 + tanh(x / 2)) / 2."""
+    table, wh = p["embed"] @ p["wx"], p["wh"].copy()
+    table += p["b"]
+    table[:, : 2 * HIDDEN] *= 0.5
+    wh[:, : 2 * HIDDEN] *= 0.5
+    return table, wh
+
+
 def _lanes(sizes: np.ndarray, many: int) -> list[list[int]]:
     """Documents dealt to lanes of about equal words, longest first; the fullest lane comes first."""
     heap = [(0, i) for i in range(min(many, len(sizes)))]
@@ -93,16 +118,25 @@ def document_scores(p: dict, words: np.ndarray, offsets: np.ndarray) -> np.ndarr
     loads = np.array([sum(int(sizes[d]) for d in own) for own in owners])
     begins = np.cumsum(loads) - loads
     active = np.searchsorted(-loads, -np.arange(loads[0] if len(loads) else 0), side="left")
-    table, wh, k = p["embed"] @ p["wx"] + p["b"], p["wh"], HIDDEN
+    (table, wh), k = _stepping(p), HIDDEN
+    begun = np.zeros(len(active), bool)
+    begun[(np.flatnonzero(fresh) - np.repeat(begins, loads)[fresh]).astype(np.int64)] = True
     h, out, states, places, held = np.zeros((len(loads), k), np.float32), np.zeros(len(sizes)), [], [], 0
     for t in range(len(active)):
         at = begins[: active[t]] + t
         now = h[: active[t]]
-        now[fresh[at]] = 0
+        if begun[t]:
+            now[fresh[at]] = 0
         x, u = table[source[at]], now @ wh
-        gates = _sigmoid(x[:, : 2 * k] + u[:, : 2 * k])
-        new = np.tanh(x[:, 2 * k :] + gates[:, k:] * u[:, 2 * k :])
-        now += (1 - gates[:, :k]) * (new - now)
+        gates = np.tanh(x[:, : 2 * k] + u[:, : 2 * k])
+        gates *= 0.5
+        gates += 0.5
+        new = gates[:, k:] * u[:, 2 * k :]
+        new += x[:, 2 * k :]
+        np.tanh(new, out=new)
+        new -= now
+        new *= 1 - gates[:, :k]
+        now += new
         states.append(now.copy())
         places.append(at)
         held += len(at)
@@ -114,61 +148,75 @@ def document_scores(p: dict, words: np.ndarray, offsets: np.ndarray) -> np.ndarr
 
 
 def _window(p: dict, source: np.ndarray, target: np.ndarray, h: np.ndarray, fresh: np.ndarray | None = None) -> tuple[dict, np.ndarray]:
-    """Gradients of one window (lanes x steps), -1 marking no word, and the state after it; where fresh, a document begins from the zero state."""
+    """Gradients of one window (lanes x steps), -1 marking no word, and the state after it; where fresh, a document begins from the zero state.
+
+    `used` are the rows of `embed` whose gradients may differ from 0.
+    """
     k, bounds, (lanes, steps) = HIDDEN, p["bounds"], source.shape
     g = {n: np.zeros_like(p[n]) for n in SHAPES}
     source, word = np.ascontiguousarray(source.T), target.T.reshape(-1)  # step by step, so that a step's lanes lie together
     begins = np.zeros((steps, lanes, 1), bool) if fresh is None else np.ascontiguousarray(fresh.T)[:, :, None]
-    table = p["embed"] @ p["wx"] + p["b"]
+    begun = begins.any(axis=(1, 2)).tolist()
+    table, wh = _stepping(p)
     a = table[source]
-    kept, states = [], np.empty((steps, lanes, k), h.dtype)
+    before, news, states = (np.empty((steps, lanes, k), h.dtype) for _ in range(3))
+    inner, both = np.empty((steps, lanes, k), h.dtype), np.empty((steps, lanes, 2 * k), h.dtype)
     for t in range(steps):
-        h = np.where(begins[t], 0, h)
-        u = h @ p["wh"]
-        gates = _sigmoid(a[t, :, : 2 * k] + u[:, : 2 * k])
-        new = np.tanh(a[t, :, 2 * k :] + gates[:, k:] * u[:, 2 * k :])
-        after = h + (1 - gates[:, :k]) * (new - h)
-        kept.append((h, u, gates, new))
-        states[t] = h = after
+        before[t] = h = np.where(begins[t], 0, h) if begun[t] else h
+        u, gates, new, after = h @ wh, both[t], news[t], states[t]
+        inner[t] = u[:, 2 * k :]
+        np.tanh(a[t, :, : 2 * k] + u[:, : 2 * k], out=gates)
+        gates *= 0.5
+        gates += 0.5
+        np.multiply(gates[:, k:], inner[t], out=new)
+        new += a[t, :, 2 * k :]
+        np.tanh(new, out=new)
+        np.subtract(h, new, out=after)
+        after *= gates[:, :k]
+        after += new
+        h = after
     real = np.flatnonzero(word >= 0)
     label = np.searchsorted(bounds, word[real], side="right") - 1
     order = np.argsort(label.astype(np.int16), kind="stable")
     real, label = real[order], label[order]
     seen, cuts, share = states.reshape(-1, k)[real], np.searchsorted(label, np.arange(len(bounds))), 1 / max(len(real), 1)
-    d = _softmax(seen @ p["wc"] + p["bc"])
-    d[np.arange(len(real)), label] -= 1
-    d *= share
+    d = _softmax(seen @ p["wc"] + p["bc"], share)
+    d[np.arange(len(real)), label] -= share
     g["wc"], g["bc"] = seen.T @ d, d.sum(axis=0)
     own_dh = d @ p["wc"].T
     for c in np.flatnonzero(np.diff(cuts)):
         a_, b_ = bounds[c], bounds[c + 1]
         if b_ - a_ > 1:
             at = slice(cuts[c], cuts[c + 1])
-            d = _softmax(seen[at] @ p["wo"][a_:b_].T + p["bo"][a_:b_])
-            d[np.arange(len(d)), word[real[at]] - a_] -= 1
-            d *= share
+            d = _softmax(seen[at] @ p["wo"][a_:b_].T + p["bo"][a_:b_], share)
+            d[np.arange(len(d)), word[real[at]] - a_] -= share
             g["wo"][a_:b_] = d.T @ seen[at]
             g["bo"][a_:b_] = d.sum(axis=0)
             own_dh[at] += d @ p["wo"][a_:b_]
     dh, back = np.zeros((steps * lanes, k), own_dh.dtype), np.zeros((lanes, k), own_dh.dtype)
     dh[real] = own_dh
     dh, da_all, du_all = dh.reshape(steps, lanes, k), np.empty((steps, lanes, 3 * k), own_dh.dtype), np.empty((steps, lanes, 3 * k), own_dh.dtype)
+    z, r, transposed = both[:, :, :k], both[:, :, k:], np.ascontiguousarray(p["wh"].T)
+    of_new = (1 - z) * (1 - news**2)  # what reaches each part a unit of the state's gradient
+    of_z, of_r = (before - news) * z * (1 - z), of_new * inner * r * (1 - r)
     for t in reversed(range(steps)):
-        before, u, gates, new = kept[t]
-        back = back + dh[t]
-        z, r = gates[:, :k], gates[:, k:]
+        back += dh[t]
         da, du = da_all[t], du_all[t]
-        dn = back * (1 - z) * (1 - new**2)
-        da[:, :k] = du[:, :k] = back * (before - new) * z * (1 - z)
-        da[:, k : 2 * k] = du[:, k : 2 * k] = dn * u[:, 2 * k :] * r * (1 - r)
-        da[:, 2 * k :], du[:, 2 * k :] = dn, dn * r
-        back = np.where(begins[t], 0, back * z + du @ p["wh"].T)
-    g["wh"] = np.concatenate([x[0] for x in kept]).T @ du_all.reshape(-1, 3 * k)
+        np.multiply(back, of_z[t], out=da[:, :k])
+        np.multiply(back, of_r[t], out=da[:, k : 2 * k])
+        np.multiply(back, of_new[t], out=da[:, 2 * k :])
+        du[:, : 2 * k] = da[:, : 2 * k]
+        np.multiply(da[:, 2 * k :], r[t], out=du[:, 2 * k :])
+        back *= z[t]
+        back += du @ transposed
+        if begun[t]:
+            back[begins[t, :, 0]] = 0
+    g["wh"] = before.reshape(-1, k).T @ du_all.reshape(-1, 3 * k)
     flat, da = source.reshape(-1), da_all.reshape(-1, 3 * k)
     order = np.argsort(flat.astype(np.int16), kind="stable")
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
     by_word, used = np.add.reduceat(da[order], first, axis=0), flat[order[first]]
-    g["wx"], g["b"], g["embed"][used] = p["embed"][used].T @ by_word, by_word.sum(axis=0), by_word @ p["wx"].T
+    g["wx"], g["b"], g["embed"][used], g["used"] = p["embed"][used].T @ by_word, by_word.sum(axis=0), by_word @ p["wx"].T, used
     return g, h
 
 
@@ -208,7 +256,8 @@ def train(p: dict, blocks, window: int = 32, lanes: int = 256, rate: float = 0.1
             g, h = _window(p, source[part], target[part], h[:active], fresh[part])
             share = np.float32((target[part] >= 0).sum() / (len(owners) * window))
             for n in SHAPES:
-                step = g[n] * share
-                squares[n] += step**2
-                p[n] -= rate * step / np.sqrt(squares[n])
+                rows = g["used"] if n == "embed" else slice(None)
+                step = g[n][rows] * share
+                squares[n][rows] += step**2
+                p[n][rows] -= rate * step / np.sqrt(squares[n][rows])
     return p, squares
