@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import stars
-from ..functions.pvalues import incomplete_beta
+from ..functions.pvalues import incomplete_beta, p_value_chi2, p_value_norm
 from ..sources.panels import stored
 from .ranks import back
 
@@ -287,6 +287,27 @@ def residual_diagnostics(df: DataFrame, y: str, x1: str, x2: str) -> DataFrame:
     return out.select("ticker", "durbin_watson", (~F.col("durbin_watson").between(1.5, 2.5)).alias("dw_flag"), "jarque_bera", "jb_p", "breusch_pagan", "bp_p")
 
 
+def zero_means(df: DataFrame, value: str, group: str) -> DataFrame:
+    """ticker, n, z, p_value, groups, wald, wald_p: whether a ticker's mean is 0, and whether the means of all its groups are.
+
+    z is normal and wald, the sum of the groups' squared z, chi-square with a degree
+    a group, for large samples. Groups of one row or without variance take no part
+    in wald. Nulls of value are ignored; one shuffle by ticker and group after partial sums, one by ticker.
+    """
+    cells = df.where(F.col(value).isNotNull()).groupBy("ticker", F.expr(group).alias("cell")).agg(
+        F.count(F.lit(1)).alias("m"), F.avg(value).alias("mean"), F.var_samp(value).alias("v")
+    )
+    out = cells.groupBy("ticker").agg(
+        F.sum("m").alias("n"), F.expr("sum(m * mean) / sum(m)").alias("centre"), F.sum(F.expr("m * mean * mean")).alias("squares"),
+        F.sum(F.expr("coalesce((m - 1) * v, 0)")).alias("within"), F.count_if(F.expr("v > 0")).alias("groups"),
+        F.sum(F.expr("if(v > 0, m * mean * mean / v, null)")).alias("wald")
+    )
+    out = out.withColumn("z", F.expr("centre / nullif(sqrt((within + greatest(squares - n * centre * centre, 0)) / nullif(n - 1, 0) / n), 0)"))
+    return out.select(
+        "ticker", "n", "z", p_value_norm("z").alias("p_value"), "groups", "wald", p_value_chi2("wald", F.col("groups").cast("double")).alias("wald_p")
+    )
+
+
 def js_intensity(x: np.ndarray) -> float:
     """Share by which the means of x (names, dates) are drawn to their grand mean: (N - 2) / (T d'S^-1 d) within [0, 1]; 0.5 where S is singular."""
     n, t = x.shape

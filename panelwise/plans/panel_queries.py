@@ -320,6 +320,20 @@ def j1_beta_p_values(p: Panels):
     )
 
 
+@query("""SELECT ticker, sum(m)::BIGINT AS n, round(sum(m * mean * mean / v), 4) AS wald, round(exp(-sum(m * mean * mean / v) / 2) * (1 + sum(m * mean * mean / v) / 2), 7) AS wald_p
+FROM (SELECT ticker, quarter(date) AS q, count(*) AS m, avg(excess) AS mean, var_samp(excess) AS v FROM exc GROUP BY 1, 2) GROUP BY ticker
+HAVING count(*) FILTER (WHERE v > 0) = 4""")
+def j1_quarter_means(p: Panels):
+    """Whether the mean excess returns of the four calendar quarters are all 0, of tickers that have all four."""
+    return rounded(rg.zero_means(p.excess, "excess", "quarter(date)").where("groups = 4"), "ticker", "n", "wald:4", "wald_p:7")
+
+
+@query()
+def j1_mean_z(p: Panels):
+    """Whether a ticker's mean excess return is 0, by the normal distribution."""
+    return rounded(rg.zero_means(p.excess, "excess", "quarter(date)"), "ticker", "n", "z:5", "p_value:7")
+
+
 @query(_BETA + """SELECT count(*) AS n, round(avg(beta), 6) AS mean, round(median(beta), 6) AS median, round(stddev_pop(beta), 6) AS std, round(quantile_cont(beta,
 0.25), 6) AS q25, round(quantile_cont(beta, 0.75), 6) AS q75, count(*) FILTER (WHERE beta < 0.9) AS low_risk,
 count(*) FILTER (WHERE beta BETWEEN 0.9 AND 1.1) AS market_like, count(*) FILTER (WHERE beta > 1.1) AS high_risk

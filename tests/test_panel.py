@@ -256,6 +256,24 @@ def test_more_p_values(spark):
     assert f[0] == pytest.approx(f[1])
 
 
+def test_zero_means(spark):
+    rng = np.random.default_rng(11)
+    rows = [("a", int(q), float(x)) for q, x in zip(rng.integers(0, 3, 200), rng.normal(0.1, 1, 200), strict=True)]
+    edge = [("a", 0, None), ("a", 7, 0.5), ("one", 0, 1.0), ("flat", 0, 2.0), ("flat", 0, 2.0), ("empty", 0, None)]
+    df = spark.createDataFrame(rows + edge, "ticker string, q int, x double")
+    got = {r.ticker: r for r in rg.zero_means(df, "x", "q").collect()}
+    assert got.keys() == {"a", "one", "flat"}
+    x = np.array([v for _, _, v in [*rows, edge[1]]])
+    z = x.mean() / (x.std(ddof=1) / math.sqrt(len(x)))
+    assert (got["a"].n, got["a"].groups) == (201, 3)
+    assert (got["a"].z, got["a"].p_value) == (pytest.approx(z), pytest.approx(math.erfc(abs(z) / math.sqrt(2))))
+    cells = [np.array([v for _, g, v in rows if g == k]) for k in range(3)]
+    wald = sum(len(c) * c.mean() ** 2 / c.var(ddof=1) for c in cells)
+    tail = math.erfc(math.sqrt(wald / 2)) + math.sqrt(2 * wald / math.pi) * math.exp(-wald / 2)
+    assert (got["a"].wald, got["a"].wald_p) == (pytest.approx(wald), pytest.approx(tail))
+    assert all((got[t].z, got[t].p_value, got[t].groups, got[t].wald, got[t].wald_p) == (None, None, 0, None, None) for t in ("one", "flat"))
+
+
 def test_rolling_regressions_against_least_squares(spark):
     rows, schema = factor_rows()
     df = spark.createDataFrame(rows, schema)

@@ -34,7 +34,7 @@ f13_expected_returns f13_constant_expected_returns f14_expected_return_pipeline
 f25_two_asset_grid f28_lag_sensitivity f31_sample_years g4_coverage g7_frequency_coverage g8_month_continuity g12_successors g18_outcomes g20_refetch_plan i15_observations
 k1_stream_upsert k2_late_rows k5_window_counts k5_stream_windows k6_recorded_spells k4_monthly_bars a14_stored_factors a14_stored_expected_returns d12_describe d13_beta_statistics
 d21_dispersion d34_performance e8_sector_neutral_legs e14_cumulative_drawdown e15_max_drawdown e20_year_to_date f12_rolling_change_beta f12_extremes f18_formation_methods
-g24_membership_validation
+g24_membership_validation j1_quarter_means
 """.split()
 
 
