@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import stored
+from .scratch import passing, stored
 from .textkernel import U, Words, set_ids, shingle_sets, slices
 
 #: Counters of the table that orders n-grams by how common they are, and the pieces it travels in. The table is 512 KB for any corpus.
@@ -357,26 +357,27 @@ def _joined(docs: DataFrame, n: int, percent: int, postings) -> tuple[DataFrame,
     known = signed.where("kind = 0 and blob is not null and id is not null").withColumnRenamed("blob", "sid")
     nodes = stored(known.groupBy("sid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("profile").alias("profile")))
 
-    posted = docs.select("text").mapInArrow(postings("text", n, percent, ranks), "token long, sid binary")
-    groups = posted.groupBy("token").agg(F.min("sid").alias("probe"), F.max("sid").alias("last")).where("probe <> last")
-    shared = stored(posted.join(groups.select("token", "probe"), "token").distinct())
-    first = shared.where("probe <> sid").select("probe", "sid").distinct()
-    links = stored(_links(stored(_possible(first, nodes, percent)), docs, nodes, n, percent, ranks))
-    labels = components(links, "a", "b")
-
     def longer(sids: DataFrame) -> DataFrame:
         active = nodes.join(sids, "sid", "left_semi").select("sid", "rep")
         texts = docs.join(active.select(F.col("rep").alias("id")).distinct(), "id").select("text")
         seconds = texts.mapInArrow(_postings("text", n, percent, ranks, 2), "second long, sid binary")
         return seconds.join(active.select("sid"), "sid", "left_semi").distinct()
 
-    for best in (True, False):
-        # What the groups' smallest members have not connected: first the likeliest pair of each two labels, then all that is left.
-        second = stored(_across_labels(shared, labels, nodes, longer).mapInArrow(_across(percent, best), "probe binary, sid binary").distinct())
-        if second.isEmpty():
-            break
-        links = stored(links.union(_links(second, docs, nodes, n, percent, ranks)))
+    with passing(spark) as keep:
+        posted = docs.select("text").mapInArrow(postings("text", n, percent, ranks), "token long, sid binary")
+        groups = posted.groupBy("token").agg(F.min("sid").alias("probe"), F.max("sid").alias("last")).where("probe <> last")
+        shared = stored(posted.join(groups.select("token", "probe"), "token").distinct())
+        first = shared.where("probe <> sid").select("probe", "sid").distinct()
+        links = stored(_links(stored(_possible(first, nodes, percent)), docs, nodes, n, percent, ranks))
         labels = components(links, "a", "b")
+        for best in (True, False):
+            # What the groups' smallest members have not connected: first the likeliest pair of each two labels, then all that is left.
+            second = stored(_across_labels(shared, labels, nodes, longer).mapInArrow(_across(percent, best), "probe binary, sid binary").distinct())
+            if second.isEmpty():
+                break
+            links = stored(links.union(_links(second, docs, nodes, n, percent, ranks)))
+            labels = components(links, "a", "b")
+        labels = keep(labels)
 
     member = nodes.select("sid", "rep").join(
         labels.withColumnRenamed("node", "sid"), "sid", "left"

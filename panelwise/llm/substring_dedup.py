@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import passing, stored
 from .textkernel import U, Words, ngrams, slices, stretches
 
 #: Text of one piece, and of what is hashed at once.
@@ -381,14 +381,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
-    pieced = stored(docs.mapInArrow(_pieced, _PIECED), "zstd")
-    size = pieced.agg(F.sum("size")).first()[0] or 0
-    bits = (max(LEAST_RANGES, -(-size // RANGE_BYTES)) - 1).bit_length()
-    texts = pieced.drop("size")
-
-    probes = texts.mapInArrow(_probes(window, bits), _PROBES).repartition("n").sortWithinPartitions("n")
-    shared = stored(probes.mapInArrow(_by_range(("piece", "keys", "flags"), _shared), _ANSWERS))
-    found = stored(_by_piece(texts, shared).mapInArrow(_extended(window, bits), _NEAR), "zstd")
+    with passing(docs.sparkSession) as keep:
+        pieced = stored(docs.mapInArrow(_pieced, _PIECED), "zstd")
+        size = pieced.agg(F.sum("size")).first()[0] or 0
+        bits = (max(LEAST_RANGES, -(-size // RANGE_BYTES)) - 1).bit_length()
+        texts = pieced.drop("size")
+
+        probes = texts.mapInArrow(_probes(window, bits), _PROBES).repartition("n").sortWithinPartitions("n")
+        shared = stored(probes.mapInArrow(_by_range(("piece", "keys", "flags"), _shared), _ANSWERS))
+        found = keep(_by_piece(texts, shared).mapInArrow(_extended(window, bits), _NEAR), "zstd")
     near = found.where("kind = 1").select("piece", "id", "tag", "text", "places")
     windows = near.mapInArrow(_windows(window, bits), _WINDOWS).repartition("n").sortWithinPartitions("n")
     least = stored(windows.mapInArrow(_least(bits), _LEAST))

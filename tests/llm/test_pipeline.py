@@ -2,11 +2,13 @@
 
 import collections
 import re
+import time
 
 import numpy as np
 import pytest
 
 import corpus_pipeline as pipeline
+from panelwise.llm import scratch
 from panelwise.llm.quality import classify_quality
 
 LETTERS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -117,3 +119,25 @@ def test_run_and_empty_tables(spark, docs, tmp_path):
     assert got and all(sum(n for _, n in own) <= 2048 for own in bins.values())
     assert {r.doc_id for r in got} <= {r[0] for r in rows()} and not any(r.doc_id == 4000 for r in got)
     assert pipeline.run(spark, f"file://{tmp_path}/empty").count() == 0
+
+
+def test_stages_leave_neither_shuffle_files_nor_tables_of_their_way(spark, docs):
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    def tables():
+        path = spark._jvm.org.apache.hadoop.fs.Path(scratch._own(spark))
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return {str(x.getPath().getName()) for x in files.listStatus(path)} if files.exists(path) else set()
+
+    before = shuffled()
+    scratch.stored(spark.range(1000).repartition(4, "id"))
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(scratch.SHUFFLES_GO, None) is None
+    for stage, most in ((pipeline.near_duplicates, 4), (pipeline.repeated_passages, 2)):  # what the lazy result still reads
+        known = tables()
+        got = stage(spark, docs, "")
+        assert len(tables() - known) <= most and got.count()
