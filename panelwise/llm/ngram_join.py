@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import passing, stored
+from .scratch import lasting, passing, stored
 from .textkernel import U, Words, set_ids, shingle_sets, slices
 
 #: Counters of the table that orders n-grams by how common they are, and the pieces it travels in. The table is 512 KB for any corpus.
@@ -315,7 +315,7 @@ def _split(wide: DataFrame, members: DataFrame, longer: Callable[[DataFrame], Da
     finer = stored(own.join(longer(own.select("sid").distinct()), "sid").where("second <> token").select("token", "second", "sid", "label"))
     groups = stored(_labelled(finer, ["token", "second"]))
     cost = groups.groupBy("token").agg(F.sum(F.col("m").cast("double") * F.col("away")).alias("cost"))
-    tokens = stored(wide.join(cost, "token", "left").where("coalesce(cost, 0) < cast(m as double) * away").select("token"))
+    tokens = lasting(wide.join(cost, "token", "left").where("coalesce(cost, 0) < cast(m as double) * away").select("token"))
     return finer, groups, tokens
 
 

@@ -57,6 +57,11 @@ def stored(df: DataFrame, codec: str = "snappy", by: str | None = None, folder:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lasting(df: DataFrame) -> DataFrame:
+    """stored() for a table of few rows that stays until clear(), wherever it is stored."""
+    return stored(df, folder=_own(df.sparkSession))
+
+
 @contextmanager
 def passing(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """Tables that are stored inside are deleted at the end, but for those stored by the function given, which takes what stored() takes."""
