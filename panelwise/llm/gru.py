@@ -40,6 +40,16 @@ def _shift(x: np.ndarray) -> np.ndarray | None:
     return None if x.size and -40 < x.min() and x.max() < 40 else x.max(axis=1)[:, None]
 
 
+def _affine(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = x @ w
+    out += b  # in place, as a second large array costs more than the sum
+    return out
+
+
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    return np.ones(len(x), x.dtype) @ x
+
+
 def _softmax(x: np.ndarray, times: float) -> np.ndarray:
     """The chances of each row's entries times a number; x is used up."""
     if (top := _shift(x)) is not None:
@@ -64,7 +74,7 @@ def _log_chance(p: dict, h: np.ndarray, word: np.ndarray) -> np.ndarray:
     label = (np.searchsorted(bounds, word, side="right") - 1).astype(np.int16)
     order = np.argsort(label, kind="stable")
     h, word, label = h[order], word[order], label[order]
-    logits = h @ p["wc"] + p["bc"]
+    logits = _affine(h, p["wc"], p["bc"])
     found = logits[np.arange(len(h)), label]
     found -= _log_sums(logits)
     cuts = np.searchsorted(label, np.arange(len(bounds)))
@@ -72,7 +82,7 @@ def _log_chance(p: dict, h: np.ndarray, word: np.ndarray) -> np.ndarray:
         a, b = bounds[c], bounds[c + 1]
         if b - a > 1:
             own = slice(cuts[c], cuts[c + 1])
-            inner = h[own] @ p["wo"][a:b].T + p["bo"][a:b]
+            inner = _affine(h[own], p["wo"][a:b].T, p["bo"][a:b])
             found[own] += inner[np.arange(len(inner)), word[own] - a]
             found[own] -= _log_sums(inner)
     out = np.empty_like(found)
@@ -101,6 +111,20 @@ def _lanes(sizes: np.ndarray, many: int) -> list[list[int]]:
     return owners
 
 
+def _advance(x: np.ndarray, wh: np.ndarray, now: np.ndarray) -> None:
+    """Takes the states one word further, in place; x are the words' rows of _stepping's table."""
+    k, u = HIDDEN, now @ wh
+    gates = np.tanh(x[:, : 2 * k] + u[:, : 2 * k])
+    gates *= 0.5
+    gates += 0.5
+    new = gates[:, k:] * u[:, 2 * k :]
+    new += x[:, 2 * k :]
+    np.tanh(new, out=new)
+    new -= now
+    new *= 1 - gates[:, :k]
+    now += new
+
+
 def document_scores(p: dict, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Natural log probability of each document, its state carried from its first word to its last.
 
@@ -127,16 +151,7 @@ def document_scores(p: dict, words: np.ndarray, offsets: np.ndarray) -> np.ndarr
         now = h[: active[t]]
         if begun[t]:
             now[fresh[at]] = 0
-        x, u = table[source[at]], now @ wh
-        gates = np.tanh(x[:, : 2 * k] + u[:, : 2 * k])
-        gates *= 0.5
-        gates += 0.5
-        new = gates[:, k:] * u[:, 2 * k :]
-        new += x[:, 2 * k :]
-        np.tanh(new, out=new)
-        new -= now
-        new *= 1 - gates[:, :k]
-        now += new
+        _advance(table[source[at]], wh, now)
         states.append(now.copy())
         places.append(at)
         held += len(at)
@@ -147,8 +162,8 @@ def document_scores(p: dict, words: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return out
 
 
-def _window(p: dict, source: np.ndarray, target: np.ndarray, h: np.ndarray, fresh: np.ndarray | None = None) -> tuple[dict, np.ndarray]:
-    """Gradients of one window (lanes x steps), -1 marking no word, and the state after it; where fresh, a document begins from the zero state.
+def _window(p: dict, source: np.ndarray, target: np.ndarray, h: np.ndarray, fresh: np.ndarray | None = None, given: np.ndarray | None = None) -> tuple[dict, np.ndarray]:
+    """Gradients of one window (lanes x steps), -1 marking no word, and the state after it; where fresh, a stretch begins from the given (lanes x steps x HIDDEN) or zero state.
 
     `used` are the rows of `embed` whose gradients may differ from 0.
     """
@@ -158,66 +173,73 @@ def _window(p: dict, source: np.ndarray, target: np.ndarray, h: np.ndarray, fres
     begins = np.zeros((steps, lanes, 1), bool) if fresh is None else np.ascontiguousarray(fresh.T)[:, :, None]
     begun = begins.any(axis=(1, 2)).tolist()
     table, wh = _stepping(p)
-    a = table[source]
-    before, news, states = (np.empty((steps, lanes, k), h.dtype) for _ in range(3))
-    inner, both = np.empty((steps, lanes, k), h.dtype), np.empty((steps, lanes, 2 * k), h.dtype)
+    to_gates = np.ascontiguousarray(wh.T)
+    a = np.ascontiguousarray(table[source].transpose(0, 2, 1))  # in steps, the lanes of a number lie together
+    h = np.ascontiguousarray(h.T)
+    before, news, states, inner = (np.empty((steps, k, lanes), h.dtype) for _ in range(4))
+    both = np.empty((steps, 2 * k, lanes), h.dtype)
     for t in range(steps):
-        before[t] = h = np.where(begins[t], 0, h) if begun[t] else h
-        u, gates, new, after = h @ wh, both[t], news[t], states[t]
-        inner[t] = u[:, 2 * k :]
-        np.tanh(a[t, :, : 2 * k] + u[:, : 2 * k], out=gates)
+        if begun[t]:
+            h = np.where(begins[t].T, 0 if given is None else given[:, t].T, h)
+        before[t] = h
+        u, gates, new, after = to_gates @ h, both[t], news[t], states[t]
+        inner[t] = u[2 * k :]
+        np.add(a[t, : 2 * k], u[: 2 * k], out=gates)
+        np.tanh(gates, out=gates)
         gates *= 0.5
         gates += 0.5
-        np.multiply(gates[:, k:], inner[t], out=new)
-        new += a[t, :, 2 * k :]
+        np.multiply(gates[k:], inner[t], out=new)
+        new += a[t, 2 * k :]
         np.tanh(new, out=new)
         np.subtract(h, new, out=after)
-        after *= gates[:, :k]
+        after *= gates[:k]
         after += new
         h = after
+    by_row = lambda x: x.transpose(0, 2, 1).reshape(steps * lanes, -1)
     real = np.flatnonzero(word >= 0)
     label = np.searchsorted(bounds, word[real], side="right") - 1
     order = np.argsort(label.astype(np.int16), kind="stable")
     real, label = real[order], label[order]
-    seen, cuts, share = states.reshape(-1, k)[real], np.searchsorted(label, np.arange(len(bounds))), 1 / max(len(real), 1)
-    d = _softmax(seen @ p["wc"] + p["bc"], share)
+    seen, cuts, share = by_row(states)[real], np.searchsorted(label, np.arange(len(bounds))), 1 / max(len(real), 1)
+    d = _softmax(_affine(seen, p["wc"], p["bc"]), share)
     d[np.arange(len(real)), label] -= share
-    g["wc"], g["bc"] = seen.T @ d, d.sum(axis=0)
+    g["wc"], g["bc"] = seen.T @ d, _column_sums(d)
     own_dh = d @ p["wc"].T
     for c in np.flatnonzero(np.diff(cuts)):
         a_, b_ = bounds[c], bounds[c + 1]
         if b_ - a_ > 1:
             at = slice(cuts[c], cuts[c + 1])
-            d = _softmax(seen[at] @ p["wo"][a_:b_].T + p["bo"][a_:b_], share)
+            d = _softmax(_affine(seen[at], p["wo"][a_:b_].T, p["bo"][a_:b_]), share)
             d[np.arange(len(d)), word[real[at]] - a_] -= share
             g["wo"][a_:b_] = d.T @ seen[at]
-            g["bo"][a_:b_] = d.sum(axis=0)
+            g["bo"][a_:b_] = _column_sums(d)
             own_dh[at] += d @ p["wo"][a_:b_]
-    dh, back = np.zeros((steps * lanes, k), own_dh.dtype), np.zeros((lanes, k), own_dh.dtype)
+    dh, back = np.zeros((steps * lanes, k), own_dh.dtype), np.zeros((k, lanes), own_dh.dtype)
     dh[real] = own_dh
-    dh, da_all, du_all = dh.reshape(steps, lanes, k), np.empty((steps, lanes, 3 * k), own_dh.dtype), np.empty((steps, lanes, 3 * k), own_dh.dtype)
-    z, r, transposed = both[:, :, :k], both[:, :, k:], np.ascontiguousarray(p["wh"].T)
+    dh = np.ascontiguousarray(dh.reshape(steps, lanes, k).transpose(0, 2, 1))
+    da_all, du_all = np.empty((steps, 3 * k, lanes), own_dh.dtype), np.empty((steps, 3 * k, lanes), own_dh.dtype)
+    z, r = both[:, :k], both[:, k:]
     of_new = (1 - z) * (1 - news**2)  # what reaches each part a unit of the state's gradient
     of_z, of_r = (before - news) * z * (1 - z), of_new * inner * r * (1 - r)
     for t in reversed(range(steps)):
         back += dh[t]
         da, du = da_all[t], du_all[t]
-        np.multiply(back, of_z[t], out=da[:, :k])
-        np.multiply(back, of_r[t], out=da[:, k : 2 * k])
-        np.multiply(back, of_new[t], out=da[:, 2 * k :])
-        du[:, : 2 * k] = da[:, : 2 * k]
-        np.multiply(da[:, 2 * k :], r[t], out=du[:, 2 * k :])
+        np.multiply(back, of_z[t], out=da[:k])
+        np.multiply(back, of_r[t], out=da[k : 2 * k])
+        np.multiply(back, of_new[t], out=da[2 * k :])
+        du[: 2 * k] = da[: 2 * k]
+        np.multiply(da[2 * k :], r[t], out=du[2 * k :])
         back *= z[t]
-        back += du @ transposed
+        back += p["wh"] @ du
         if begun[t]:
-            back[begins[t, :, 0]] = 0
-    g["wh"] = before.reshape(-1, k).T @ du_all.reshape(-1, 3 * k)
-    flat, da = source.reshape(-1), da_all.reshape(-1, 3 * k)
+            back[:, begins[t, :, 0]] = 0
+    g["wh"] = by_row(before).T @ by_row(du_all)
+    flat, da = source.reshape(-1), by_row(da_all)
     order = np.argsort(flat.astype(np.int16), kind="stable")
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
     by_word, used = np.add.reduceat(da[order], first, axis=0), flat[order[first]]
     g["wx"], g["b"], g["embed"][used], g["used"] = p["embed"][used].T @ by_word, by_word.sum(axis=0), by_word @ p["wx"].T, used
-    return g, h
+    return g, np.ascontiguousarray(h.T)
 
 
 def no_steps(p: dict) -> dict:
@@ -225,35 +247,73 @@ def no_steps(p: dict) -> dict:
     return {n: np.full_like(p[n], 1e-6) for n in SHAPES}
 
 
+def _stretches(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, first place in it) of each stretch when documents are cut every `most` words."""
+    many = -(-sizes // most)
+    document = np.repeat(np.arange(len(sizes)), many)
+    return document, (np.arange(len(document)) - np.repeat(np.cumsum(many) - many, many)) * most
+
+
+def _states_before(p: dict, words: np.ndarray, offsets: np.ndarray, document: np.ndarray, place: np.ndarray, most: int) -> np.ndarray:
+    """The state before each place of a document, all being multiples of `most`: the model has read the document from its first word."""
+    out = np.zeros((len(document), HIDDEN), np.float32)
+    last = np.zeros(len(offsets) - 1, np.int64)
+    np.maximum.at(last, document, place)
+    long = np.flatnonzero(last)
+    long = long[np.argsort(-last[long], kind="stable")]
+    of = {(d, a): i for i, (d, a) in enumerate(zip(document.tolist(), place.tolist(), strict=True)) if a}
+    (table, wh), now, active = _stepping(p), np.zeros((len(long), HIDDEN), np.float32), len(long)
+    source = np.full(len(long), len(p["embed"]) - 1)
+    for t in range(int(last[long[0]]) if len(long) else 0):
+        _advance(table[source[:active]], wh, now[:active])
+        source[:active] = words[offsets[long[:active]] + t]
+        if (t + 1) % most == 0:
+            for i, d in enumerate(long[:active].tolist()):
+                out[of[d, t + 1]] = now[i]
+            active = int((last[long] > t + 1).sum())
+    return out
+
+
 def train(p: dict, blocks, window: int = 32, lanes: int = 256, rate: float = 0.1, squares: dict | None = None) -> tuple[dict, dict]:
     """(p, sums of squares of steps) after adaptive gradient steps, once over every word of blocks of whole documents (words, offsets), going on from the squares given.
 
     Documents lie end to end in lanes, in an order fixed by a seed, each from the
     zero state and the start sign; the state goes on from window to window to a
     document's last word, gradients do not. A window's step counts by its words;
-    small blocks have fewer lanes, for 64 windows or so.
+    small blocks have fewer lanes, for 64 windows or so. A document of more words
+    than an even lane is cut into stretches of that many, which lie in lanes like
+    documents: each goes on from the state that the block's first model has after
+    all words before it.
     """
     p = {n: p[n].copy() for n in p}
     squares = {n: x.copy() for n, x in (squares or no_steps(p)).items()}
     first, rng = len(p["embed"]) - 1, np.random.default_rng(2)
     for words, offsets in blocks:
-        sizes = np.diff(offsets)
-        owners = _lanes(sizes, min(lanes, max(8, int(sizes.sum()) // (64 * window))))
+        total = int(offsets[-1])
+        many = min(lanes, max(8, total // (64 * window)))
+        most = window * max(64, -(-total // (many * window)))
+        document, place = _stretches(np.diff(offsets), most)
+        sizes, begin = np.minimum(np.diff(offsets)[document] - place, most), offsets[document] + place
+        kept = _states_before(p, words, offsets, document, place, most)
+        owners = _lanes(sizes, many)
         load = max((int(sizes[own].sum()) for own in owners), default=0)
         target, source = (np.full((len(owners), load), fill, np.int32) for fill in (-1, first))
-        fresh = np.zeros((len(owners), load), bool)
+        fresh, after = np.zeros((len(owners), load), bool), np.full((len(owners), load), -1, np.int32)
         for lane, own in enumerate(owners):
             at = 0
             for d in rng.permutation(own).tolist():
-                text, to = words[offsets[d] : offsets[d + 1]], at + int(sizes[d])
+                text, to = words[begin[d] : begin[d] + sizes[d]], at + int(sizes[d])
                 if to > at:
                     target[lane, at:to], source[lane, at + 1 : to], fresh[lane, at] = text, text[:-1], True
+                    if place[d]:
+                        source[lane, at], after[lane, at] = words[begin[d] - 1], d
                 at = to
         h = np.zeros((len(owners), HIDDEN), np.float32)
         for a in range(0, load, window):
             active = int((target[:, a] >= 0).sum())  # lanes are in descending order of their words
             part = np.s_[:active, a : a + window]
-            g, h = _window(p, source[part], target[part], h[:active], fresh[part])
+            given = np.where(after[part][:, :, None] >= 0, kept[after[part]], np.float32(0)) if (after[part] >= 0).any() else None
+            g, h = _window(p, source[part], target[part], h[:active], fresh[part], given)
             share = np.float32((target[part] >= 0).sum() / (len(owners) * window))
             for n in SHAPES:
                 rows = g["used"] if n == "embed" else slice(None)

@@ -654,3 +654,28 @@ def test_gru_gradients_and_lanes():
         assert (loss(up) - loss(down)) / 2e-4 == pytest.approx(g[name][at], rel=2e-2, abs=1e-4)
     chances = sum(np.exp(gru.document_scores(p, np.array([w]), np.array([0, 1])))[0] for w in range(41))
     assert chances == pytest.approx(1.0, abs=1e-4)
+
+
+def test_gru_long_documents_are_fitted_in_even_lanes(monkeypatch):
+    rng = np.random.default_rng(5)
+    sizes = np.array([9000, *rng.integers(20, 300, 400), 5000])
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    words = rng.integers(0, 41, offsets[-1]).astype(np.int32)
+    p = gru.start(np.sort(rng.integers(1, 50, 40))[::-1], 30)
+    seen, window = [], gru._window
+    monkeypatch.setattr(gru, "_window", lambda p, source, target, *a: seen.append(target[target >= 0]) or window(p, source, target, *a))
+    gru.train(p, iter([(words, offsets)]))
+    assert len(seen) < 80 and (np.bincount(np.concatenate(seen)) == np.bincount(words)).all()  # 282 windows where a document keeps to its lane
+    # A stretch goes on from the state after all words before it.
+    document, place = gru._stretches(sizes, 2048)
+    assert place.max() == 8192 and len(place) == len(sizes) + 4 + 2
+    states = gru._states_before(p, words, offsets, document, place, 2048)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for d in (0, len(sizes) - 1):
+        h, last = np.zeros(gru.HIDDEN), len(p["embed"]) - 1
+        for t, word in enumerate(words[offsets[d] : offsets[d + 1]]):
+            for i in np.flatnonzero((document == d) & (place == t)):
+                assert np.abs(states[i] - h).max() < 1e-4
+            x, u = p["embed"][last] @ p["wx"] + p["b"], h @ p["wh"]
+            z, r = np.split(sigmoid(x[: 2 * gru.HIDDEN] + u[: 2 * gru.HIDDEN]), 2)
+            h, last = z * h + (1 - z) * np.tanh(x[2 * gru.HIDDEN :] + r * u[2 * gru.HIDDEN :]), word
