@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -679,3 +680,45 @@ def test_gru_long_documents_are_fitted_in_even_lanes(monkeypatch):
             x, u = p["embed"][last] @ p["wx"] + p["b"], h @ p["wh"]
             z, r = np.split(sigmoid(x[: 2 * gru.HIDDEN] + u[: 2 * gru.HIDDEN]), 2)
             h, last = z * h + (1 - z) * np.tanh(x[2 * gru.HIDDEN :] + r * u[2 * gru.HIDDEN :]), word
+
+
+def test_gru_windows_use_their_memory_again(monkeypatch):
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(20, 300, 3000)
+    words = rng.integers(0, 2001, sizes.sum()).astype(np.int32)
+    fresh, window = [], gru._window
+
+    def measured(p, source, target, *a):
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        out = window(p, source, target, *a)
+        fresh.append((tracemalloc.get_traced_memory()[1] - before) / target.size)
+        return out
+
+    monkeypatch.setattr(gru, "_window", measured)
+    tracemalloc.start()
+    try:
+        gru.train(gru.start(np.arange(2000, 0, -1), 30), iter([(words, np.concatenate([[0], np.cumsum(sizes)]))]))
+    finally:
+        tracemalloc.stop()
+    assert len(fresh) > 60 and np.median(fresh) < 600  # bytes a word; 320, and 2,035 where every window takes new arrays
+
+
+def test_gru_logits_far_from_0():
+    rng = np.random.default_rng(3)
+    p = gru.start(np.sort(rng.integers(1, 50, 40))[::-1], 30)
+    p = {k: (v + rng.normal(size=v.shape) * (200 if k in ("bc", "bo", "wc", "wo") else 0.3) if k != "bounds" else v) for k, v in p.items()}
+    words, bounds = rng.integers(0, 41, 50), p["bounds"]
+    log_sum = lambda x: x.max() + np.log(np.exp(x - x.max()).sum())
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    h, last, want = np.zeros(gru.HIDDEN), 41, 0.0
+    for word in words:
+        x, u = p["embed"][last] @ p["wx"] + p["b"], h @ p["wh"]
+        z, r = np.split(sigmoid(x[: 2 * gru.HIDDEN] + u[: 2 * gru.HIDDEN]), 2)
+        h, last = z * h + (1 - z) * np.tanh(x[2 * gru.HIDDEN :] + r * u[2 * gru.HIDDEN :]), word
+        c = np.searchsorted(bounds, word, side="right") - 1
+        classes, own = h @ p["wc"] + p["bc"], p["wo"][bounds[c] : bounds[c + 1]] @ h + p["bo"][bounds[c] : bounds[c + 1]]
+        want += classes[c] - log_sum(classes) + own[word - bounds[c]] - log_sum(own)
+    assert gru.document_scores(p, words, np.array([0, 50]))[0] == pytest.approx(want, rel=1e-6)
+    g, _ = gru._window(p, np.array([[41, *words[:-1]]]), words[None], np.zeros((1, gru.HIDDEN)))
+    assert all(np.isfinite(g[n]).all() for n in gru.SHAPES) and abs(g["bc"].sum()) < 1e-9
