@@ -24,8 +24,8 @@ PIVOTS_BY, LEAST_PIVOTS, MOST_PIVOTS, ORDER = 4.5, 256, 4096, 256
 #: Share of a block, and least number, whose footrule a query takes, and which it ranks again exactly.
 COUNTED, LEAST_COUNTED = 0.1, 500
 EXACT, LEAST_EXACT = 0.04, 160
-#: Entries of a block that it learns from, and queries whose orders are taken at once.
-LEARNED, SLICE = 48, 1024
+#: Entries of a block that it learns from, vectors whose orders are taken at once, and most vectors of a block.
+LEARNED, SLICE, MOST = 48, 1024, 32768
 
 
 def pivots_for(vectors: int) -> int:
@@ -45,13 +45,15 @@ def _runs(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def orders(x: np.ndarray, pivots: np.ndarray, near: int) -> tuple[np.ndarray, np.ndarray]:
-    """(the places of the first ORDER pivots in each vector's order, its `near` nearest pivots of all)."""
-    products = x @ pivots.T
-    own = np.argsort(-products[:, :ORDER], axis=1, kind="stable")
-    places = np.empty(own.shape, dtype=np.int16)
-    np.put_along_axis(places, own, np.arange(own.shape[1], dtype=np.int16)[None], axis=1)
+    """(the places of the first ORDER pivots in each vector's order, its `near` nearest pivots of all), SLICE vectors at a time."""
     near = min(near, len(pivots))
-    return places, np.argpartition(-products, near - 1, axis=1)[:, :near]
+    places, nearest_of_all = np.empty((len(x), min(ORDER, len(pivots))), dtype=np.int16), np.empty((len(x), near), dtype=np.int16)
+    for at in range(0, len(x), SLICE):
+        products = -(x[at : at + SLICE] @ pivots.T)
+        own = np.argsort(products[:, :ORDER], axis=1, kind="stable")
+        np.put_along_axis(places[at : at + SLICE], own, np.arange(own.shape[1], dtype=np.int16)[None], axis=1)
+        nearest_of_all[at : at + SLICE] = np.argpartition(products, near - 1, axis=1)[:, :near]
+    return places, nearest_of_all
 
 
 def _cosines(feature: np.ndarray, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +141,7 @@ class Block:
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
-    return table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+    return table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(table.num_rows, -1)
 
 
 def _searched(pivots, k: int):
@@ -151,9 +153,8 @@ def _searched(pivots, k: int):
             names = queries.column("id").to_pylist()
             for at in range(0, len(names), SLICE):
                 places, files = orders(x[at : at + SLICE], pivots.value, PROBED)
-                for i, query in enumerate(names[at : at + SLICE]):
-                    ids, score = block.search(query, x[at + i], places[i], files[i], k)
-                    found.append((np.full(len(ids), query), ids, score))
+                own = [(np.full(k, query), *block.search(query, x[at + i], places[i], files[i], k)) for i, query in enumerate(names[at : at + SLICE])]
+                found.append(tuple(np.concatenate(y) for y in zip(*((a[: len(b)], b, c) for a, b, c in own), strict=True)))
         a, b, c = (np.concatenate(y) for y in zip(*found, strict=True))
         return pa.table({"query_id": a, "vec_id": b, "score": c})
 
@@ -171,8 +172,9 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id
     every row is indexed. An empty table gives no rows.
     """
     spark = vectors.sparkSession
+    kind = "array<float>" if dict(vectors.dtypes)[vec_col] == "array<float>" else "array<double>"  # floats travel as floats
     rows = vectors.select(
-        F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
+        F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kind).alias("vec"),
         F.coalesce(F.expr(queries), F.lit(False)).alias("asks")
     )
     finite = "forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(vec, x -> x <> 0)"
@@ -186,7 +188,7 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id
     pivots = spark.sparkContext.broadcast(sample / np.linalg.norm(sample, axis=1, keepdims=True))
     rows = rows.where(F.size("vec") == sample.shape[1])
     n, asking = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
-    blocks = -(-n // int(np.clip(n // 16, 4096, 65536))) or 1
+    blocks = -(-n // int(np.clip(n // 16, 4096, MOST))) or 1
     chunks = -(-asking // int(np.clip(asking // 4, 1024, 65536))) or 1
     dealt = lambda many: F.pmod(F.xxhash64("id"), F.lit(many)).cast("int")
     spread = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from panelwise.llm import gru, lm_scoring, ngram_join, sharding
+from panelwise.llm import gru, lm_scoring, neighbours, ngram_join, sharding
 from panelwise.llm.fingerprints import fingerprints, near_duplicates
 from panelwise.llm.licenses import TEXTS, known_licenses, license_scan, scan_sql
 from panelwise.llm.lm_scoring import score_documents
@@ -543,6 +543,28 @@ def test_nearest_where_norms_differ(spark, n, kind):
     assert np.mean(found) >= 0.9
 
 
+def test_memory_of_a_block_of_vectors():
+    """Products with the pivots are taken in slices: as one matrix they are 128 MB here, and 2 GB with their copies beside them in a full block."""
+    rng = np.random.default_rng(3)
+    x, pivots = rng.normal(size=(8192, 16)), rng.normal(size=(2048, 16))
+    tracemalloc.start()
+    block = neighbours.Block(np.arange(8192), x, pivots / np.linalg.norm(pivots, axis=1, keepdims=True), 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 96 << 20 and block.size == 8192
+    whole = x @ (pivots / np.linalg.norm(pivots, axis=1, keepdims=True)).T
+    posted = [set(np.argsort(-row)[: neighbours.POSTED].tolist()) for row in whole[::500]]
+    files = np.repeat(np.arange(2048), np.diff(block.file))
+    assert [set(files[block.posted == i].tolist()) for i in range(0, 8192, 500)] == posted
+
+
+def test_nearest_of_floats(spark):
+    x = np.random.default_rng(6).normal(size=(400, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got, same = (nearest(d, "vec_id % 20 = 0", 5).orderBy("query_id", "rank").collect() for d in (df, df.withColumn("embedding", F.col("embedding").cast("array<double>"))))
+    assert got == same and len(got) == 100 and all(r.score == pytest.approx(float(x[r.query_id].astype(float) @ x[r.vec_id].astype(float)), abs=1e-12) for r in got)
+
+
 def test_nearest_with_many_copies(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(1200, 16))
