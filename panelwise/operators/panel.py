@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.dates import month_end
+from ..sources.panels import stored
 from .ranks import back, keys_of, percentile_rank, quantile_bucket
 
 OVER = "over (partition by ticker order by date)"
-#: Names of one block of the pairwise covariance.
-NAMES = 64
+#: Least and most names, and most numbers, of one block of the pairwise covariance; names that meet another block at once.
+NAMES, MOST_NAMES, CELLS, SLICE = 64, 1024, 1 << 19, 256
 
 
 def simple_returns(prices: DataFrame, k: int = 1, price: str = "adj_close", out: str = "ret") -> DataFrame:
@@ -226,38 +230,80 @@ def complete_dates(panel: DataFrame) -> DataFrame:
     return panel.join(full, "date", "left_semi")
 
 
-def pairwise_covariance(panel: DataFrame, value: str = "ret") -> DataFrame:
-    """ticker_i, ticker_j, cov, n for i <= j over their common dates; pairs without a common date are left out.
+def _packed(kind: pa.DataType):
+    """Rows (block, ticker, place, x) of a block to one row: its names, its places in order and the matrix of x, missing ones NaN."""
 
-    Tickers are dealt to blocks of about 64 and a row goes to each pair of blocks
-    with its own, so what is shuffled grows with rows times blocks, not with
-    pairs times dates; each pair of blocks is two matrices in one task.
-    """
-    rows = panel.select("ticker", "date", F.col(value).cast("double").alias("x")).where("x is not null")
-    blocks = F.lit(-(-(panel.select("ticker").distinct().count() or 1) // NAMES))
-    own = F.pmod(F.xxhash64("ticker"), blocks)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1))
-    dealt = rows.withColumn("own", own).withColumn("other", other).select(
-        F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "ticker", "date", "x"
-    )
-    kind = dict(panel.dtypes)["ticker"]
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = int(pdf["a"].iloc[0]), int(pdf["b"].iloc[0])
-        wide = pdf.pivot(index="ticker", columns="date", values="x").sort_index()
-        block = pdf.drop_duplicates("ticker").set_index("ticker")["own"].reindex(wide.index).to_numpy()
-        x = wide.to_numpy(float)
-        here = (~np.isnan(x)).astype(float)
-        x = np.where(here > 0, x - np.nanmean(x, axis=1, keepdims=True), 0.0)  # centred, so that nothing cancels
-        n, sums = here @ here.T, x @ here.T
+    def run(table: pa.Table) -> pa.Table:
+        names, i = np.unique(table.column("ticker").to_numpy(), return_inverse=True)
+        places, j = np.unique(table.column("place").to_numpy(), return_inverse=True)
+        x = np.full((len(names), len(places)), np.nan)
+        x[i, j] = table.column("x").to_numpy()
+        if np.count_nonzero(~np.isnan(x)) < table.num_rows:
+            raise ValueError("more than one row of a ticker and date")
+        lists = [pa.array([v.tolist()], pa.list_(k)) for v, k in ((names, kind), (places, pa.int32()))]
+        return pa.table({"block": table.column("block")[:1], "names": lists[0], "places": lists[1], "x": pa.array([x.tobytes()], pa.binary())})
+
+    return run
+
+
+def _block_covariances(names: tuple, places: tuple, x: tuple, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, cov, n) of the pairs of two blocks' names with a common date, i <= j, SLICE names of the first at a time."""
+    _, own, other = np.intersect1d(*places, assume_unique=True, return_indices=True)
+
+    def centred(m: np.ndarray, of: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:  # so that nothing cancels
+        m = m.reshape(len(names[of]), -1)
+        m = (m - np.nanmean(m, axis=1, keepdims=True))[:, at]
+        here = ~np.isnan(m)
+        return np.where(here, m, 0.0), here.astype(float)
+
+    (a, at_a), (b, at_b) = centred(x[0], 0, own), centred(x[1], 1, other)
+    for first in range(0, len(a), SLICE):
+        part, here = a[first : first + SLICE], at_a[first : first + SLICE]
+        n = here @ at_b.T
         with np.errstate(divide="ignore", invalid="ignore"):
-            cov = np.where(n > 1, (x @ x.T - sums * sums.T / n) / (n - 1), np.nan)
-        i, j = np.nonzero(np.triu(n > 0) & ((block[:, None] != block[None]) | (a == b)))
-        names = wide.index.to_numpy()
-        return pd.DataFrame({"ticker_i": names[i], "ticker_j": names[j], "cov": cov[i, j], "n": n[i, j].astype(np.int64)})
+            cov = np.where(n > 1, (part @ b.T - (part @ at_b.T) * (here @ b.T) / n) / (n - 1), np.nan)
+        i, j = np.nonzero(np.triu(n > 0, first) if same else n > 0)
+        left, right = names[0][first + i], names[1][j]
+        swap = left > right
+        yield np.where(swap, right, left), np.where(swap, left, right), cov[i, j], n[i, j].astype(np.int64)
 
-    out = dealt.groupBy("a", "b").applyInPandas(one, f"ticker_i {kind}, ticker_j {kind}, cov double, n long")
-    return out.withColumn("cov", F.when(~F.isnan("cov"), F.col("cov")))
+
+def _covariances(kind: pa.DataType):
+    """Pairs of packed blocks to rows of ticker_i, ticker_j, cov, n."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                at = lambda c, row=row: batch.column(c)[row]  # noqa: B023, E731
+                names, places = (tuple(at(f"{c}{s}").values.to_numpy(zero_copy_only=False) for s in "ab") for c in ("names", "places"))
+                x = tuple(np.frombuffer(at(f"x{s}").as_buffer(), float) for s in "ab")
+                for i, j, cov, n in _block_covariances(names, places, x, at("blocka") == at("blockb")):
+                    yield pa.RecordBatch.from_arrays([pa.array(i, kind), pa.array(j, kind), pa.array(cov, mask=np.isnan(cov)), pa.array(n)], ["ticker_i", "ticker_j", "cov", "n"])
+
+    return run
+
+
+def pairwise_covariance(panel: DataFrame, value: str = "ret") -> DataFrame:
+    """ticker_i, ticker_j, cov, n for i <= j over their common dates; pairs without a common date are left out. A ticker has one row a date.
+
+    Tickers are dealt to blocks, and a block is one row of a stored table: a
+    matrix of at most CELLS numbers. All pairs of blocks are joined from that
+    table without a shuffle, and each is two matrix products in one task, so what
+    is shuffled and stored grows with the panel; only reads and results grow with
+    the pairs.
+    """
+    rows = stored(panel.select("ticker", "date", F.col(value).cast("double").alias("x")).where("ticker is not null and date is not null and x is not null and not isnan(x)"))
+    numbers = rows.select("date").distinct().withColumn("place", F.expr("int(row_number() over (order by date))"))
+    names, dates = (rows.select(c).distinct().count() for c in ("ticker", "date"))
+    each = max(min(int(np.clip(-(-names // 16), NAMES, MOST_NAMES)), CELLS // max(dates, 1)), 1)
+    blocks = -(-names // each) or 1
+    kind = dict(rows.dtypes)["ticker"]
+    arrow = pa.string() if kind == "string" else to_arrow_type(rows.schema["ticker"].dataType)
+    dealt = rows.join(numbers, "date").select(F.pmod(F.xxhash64("ticker"), F.lit(blocks)).cast("int").alias("block"), "ticker", "place", "x")
+    packed = dealt.groupBy("block").applyInArrow(_packed(arrow), f"block int, names array<{kind}>, places array<int>, x binary")
+    packed = stored(packed.repartition(min(blocks, 64), "block"))
+    a, b = (packed.select(*(F.col(c).alias(f"{c}{s}") for c in packed.columns)) for s in "ab")
+    return a.join(b, F.col("blocka") <= F.col("blockb")).mapInArrow(_covariances(arrow), f"ticker_i {kind}, ticker_j {kind}, cov double, n long")
 
 
 def shrunk(cov: DataFrame, share: float = 0.25) -> DataFrame:

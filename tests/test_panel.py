@@ -383,6 +383,32 @@ def test_covariance_over_blocks(spark):
     assert len(got) == 150 * 151 // 2 and np.allclose(got["cov"], want[got["ticker_i"], got["ticker_j"]]) and (got["ticker_i"] <= got["ticker_j"]).all()
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_covariance_shuffles_no_pairs(spark, monkeypatch, broadcast):
+    """Blocks meet as they are stored: rows dealt to each pair of blocks were shuffled once a block."""
+    monkeypatch.setattr(op, "NAMES", 8)
+    monkeypatch.setattr(op, "SLICE", 3)
+    rng = np.random.default_rng(8)
+    x = np.where(rng.random((60, 9)) < 0.4, np.nan, rng.normal(size=(60, 9)))
+    x[5], x[7, 1:] = np.nan, np.nan
+    rows = [(f"t{t}", d, None if t % 2 and np.isnan(x[t, i]) else float(x[t, i])) for t in range(60) for i, d in enumerate(months(9))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        df = op.pairwise_covariance(spark.createDataFrame(rows, "ticker string, date date, ret double"))
+        plan, got = df._jdf.queryExecution().executedPlan().toString(), {(r.ticker_i, r.ticker_j): (r.cov, r.n) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plan and ("CartesianProduct" in plan) == (broadcast == "-1")
+    want = {}
+    for i in range(60):
+        for j in range(60):
+            both = ~np.isnan(x[i]) & ~np.isnan(x[j])
+            if f"t{i}" <= f"t{j}" and both.any():
+                want[f"t{i}", f"t{j}"] = (float(np.cov(x[i, both], x[j, both])[0, 1]) if both.sum() > 1 else None, int(both.sum()))
+    assert set(got) == set(want) and all(got[k] == (pytest.approx(c), n) if c is not None else got[k] == (None, n) for k, (c, n) in want.items())
+
+
 def test_james_stein(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(5, 40)) * 0.03 + np.array([[0.02], [0.0], [0.01], [-0.01], [0.03]])
