@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,31 +75,40 @@ def upsert_stream(events: DataFrame, path: str, key: list[str], partition_by: li
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-_PENDING = "number array<int>, date array<date>, next array<date>"
+#: Groups that keys of recorded spells are dealt to, and milliseconds of a day.
+BUCKETS, _DAY = 1024, 86_400_000
+#: Numbers and days of open runs in a bucket's state; days are those of unix_date.
+_RUNS = ("first", "start", "last", "end", "next")
+#: The day of a next recorded date that is not known.
+_UNKNOWN = -(1 << 31)
 
 
-def _closed_runs(watermark: datetime.date | None, pending: list[tuple]) -> tuple[list[tuple], list[tuple]]:
-    """(closed runs as (start, end), what stays) of (number, date, next recorded date): a run is closed once the watermark is past its next recorded date."""
-    closed, stay, run = [], [], []
-    for row in [*sorted(set(pending)), None]:
-        if run and (row is None or row[0] > run[-1][0] + 1):
-            after = run[-1][2]
-            if watermark is not None and after is not None and after < watermark:
-                closed.append((run[0][1], run[-1][1]))
-            else:
-                stay += run
-            run = []
-        if row is not None:
-            run.append(row)
-    return closed, stay
+def _closed_runs(watermark: int | None, names: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(names and runs after runs of one name that touch are joined, which of them are closed).
+
+    runs has a column a run: first, start, last, end, next, as numbers of recorded
+    dates and as days. A run is closed once the watermark's day is past its next
+    recorded date.
+    """
+    names, code = np.unique(names, return_inverse=True)
+    order = np.lexsort((runs[0], code))
+    code, runs = code[order], runs[:, order]
+    reach = np.maximum.accumulate((code << 32) + runs[2])
+    starts = np.flatnonzero(np.append(True, (code << 32)[1:] + runs[0][1:] > reach[:-1] + 1)) if len(code) else np.zeros(0, np.int64)
+    ends = np.maximum.reduceat((runs[2] << 33) + (runs[4] - _UNKNOWN), starts) if len(code) else np.zeros(0, np.int64)
+    after = (ends & ((1 << 33) - 1)) + _UNKNOWN
+    last = np.maximum.reduceat(runs[3], starts) if len(code) else ends
+    joined = np.stack([runs[0][starts], runs[1][starts], ends >> 33, last, after])
+    return names[code[starts]], joined, (after > _UNKNOWN) & (after < (_UNKNOWN if watermark is None else watermark))
 
 
 def recorded_spells(rows: DataFrame, dates: DataFrame, key: str = "ticker", lookback_days: int = 5) -> DataFrame:
     """key, start_date, end_date (inclusive) of each closed spell of a stream of (key, date): runs over the recorded dates, however far apart these are.
 
     dates is the table of recorded dates, read anew in each micro-batch, so it may
-    grow as the feed does; rows of other dates are left out. A key's state is its
-    rows of spells that are still open. A spell is given once, in append mode, when
+    grow as the feed does; rows of other dates are left out. Keys are dealt to
+    BUCKETS groups, so that a micro-batch is a call a bucket, not a key; a bucket's
+    state is its keys' runs that are still open. A spell is given once, in append mode, when
     the watermark, lookback_days behind the newest row, is past the recorded date
     that follows it; rows may come in any order within that time. Null keys and
     dates are left out.
@@ -107,23 +116,36 @@ def recorded_spells(rows: DataFrame, dates: DataFrame, key: str = "ticker", look
     kind = dict(rows.dtypes)[key]
     numbered = dates.select("date").distinct().select("date", F.expr("int(row_number() over (order by date))").alias("number"), F.expr("lead(date) over (order by date)").alias("next"))
     feed = rows.where(f"{key} is not null and date is not null").withColumn("at", F.col("date").cast("timestamp")).withWatermark("at", f"{lookback_days} days")
-    known = feed.join(numbered, "date").select(key, "at", "number", "date", "next")
+    known = feed.join(numbered, "date").select(
+        F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket"), key, "at", "number", F.unix_date("date").alias("day"),
+        F.coalesce(F.unix_date("next"), F.lit(_UNKNOWN)).alias("after")
+    )
 
     def close(own: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pending = list(zip(*state.get, strict=True)) if state.exists else []
+        names, runs = [], []
+        if state.exists:
+            held = state.get
+            names.append(np.array(held[0]))
+            runs.append(np.array(held[1:], dtype=np.int64))
         for pdf in batches:
-            pending += list(zip(pdf["number"].tolist(), pdf["date"], pdf["next"].where(pdf["next"].notna(), None), strict=True))
+            new = pdf[["number", "day", "number", "day", "after"]].to_numpy(np.int64).T
+            names.append(pdf[key].to_numpy())
+            runs.append(new)
+        if not names:
+            return
         now = state.getCurrentWatermarkMs()
-        closed, stay = _closed_runs(datetime.datetime.fromtimestamp(now / 1000, datetime.UTC).date() if now > 0 else None, pending)
-        if stay:
-            state.update(tuple(map(list, zip(*stay, strict=True))))
-            ends = [n for _, _, n in stay if n is not None]
-            if ends:
-                first = datetime.datetime.combine(min(ends), datetime.time(), datetime.UTC) + datetime.timedelta(days=1)
-                state.setTimeoutTimestamp(max(int(first.timestamp() * 1000), now + 1))
+        name, run, closed = _closed_runs(now // _DAY if now > 0 else None, np.concatenate(names), np.concatenate(runs, axis=1))
+        stay = run[:, ~closed]
+        if stay.shape[1]:
+            state.update((name[~closed].tolist(), *stay.tolist()))
+            ends = stay[4][stay[4] > _UNKNOWN]
+            if len(ends):
+                state.setTimeoutTimestamp(max((int(ends.min()) + 1) * _DAY, now + 1))
         else:
             state.remove()
-        if closed:
-            yield pd.DataFrame({key: own[0], "start_date": [a for a, _ in closed], "end_date": [b for _, b in closed]})
+        if closed.any():
+            yield pd.DataFrame({key: name[closed], "start": run[1][closed], "end": run[3][closed]})
 
-    return known.groupBy(key).applyInPandasWithState(close, f"{key} {kind}, start_date date, end_date date", _PENDING, "append", "EventTimeTimeout")
+    held = f"names array<{kind}>, " + ", ".join(f"{c} array<int>" for c in _RUNS)
+    out = known.groupBy("bucket").applyInPandasWithState(close, f"{key} {kind}, start int, end int", held, "append", "EventTimeTimeout")
+    return out.select(key, F.date_from_unix_date("start").alias("start_date"), F.date_from_unix_date("end").alias("end_date"))

@@ -157,3 +157,42 @@ def test_recorded_spells_on_a_stream(spark, tmp_path):
     after = dict(zip(dates, [*dates[1:], None], strict=True))
     want = sorted((r.ticker, r.start_date, r.end_date) for r in whole if after[r.end_date] and after[r.end_date] < bound)
     assert want and sorted(tuple(r) for r in spark.table("recorded30").collect()) == want
+
+
+def test_recorded_spells_take_a_call_a_bucket(spark, tmp_path, monkeypatch):
+    """State has a row a bucket; it had one a key, and each was a call in each micro-batch."""
+    monkeypatch.setattr(ingest, "BUCKETS", 8)
+    dates = [datetime.date(2020, 12, 1) + datetime.timedelta(days=20 * i) for i in range(5)]
+    rows = [(f"k{k}", dates[i]) for k in range(300) for i in range(5) if (k >> i) & 1 or (i == 4 and k % 2)]
+    schema = "ticker string, date date"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    spells = ingest.recorded_spells(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), spark.createDataFrame([(d,) for d in dates], "date date"))
+    query = spells.writeStream.format("memory").queryName("bucketed").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert max(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators) <= 8
+    whole = ref.intervals(spark.createDataFrame(rows, schema)).collect()
+    want = sorted((r.ticker, r.start_date, r.end_date) for r in whole if r.end_date < dates[3])
+    assert want and sorted(tuple(r) for r in spark.table("bucketed").collect()) == want
+
+
+def test_closed_runs_against_rows():
+    rng = np.random.default_rng(11)
+    day, unknown = np.cumsum(rng.integers(1, 9, 40)) - 60, ingest._UNKNOWN
+    for watermark in (None, -5, 60, 10_000):
+        names, runs, rows = [], [], {}
+        for _ in range(400):
+            name, a = f"n{rng.integers(20)}", int(rng.integers(39))
+            b = min(a + int(rng.integers(3)), 39)
+            names.append(name)
+            runs.append((a, day[a], b, day[b], day[b + 1] if b < 39 and rng.random() < 0.9 else unknown))
+            rows.setdefault(name, {}).update({i: max(rows.get(name, {}).get(i, unknown), runs[-1][4] if i == b else unknown) for i in range(a, b + 1)})
+        want = []
+        for name, own in rows.items():
+            first = None
+            for i in sorted(own):
+                first = i if i - 1 not in own else first
+                if i + 1 not in own:
+                    want.append((name, first, day[first], i, day[i], own[i], watermark is not None and unknown < own[i] < watermark))
+        got, joined, closed = ingest._closed_runs(watermark, np.array(names, dtype=object), np.array(runs, dtype=np.int64).T)
+        assert sorted((n, *map(int, r), bool(c)) for n, r, c in zip(got, joined.T, closed, strict=True)) == sorted(want)
+    assert ingest._closed_runs(5, np.array([], dtype=object), np.zeros((5, 0), np.int64))[1].shape == (5, 0)
