@@ -10,12 +10,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.dates import stars
 from ..functions.pvalues import incomplete_beta, p_value_chi2, p_value_norm
 from ..sources.panels import stored
 from .ranks import back
 
+#: Rows of whole series that are solved together.
+ROWS = 1 << 16
+
 
 def rolling_sums(df: DataFrame, sums: dict[str, str], window: int, by: str = "ticker") -> DataFrame:
     """df with n rows in the window and the sums of SQL expressions over them, for the last `window` rows of each series.
@@ -199,25 +203,51 @@ def _terms(fit: dict[str, np.ndarray], n: int, names: list[str], lags: int | Non
     } | each)
 
 
+def _whole_series(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Tables of whole tickers, of `least` rows or more but for the last, from rows in the order of their tickers."""
+    held, size, enough = [], 0, least
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= enough:
+            table = pa.Table.from_batches(held)
+            names = table.column("ticker").to_numpy()
+            cut = int(np.append(-1, np.flatnonzero(names != names[-1]))[-1]) + 1
+            if cut:
+                yield table.slice(0, cut)
+            held, size = table.slice(cut).to_batches(), table.num_rows - cut
+            enough = max(least, 2 * size)
+    if size:
+        yield pa.Table.from_batches(held)
+
+
 def regress_hac(df: DataFrame, y: str, factors: list[str], lags: int | None = 12, least: int = 24) -> DataFrame:
     """ticker, term, coef, std_error, t, p, n, r_squared, adj_r_squared, f, f_p, stars of each ticker's regression; lags None: plain errors.
 
-    A ticker's history is one group. Rows with a null are left out, tickers with
-    fewer than `least` rows as well.
+    Rows come in the order of their tickers, and tickers of one length are solved
+    together, some ROWS rows at a time; a ticker's history lies in one task. Rows
+    with a null are left out, tickers with fewer than `least` rows as well.
     """
     names = ["alpha", *factors]
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna().sort_values("date")
-        if len(pdf) < max(least, len(factors) + 2):
-            return pd.DataFrame(columns=["ticker", "term"])
-        out = _terms(ols_windows(pdf[y].to_numpy(float)[None], pdf[factors].to_numpy(float)[None], lags), len(pdf), names, lags)
-        return out.assign(ticker=pdf["ticker"].iloc[0])
-
-    kind = dict(df.dtypes)["ticker"]
-    return _no_nan(df.select("ticker", "date", y, *factors).groupBy("ticker").applyInPandas(
-        _ordered(one, f"ticker {kind}, term string, {_TERMS}"), f"ticker {kind}, term string, {_TERMS}"
-    )).withColumn("stars", stars(F.col("p")))
+    rows = df.select("ticker", "date", *(F.col(c).cast("double").alias(c) for c in dict.fromkeys([y, *factors])))
+    rows = rows.na.drop()  # takes NaN as well
+    kind, own = dict(df.dtypes)["ticker"], to_arrow_type(df.schema["ticker"].dataType)
+    columns = [c.split()[0] for c in f"term string, {_TERMS}".split(", ")]
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_series(batches, ROWS):
+            of = table.column("ticker").to_numpy()
+            starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            sizes = np.diff(np.append(starts, len(of)))
+            own_y, x = table.column(y).to_numpy(), np.column_stack([table.column(c).to_numpy() for c in factors])
+            for n in np.unique(sizes[sizes >= max(least, len(factors) + 2)]).tolist():
+                first = starts[sizes == n]
+                at = first[:, None] + np.arange(n)
+                out = _terms(ols_windows(own_y[at], x[at], lags), n, names, lags)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(of[first], len(names)), own), *(pa.array(out[c]) for c in columns)], ["ticker", *columns])
+
+    ordered = rows.repartition("ticker").sortWithinPartitions("ticker", "date")
+    return _no_nan(ordered.mapInArrow(solve, f"ticker {kind}, term string, {_TERMS}")).withColumn("stars", stars(F.col("p")))
 
 
 def rolling_hac(df: DataFrame, y: str, factors: list[str], window: int = 36, lags: int | None = 12, least: int | None = None) -> DataFrame:
@@ -249,6 +279,7 @@ def batch_table(fit: DataFrame) -> DataFrame:
         *(pick("coef", t).alias(n) for t, n in names.items()), *(pick("stars", t).alias(f"{n}_stars") for t, n in names.items()),
         F.max("r_squared").alias("r_squared"), F.max("n").alias("n")
     )
+    wide = stored(wide)  # read twice, solved once
     means = wide.agg(*(F.avg(n).alias(n) for n in names.values()), F.avg("r_squared").alias("r_squared"), F.sum("n").alias("n"))
     return wide.unionByName(means, allowMissingColumns=True)
 

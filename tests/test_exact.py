@@ -6,6 +6,7 @@ import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,3 +197,29 @@ def test_closed_runs_against_rows():
         got, joined, closed = ingest._closed_runs(watermark, np.array(names, dtype=object), np.array(runs, dtype=np.int64).T)
         assert sorted((n, *map(int, r), bool(c)) for n, r, c in zip(got, joined.T, closed, strict=True)) == sorted(want)
     assert ingest._closed_runs(5, np.array([], dtype=object), np.zeros((5, 0), np.int64))[1].shape == (5, 0)
+
+
+def test_tickers_of_many_lengths_are_solved_together(spark, monkeypatch):
+    """As each alone; solved in few calls, where each ticker was a group and a call of its own."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for t in range(40):
+        for i in range(int(rng.integers(20, 60)) if t else 700):
+            rows.append((f"t{t}", datetime.date(2000, 1, 1) + datetime.timedelta(days=i), *(None if rng.random() < 0.02 else float(v) for v in rng.normal(size=3))))
+    rows += [(None, r[1], 1.0, 2.0, 3.0) for r in rows[:50]]
+    df = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "ticker string, date date, y double, a double, b double")
+    monkeypatch.setattr(rg, "ROWS", 256)
+    fit = rg.regress_hac(df, "y", ["a", "b"])
+    got = {(r.ticker, r.term): r for r in fit.collect()}
+    assert "FlatMapGroups" not in fit._jdf.queryExecution().toString()
+    seen = set()
+    for t in range(40):
+        own = np.array([r[2:] for r in rows if r[0] == f"t{t}" and None not in r])
+        if len(own) >= 24:
+            seen |= {(f"t{t}", k) for k in ("alpha", "a", "b")}
+            coef, error, _ = rg.hac_ols(own[:, 0], own[:, 1:])
+            each = [got[f"t{t}", k] for k in ("alpha", "a", "b")]
+            assert [r.coef for r in each] == pytest.approx(coef) and [r.std_error for r in each] == pytest.approx(error) and {r.n for r in each} == {len(own)}
+    assert set(got) == seen and 60 < len(seen) < 120
+    batches = [pa.RecordBatch.from_pydict({"ticker": own}) for own in ([1] * 5, [1, 1, 2, 3, 3], [3])]
+    assert [t.column("ticker").to_pylist() for t in rg._whole_series(iter(batches), 4)] == [[1] * 7 + [2], [3, 3, 3]]
