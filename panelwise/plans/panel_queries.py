@@ -437,7 +437,7 @@ JOIN ed ON s.date = ed.date) """
 
 @query(_DECILE + """SELECT ticker, date, CAST(decile AS BIGINT) AS decile, CASE WHEN decile <= 2 THEN 'Q1' WHEN decile <= 8 THEN 'Q3' ELSE 'Q5' END AS quintile FROM dc""")
 def e11_deciles(p: Panels):
-    df = op.quantile_bucket(p.scores, "ESG", out="decile")
+    df = op.quantile_bucket(p.scores, "ESG", out="decile", fused=True)
     return df.select(
         "ticker", "date", F.col("decile").cast("long").alias("decile"),
         F.when(F.col("decile") <= 2, "Q1").when(F.col("decile") <= 8, "Q3").otherwise("Q5").alias("quintile")

@@ -421,7 +421,7 @@ def c16_rank_change(p: Panels):
 @query(_DECILE + """SELECT ticker, date, CAST(decile AS BIGINT) AS decile FROM (SELECT dc.*, ESG - lag(ESG, 12) OVER (PARTITION BY ticker ORDER BY date) AS mom
 FROM dc) WHERE decile >= 9 AND mom > 0""")
 def b10_screens(p: Panels):
-    df = op.quantile_bucket(p.scores, "ESG", out="decile").withColumn("mom", F.expr(f"ESG - lag(ESG, 12) {op.OVER}"))
+    df = op.quantile_bucket(p.scores, "ESG", out="decile", fused=True).withColumn("mom", F.expr(f"ESG - lag(ESG, 12) {op.OVER}"))
     return df.where("decile >= 9 and mom > 0").select("ticker", "date", F.col("decile").cast("long").alias("decile"))
 
 

@@ -4,6 +4,7 @@ import datetime
 import math
 import struct
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -58,6 +59,20 @@ def test_ranks_and_quantiles_of_any_spread(spark, monkeypatch, bound):
     assert "percentile(" not in bucketed._jdf.queryExecution().toString()
 
 
+def test_fused_edges_are_those_of_the_sql(spark):
+    """Deciles of numbers that tie or nearly tie at the edges, as quantile_cont's edges, bit by bit."""
+    rng = np.random.default_rng(13)
+    rows = [(k, i, float(x)) for k in range(60) for i, x in enumerate((rng.integers(0, 12, 83) * 100 / 7 + rng.integers(0, 3, 83) * 2.0**-46) / 3)]
+    rows += [(90, i, x) for i, x in enumerate([1e-5, 1e300, 1.7e308, 1.7e308, -3.0])] + [(91, i, 0.1) for i in range(7)]
+    df = spark.createDataFrame(rows, "k int, i int, x double")
+    con = duckdb.connect()
+    known = pd.DataFrame(rows, columns=["k", "i", "x"])  # noqa: F841
+    want = dict(con.execute("select k, quantile_cont(x, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) from known group by k").fetchall())
+    points = [i / 10 for i in range(1, 10)]
+    got, plain = ({r.k: r.edges for r in ranks.quantiles(df, "x", points, "k", fused=f).collect()} for f in (True, False))
+    assert got == want and plain != want and all(plain[k] == pytest.approx(want[k], rel=1e-14) for k in want)
+
+
 def test_cells_are_bounded(spark):
     """Ten times the rows leave the cells that one task sorts as they are."""
     for n in (20_000, 200_000):
