@@ -414,7 +414,7 @@ JOIN (SELECT s.ticker, s.date, 1 + len(list_filter(edges, lambda e: e < E)) AS d
 JOIN (SELECT date, quantile_cont(E, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM sc
 GROUP BY date) ed2 ON s.date = ed2.date) b ON a.ticker = b.ticker AND a.date = b.date""")
 def c16_rank_change(p: Panels):
-    a, b = op.quantile_bucket(p.scores, "ESG", out="a").select("ticker", "date", "a"), op.quantile_bucket(p.scores, "E", out="b").select("ticker", "date", "b")
+    a, b = op.quantile_bucket(p.scores, "ESG", out="a", fused=True).select("ticker", "date", "a"), op.quantile_bucket(p.scores, "E", out="b", fused=True).select("ticker", "date", "b")
     return a.join(b, ["ticker", "date"]).select("ticker", "date", (F.col("a") - F.col("b")).cast("long").alias("change"))
 
 
