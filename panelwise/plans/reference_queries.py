@@ -320,7 +320,7 @@ _NEXT = ", nx AS (SELECT ticker, date, lead(ret) OVER (PARTITION BY ticker ORDER
 
 
 def _decile_returns(p: Panels):
-    deciles = op.quantile_bucket(p.scores, "ESG", out="decile").select("ticker", "date", "decile")
+    deciles = op.quantile_bucket(p.scores, "ESG", out="decile", fused=True).select("ticker", "date", "decile")
     nxt = p.returns.withColumn("nxt", F.expr(f"lead(ret) {op.OVER}")).where("nxt is not null").select("ticker", "date", "nxt")
     return deciles.join(nxt, ["ticker", "date"])
 
@@ -356,7 +356,7 @@ _SPREADS = (
 
 
 def _spreads(p: Panels):
-    deciles = op.quantile_bucket(p.scores, "ESG", out="decile").select("ticker", "date", "decile")
+    deciles = op.quantile_bucket(p.scores, "ESG", out="decile", fused=True).select("ticker", "date", "decile")
     return op.horizon_spreads(deciles, op.forward_returns(p.prices, list(_HORIZONS)), list(_HORIZONS))
 
 
